@@ -1,0 +1,23 @@
+"""Join helpers: a broadcast only behind a checked size bound."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A dimension up to this many rows is shipped to every task; beyond it the
+# join falls back to a shuffle join (which AQE may still turn into a
+# broadcast once it has measured the real size).
+DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """Broadcast ``df`` only if it has at most ``max_rows`` rows.
+
+    Meant for dimension and config tables: the count reads Parquet footers
+    or one small scan, never the fact side.
+    """
+    if max_rows <= 0:
+        return df
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
