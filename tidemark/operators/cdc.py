@@ -25,6 +25,7 @@ and a NULL key part is '' everywhere.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.keys import joined_key, row_key_from_map, salted
@@ -46,11 +47,14 @@ def parse_changelog(raw: DataFrame, value_col: str = "value") -> tuple[DataFrame
     to ``rejects`` instead of failing the job.
     """
     keep = [c for c in raw.columns if c != value_col]
-    parsed = raw.select(*keep, F.col(value_col), F.from_json(F.col(value_col), CHANGELOG_SCHEMA).alias("m"))
-    ok = (F.col("m").isNotNull() & F.col("m.database").isNotNull()
-          & F.col("m.table").isNotNull() & F.col("m.type").isNotNull())
-    messages = parsed.where(ok).select(*keep, "m.database", "m.table", "m.type", "m.data", "m.old")
-    rejects = parsed.where(~ok | F.col("m").isNull()).select(*keep, F.col(value_col))
+    # Parse through a generator so the JSON is parsed once per record; a
+    # projection of ``from_json(..).field`` would be split by the optimizer
+    # into one parse per referenced field.
+    parsed = raw.select(*keep, F.col(value_col),
+                        F.inline_outer(F.array(F.from_json(F.col(value_col), CHANGELOG_SCHEMA))))
+    ok = F.col("database").isNotNull() & F.col("table").isNotNull() & F.col("type").isNotNull()
+    messages = parsed.where(ok).select(*keep, "database", "table", "type", "data", "old")
+    rejects = parsed.where(~ok).select(*keep, F.col(value_col))
     return messages, rejects
 
 
@@ -86,10 +90,15 @@ def _ci_value(m: Column, name: Column) -> Column:
     return F.try_element_at(F.map_values(F.map_filter(m, lambda k, v: F.lower(k) == low)), F.lit(1))
 
 
+OP_FIELDS = "rowkey string, kind int, family string, qualifier string, value string"
+
+
 def to_ops(routed: DataFrame) -> DataFrame:
     """Routed messages to ops: ``hbaseTable, rowkey, offset, pos, kind, family, qualifier, value``.
 
-    Tombstones have ``kind = 0`` and NULL family/qualifier/value.
+    Tombstones have ``kind = 0`` and NULL family/qualifier/value.  Every data
+    row yields one array of ops (its tombstone, if any, then its puts) that
+    is exploded once: a single pass over the messages.
     """
     kind = F.upper(F.col("type"))
     base = routed.where(kind.isin("INSERT", "UPDATE", "DELETE")).select(
@@ -103,75 +112,76 @@ def to_ops(routed: DataFrame) -> DataFrame:
     d, o, keys = F.col("r.d"), F.col("r.o"), F.col("key_cols")
     changed = F.coalesce(F.map_keys(o), F.array().cast("array<string>"))
     key_change = (F.col("op") == "UPDATE") & F.exists(changed, lambda c: _ci_member(keys, c))
-    new_key = row_key_from_map(d, keys)
     old_key = salted(joined_key(F.transform(keys, lambda k: F.when(
         _ci_member(changed, k), _ci_value(o, k)).otherwise(F.try_element_at(d, k)))))
     rows = rows.where(d.isNotNull()).select(
-        "hbaseTable", "offset", "pos", "family", "uppercaseQualifier", "op", d.alias("d"), o.alias("o"),
-        key_change.alias("key_change"), new_key.alias("new_key"), old_key.alias("old_key"))
+        "hbaseTable", "offset", "pos", "family", "uppercaseQualifier", "op",
+        d.alias("d"), changed.alias("changed"), key_change.alias("key_change"),
+        row_key_from_map(d, keys).alias("new_key"), old_key.alias("old_key"))
 
     def qual(k: Column) -> Column:
         return F.when(F.col("uppercaseQualifier"), F.upper(k)).otherwise(k)
 
-    null_s = F.lit(None).cast("string")
-    tombs = rows.where((F.col("op") == "DELETE") | F.col("key_change")).select(
-        "hbaseTable",
-        F.when(F.col("key_change"), F.col("old_key")).otherwise(F.col("new_key")).alias("rowkey"),
-        "offset", "pos", F.lit(KIND_DELETE).alias("kind"),
-        null_s.alias("family"), null_s.alias("qualifier"), null_s.alias("value"))
-
-    full = rows.where((F.col("op") == "INSERT") | F.col("key_change")).select(
-        "hbaseTable", F.col("new_key").alias("rowkey"), "offset", "pos", "family",
-        "uppercaseQualifier", F.explode(F.map_entries(F.col("d"))).alias("e"))
-    full = full.where(F.col("e.value").isNotNull()).select(
-        "hbaseTable", "rowkey", "offset", "pos", F.lit(KIND_PUT).alias("kind"), "family",
-        qual(F.col("e.key")).alias("qualifier"), F.col("e.value").alias("value"))
-
-    upd = rows.where((F.col("op") == "UPDATE") & ~F.col("key_change") & F.col("o").isNotNull()).select(
-        "hbaseTable", F.col("new_key").alias("rowkey"), "offset", "pos", "family",
-        "uppercaseQualifier", "d", F.explode(F.map_keys(F.col("o"))).alias("c"))
-    upd = upd.select(
-        "hbaseTable", "rowkey", "offset", "pos", F.lit(KIND_PUT).alias("kind"), "family",
-        qual(F.col("c")).alias("qualifier"),
-        F.coalesce(F.try_element_at(F.col("d"), F.col("c")), F.lit("")).alias("value"))
-    return tombs.unionByName(full).unionByName(upd)
+    def op(rowkey: Column, k: int, family, qualifier, value) -> Column:
+        return F.struct(rowkey.alias("rowkey"), F.lit(k).alias("kind"),
+                        family.cast("string").alias("family"),
+                        qualifier.cast("string").alias("qualifier"),
+                        value.cast("string").alias("value"))
+
+    null = F.lit(None)
+    is_tomb = (F.col("op") == "DELETE") | F.col("key_change")
+    is_full = (F.col("op") == "INSERT") | F.col("key_change")
+    is_upd = (F.col("op") == "UPDATE") & ~F.col("key_change")
+    tomb_key = F.when(F.col("key_change"), F.col("old_key")).otherwise(F.col("new_key"))
+    tomb = F.filter(F.array(op(tomb_key, KIND_DELETE, null, null, null)), lambda _: is_tomb)
+    full = F.transform(
+        F.filter(F.map_entries(F.col("d")), lambda e: is_full & e["value"].isNotNull()),
+        lambda e: op(F.col("new_key"), KIND_PUT, F.col("family"), qual(e["key"]), e["value"]))
+    upd = F.transform(
+        F.filter(F.col("changed"), lambda _: is_upd),
+        lambda c: op(F.col("new_key"), KIND_PUT, F.col("family"), qual(c),
+                     F.coalesce(F.try_element_at(F.col("d"), c), F.lit(""))))
+    ops = rows.select("hbaseTable", "offset", "pos",
+                      F.explode(F.concat(tomb, full, upd)).alias("x"))
+    return ops.select("hbaseTable", "x.rowkey", "offset", "pos", "x.kind",
+                      "x.family", "x.qualifier", "x.value")
 
 
 def seq_col() -> Column:
     return F.struct("offset", "pos", "kind")
 
 
-def fold(ops: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Replay ops into ``(cells, tombstones)``.
+def fold(ops: DataFrame) -> DataFrame:
+    """Replay ops into the keyed-table state.
+
+    Output rows: ``hbaseTable, rowkey, kind, family, qualifier, value, seq``.
+    ``kind = 1`` rows are live cells; ``kind = 0`` rows are the latest
+    tombstone of a row key, kept so that folding this state again with more
+    ops (a later micro-batch, or a replayed one) gives the same answer.
 
-    ``cells``: ``hbaseTable, rowkey, family, qualifier, value, seq`` for live
-    cells.  ``tombstones``: ``hbaseTable, rowkey, del_seq``, the latest delete
-    per row key (kept so a later fold with older replayed ops stays right).
-    Both are partial aggregates; the hot row of a table collapses on the map
-    side before the shuffle.
+    One partial aggregate per cell (a hot row's updates collapse on the map
+    side before the shuffle), then a window per row key over the reduced
+    rows, which hold at most one row per qualifier plus one tombstone.
     """
     seq = seq_col()
-    tombs = (ops.where(F.col("kind") == KIND_DELETE)
-             .groupBy("hbaseTable", "rowkey").agg(F.max(seq).alias("del_seq")))
-    puts = (ops.where(F.col("kind") == KIND_PUT)
-            .groupBy("hbaseTable", "rowkey", "family", "qualifier")
-            .agg(F.max_by("value", seq).alias("value"), F.max(seq).alias("seq")))
-    live = (puts.join(tombs, ["hbaseTable", "rowkey"], "left")
-            .where(F.col("del_seq").isNull() | (F.col("seq") > F.col("del_seq")))
+    cells = (ops.groupBy("hbaseTable", "rowkey", "kind", "family", "qualifier")
+             .agg(F.max_by("value", seq).alias("value"), F.max(seq).alias("seq")))
+    by_row = Window.partitionBy("hbaseTable", "rowkey")
+    del_seq = F.max(F.when(F.col("kind") == KIND_DELETE, F.col("seq"))).over(by_row)
+    return (cells.withColumn("del_seq", del_seq)
+            .where((F.col("kind") == KIND_DELETE) | F.col("del_seq").isNull()
+                   | (F.col("seq") > F.col("del_seq")))
             .drop("del_seq"))
-    return live, tombs
 
 
-def cells_from_state(cells: DataFrame) -> DataFrame:
-    """State cells back to ops form (so a snapshot can be folded with new ops)."""
-    return cells.select("hbaseTable", "rowkey", "seq.offset", "seq.pos", "seq.kind",
-                        "family", "qualifier", "value")
+def live_cells(state: DataFrame) -> DataFrame:
+    return state.where(F.col("kind") == KIND_PUT)
 
 
-def tombs_from_state(tombs: DataFrame) -> DataFrame:
-    null_s = F.lit(None).cast("string")
-    return tombs.select("hbaseTable", "rowkey", "del_seq.offset", "del_seq.pos", "del_seq.kind",
-                        null_s.alias("family"), null_s.alias("qualifier"), null_s.alias("value"))
+def state_as_ops(state: DataFrame) -> DataFrame:
+    """A folded state back in ops form, to fold it again with newer ops."""
+    return state.select("hbaseTable", "rowkey", "seq.offset", "seq.pos", "kind",
+                        "family", "qualifier", "value")
 
 
 def state_to_keyed(cells: DataFrame, family: str, fields: list[str]) -> DataFrame:

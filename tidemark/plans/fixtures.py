@@ -169,13 +169,16 @@ def changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
         (4, "DELETE", oid % 10 == 1, _text_map(t2), no_old),
         (5, "insert", oid % 100 == 1, _text_map(t0), no_old),
     ]
-    rows = None
-    for phase, kind, cond, data, old in phases:
-        part = o.where(cond).select(
-            F.lit(phase).alias("phase"), F.lit(kind).alias("type"), F.lit("orders").alias("table"),
-            F.floor(oid / CDC_BLOCK).alias("block"), oid.alias("pos_key"),
-            data.alias("data_row"), old.alias("old_row"))
-        rows = part if rows is None else rows.unionByName(part)
+    # One scan and one join of orders: each order generates its phase rows.
+    gen = F.array(*[
+        F.when(cond, F.struct(F.lit(phase).alias("phase"), F.lit(kind).alias("type"),
+                              data.alias("data_row"), old.alias("old_row")))
+        for phase, kind, cond, data, old in phases])
+    rows = (o.select(oid, F.explode(gen).alias("g"))
+            .where(F.col("g").isNotNull())
+            .select("g.phase", "g.type", F.lit("orders").alias("table"),
+                    F.floor(oid / CDC_BLOCK).alias("block"), oid.alias("pos_key"),
+                    "g.data_row", "g.old_row"))
 
     cust = table(spark, sf_dir, "customer")
     cust_rows = cust.select(

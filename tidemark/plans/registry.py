@@ -126,7 +126,7 @@ def q_cdc_cells(spark, d):
 
 
 def q_cdc_state(spark, d):
-    cells, _ = cdc.fold(cdc.to_ops(_routed(spark, d)))
+    cells = cdc.live_cells(cdc.fold(cdc.to_ops(_routed(spark, d))))
     return cells.select("hbaseTable", "rowkey", "family", "qualifier", "value")
 
 
