@@ -242,5 +242,29 @@ FROM fx_orders""",
     "cdc_cells": CDC_CELLS,
     "cdc_state": CDC_STATE,
 
+    # Replays: only windows the 5 s watermark has closed by the end of input.
+    "stream_orders_per_hour": _with(FX_ORDERS_TIME, """dws AS (
+  SELECT strftime(date_trunc('hour', createTime), '%Y-%m-%d %H') AS day_hour_time,
+         count(DISTINCT orderId) AS order_num
+  FROM fx_orders_time WHERE createTime IS NOT NULL GROUP BY date_trunc('hour', createTime)
+  HAVING date_trunc('hour', createTime) + INTERVAL 1 HOUR
+         <= (SELECT max(createTime) FROM fx_orders_time) - INTERVAL 5 SECOND)""")
+    + "SELECT day_hour_time, max(order_num) AS buy_cnt FROM dws GROUP BY day_hour_time",
+
+    "stream_uv_10min": _with(FX_BEHAVIOR, """dws AS (
+  SELECT substring(strftime(ts, '%Y-%m-%d %H:%M:%S'), 1, 15) || '0' AS day_time_str,
+         count(DISTINCT user_id) AS uv
+  FROM fx_behavior WHERE ts IS NOT NULL GROUP BY time_bucket(INTERVAL 10 MINUTE, ts), 1
+  HAVING time_bucket(INTERVAL 10 MINUTE, ts) + INTERVAL 10 MINUTE
+         <= (SELECT max(ts) FROM fx_behavior) - INTERVAL 5 SECOND)""")
+    + "SELECT day_time_str, max(uv) AS uv FROM dws GROUP BY day_time_str",
+
+    "stream_category_counts": _with(FX_BEHAVIOR, FX_CATEGORY, """dws AS (
+  SELECT CASE WHEN c.parent_category_id IN (1, 2, 3, 4, 5, 6, 7, 8) THEN c.parent_category_name
+              ELSE '其他' END AS category_name, count(*) AS order_num
+  FROM fx_behavior b LEFT JOIN fx_category c ON b.category_id = c.sub_category_id
+  WHERE b.behavior = 'buy' GROUP BY 1)""")
+    + "SELECT category_name, max(order_num) AS buy_cnt FROM dws GROUP BY category_name",
+
     "adhoc_sql": _with(FX_ORDERS, FX_TEXT, "flink_dwd_orders AS (SELECT * FROM fx_text)") + ADHOC_SQL,
 }

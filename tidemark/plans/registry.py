@@ -134,6 +134,28 @@ def q_adhoc_sql(spark, d):
     return adhoc_sql(spark, d)
 
 
+# Streaming replays: the table replayed in event-time order through the
+# streaming job (DWS query, then APP query reading the DWS topic back).
+REPLAY_FILES = 4
+
+
+def q_stream_orders_per_hour(spark, d):
+    from tidemark.streaming import jobs as sj
+    from tidemark.streaming.replay import replay_window_job
+    return replay_window_job(spark, sj.ORDERS_PER_HOUR, fx.orders_time(spark, d), REPLAY_FILES)
+
+
+def q_stream_uv_10min(spark, d):
+    from tidemark.streaming import jobs as sj
+    from tidemark.streaming.replay import replay_window_job
+    return replay_window_job(spark, sj.UV_10MIN, fx.behavior(spark, d), REPLAY_FILES)
+
+
+def q_stream_category_counts(spark, d):
+    from tidemark.streaming.replay import replay_category_job
+    return replay_category_job(spark, fx.behavior(spark, d), fx.category(spark, d), REPLAY_FILES)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "orders_per_hour": q_orders_per_hour,
     "orders_per_minute": q_orders_per_minute,
@@ -154,4 +176,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "cdc_cells": q_cdc_cells,
     "cdc_state": q_cdc_state,
     "adhoc_sql": q_adhoc_sql,
+    "stream_orders_per_hour": q_stream_orders_per_hour,
+    "stream_uv_10min": q_stream_uv_10min,
+    "stream_category_counts": q_stream_category_counts,
 }
