@@ -23,19 +23,31 @@ from tidemark.streaming import jobs as sj
 AVAILABLE_NOW = {"availableNow": True}
 
 
-def write_replay(df: DataFrame, time_col: str, path: str, n_files: int = 4) -> None:
-    (df.repartitionByRange(n_files, time_col).sortWithinPartitions(time_col)
-       .write.mode("overwrite").json(path))
+def write_replay(df: DataFrame, time_col: str, path: str, n_files: int = 4,
+                 append: bool = False) -> None:
+    """Write ``df`` as ``n_files`` time-ranged JSON files with increasing
+    modification times (after any files already there when ``append``)."""
     spark = df.sparkSession
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     root = jvm.org.apache.hadoop.fs.Path(path)
     fs = root.getFileSystem(conf)
-    files = sorted((st.getPath() for st in fs.listStatus(root)
-                    if st.getPath().getName().startswith("part-")),
-                   key=lambda p: p.getName())
-    base = int(time.time() * 1000) - 1000 * (len(files) + 1)
-    for i, p in enumerate(files):
+
+    def parts():
+        if not fs.exists(root):
+            return {}
+        return {st.getPath().getName(): st for st in fs.listStatus(root)
+                if st.getPath().getName().startswith("part-")}
+
+    before = parts() if append else {}
+    (df.repartitionByRange(n_files, time_col).sortWithinPartitions(time_col)
+       .write.mode("append" if append else "overwrite").json(path))
+    new = sorted((st.getPath() for name, st in parts().items() if name not in before),
+                 key=lambda p: p.getName())
+    base = int(time.time() * 1000) - 1000 * (len(new) + 1)
+    if before:
+        base = max(base, max(st.getModificationTime() for st in before.values()) + 1000)
+    for i, p in enumerate(new):
         fs.setTimes(p, base + 1000 * i, -1)
 
 
