@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.keys import row_key
-from tidemark.operators.joins import broadcast_if_small
 from tidemark.operators.keyed import ORDER_FIELDS, to_keyed
 
 # Fixed derivation values (mirrored by the DuckDB oracle SQL).
@@ -61,7 +60,9 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """src.orders shape from orders x customer x nation (typed)."""
     o = table(spark, sf_dir, "orders")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    n = broadcast_if_small(table(spark, sf_dir, "nation").select("n_nationkey", "n_name"))
+    # nation and region are tiny Parquet tables: Catalyst's size estimate
+    # broadcasts them (and would fall back to a shuffle join if they grew).
+    n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     cn = c.join(n, c["c_nationkey"] == n["n_nationkey"], "left").select("c_custkey", "n_name")
     j = o.join(cn, o["o_custkey"] == cn["c_custkey"], "left")
     money = F.col("o_totalprice").cast("decimal(11,2)")
@@ -104,7 +105,7 @@ def orders_kv(spark: SparkSession, sf_dir: str) -> DataFrame:
 def category(spark: SparkSession, sf_dir: str) -> DataFrame:
     """dim.category from nation x region; parents 1,3,5,7,9."""
     n = table(spark, sf_dir, "nation")
-    r = broadcast_if_small(table(spark, sf_dir, "region"))
+    r = table(spark, sf_dir, "region")
     j = n.join(r, n["n_regionkey"] == r["r_regionkey"], "left")
     return j.select(
         F.col("n_nationkey").alias("sub_category_id"),
