@@ -266,5 +266,7 @@ FROM fx_orders""",
   WHERE b.behavior = 'buy' GROUP BY 1)""")
     + "SELECT category_name, max(order_num) AS buy_cnt FROM dws GROUP BY category_name",
 
+    "stream_cdc_state": CDC_STATE,
+
     "adhoc_sql": _with(FX_ORDERS, FX_TEXT, "flink_dwd_orders AS (SELECT * FROM fx_text)") + ADHOC_SQL,
 }

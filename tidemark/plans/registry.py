@@ -156,6 +156,27 @@ def q_stream_category_counts(spark, d):
     return replay_category_job(spark, fx.behavior(spark, d), fx.category(spark, d), REPLAY_FILES)
 
 
+def q_stream_cdc_state(spark, d):
+    """The changelog replayed as a topic through the streaming CDC sync
+    (compacting every 2 batches); the resulting keyed state's live cells."""
+    from tidemark.session import scratch_path
+    from tidemark.sinks.keyed_state import KeyedStateTable
+    from tidemark.sources.topic import json_topic
+    from tidemark.streaming.cdc_apply import start_cdc_sync
+    from tidemark.streaming.replay import write_replay
+    root = scratch_path(spark, "replay")
+    log = fx.changelog(spark, d)
+    write_replay(log, "offset", f"{root}/topic", REPLAY_FILES)
+    stream = json_topic(spark, f"{root}/topic", log.schema, max_files_per_trigger=1)
+    q = start_cdc_sync(spark, stream, lambda: fx.flow(spark), f"{root}/table",
+                       f"{root}/ckpt", {"availableNow": True}, compact_every=2)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    cells = KeyedStateTable(spark, f"{root}/table").cells()
+    return cells.select("hbaseTable", "rowkey", "family", "qualifier", "value")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "orders_per_hour": q_orders_per_hour,
     "orders_per_minute": q_orders_per_minute,
@@ -179,4 +200,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_orders_per_hour": q_stream_orders_per_hour,
     "stream_uv_10min": q_stream_uv_10min,
     "stream_category_counts": q_stream_category_counts,
+    "stream_cdc_state": q_stream_cdc_state,
 }
