@@ -15,6 +15,15 @@ from pyspark.sql import DataFrame, SparkSession
 VERSION_DIGITS = 12
 
 
+def ensure_dir(spark: SparkSession, path: str) -> None:
+    """Create ``path`` if missing (a stream may start before its topic has data)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        fs.mkdirs(p)
+
+
 class SnapshotTable:
     def __init__(self, spark: SparkSession, path: str, keep: int = 2):
         self.spark = spark

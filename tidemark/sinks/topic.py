@@ -32,3 +32,17 @@ def kafka_append(df: DataFrame, servers: str, topic: str, checkpoint: str,
     return (out.writeStream.format("kafka").option("kafka.bootstrap.servers", servers)
             .option("topic", topic).option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"processingTime": "5 seconds"})).start())
+
+
+def print_rows(df: DataFrame, n: int = 20, trigger: dict | None = None) -> StreamingQuery | None:
+    """Print rows: ``show`` for a batch, the console sink for a stream."""
+    if not df.isStreaming:
+        df.show(n, truncate=False)
+        return None
+    return (df.writeStream.format("console").option("truncate", "false")
+            .outputMode("append" if not _aggregating(df) else "update")
+            .trigger(**(trigger or {"processingTime": "5 seconds"})).start())
+
+
+def _aggregating(df: DataFrame) -> bool:
+    return "Aggregate" in df._jdf.queryExecution().analyzed().toString()

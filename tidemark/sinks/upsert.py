@@ -34,10 +34,34 @@ def merge_upsert(base: DataFrame | None, batch: DataFrame, keys: Sequence[str])
     return kept.select(*cols).unionByName(batch.select(*cols))
 
 
-def upsert_batch(spark, batch: DataFrame, batch_id: int, keys: Sequence[str], path: str) -> None:
+def merge_greatest(base: DataFrame | None, batch: DataFrame, keys: Sequence[str],
+                   order: Sequence[str]) -> DataFrame:
+    """One row per key: the row with the greatest ``order`` tuple among the
+    stored row and the batch rows (arrival order never decides)."""
+    cols = batch.columns
+    both = batch if base is None else base.select(*cols).unionByName(batch.select(*cols))
+    rest = [c for c in cols if c not in keys]
+    best = F.max_by(F.struct(*rest), F.struct(*order)).alias("_r")
+    return both.groupBy(*keys).agg(best).select(*keys, "_r.*").select(*cols)
+
+
+def merge_add(base: DataFrame | None, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Running totals: stored values plus the batch's deltas per key."""
+    cols = batch.columns
+    both = batch if base is None else base.select(*cols).unionByName(batch.select(*cols))
+    rest = [c for c in cols if c not in keys]
+    return both.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in rest]).select(*cols)
+
+
+def upsert_batch(spark, batch: DataFrame, batch_id: int, keys: Sequence[str], path: str,
+                 merge=None) -> DataFrame:
+    """Merge one micro-batch into the snapshot (idempotent by ``batch_id``);
+    returns the merged table of this version."""
     snap = SnapshotTable(spark, path)
     base = snap.current(below=batch_id)
-    snap.commit(merge_upsert(base, batch, keys), batch_id)
+    merged = (merge or merge_upsert)(base, batch, keys)
+    snap.commit(merged, batch_id)
+    return spark.read.parquet(snap.version_path(batch_id))
 
 
 def upsert_table(df: DataFrame, keys: Sequence[str], path: str, checkpoint: str,

@@ -69,6 +69,8 @@ def start_app(spark: SparkSession, dws_path: str, dws_schema: str,
               checkpoint: str, trigger: dict | None = None, name: str = "job",
               recursive: bool = False) -> StreamingQuery:
     """Read a DWS topic back and upsert its ``max`` compaction."""
+    from tidemark.sinks.snapshot import ensure_dir
+    ensure_dir(spark, dws_path)
     dws = json_topic(spark, dws_path, dws_schema, recursive=recursive)
     return upsert_table(app(dws), keys, app_path, checkpoint, "update",
                         trigger or DEFAULT_TRIGGER, f"{name}_app")
@@ -94,3 +96,84 @@ def start_category_job(spark: SparkSession, behavior: DataFrame, dim: DataFrame,
                    jobs.category_counts_app, ["category_name"], app_path,
                    f"{checkpoint_dir}/app", trigger, name, recursive=True)
     return [q1, q2]
+
+
+def start_category_job_refreshed(spark: SparkSession, behavior: DataFrame,
+                                 dim_loader: Callable[[], DataFrame], dws_path: str,
+                                 app_path: str, checkpoint_dir: str, max_age_s: float = 600.0,
+                                 trigger: dict | None = None, name: str = "category") -> list[StreamingQuery]:
+    """The category job with a lookup cache: the dimension is re-read only
+    when older than ``max_age_s`` (the source cached lookups for 10 min), and
+    the running counts live in a snapshot updated per micro-batch."""
+    from tidemark.sinks.upsert import merge_add, upsert_batch
+    from tidemark.sources.tables import CachedTable
+    from tidemark.operators.lookup import enrich_category, purchases_by_category
+
+    trigger = trigger or DEFAULT_TRIGGER
+    dim = CachedTable(dim_loader, max_age_s)
+    state_path = f"{checkpoint_dir}/counts"
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        delta = purchases_by_category(enrich_category(batch, dim.get()))
+        merged = upsert_batch(batch.sparkSession, delta, batch_id, ["category_name"], state_path, merge_add)
+        changed = merged.join(delta.select("category_name"), "category_name", "left_semi")
+        changed.write.mode("overwrite").json(f"{dws_path}/batch={batch_id:012d}")
+
+    q1 = (behavior.writeStream.foreachBatch(write).option("checkpointLocation", f"{checkpoint_dir}/dws")
+          .queryName(f"{name}_dws").trigger(**trigger).start())
+    q2 = start_app(spark, dws_path, "category_name string, order_num bigint",
+                   jobs.category_counts_app, ["category_name"], app_path,
+                   f"{checkpoint_dir}/app", trigger, name, recursive=True)
+    return [q1, q2]
+
+
+def start_item_counts(spark: SparkSession, behavior: DataFrame, table_path: str, checkpoint: str,
+                      trigger: dict | None = None, name: str = "item_counts") -> StreamingQuery:
+    """Counts per (item, category, behaviour, ts) upserted into a table keyed
+    by item: the latest ``ts`` wins, then category, then behaviour, then the
+    larger count of the same group.  The watermark on ``ts`` bounds state."""
+    from tidemark.operators.aggregates import item_counts
+    from tidemark.sinks.upsert import merge_greatest, upsert_batch
+
+    counts = item_counts(with_event_time(behavior, "ts"))
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        upsert_batch(batch.sparkSession, batch, batch_id, ["item_id"], table_path,
+                     lambda base, b, keys: merge_greatest(base, b, keys,
+                                                          ["ts", "category_id", "behavior", "cnt"]))
+
+    return (counts.writeStream.outputMode("update").foreachBatch(write)
+            .option("checkpointLocation", checkpoint).queryName(name)
+            .trigger(**(trigger or DEFAULT_TRIGGER)).start())
+
+
+def start_user_top1(spark: SparkSession, dws: DataFrame, table_path: str, checkpoint: str,
+                    trigger: dict | None = None, name: str = "user_top1") -> StreamingQuery:
+    """Best row per user by (order_num, gmv) over a DWS stream: ranking
+    windows are rejected on streams, the ``max(struct)`` aggregate is not."""
+    from tidemark.operators.compact import top1_desc
+    return upsert_table(top1_desc(dws, ["userId"], ["order_num", "gmv"]), ["userId"], table_path,
+                        checkpoint, "update", trigger or DEFAULT_TRIGGER, name)
+
+
+def run_dwd_extract(kv: DataFrame, topic_path: str, now=None) -> DataFrame:
+    """Bounded scan of the keyed order table: the current UTC+8 hour's rows,
+    typed, appended to the DWD topic (event time as TIMESTAMP for watermarks)."""
+    out = jobs.dwd_current_hour(kv, now, time_type="timestamp")
+    append_topic(out, topic_path)
+    return out
+
+
+def run_user_totals(kv: DataFrame, table_path: str) -> None:
+    """Per-user order count and GMV of the keyed order table, upserted into
+    the keyed DWS table (``rowkey = userId``, ``cf = ROW(user_id, order_num, gmv)``)."""
+    from tidemark.operators.aggregates import user_totals_keyed
+    upsert_table(user_totals_keyed(jobs.order_text(kv)), ["rowkey"], table_path, checkpoint="")
+
+
+def await_any(spark: SparkSession, timeout_s: float | None = None) -> bool:
+    """Several inserts in one job: wait until any query stops."""
+    if timeout_s is None:
+        spark.streams.awaitAnyTermination()
+        return True
+    return spark.streams.awaitAnyTermination(timeout_s)
