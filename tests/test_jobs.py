@@ -79,3 +79,16 @@ def test_user_top1_stream_equals_batch(spark, scratch):
     stream = json_topic(spark, f"{scratch}/dws", dws.schema)
     _run([sj.start_user_top1(spark, stream, f"{scratch}/top", f"{scratch}/ckpt", AVAILABLE_NOW)])
     assert rows(keyed_table(spark, f"{scratch}/top")) == rows(top1_desc(dws, ["userId"], ["order_num", "gmv"]))
+
+
+def test_user_totals_stream_equals_batch(spark, scratch):
+    from tidemark.operators.aggregates import order_totals
+    o = fx.orders_time(spark, SF_SMALL)
+    # Every order twice: the distinct count must not change, the sum doubles.
+    src = o.unionByName(o)
+    write_replay(src, "createTime", f"{scratch}/src", 3)
+    stream = json_topic(spark, f"{scratch}/src", o.schema, max_files_per_trigger=1)
+    _run(sj.start_user_totals_stream(spark, stream, f"{scratch}/t", f"{scratch}/ckpt", AVAILABLE_NOW))
+    got = sj.read_user_totals(spark, f"{scratch}/t").select("userId", "order_num", F.round("gmv", 2))
+    want = order_totals(src, ["userId"]).select("userId", "order_num", F.round("gmv", 2))
+    assert rows(got) == rows(want)

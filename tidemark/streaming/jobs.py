@@ -177,3 +177,40 @@ def await_any(spark: SparkSession, timeout_s: float | None = None) -> bool:
         spark.streams.awaitAnyTermination()
         return True
     return spark.streams.awaitAnyTermination(timeout_s)
+
+
+def start_user_totals_stream(spark: SparkSession, orders: DataFrame, table_path: str,
+                             checkpoint_dir: str, trigger: dict | None = None,
+                             name: str = "user_totals") -> list[StreamingQuery]:
+    """Un-windowed per-user ``count(distinct orderId)`` and ``sum(money)`` on a stream.
+
+    Streams reject ``count_distinct`` and chained aggregations in update
+    mode, and a per-user set of ids would hold a hot user's whole history in
+    one state row.  Instead two queries keep per-key state:
+
+    * ``dropDuplicates(userId, orderId)`` then a count per user (state is one
+      entry per distinct pair, spread over all tasks);
+    * ``sum(realTotalMoney)`` per user over every row (duplicates included,
+      as the source's ``sum`` does).
+
+    Each upserts its own snapshot; ``read_user_totals`` joins them.
+    """
+    from pyspark.sql import functions as F
+    trigger = trigger or DEFAULT_TRIGGER
+    counts = (orders.dropDuplicates(["userId", "orderId"]).where(F.col("orderId").isNotNull())
+              .groupBy("userId").agg(F.count(F.lit(1)).alias("order_num")))
+    sums = orders.groupBy("userId").agg(F.sum(F.col("realTotalMoney").try_cast("double")).alias("gmv"))
+    return [upsert_table(counts, ["userId"], f"{table_path}/order_num", f"{checkpoint_dir}/order_num",
+                         "update", trigger, f"{name}_order_num"),
+            upsert_table(sums, ["userId"], f"{table_path}/gmv", f"{checkpoint_dir}/gmv",
+                         "update", trigger, f"{name}_gmv")]
+
+
+def read_user_totals(spark: SparkSession, table_path: str) -> DataFrame:
+    """``userId, order_num, gmv`` from the two snapshots of ``start_user_totals_stream``."""
+    from pyspark.sql import functions as F
+    from tidemark.sources.tables import keyed_table
+    n = keyed_table(spark, f"{table_path}/order_num")
+    g = keyed_table(spark, f"{table_path}/gmv")
+    return (g.join(n, "userId", "full")
+            .select("userId", F.coalesce("order_num", F.lit(0)).alias("order_num"), "gmv"))
