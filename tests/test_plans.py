@@ -58,7 +58,7 @@ def test_distinct_window_counts_spread_by_id(spark):
     assert "partial_count" in p
 
 
-def test_top1_is_an_aggregate_not_a_sort(spark):
+def test_top1_is_an_aggregate_not_a_ranking_window(spark):
     p = plan(QUERIES["user_top1"](spark, SF_SMALL))
     assert "Window" not in p.replace("window", "")
 
