@@ -136,6 +136,14 @@ FROM (SELECT 0 AS phase, 'INSERT' AS type, orderId FROM fx_orders
       UNION ALL SELECT 5, 'insert', orderId FROM fx_orders WHERE orderId % 100 = 1) p
 GROUP BY ALL"""
 
+CLOSED_USER_HOURS = """dws AS (
+  SELECT userId, province, CAST(hour(date_trunc('hour', createTime)) AS BIGINT) AS hour_of_day,
+         count(DISTINCT orderId) AS order_num, round(sum(CAST(realTotalMoney AS DOUBLE)), 2) AS gmv
+  FROM fx_orders_time WHERE createTime IS NOT NULL
+  GROUP BY userId, province, date_trunc('hour', createTime)
+  HAVING date_trunc('hour', createTime) + INTERVAL 1 HOUR
+         <= (SELECT max(createTime) FROM fx_orders_time) - INTERVAL 5 SECOND)"""
+
 ORACLE_SQL: dict[str, str] = {
     "orders_per_hour": _with(FX_ORDERS_TIME, """dws AS (
   SELECT strftime(date_trunc('hour', createTime), '%Y-%m-%d %H') AS day_hour_time,
@@ -268,5 +276,21 @@ FROM fx_orders""",
 
     "stream_cdc_state": CDC_STATE,
 
+    "stream_user_province_hour_app": _with(FX_ORDERS_TIME, CLOSED_USER_HOURS) + """
+SELECT userId, province, hour_of_day, max(order_num) AS buy_cnt, max(gmv) AS gmv
+FROM dws GROUP BY userId, province, hour_of_day""",
+
+    "stream_user_orders": _with(FX_ORDERS_TIME) + """
+SELECT userId, count(DISTINCT orderId) AS order_num, round(sum(realTotalMoney), 2) AS gmv
+FROM fx_orders_time GROUP BY userId""",
+
+
+    "stream_user_top1": _with(FX_ORDERS_TIME, CLOSED_USER_HOURS, """r AS (
+  SELECT *, row_number() OVER (PARTITION BY userId ORDER BY order_num DESC NULLS LAST,
+         gmv DESC NULLS LAST, province DESC NULLS LAST, hour_of_day DESC NULLS LAST) AS rownum
+  FROM dws)""") + """
+SELECT userId, province, hour_of_day, order_num, gmv FROM r WHERE rownum = 1""",
+
     "adhoc_sql": _with(FX_ORDERS, FX_TEXT, "flink_dwd_orders AS (SELECT * FROM fx_text)") + ADHOC_SQL,
 }
+ORACLE_SQL["stream_item_counts_upsert"] = ORACLE_SQL["item_counts_upsert"]

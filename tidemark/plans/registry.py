@@ -156,6 +156,67 @@ def q_stream_category_counts(spark, d):
     return replay_category_job(spark, fx.behavior(spark, d), fx.category(spark, d), REPLAY_FILES)
 
 
+def q_stream_user_province_hour_app(spark, d):
+    from tidemark.streaming import jobs as sj
+    from tidemark.streaming.replay import replay_window_job
+    return replay_window_job(spark, sj.USER_PROVINCE_HOUR, fx.orders_time(spark, d), REPLAY_FILES)
+
+
+def _replay_stream(spark, df, time_col):
+    from tidemark.session import scratch_path
+    from tidemark.sources.topic import json_topic
+    from tidemark.streaming.replay import write_replay
+    root = scratch_path(spark, "replay")
+    write_replay(df, time_col, f"{root}/src", REPLAY_FILES)
+    return root, json_topic(spark, f"{root}/src", df.schema, max_files_per_trigger=1)
+
+
+def _await_all(queries):
+    for q in queries:
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise RuntimeError(str(q.exception()))
+
+
+def q_stream_user_orders(spark, d):
+    """Un-windowed per-user distinct orders and GMV on a stream (orders as events)."""
+    from tidemark.streaming import jobs as sj
+    root, stream = _replay_stream(spark, fx.orders_time(spark, d), "createTime")
+    _await_all(sj.start_user_totals_stream(spark, stream, f"{root}/t", f"{root}/ckpt",
+                                           {"availableNow": True}))
+    t = sj.read_user_totals(spark, f"{root}/t")
+    return t.select("userId", "order_num", F.round("gmv", 2).alias("gmv"))
+
+
+def q_stream_item_counts_upsert(spark, d):
+    from tidemark.sources.tables import keyed_table
+    from tidemark.streaming import jobs as sj
+    root, stream = _replay_stream(spark, fx.behavior(spark, d), "ts")
+    _await_all([sj.start_item_counts(spark, stream, f"{root}/t", f"{root}/ckpt", {"availableNow": True})])
+    t = keyed_table(spark, f"{root}/t")
+    return t.select(F.col("item_id").cast("string").alias("rowkey"),
+                    F.col("item_id").cast("string").alias("item_id"),
+                    F.col("category_id").cast("string").alias("category_id"),
+                    "behavior", F.col("ts").cast("timestamp_ntz").alias("ts"), "cnt")
+
+
+def q_stream_user_top1(spark, d):
+    """Hourly per-user windows on a stream (append), then the best window per
+    user on the resulting DWS stream (update), upserted."""
+    from tidemark.sinks.topic import append_topic
+    from tidemark.sources.tables import keyed_table
+    from tidemark.sources.topic import json_topic
+    from tidemark.streaming import jobs as sj
+    from tidemark.streaming.event_time import with_event_time
+    root, stream = _replay_stream(spark, fx.orders_time(spark, d), "createTime")
+    dws = jobs.user_province_hour(with_event_time(stream, "createTime"))
+    _await_all([append_topic(dws, f"{root}/dws", f"{root}/ckpt/dws", {"availableNow": True})])
+    dws_stream = json_topic(spark, f"{root}/dws", sj.USER_PROVINCE_HOUR.dws_schema)
+    _await_all([sj.start_user_top1(spark, dws_stream, f"{root}/top", f"{root}/ckpt/top",
+                                   {"availableNow": True})])
+    return keyed_table(spark, f"{root}/top").select("userId", "province", "hour_of_day", "order_num", "gmv")
+
+
 def q_stream_cdc_state(spark, d):
     """The changelog replayed as a topic through the streaming CDC sync
     (compacting every 2 batches); the resulting keyed state's live cells."""
@@ -201,4 +262,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_uv_10min": q_stream_uv_10min,
     "stream_category_counts": q_stream_category_counts,
     "stream_cdc_state": q_stream_cdc_state,
+    "stream_user_province_hour_app": q_stream_user_province_hour_app,
+    "stream_user_orders": q_stream_user_orders,
+    "stream_item_counts_upsert": q_stream_item_counts_upsert,
+    "stream_user_top1": q_stream_user_top1,
 }
