@@ -24,14 +24,51 @@ DEFAULT_CONF = {
 }
 
 
+# Settings for a large cluster (about 100 TB of input, ~1000 executors).
+# Shuffle partitions start high and AQE coalesces them to the advisory size,
+# so small stages do not run thousands of empty tasks and big ones never
+# exceed executor memory; skewed partitions over the threshold are split.
+CLUSTER_CONF = {
+    "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1024 * 1024 * 1024),
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    # Broadcasts stay small: explicit ones are row-count checked, automatic
+    # ones are decided from measured sizes at runtime.
+    "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
+def shuffle_partitions_for(input_bytes: int, target_bytes: int = 256 * 1024 * 1024,
+                           minimum: int = 200, maximum: int = 100_000) -> int:
+    """Initial shuffle partition count for an input size (AQE coalesces down)."""
+    return max(minimum, min(maximum, -(-input_bytes // target_bytes)))
+
+
+def input_bytes(spark: SparkSession, paths: list[str]) -> int:
+    """Total size of the files under ``paths`` (file-system metadata only)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        total += path.getFileSystem(conf).getContentSummary(path).getLength()
+    return total
+
+
 def get_session(master: str | None = None, app: str = "tidemark",
                 shuffle_partitions: int | None = None,
-                conf: dict[str, str] | None = None) -> SparkSession:
-    """Build (or reuse) a session with the warehouse defaults applied."""
+                conf: dict[str, str] | None = None, cluster: bool = False) -> SparkSession:
+    """Build (or reuse) a session with the warehouse defaults applied
+    (plus ``CLUSTER_CONF`` when ``cluster``)."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**DEFAULT_CONF, **(conf or {})}.items():
+    base = {**DEFAULT_CONF, **(CLUSTER_CONF if cluster else {})}
+    for key, value in {**base, **(conf or {})}.items():
         builder = builder.config(key, value)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
