@@ -6,9 +6,8 @@ from pyspark.sql import functions as F
 
 from tidemark.plans import fixtures as fx
 from tidemark.plans import jobs
-from tidemark.sinks.snapshot import SnapshotTable
 from tidemark.sinks.topic import append_topic
-from tidemark.sinks.upsert import merge_upsert, upsert_batch
+from tidemark.sinks.upsert import BATCH, UpsertTable, combine, upsert_batch
 from tidemark.sources.tables import keyed_table
 from tidemark.sources.topic import json_topic
 from tidemark.streaming import jobs as sj
@@ -67,13 +66,28 @@ def test_upsert_replay_is_idempotent(spark, scratch):
     upsert_batch(spark, b1, 1, ["k"], path)  # the same batch replayed after a failure
     twice = sorted(tuple(r) for r in keyed_table(spark, path).collect())
     assert once == twice == [("a", 1), ("b", 5), ("c", 3)]
-    assert SnapshotTable(spark, path).versions() == [0, 1]
+    assert UpsertTable(spark, path).batches() == [0, 1]
 
 
-def test_merge_upsert_duplicate_keys_in_batch(spark):
-    base = spark.createDataFrame([("a", 1)], "k string, v bigint")
-    batch = spark.createDataFrame([("a", 4), ("a", 9), ("b", 1)], "k string, v bigint")
-    assert sorted(tuple(r) for r in merge_upsert(base, batch, ["k"]).collect()) == [("a", 9), ("b", 1)]
+def test_upsert_compaction_keeps_the_table(spark, scratch):
+    """Many small batches with compaction every 3: only the latest row per key
+    survives, bases are written, and old deltas are dropped."""
+    path = f"{scratch}/t"
+    for i in range(8):
+        b = spark.createDataFrame([(f"k{i % 3}", i), (f"n{i}", -i)], "k string, v bigint")
+        upsert_batch(spark, b, i, ["k"], path, compact_every=3)
+    t = UpsertTable(spark, path)
+    want = [("k0", 6), ("k1", 7), ("k2", 5)] + [(f"n{i}", -i) for i in range(8)]
+    assert sorted(tuple(r) for r in t.current().collect()) == sorted(want)
+    assert t.base.versions() == [2, 5]
+    assert t.batches() == [3, 4, 5, 6, 7]
+
+
+def test_combine_duplicate_keys_in_batch(spark):
+    rows = spark.createDataFrame([("a", 4, 1), ("a", 9, 1), ("b", 1, 1), ("a", 2, 0)],
+                                 f"k string, v bigint, {BATCH} bigint")
+    got = sorted((r.k, r.v) for r in combine(rows, ["k"]).collect())
+    assert got == [("a", 9), ("b", 1)]
 
 
 def test_late_rows_are_dropped(spark, scratch):

@@ -2,6 +2,6 @@
 
 from tidemark.sinks.snapshot import SnapshotTable
 from tidemark.sinks.topic import append_topic
-from tidemark.sinks.upsert import upsert_batch, upsert_table
+from tidemark.sinks.upsert import UpsertTable, upsert_batch, upsert_table
 
-__all__ = ["SnapshotTable", "append_topic", "upsert_batch", "upsert_table"]
+__all__ = ["SnapshotTable", "UpsertTable", "append_topic", "upsert_batch", "upsert_table"]

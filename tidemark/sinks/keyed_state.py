@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.operators import cdc
-from tidemark.sinks.snapshot import SnapshotTable
+from tidemark.sinks.snapshot import SnapshotTable, delete_path, list_batches
 
 OPS_SCHEMA = ("hbaseTable string, rowkey string, offset bigint, pos int, kind int, "
               "family string, qualifier string, value string")
@@ -38,18 +38,7 @@ class KeyedStateTable:
         return f"{self.path}/ops/batch={batch_id:0{BATCH_DIGITS}d}"
 
     def _op_batches(self) -> list[int]:
-        jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        root = jvm.org.apache.hadoop.fs.Path(f"{self.path}/ops")
-        fs = root.getFileSystem(conf)
-        if not fs.exists(root):
-            return []
-        out = []
-        for st in fs.listStatus(root):
-            name = st.getPath().getName()
-            if name.startswith("batch=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-                out.append(int(name[6:]))
-        return sorted(out)
+        return list_batches(self.spark, f"{self.path}/ops")
 
     def append_ops(self, ops: DataFrame, batch_id: int) -> None:
         ops.select(*[c.split()[0] for c in OPS_SCHEMA.split(", ")]).write.mode("overwrite").parquet(
@@ -86,13 +75,9 @@ class KeyedStateTable:
         versions = self.base.versions()
         if len(versions) < 2:
             return
-        oldest_kept = versions[0]
-        jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
         for b in self._op_batches():
-            if b <= oldest_kept:
-                p = jvm.org.apache.hadoop.fs.Path(self._ops_path(b))
-                p.getFileSystem(conf).delete(p, True)
+            if b <= versions[0]:
+                delete_path(self.spark, self._ops_path(b))
 
     def apply_batch(self, ops: DataFrame, batch_id: int) -> None:
         self.append_ops(ops, batch_id)

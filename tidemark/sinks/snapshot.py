@@ -15,6 +15,51 @@ from pyspark.sql import DataFrame, SparkSession
 VERSION_DIGITS = 12
 
 
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
+
+
+def list_batches(spark: SparkSession, root: str, prefix: str = "batch=") -> list[int]:
+    """Ids of complete ``<prefix><id>`` directories (``_SUCCESS`` present) under ``root``."""
+    fs, p, jvm = _fs(spark, root)
+    if not fs.exists(p):
+        return []
+    out = []
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith(prefix) and \
+                fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+            out.append(int(name[len(prefix):]))
+    return sorted(out)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    fs, p, _ = _fs(spark, path)
+    fs.delete(p, True)
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    fs, p, _ = _fs(spark, path)
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    fs, p, jvm = _fs(spark, path)
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 def ensure_dir(spark: SparkSession, path: str) -> None:
     """Create ``path`` if missing (a stream may start before its topic has data)."""
     jvm = spark.sparkContext._jvm
@@ -39,16 +84,7 @@ class SnapshotTable:
 
     def versions(self) -> list[int]:
         """Complete versions, ascending."""
-        fs, root, jvm = self._fs()
-        if not fs.exists(root):
-            return []
-        out = []
-        for st in fs.listStatus(root):
-            name = st.getPath().getName()
-            if st.isDirectory() and name.startswith("v="):
-                if fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-                    out.append(int(name[2:]))
-        return sorted(out)
+        return list_batches(self.spark, self.path, "v=")
 
     def version_path(self, version: int) -> str:
         return f"{self.path}/v={version:0{VERSION_DIGITS}d}"

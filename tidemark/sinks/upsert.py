@@ -1,83 +1,143 @@
-"""Upsert sink: keep one row per key in a versioned snapshot.
+"""Upsert sink: one row per key, as a base snapshot plus per-batch deltas.
 
-Each micro-batch is merged into the latest complete version: rows of the
-batch replace stored rows with the same key.  The merge is an anti join plus
-a union, so it shuffles on the key and never gathers a key's history.
+Layout under ``path``::
+
+    _table.json      key columns, column order and the combine rule
+    base/v=<n>       the whole table as of micro-batch n (complete versions only)
+    delta/batch=<n>  the rows micro-batch n wrote, one per key (overwritten on replay)
+
+A micro-batch writes only its own rows.  Every ``compact_every`` batches the
+deltas are folded into a new base.  Readers fold the latest base with the
+later deltas.  The fold is an associative per-key aggregate, so it combines
+on the map side, and a replayed batch gives the same table:
+
+* ``latest``: the row of the greatest batch id wins (plain upsert);
+* ``sum``: values add up (running totals fed with per-batch deltas);
+* ``greatest``: the row with the greatest ``order`` tuple wins, whatever the arrival order.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.sinks.snapshot import SnapshotTable
+from tidemark.sinks.snapshot import SnapshotTable, delete_path, list_batches, read_text, write_text
 
+BATCH = "_batch"
+BATCH_DIGITS = 12
 
-def merge_upsert(base: DataFrame | None, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """``base`` with the rows of ``batch`` replacing those with equal keys.
 
-    Within one batch a key appears once in update mode; if it appears more
-    than once the greatest row wins, so the result never depends on order.
-    """
-    cols = batch.columns
-    others = [c for c in cols if c not in keys]
-    if others:
-        batch = batch.groupBy(*keys).agg(F.max(F.struct(*others)).alias("_r")).select(*keys, "_r.*")
+def combine(df: DataFrame, keys: Sequence[str], rule: str = "latest",
+            order: Sequence[str] = ()) -> DataFrame:
+    """Fold rows (with a ``_batch`` column) to one row per key."""
+    rest = [c for c in df.columns if c not in keys and c != BATCH]
+    if rule == "sum":
+        aggs = [F.sum(c).alias(c) for c in rest] + [F.max(BATCH).alias(BATCH)]
+        return df.groupBy(*keys).agg(*aggs)
+    if rule == "greatest":
+        best = F.max_by(F.struct(BATCH, *rest), F.struct(*order, BATCH))
+    elif rule == "latest":
+        best = F.max(F.struct(BATCH, *rest))
     else:
-        batch = batch.dropDuplicates(list(keys))
-    if base is None:
-        return batch.select(*cols)
-    kept = base.join(batch.select(*keys), list(keys), "left_anti")
-    return kept.select(*cols).unionByName(batch.select(*cols))
-
-
-def merge_greatest(base: DataFrame | None, batch: DataFrame, keys: Sequence[str],
-                   order: Sequence[str]) -> DataFrame:
-    """One row per key: the row with the greatest ``order`` tuple among the
-    stored row and the batch rows (arrival order never decides)."""
-    cols = batch.columns
-    both = batch if base is None else base.select(*cols).unionByName(batch.select(*cols))
-    rest = [c for c in cols if c not in keys]
-    best = F.max_by(F.struct(*rest), F.struct(*order)).alias("_r")
-    return both.groupBy(*keys).agg(best).select(*keys, "_r.*").select(*cols)
-
-
-def merge_add(base: DataFrame | None, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Running totals: stored values plus the batch's deltas per key."""
-    cols = batch.columns
-    both = batch if base is None else base.select(*cols).unionByName(batch.select(*cols))
-    rest = [c for c in cols if c not in keys]
-    return both.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in rest]).select(*cols)
-
-
-def upsert_batch(spark, batch: DataFrame, batch_id: int, keys: Sequence[str], path: str,
-                 merge=None) -> DataFrame:
-    """Merge one micro-batch into the snapshot (idempotent by ``batch_id``);
-    returns the merged table of this version."""
-    snap = SnapshotTable(spark, path)
-    base = snap.current(below=batch_id)
-    merged = (merge or merge_upsert)(base, batch, keys)
-    snap.commit(merged, batch_id)
-    return spark.read.parquet(snap.version_path(batch_id))
+        raise ValueError(f"unknown combine rule {rule!r}")
+    return df.groupBy(*keys).agg(best.alias("_r")).select(*keys, "_r.*")
+
+
+class UpsertTable:
+    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str] | None = None,
+                 rule: str = "latest", order: Sequence[str] = (), compact_every: int = 10,
+                 keep: int = 2):
+        self.spark = spark
+        self.path = path.rstrip("/")
+        self.compact_every = compact_every
+        self.base = SnapshotTable(spark, f"{self.path}/base", keep=keep)
+        meta = read_text(spark, f"{self.path}/_table.json")
+        if meta is not None:
+            m = json.loads(meta)
+            self.keys, self.rule, self.order = m["keys"], m["rule"], m["order"]
+            self.columns = m["columns"]
+        else:
+            if keys is None:
+                raise ValueError(f"no upsert table at {self.path}")
+            self.keys, self.rule, self.order, self.columns = list(keys), rule, list(order), None
+
+    @staticmethod
+    def exists(spark: SparkSession, path: str) -> bool:
+        return read_text(spark, f"{path.rstrip('/')}/_table.json") is not None
+
+    def _delta_path(self, batch_id: int) -> str:
+        return f"{self.path}/delta/batch={batch_id:0{BATCH_DIGITS}d}"
+
+    def batches(self) -> list[int]:
+        return list_batches(self.spark, f"{self.path}/delta")
+
+    def next_batch_id(self) -> int:
+        ids = self.batches() + self.base.versions()
+        return max(ids) + 1 if ids else 0
+
+    def apply(self, batch: DataFrame, batch_id: int) -> None:
+        """Write micro-batch ``batch_id`` (idempotent) and compact when due."""
+        if self.columns is None:
+            self.columns = list(batch.columns)
+            write_text(self.spark, f"{self.path}/_table.json", json.dumps(
+                {"keys": self.keys, "rule": self.rule, "order": self.order, "columns": self.columns}))
+        rows = combine(batch.select(*self.columns).withColumn(BATCH, F.lit(batch_id).cast("bigint")),
+                       self.keys, self.rule, self.order)
+        rows.write.mode("overwrite").parquet(self._delta_path(batch_id))
+        if (batch_id + 1) % self.compact_every == 0:
+            self.compact(batch_id)
+
+    def state(self, upto: int | None = None) -> DataFrame:
+        """The folded table (with ``_batch``) including batches <= ``upto``."""
+        v = self.base.latest_version(below=None if upto is None else upto + 1)
+        ids = [b for b in self.batches() if (v is None or b > v) and (upto is None or b <= upto)]
+        parts = [self.spark.read.parquet(self._delta_path(b)) for b in ids]
+        if v is not None:
+            parts.insert(0, self.spark.read.parquet(self.base.version_path(v)))
+        if not parts:
+            raise ValueError(f"upsert table {self.path} has no data")
+        union = parts[0]
+        for p in parts[1:]:
+            union = union.unionByName(p)
+        return combine(union, self.keys, self.rule, self.order)
+
+    def current(self, upto: int | None = None) -> DataFrame:
+        return self.state(upto).select(*self.columns)
+
+    def compact(self, upto: int) -> None:
+        if upto in self.base.versions():
+            return  # a replayed batch: never overwrite the version being read
+        self.base.commit(self.state(upto), upto)
+        oldest = self.base.versions()[0]
+        for b in self.batches():
+            if b <= oldest and len(self.base.versions()) > 1:
+                delete_path(self.spark, self._delta_path(b))
+
+
+def upsert_batch(spark: SparkSession, batch: DataFrame, batch_id: int, keys: Sequence[str],
+                 path: str, rule: str = "latest", order: Sequence[str] = (),
+                 compact_every: int = 10) -> UpsertTable:
+    table = UpsertTable(spark, path, keys, rule, order, compact_every)
+    table.apply(batch, batch_id)
+    return table
 
 
 def upsert_table(df: DataFrame, keys: Sequence[str], path: str, checkpoint: str,
                  output_mode: str = "update", trigger: dict | None = None,
-                 query_name: str | None = None) -> StreamingQuery | None:
+                 query_name: str | None = None, rule: str = "latest",
+                 order: Sequence[str] = (), compact_every: int = 10) -> StreamingQuery | None:
     """Upsert a stream (``foreachBatch``) or a batch DataFrame into ``path``."""
     if not df.isStreaming:
-        spark = df.sparkSession
-        snap = SnapshotTable(spark, path)
-        latest = snap.latest_version()
-        version = 0 if latest is None else latest + 1
-        snap.commit(merge_upsert(snap.current(), df, keys), version)
+        table = UpsertTable(df.sparkSession, path, keys, rule, order, compact_every)
+        table.apply(df, table.next_batch_id())
         return None
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        upsert_batch(batch.sparkSession, batch, batch_id, keys, path)
+        UpsertTable(batch.sparkSession, path, keys, rule, order, compact_every).apply(batch, batch_id)
 
     w = (df.writeStream.outputMode(output_mode).foreachBatch(write)
          .option("checkpointLocation", checkpoint))

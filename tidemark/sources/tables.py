@@ -8,15 +8,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.sinks.snapshot import SnapshotTable
+from tidemark.sinks.upsert import UpsertTable
 
 
 def keyed_table(spark: SparkSession, path: str) -> DataFrame:
-    """Current version of a keyed table written by ``upsert_table`` (or a
+    """Current state of a keyed table written by ``upsert_table`` (or a
     plain Parquet directory)."""
-    snap = SnapshotTable(spark, path)
-    current = snap.current()
-    return current if current is not None else spark.read.parquet(path)
+    if UpsertTable.exists(spark, path):
+        return UpsertTable(spark, path).current()
+    return spark.read.parquet(path)
 
 
 def jdbc_table(spark: SparkSession, url: str, table: str, user_env: str = "JDBC_USER",

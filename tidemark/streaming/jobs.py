@@ -105,7 +105,7 @@ def start_category_job_refreshed(spark: SparkSession, behavior: DataFrame,
     """The category job with a lookup cache: the dimension is re-read only
     when older than ``max_age_s`` (the source cached lookups for 10 min), and
     the running counts live in a snapshot updated per micro-batch."""
-    from tidemark.sinks.upsert import merge_add, upsert_batch
+    from tidemark.sinks.upsert import UpsertTable
     from tidemark.sources.tables import CachedTable
     from tidemark.operators.lookup import enrich_category, purchases_by_category
 
@@ -115,8 +115,9 @@ def start_category_job_refreshed(spark: SparkSession, behavior: DataFrame,
 
     def write(batch: DataFrame, batch_id: int) -> None:
         delta = purchases_by_category(enrich_category(batch, dim.get()))
-        merged = upsert_batch(batch.sparkSession, delta, batch_id, ["category_name"], state_path, merge_add)
-        changed = merged.join(delta.select("category_name"), "category_name", "left_semi")
+        table = UpsertTable(batch.sparkSession, state_path, ["category_name"], rule="sum")
+        table.apply(delta, batch_id)
+        changed = table.current(upto=batch_id).join(delta.select("category_name"), "category_name", "left_semi")
         changed.write.mode("overwrite").json(f"{dws_path}/batch={batch_id:012d}")
 
     q1 = (behavior.writeStream.foreachBatch(write).option("checkpointLocation", f"{checkpoint_dir}/dws")
@@ -133,14 +134,13 @@ def start_item_counts(spark: SparkSession, behavior: DataFrame, table_path: str,
     by item: the latest ``ts`` wins, then category, then behaviour, then the
     larger count of the same group.  The watermark on ``ts`` bounds state."""
     from tidemark.operators.aggregates import item_counts
-    from tidemark.sinks.upsert import merge_greatest, upsert_batch
+    from tidemark.sinks.upsert import upsert_batch
 
     counts = item_counts(with_event_time(behavior, "ts"))
 
     def write(batch: DataFrame, batch_id: int) -> None:
         upsert_batch(batch.sparkSession, batch, batch_id, ["item_id"], table_path,
-                     lambda base, b, keys: merge_greatest(base, b, keys,
-                                                          ["ts", "category_id", "behavior", "cnt"]))
+                     rule="greatest", order=["ts", "category_id", "behavior", "cnt"])
 
     return (counts.writeStream.outputMode("update").foreachBatch(write)
             .option("checkpointLocation", checkpoint).queryName(name)

@@ -15,7 +15,6 @@ import time
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.session import scratch_path
-from tidemark.sinks.snapshot import SnapshotTable
 from tidemark.sources.tables import keyed_table
 from tidemark.sources.topic import json_topic
 from tidemark.streaming import jobs as sj
@@ -103,7 +102,7 @@ def _category_queries(spark, stream, dim, root):
 
 
 def _read_app(spark: SparkSession, path: str, _schema) -> DataFrame:
-    snap = SnapshotTable(spark, path)
-    if snap.latest_version() is None:
-        raise RuntimeError(f"no APP snapshot written under {path}")
+    from tidemark.sinks.upsert import UpsertTable
+    if not UpsertTable.exists(spark, path):
+        raise RuntimeError(f"no APP table written under {path}")
     return keyed_table(spark, path)
