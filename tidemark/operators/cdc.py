@@ -40,22 +40,33 @@ KIND_PUT = 1
 FLOW_RUNNING = 2
 
 
+def parse_flagged(raw: DataFrame, value_col: str = "value") -> DataFrame:
+    """JSON text to message columns plus ``_ok`` (parsed to a database,
+    table and type).  The JSON is parsed once per record: through a
+    generator, since a projection of ``from_json(..).field`` would be split
+    by the optimizer into one parse per referenced field."""
+    keep = [c for c in raw.columns if c != value_col]
+    parsed = raw.select(*keep, F.col(value_col),
+                        F.inline_outer(F.array(F.from_json(F.col(value_col), CHANGELOG_SCHEMA))))
+    ok = F.col("database").isNotNull() & F.col("table").isNotNull() & F.col("type").isNotNull()
+    return parsed.withColumn("_ok", F.coalesce(ok, F.lit(False)))
+
+
+def split_parsed(parsed: DataFrame, value_col: str = "value") -> tuple[DataFrame, DataFrame]:
+    keep = [c for c in parsed.columns if c not in (value_col, "_ok", "database", "table", "type",
+                                                     "es", "ts", "isDdl", "data", "old")]
+    messages = parsed.where("_ok").select(*keep, "database", "table", "type", "data", "old")
+    rejects = parsed.where(~F.col("_ok")).select(*keep, F.col(value_col))
+    return messages, rejects
+
+
 def parse_changelog(raw: DataFrame, value_col: str = "value") -> tuple[DataFrame, DataFrame]:
     """JSON text to message columns; returns ``(messages, rejects)``.
 
     A record that does not parse (or parses to no database/table/type) goes
     to ``rejects`` instead of failing the job.
     """
-    keep = [c for c in raw.columns if c != value_col]
-    # Parse through a generator so the JSON is parsed once per record; a
-    # projection of ``from_json(..).field`` would be split by the optimizer
-    # into one parse per referenced field.
-    parsed = raw.select(*keep, F.col(value_col),
-                        F.inline_outer(F.array(F.from_json(F.col(value_col), CHANGELOG_SCHEMA))))
-    ok = F.col("database").isNotNull() & F.col("table").isNotNull() & F.col("type").isNotNull()
-    messages = parsed.where(ok).select(*keep, "database", "table", "type", "data", "old")
-    rejects = parsed.where(~ok).select(*keep, F.col(value_col))
-    return messages, rejects
+    return split_parsed(parse_flagged(raw, value_col), value_col)
 
 
 def latest_flow(flow: DataFrame) -> DataFrame:

@@ -56,6 +56,9 @@ class KeyedStateTable:
         """Folded state (``cdc.fold`` rows) including ops of batches <= ``upto``."""
         below = None if upto is None else upto + 1
         v = self.base.latest_version(below=below)
+        pending = [b for b in self._op_batches() if (v is None or b > v) and (upto is None or b <= upto)]
+        if v is not None and not pending:
+            return self.spark.read.parquet(self.base.version_path(v))  # already folded
         ops = self.pending_ops(v, upto)
         if v is not None:
             ops = cdc.state_as_ops(self.spark.read.parquet(self.base.version_path(v))).unionByName(ops)

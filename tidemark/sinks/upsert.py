@@ -95,6 +95,8 @@ class UpsertTable:
         """The folded table (with ``_batch``) including batches <= ``upto``."""
         v = self.base.latest_version(below=None if upto is None else upto + 1)
         ids = [b for b in self.batches() if (v is None or b > v) and (upto is None or b <= upto)]
+        if v is not None and not ids:
+            return self.spark.read.parquet(self.base.version_path(v))  # already one row per key
         parts = [self.spark.read.parquet(self._delta_path(b)) for b in ids]
         if v is not None:
             parts.insert(0, self.spark.read.parquet(self.base.version_path(v)))
