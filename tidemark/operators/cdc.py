@@ -60,6 +60,19 @@ def split_parsed(parsed: DataFrame, value_col: str = "value") -> tuple[DataFrame
     return messages, rejects
 
 
+HEADER_SCHEMA = "database string, table string, type string"
+
+
+def changelog_rejects(raw: DataFrame, value_col: str = "value") -> DataFrame:
+    """Records without a database, table and type, found by a header-only
+    parse (no arrays of maps are built)."""
+    keep = [c for c in raw.columns if c != value_col]
+    h = raw.select(*keep, F.col(value_col),
+                   F.inline_outer(F.array(F.from_json(F.col(value_col), HEADER_SCHEMA))))
+    ok = F.col("database").isNotNull() & F.col("table").isNotNull() & F.col("type").isNotNull()
+    return h.where(~F.coalesce(ok, F.lit(False))).select(*keep, F.col(value_col))
+
+
 def parse_changelog(raw: DataFrame, value_col: str = "value") -> tuple[DataFrame, DataFrame]:
     """JSON text to message columns; returns ``(messages, rejects)``.
 

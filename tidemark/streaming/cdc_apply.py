@@ -24,15 +24,10 @@ CONFIG_POLL_SECONDS = 60.0
 
 def changelog_batch_writer(table: KeyedStateTable, flow: CachedTable) -> Callable[[DataFrame, int], None]:
     def write(batch: DataFrame, batch_id: int) -> None:
-        # Two writes (rejects, ops) from one parse: keep the parsed batch for
-        # the duration of this micro-batch instead of re-reading the source.
-        parsed = cdc.parse_flagged(batch).persist()
-        try:
-            messages, rejects = cdc.split_parsed(parsed)
-            rejects.write.mode("overwrite").parquet(f"{table.path}/rejects/batch={batch_id:012d}")
-            table.apply_batch(cdc.to_ops(cdc.route(messages, flow.get())), batch_id)
-        finally:
-            parsed.unpersist()
+        cdc.changelog_rejects(batch).write.mode("overwrite").parquet(
+            f"{table.path}/rejects/batch={batch_id:012d}")
+        messages, _ = cdc.parse_changelog(batch)
+        table.apply_batch(cdc.to_ops(cdc.route(messages, flow.get())), batch_id)
     return write
 
 

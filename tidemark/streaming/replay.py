@@ -39,11 +39,17 @@ def write_replay(df: DataFrame, time_col: str, path: str, n_files: int = 4,
                 if st.getPath().getName().startswith("part-")}
 
     before = parts() if append else {}
-    (df.repartitionByRange(n_files, time_col).sortWithinPartitions(time_col)
-       .write.mode("append" if append else "overwrite")
-       .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
-       .option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-       .json(path))
+    # Range partitioning samples its input, then shuffles it: keep the input
+    # for the two passes instead of deriving it twice.
+    src = df.persist()
+    try:
+        (src.repartitionByRange(n_files, time_col).sortWithinPartitions(time_col)
+            .write.mode("append" if append else "overwrite")
+            .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
+            .option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+            .json(path))
+    finally:
+        src.unpersist()
     new = sorted((st.getPath() for name, st in parts().items() if name not in before),
                  key=lambda p: p.getName())
     base = int(time.time() * 1000) - 1000 * (len(new) + 1)
