@@ -155,6 +155,7 @@ def test_malformed_json_goes_to_rejects(spark):
     m, rejects = cdc.parse_changelog(raw)
     assert m.count() == 1
     assert sorted(r.offset for r in rejects.collect()) == [0, 2]
+    assert sorted(r.offset for r in cdc.changelog_rejects(raw).collect()) == [0, 2]
 
 
 def test_ddl_and_empty_messages_do_nothing(spark):
