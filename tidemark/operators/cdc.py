@@ -89,16 +89,19 @@ def latest_flow(flow: DataFrame) -> DataFrame:
     return flow.groupBy("databaseName", "tableName").agg(best).select("f.*").select(*cols)
 
 
-def route(messages: DataFrame, flow: DataFrame, max_broadcast_rows: int = 100_000) -> DataFrame:
+def route(messages: DataFrame, flow: DataFrame, max_broadcast_rows: int = 100_000,
+          flow_rows: int | None = None) -> DataFrame:
     """Keep messages whose (database, table) has a running config; attach it.
 
     Joined on both columns (no concatenated key, so ``ab``+``c`` never
     matches ``a``+``bc``).  The config is small and broadcast behind a
-    row-count check.
+    row-count check (``flow_rows``: a count already taken, e.g. by the cache
+    that polls the config, bounds the reduced config too).
     """
     f = latest_flow(flow).where(F.col("status") == FLOW_RUNNING)
     f = broadcast_if_small(f.select("databaseName", "tableName", "flowId", "hbaseTable",
-                                    "family", "uppercaseQualifier", "rowKey"), max_broadcast_rows)
+                                    "family", "uppercaseQualifier", "rowKey"), max_broadcast_rows,
+                           known_rows=flow_rows)
     j = messages.join(f, (messages["database"] == f["databaseName"])
                       & (messages["table"] == f["tableName"]), "inner")
     return j.drop("databaseName", "tableName")

@@ -11,13 +11,16 @@ from pyspark.sql import functions as F
 DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                       known_rows: int | None = None) -> DataFrame:
     """Broadcast ``df`` only if it has at most ``max_rows`` rows.
 
     Meant for dimension and config tables: the count reads Parquet footers
-    or one small scan, never the fact side.
+    or one small scan, never the fact side.  ``known_rows`` is an upper bound
+    already established (by a cache that counted the table), which skips the
+    count.
     """
     if max_rows <= 0:
         return df
-    n = df.limit(max_rows + 1).count()
+    n = known_rows if known_rows is not None else df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df

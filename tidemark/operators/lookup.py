@@ -21,7 +21,8 @@ def category_name(parent_id: str = "parent_category_id",
 
 
 def enrich_category(behavior: DataFrame, dim: DataFrame,
-                    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+                    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                    dim_rows: int | None = None) -> DataFrame:
     """Left lookup join on ``category_id = sub_category_id``.
 
     Output: ``user_id, item_id, behavior, category_name``.  The dimension is
@@ -30,7 +31,7 @@ def enrich_category(behavior: DataFrame, dim: DataFrame,
     Works on a streaming ``behavior`` too (stream-static join).
     """
     d = dim.select("sub_category_id", "parent_category_id", "parent_category_name")
-    d = broadcast_if_small(d, max_broadcast_rows)
+    d = broadcast_if_small(d, max_broadcast_rows, known_rows=dim_rows)
     joined = behavior.join(d, behavior["category_id"] == d["sub_category_id"], "left")
     return joined.select("user_id", "item_id", "behavior", category_name().alias("category_name"))
 

@@ -40,13 +40,14 @@ class CachedTable:
         self.max_age_s = max_age_s
         self._df: DataFrame | None = None
         self._loaded_at = 0.0
+        self.rows: int | None = None  # row count of the cached copy
 
     def get(self) -> DataFrame:
         now = time.monotonic()
         if self._df is None or now - self._loaded_at >= self.max_age_s:
             old = self._df
             df = self.loader().cache()
-            df.count()
+            self.rows = df.count()
             self._df, self._loaded_at = df, now
             if old is not None:
                 old.unpersist()

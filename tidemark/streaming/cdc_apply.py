@@ -27,7 +27,8 @@ def changelog_batch_writer(table: KeyedStateTable, flow: CachedTable) -> Callabl
         cdc.changelog_rejects(batch).write.mode("overwrite").parquet(
             f"{table.path}/rejects/batch={batch_id:012d}")
         messages, _ = cdc.parse_changelog(batch)
-        table.apply_batch(cdc.to_ops(cdc.route(messages, flow.get())), batch_id)
+        config = flow.get()
+        table.apply_batch(cdc.to_ops(cdc.route(messages, config, flow_rows=flow.rows)), batch_id)
     return write
 
 

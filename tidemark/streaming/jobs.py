@@ -114,7 +114,8 @@ def start_category_job_refreshed(spark: SparkSession, behavior: DataFrame,
     state_path = f"{checkpoint_dir}/counts"
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        delta = purchases_by_category(enrich_category(batch, dim.get()))
+        lookup = dim.get()
+        delta = purchases_by_category(enrich_category(batch, lookup, dim_rows=dim.rows))
         table = UpsertTable(batch.sparkSession, state_path, ["category_name"], rule="sum")
         table.apply(delta, batch_id)
         changed = table.current(upto=batch_id).join(delta.select("category_name"), "category_name", "left_semi")
