@@ -78,7 +78,7 @@ CDC_BASE = _with(FX_ORDERS, FX_TEXT, """img AS (
          CASE WHEN CAST(t.orderId AS BIGINT) % 7 = 0 THEN NULL ELSE t.province END AS prov2,
          CAST(CAST(t.orderId AS BIGINT) + 10000000 AS VARCHAR) AS oid3
   FROM fx_text t)""", """ph AS (
-  SELECT *, row_number() OVER (PARTITION BY phase, block ORDER BY oid) - 1 AS pos,
+  SELECT *, CAST(row_number() OVER (PARTITION BY phase, block ORDER BY oid) - 1 AS INTEGER) AS pos,
          phase * 1000000000000 + block AS "offset",
          """ + _rk(_j("orderId", "orderNo")) + """ AS rk0,
          """ + _rk(_j("oid3", "orderNo")) + """ AS rk3
