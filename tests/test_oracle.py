@@ -8,6 +8,10 @@ from conftest import SF_SMALL
 
 NAMES = sorted(entry.queries())
 
+# Spark type -> DuckDB type of the same column.
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+         "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
+
 
 @pytest.fixture(scope="module")
 def con():
@@ -24,6 +28,9 @@ def test_query_matches_oracle(spark, con, name):
     d_cols = [c[0] for c in cur.description]
     d_rows = cur.fetchall()
     assert sorted(df.columns) == sorted(d_cols)
+    d_types = dict(zip(d_cols, [str(t) for t in con.sql(sql).types]))
+    for f in df.schema.fields:
+        assert TYPES.get(f.dataType.simpleString()) == d_types[f.name], (f.name, f.dataType, d_types[f.name])
     assert len(rows) == len(d_rows)
     hs, ls = digest(df.columns, rows)
     hd, ld = digest(d_cols, d_rows)
