@@ -78,7 +78,7 @@ def test_uppercase_qualifiers(spark):
 
 
 def _user_totals(spark, with_changes):
-    kv = cdc.state_to_keyed(state(spark, with_changes), "CF", [f.upper() for f in ORDER_FIELDS])
+    kv = cdc.state_to_keyed(state(spark, with_changes), "CF", [f.upper() for f in ORDER_FIELDS], "dwd:orders")
     text = expand_family(kv, "cf", list(ORDER_FIELDS))
     return order_totals(text, ["userId"]).collect()
 
@@ -156,3 +156,19 @@ def test_unmatched_lookup_is_other(spark):
     b = _behavior_sample(spark).withColumn("category_id", F.lit(1).cast("bigint"))
     (r,) = enrich_category(b, _category_dim(spark)).collect()
     assert r.category_name == "其他"
+
+
+def test_cast_rejects_keeps_rows_and_reports_bad_text(spark):
+    from tidemark.operators.keyed import cast_rejects, dwd_orders
+    rows = [seed_row(o) for o in SEED[:2]]
+    rows[1] = dict(rows[1], realTotalMoney="12,5", createTime="not a time")
+    df = spark.createDataFrame(rows).select(*ORDER_FIELDS)
+    typed = dwd_orders(df).collect()
+    assert len(typed) == 2 and typed[1].realTotalMoney is None and typed[1].createTime is None
+    assert [r.orderId for r in cast_rejects(df).collect()] == ["66"]
+
+
+def test_print_rows_batch(spark, capsys):
+    from tidemark.sinks.topic import print_rows
+    print_rows(spark.createDataFrame([("湖北", 6)], "province string, n bigint"))
+    assert "湖北" in capsys.readouterr().out

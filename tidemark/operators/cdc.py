@@ -10,8 +10,8 @@ Pipeline: ``parse_changelog -> route -> to_ops -> fold``.
   come from one topic partition for the offsets to order them.
 * ``fold`` replays the ops: per cell the put with the greatest ``seq`` wins,
   and survives only if it is newer than the row's latest tombstone.  It is
-  two aggregates and one join on the row key, so no row's history is ever
-  gathered in one place.
+  one partial aggregate per cell and a window per row key over the reduced
+  rows, so no row's history is ever gathered in one place.
 
 Semantics kept from the source system:
 INSERT writes every non-null column; UPDATE writes only the columns named in
@@ -117,9 +117,6 @@ def _ci_value(m: Column, name: Column) -> Column:
     return F.try_element_at(F.map_values(F.map_filter(m, lambda k, v: F.lower(k) == low)), F.lit(1))
 
 
-OP_FIELDS = "rowkey string, kind int, family string, qualifier string, value string"
-
-
 def to_ops(routed: DataFrame) -> DataFrame:
     """Routed messages to ops: ``hbaseTable, rowkey, offset, pos, kind, family, qualifier, value``.
 
@@ -144,7 +141,8 @@ def to_ops(routed: DataFrame) -> DataFrame:
     rows = rows.where(d.isNotNull()).select(
         "hbaseTable", "offset", "pos", "family", "uppercaseQualifier", "op",
         d.alias("d"), changed.alias("changed"), key_change.alias("key_change"),
-        row_key_from_map(d, keys).alias("new_key"), old_key.alias("old_key"))
+        row_key_from_map(d, keys).alias("new_key"),
+        F.when(key_change, old_key).alias("old_key"))  # only key changes need it
 
     def qual(k: Column) -> Column:
         return F.when(F.col("uppercaseQualifier"), F.upper(k)).otherwise(k)
@@ -211,11 +209,16 @@ def state_as_ops(state: DataFrame) -> DataFrame:
                         "family", "qualifier", "value")
 
 
-def state_to_keyed(cells: DataFrame, family: str, fields: list[str]) -> DataFrame:
-    """Pivot live cells into ``rowkey, family STRUCT<fields>`` (names matched ignoring case).
+def state_to_keyed(cells: DataFrame, family: str, fields: list[str],
+                   table: str | None = None) -> DataFrame:
+    """Pivot live cells of one keyed table into ``rowkey, family STRUCT<fields>``
+    (names matched ignoring case; ``table`` selects the keyed table when the
+    state holds several).
 
     A conditional ``max`` per field: partial aggregation, no list collected.
     """
+    if table is not None:
+        cells = cells.where(F.col("hbaseTable") == table)
     q = F.lower(F.col("qualifier"))
     aggs = [F.max(F.when(q == name.lower(), F.col("value"))).alias(name) for name in fields]
     wide = cells.groupBy("rowkey").agg(*aggs)
