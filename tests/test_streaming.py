@@ -181,3 +181,23 @@ def test_window_job_runs_both_queries_concurrently(spark, scratch):
     batch = {tuple(r) for r in jobs.uv_10min_app(jobs.uv_10min(src)).collect()}
     assert got and got <= batch
     assert len(batch - got) == 1  # the last window is still open
+
+
+def test_streaming_two_level_distinct_equals_batch(spark, scratch):
+    """Null ids are not counted but their money is summed; duplicates count once."""
+    t0 = dt.datetime(2024, 3, 1, 10, 0, 0)
+    rows = [(1, 7, "p", 1.5, t0), (1, 7, "p", 1.5, t0 + dt.timedelta(minutes=5)),
+            (None, 7, "p", 2.25, t0 + dt.timedelta(minutes=6)), (2, 7, "q", 4.0, t0),
+            (3, 8, "p", 0.5, t0 + dt.timedelta(minutes=59)),
+            (9, 9, "z", 1.0, t0 + dt.timedelta(hours=3))]  # closes the 10:00 windows
+    schema = "orderId bigint, userId bigint, province string, realTotalMoney double, createTime timestamp_ntz"
+    df = spark.createDataFrame(rows, schema)
+    write_replay(df, "createTime", f"{scratch}/src", 2)
+    stream = json_topic(spark, f"{scratch}/src", schema, max_files_per_trigger=1)
+    dws = jobs.user_province_hour(with_event_time(stream, "createTime"))
+    _run(append_topic(dws, f"{scratch}/dws", f"{scratch}/ckpt", AVAILABLE_NOW))
+    got = sorted(tuple(r) for r in spark.read.schema(sj.USER_PROVINCE_HOUR.dws_schema)
+                 .json(f"{scratch}/dws").collect())
+    want = sorted(tuple(r) for r in jobs.user_province_hour(df).collect() if r.userId != 9)
+    assert got == want
+    assert (7, "p", 10, 1, 5.25) in got
