@@ -249,6 +249,15 @@ FROM fx_orders""",
     "cdc_routed": CDC_ROUTED,
     "cdc_cells": CDC_CELLS,
     "cdc_state": CDC_STATE,
+    "cdc_user_orders": "WITH cells AS (" + CDC_STATE + """), kv AS (
+  SELECT rowkey,
+         max(CASE WHEN lower(qualifier) = 'userid' THEN value END) AS userId,
+         max(CASE WHEN lower(qualifier) = 'orderid' THEN value END) AS orderId,
+         max(CASE WHEN lower(qualifier) = 'realtotalmoney' THEN value END) AS realTotalMoney
+  FROM cells GROUP BY rowkey)
+SELECT userId AS rowkey, userId AS user_id, count(DISTINCT orderId) AS order_num,
+       round(sum(TRY_CAST(realTotalMoney AS DOUBLE)), 2) AS gmv
+FROM kv GROUP BY userId""",
 
     # Replays: only windows the 5 s watermark has closed by the end of input.
     "stream_orders_per_hour": _with(FX_ORDERS_TIME, """dws AS (

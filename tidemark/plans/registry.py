@@ -130,6 +130,16 @@ def q_cdc_state(spark, d):
     return cells.select("hbaseTable", "rowkey", "family", "qualifier", "value")
 
 
+def q_cdc_user_orders(spark, d):
+    """The whole order path: binlog -> CDC-maintained keyed order table ->
+    per-user totals in the keyed DWS table."""
+    from tidemark.operators.keyed import ORDER_FIELDS
+    cells = cdc.live_cells(cdc.fold(cdc.to_ops(_routed(spark, d))))
+    kv = cdc.state_to_keyed(cells, "cf", list(ORDER_FIELDS), table="dwd:orders")
+    t = agg.user_totals_keyed(jobs.order_text(kv))
+    return t.select("rowkey", "cf.user_id", "cf.order_num", F.round("cf.gmv", 2).alias("gmv"))
+
+
 def q_adhoc_sql(spark, d):
     return adhoc_sql(spark, d)
 
@@ -257,6 +267,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "cdc_routed": q_cdc_routed,
     "cdc_cells": q_cdc_cells,
     "cdc_state": q_cdc_state,
+    "cdc_user_orders": q_cdc_user_orders,
     "adhoc_sql": q_adhoc_sql,
     "stream_orders_per_hour": q_stream_orders_per_hour,
     "stream_uv_10min": q_stream_uv_10min,
