@@ -188,9 +188,11 @@ def fold(ops: DataFrame) -> DataFrame:
     side before the shuffle), then a window per row key over the reduced
     rows, which hold at most one row per qualifier plus one tombstone.
     """
-    seq = seq_col()
-    cells = (ops.groupBy("hbaseTable", "rowkey", "kind", "family", "qualifier")
-             .agg(F.max_by("value", seq).alias("value"), F.max(seq).alias("seq")))
+    # One aggregate buffer per cell: the greatest (seq, value); seq decides,
+    # the value only breaks a tie between duplicate qualifiers of one row.
+    best = F.max(F.struct(seq_col().alias("seq"), F.col("value"))).alias("_best")
+    cells = (ops.groupBy("hbaseTable", "rowkey", "kind", "family", "qualifier").agg(best)
+             .select("hbaseTable", "rowkey", "kind", "family", "qualifier", "_best.value", "_best.seq"))
     by_row = Window.partitionBy("hbaseTable", "rowkey")
     del_seq = F.max(F.when(F.col("kind") == KIND_DELETE, F.col("seq"))).over(by_row)
     return (cells.withColumn("del_seq", del_seq)
