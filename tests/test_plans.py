@@ -66,3 +66,29 @@ def test_top1_is_an_aggregate_not_a_ranking_window(spark):
 def test_current_hour_filter_is_one_comparison(spark):
     p = plan(QUERIES["dwd_current_hour"](spark, SF_SMALL))
     assert "1998-08-02 00" in p  # the clock side is folded to a constant
+
+
+BAD_NODES = ("BroadcastNestedLoopJoin", "CartesianProduct", "BatchEvalPython",
+             "ArrowEvalPython", "SinglePartition")
+
+
+def test_batch_queries_stay_distributed_and_jvm_side(spark):
+    """No pair-emitting join, no Python in the hot path, nothing gathered
+    into one partition, in any registered batch query."""
+    for name, fn in QUERIES.items():
+        if name.startswith("stream_"):
+            continue
+        p = plan(fn(spark, SF_SMALL))
+        found = [n for n in BAD_NODES if n in p]
+        assert not found, (name, found)
+
+
+def test_cdc_fold_combines_cells_before_the_shuffle(spark):
+    """The fold's cell aggregate runs partially on the map side, so a hot
+    cell's updates collapse before the exchange, and the row-key window sees
+    only the reduced rows."""
+    from tidemark.operators import cdc
+    p = plan(cdc.fold(cdc.to_ops(cdc.route(cdc.parse_changelog(fx.changelog(spark, SF_SMALL))[0],
+                                           fx.flow(spark)))))
+    assert "partial_max(struct(seq, struct(offset" in p
+    assert p.count("Window [") == 1
