@@ -57,6 +57,11 @@ def write_replay(df: DataFrame, time_col: str, path: str, n_files: int = 4,
         base = max(base, max(st.getModificationTime() for st in before.values()) + 1000)
     for i, p in enumerate(new):
         fs.setTimes(p, base + 1000 * i, -1)
+    # Some object stores ignore setTimes; the file source would then read the
+    # ranges out of order and drop rows as late.  Fail instead.
+    times = [fs.getFileStatus(p).getModificationTime() for p in new]
+    if any(b <= a for a, b in zip(times, times[1:])):
+        raise RuntimeError(f"the file system under {path} did not keep the replay file times")
 
 
 def _await(queries) -> None:
