@@ -27,3 +27,12 @@ def test_cli_sql(spark, capsys):
     out = capsys.readouterr().out
     n = fx.table(spark, SF_SMALL, "orders").count()
     assert "n: long" in out and f"|{n}" in out.replace(" ", "")
+
+
+def test_cli_shuffle_partitions_flag(spark):
+    try:
+        assert main(["--shuffle-partitions", "3", "sql", "SELECT 1 AS x", "--data", SF_SMALL,
+                     "--local"]) == 0
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "3"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")

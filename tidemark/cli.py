@@ -14,7 +14,7 @@ from __future__ import annotations
 import argparse
 import sys
 
-from tidemark.session import get_session, scratch_path
+from tidemark.session import get_session, input_bytes, scratch_path, shuffle_partitions_for
 
 WINDOW_JOBS = {
     "orders-per-hour": ("ORDERS_PER_HOUR", "orders"),
@@ -26,6 +26,10 @@ WINDOW_JOBS = {
 
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="tidemark")
+    p.add_argument("--shuffle-partitions", type=int,
+                   help="shuffle partitions; for a streaming job this is also its number of "
+                        "state partitions, fixed when its checkpoint is first created "
+                        "(default: sized from the input for batch jobs on a cluster)")
     sub = p.add_subparsers(dest="job", required=True)
 
     def common(sp):
@@ -92,7 +96,14 @@ def _app_step(job: str):
 def main(argv: list[str] | None = None) -> int:
     args = _parser().parse_args(argv)
     spark = get_session(master="local[*]" if args.local else None, app=f"tidemark-{args.job}",
-                        cluster=not args.local)
+                        cluster=not args.local, shuffle_partitions=args.shuffle_partitions)
+    if args.shuffle_partitions is None and not args.local:
+        # Batch jobs: one shuffle partition per 256 MB of input (AQE
+        # coalesces small stages down from there).
+        inputs = {"dwd-extract": "keyed", "user-totals": "keyed", "sql": "data"}
+        if args.job in inputs:
+            size = input_bytes(spark, [getattr(args, inputs[args.job])])
+            spark.conf.set("spark.sql.shuffle.partitions", str(shuffle_partitions_for(size)))
 
     if args.job == "sql":
         from tidemark.plans.registry import adhoc_sql
