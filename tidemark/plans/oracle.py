@@ -303,3 +303,5 @@ SELECT userId, province, hour_of_day, order_num, gmv FROM r WHERE rownum = 1""",
     "adhoc_sql": _with(FX_ORDERS, FX_TEXT, "flink_dwd_orders AS (SELECT * FROM fx_text)") + ADHOC_SQL,
 }
 ORACLE_SQL["stream_item_counts_upsert"] = ORACLE_SQL["item_counts_upsert"]
+ORACLE_SQL["stream_topic_select"] = _with(FX_BEHAVIOR) + """
+SELECT user_id, item_id, CAST(category_id AS BIGINT) AS category_id, behavior, ts FROM fx_behavior"""

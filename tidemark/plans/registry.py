@@ -172,13 +172,13 @@ def q_stream_user_province_hour_app(spark, d):
     return replay_window_job(spark, sj.USER_PROVINCE_HOUR, fx.orders_time(spark, d), REPLAY_FILES)
 
 
-def _replay_stream(spark, df, time_col):
+def _replay_stream(spark, df, time_col, schema=None):
     from tidemark.session import scratch_path
     from tidemark.sources.topic import json_topic
     from tidemark.streaming.replay import write_replay
     root = scratch_path(spark, "replay")
     write_replay(df, time_col, f"{root}/src", REPLAY_FILES)
-    return root, json_topic(spark, f"{root}/src", df.schema, max_files_per_trigger=1)
+    return root, json_topic(spark, f"{root}/src", schema or df.schema, max_files_per_trigger=1)
 
 
 def _await_all(queries):
@@ -248,6 +248,26 @@ def q_stream_cdc_state(spark, d):
     return cells.select("hbaseTable", "rowkey", "family", "qualifier", "value")
 
 
+def q_stream_topic_select(spark, d):
+    """The behaviour log as a topic of JSON text records (ids quoted, as a
+    producer may send them), read as a stream: parsed with the declared text
+    schema, typed with ``try_cast``, event time with the 5 s watermark,
+    ``SELECT *`` appended to a topic; the topic read back."""
+    from tidemark import schemas
+    from tidemark.sinks.topic import append_topic
+    from tidemark.sources.topic import json_topic, parse_json
+    from tidemark.streaming.event_time import with_event_time
+    b = fx.behavior(spark, d)
+    record = F.struct(*[F.col(c).cast("string").alias(c) for c in ("user_id", "item_id", "category_id")],
+                      "behavior", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts"))
+    root, raw = _replay_stream(spark, b.select("ts", F.to_json(record).alias("value")), "ts",
+                               schema="value string")
+    rows = with_event_time(schemas.typed_behavior(parse_json(raw, schemas.USER_BEHAVIOR_TEXT)), "ts")
+    _await_all([append_topic(rows.select("*"), f"{root}/out", f"{root}/ckpt", {"availableNow": True})])
+    out = json_topic(spark, f"{root}/out", schemas.USER_BEHAVIOR, streaming=False)
+    return out.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "orders_per_hour": q_orders_per_hour,
     "orders_per_minute": q_orders_per_minute,
@@ -277,4 +297,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_user_orders": q_stream_user_orders,
     "stream_item_counts_upsert": q_stream_item_counts_upsert,
     "stream_user_top1": q_stream_user_top1,
+    "stream_topic_select": q_stream_topic_select,
 }

@@ -7,6 +7,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 
+# Timestamps keep their microseconds in the JSON text (Spark's default JSON
+# format stops at milliseconds).
+TIME_FORMATS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+                "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
+
 def append_topic(df: DataFrame, path: str, checkpoint: str | None = None,
                  trigger: dict | None = None, query_name: str | None = None) -> StreamingQuery | None:
     """Append every row as a JSON record.
@@ -15,9 +21,9 @@ def append_topic(df: DataFrame, path: str, checkpoint: str | None = None,
     is exactly-once through its own commit log).  Batch: append files.
     """
     if not df.isStreaming:
-        df.write.mode("append").json(path)
+        df.write.mode("append").options(**TIME_FORMATS).json(path)
         return None
-    w = (df.writeStream.format("json").outputMode("append")
+    w = (df.writeStream.format("json").outputMode("append").options(**TIME_FORMATS)
          .option("path", path).option("checkpointLocation", checkpoint))
     if query_name:
         w = w.queryName(query_name)
