@@ -92,3 +92,10 @@ def test_cdc_fold_combines_cells_before_the_shuffle(spark):
                                            fx.flow(spark)))))
     assert "partial_max(struct(seq, struct(offset" in p
     assert p.count("Window [") == 1
+
+
+def test_current_hour_prefix_reaches_the_parquet_scan(spark, scratch):
+    """On a stored keyed table the hour test is a pushed prefix filter."""
+    fx.orders_kv(spark, SF_SMALL).write.parquet(f"{scratch}/kv")
+    p = plan(jobs.dwd_current_hour(spark.read.parquet(f"{scratch}/kv"), now="1998-08-01 16:30:00"))
+    assert "StringStartsWith(cf.createTime,1998-08-02 00)" in p
