@@ -34,7 +34,7 @@ def append_topic(df: DataFrame, path: str, checkpoint: str | None = None,
 def kafka_append(df: DataFrame, servers: str, topic: str, checkpoint: str,
                  trigger: dict | None = None) -> StreamingQuery:
     """``to_json(struct(*))`` into a Kafka topic (needs the Kafka connector)."""
-    out = df.select(F.to_json(F.struct(*df.columns)).alias("value"))
+    out = df.select(F.to_json(F.struct(*df.columns), TIME_FORMATS).alias("value"))
     return (out.writeStream.format("kafka").option("kafka.bootstrap.servers", servers)
             .option("topic", topic).option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"processingTime": "5 seconds"})).start())
