@@ -201,3 +201,20 @@ def test_streaming_two_level_distinct_equals_batch(spark, scratch):
     want = sorted(tuple(r) for r in jobs.user_province_hour(df).collect() if r.userId != 9)
     assert got == want
     assert (7, "p", 10, 1, 5.25) in got
+
+
+def test_replay_takes_several_time_ordered_files_per_batch(spark, scratch):
+    """The replay's file count follows the shuffle partitions; each trigger
+    takes a contiguous run of files, and no row is late."""
+    from tidemark.streaming import jobs as sj
+    from tidemark.streaming.replay import replay_window_job, write_replay_batches
+    src = fx.orders_time(spark, SF_SMALL)
+    spark.conf.set("spark.sql.shuffle.partitions", "12")
+    try:
+        assert write_replay_batches(src, "createTime", f"{scratch}/probe", 4) == 3
+        got = {tuple(r) for r in replay_window_job(spark, sj.ORDERS_PER_HOUR, src, 4,
+                                                   root=f"{scratch}/replay").collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    batch = {tuple(r) for r in jobs.orders_per_hour_app(jobs.orders_per_hour(src)).collect()}
+    assert got and got <= batch and len(batch - got) == 1  # only the last hour is still open

@@ -145,7 +145,8 @@ def q_adhoc_sql(spark, d):
 
 
 # Streaming replays: the table replayed in event-time order through the
-# streaming job (DWS query, then APP query reading the DWS topic back).
+# streaming job (DWS query, then APP query reading the DWS topic back), in
+# REPLAY_FILES micro-batches of time-ordered files.
 REPLAY_FILES = 4
 
 
@@ -175,10 +176,10 @@ def q_stream_user_province_hour_app(spark, d):
 def _replay_stream(spark, df, time_col, schema=None):
     from tidemark.session import scratch_path
     from tidemark.sources.topic import json_topic
-    from tidemark.streaming.replay import write_replay
+    from tidemark.streaming.replay import write_replay_batches
     root = scratch_path(spark, "replay")
-    write_replay(df, time_col, f"{root}/src", REPLAY_FILES)
-    return root, json_topic(spark, f"{root}/src", schema or df.schema, max_files_per_trigger=1)
+    per_batch = write_replay_batches(df, time_col, f"{root}/src", REPLAY_FILES)
+    return root, json_topic(spark, f"{root}/src", schema or df.schema, max_files_per_trigger=per_batch)
 
 
 def _await_all(queries):
@@ -234,11 +235,11 @@ def q_stream_cdc_state(spark, d):
     from tidemark.sinks.keyed_state import KeyedStateTable
     from tidemark.sources.topic import json_topic
     from tidemark.streaming.cdc_apply import start_cdc_sync
-    from tidemark.streaming.replay import write_replay
+    from tidemark.streaming.replay import write_replay_batches
     root = scratch_path(spark, "replay")
     log = fx.changelog(spark, d)
-    write_replay(log, "offset", f"{root}/topic", REPLAY_FILES)
-    stream = json_topic(spark, f"{root}/topic", log.schema, max_files_per_trigger=1)
+    per_batch = write_replay_batches(log, "offset", f"{root}/topic", REPLAY_FILES)
+    stream = json_topic(spark, f"{root}/topic", log.schema, max_files_per_trigger=per_batch)
     q = start_cdc_sync(spark, stream, lambda: fx.flow(spark), f"{root}/table",
                        f"{root}/ckpt", {"availableNow": True}, compact_every=2)
     q.awaitTermination()

@@ -2,8 +2,10 @@
 
 ``write_replay`` range-partitions the rows on event time into ``n_files``
 JSON files (one Spark job) and then sets the files' modification times in
-range order, so the file source with ``maxFilesPerTrigger=1`` reads them
-oldest-first and no row is late for its window.  ``run_*`` start the DWS
+range order, so the file source with ``maxFilesPerTrigger`` reads them
+oldest-first and no row is late for its window.  ``write_replay_batches``
+sizes the file count from the shuffle partitions and returns how many files
+make one micro-batch.  ``run_*`` start the DWS
 query with ``availableNow``, wait for it, then do the same for the APP query
 that reads the DWS topic back.
 """
@@ -64,6 +66,20 @@ def write_replay(df: DataFrame, time_col: str, path: str, n_files: int = 4,
         raise RuntimeError(f"the file system under {path} did not keep the replay file times")
 
 
+def write_replay_batches(df: DataFrame, time_col: str, path: str, n_batches: int = 4) -> int:
+    """Write ``df`` for a replay of ``n_batches`` micro-batches and return the
+    files per batch (``maxFilesPerTrigger``).
+
+    The write runs with one range per shuffle partition, so its parallelism
+    grows with the cluster rather than being one task per micro-batch; each
+    trigger then takes the next contiguous run of time-ordered files.
+    """
+    shuffle = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    per_batch = max(1, shuffle // n_batches)
+    write_replay(df, time_col, path, n_batches * per_batch)
+    return per_batch
+
+
 def _await(queries) -> None:
     for q in queries:
         q.awaitTermination()
@@ -76,8 +92,8 @@ def replay_window_job(spark: SparkSession, job: sj.WindowJob, source: DataFrame,
     """Run a windowed job over ``source`` replayed in time order; return the
     APP table (closed windows only: the last ones stay open)."""
     root = root or scratch_path(spark, "replay")
-    write_replay(source, job.time_col, f"{root}/src", n_files)
-    stream = json_topic(spark, f"{root}/src", source.schema, max_files_per_trigger=1)
+    per_batch = write_replay_batches(source, job.time_col, f"{root}/src", n_files)
+    stream = json_topic(spark, f"{root}/src", source.schema, max_files_per_trigger=per_batch)
     dws = job.dws(sj.with_event_time(stream, job.time_col))
     from tidemark.sinks.topic import append_topic
     _await([append_topic(dws, f"{root}/dws", f"{root}/ckpt/dws", AVAILABLE_NOW)])
@@ -89,8 +105,8 @@ def replay_window_job(spark: SparkSession, job: sj.WindowJob, source: DataFrame,
 def replay_category_job(spark: SparkSession, behavior: DataFrame, dim: DataFrame,
                         n_files: int = 4, root: str | None = None) -> DataFrame:
     root = root or scratch_path(spark, "replay")
-    write_replay(behavior, "ts", f"{root}/src", n_files)
-    stream = json_topic(spark, f"{root}/src", behavior.schema, max_files_per_trigger=1)
+    per_batch = write_replay_batches(behavior, "ts", f"{root}/src", n_files)
+    stream = json_topic(spark, f"{root}/src", behavior.schema, max_files_per_trigger=per_batch)
     q1, _ = _category_queries(spark, stream, dim, root)
     return _read_app(spark, f"{root}/app", None)
 
