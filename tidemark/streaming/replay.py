@@ -17,6 +17,7 @@ import time
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.session import scratch_path
+from tidemark.sinks.topic import TIME_FORMATS
 from tidemark.sources.tables import keyed_table
 from tidemark.sources.topic import json_topic
 from tidemark.streaming import jobs as sj
@@ -41,17 +42,13 @@ def write_replay(df: DataFrame, time_col: str, path: str, n_files: int = 4,
                 if st.getPath().getName().startswith("part-")}
 
     before = parts() if append else {}
-    # Range partitioning samples its input, then shuffles it: keep the input
-    # for the two passes instead of deriving it twice.
-    src = df.persist()
-    try:
-        (src.repartitionByRange(n_files, time_col).sortWithinPartitions(time_col)
-            .write.mode("append" if append else "overwrite")
-            .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
-            .option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-            .json(path))
-    finally:
-        src.unpersist()
+    # Range partitioning samples the input, then reads it again to shuffle,
+    # like any global sort; nothing is cached, so the whole table never has
+    # to fit in executor storage.
+    (df.repartitionByRange(n_files, time_col).sortWithinPartitions(time_col)
+        .write.mode("append" if append else "overwrite")
+        .options(**TIME_FORMATS)
+        .json(path))
     new = sorted((st.getPath() for name, st in parts().items() if name not in before),
                  key=lambda p: p.getName())
     base = int(time.time() * 1000) - 1000 * (len(new) + 1)
