@@ -16,7 +16,7 @@ def test_cli_uv_job_available_now(spark, scratch):
     write_replay(src, "ts", f"{scratch}/src", 2)
     assert main(["uv-10min", "--source", f"{scratch}/src", "--dws", f"{scratch}/dws",
                  "--app", f"{scratch}/app", "--checkpoint", f"{scratch}/ckpt",
-                 "--available-now", "--local"]) == 0
+                 "--available-now", "--max-per-trigger", "1", "--local"]) == 0
     got = {tuple(r) for r in keyed_table(spark, f"{scratch}/app").collect()}
     batch = {tuple(r) for r in jobs.uv_10min_app(jobs.uv_10min(src)).collect()}
     assert got and got <= batch and len(batch - got) == 1

@@ -38,6 +38,10 @@ def _parser() -> argparse.ArgumentParser:
         sp.add_argument("--available-now", action="store_true", help="process what is there, then stop")
         sp.add_argument("--kafka", help="bootstrap servers: read the source from Kafka instead of files")
         sp.add_argument("--local", action="store_true", help="local[*] session with local defaults")
+        sp.add_argument("--max-per-trigger", type=int,
+                        help="bound on one micro-batch: Kafka offsets (maxOffsetsPerTrigger) "
+                             "or topic files (maxFilesPerTrigger); keeps a backlog from "
+                             "arriving as one batch")
 
     for name in WINDOW_JOBS:
         sp = sub.add_parser(name)
@@ -77,8 +81,9 @@ def _parser() -> argparse.ArgumentParser:
 def _source(spark, args, schema: str):
     from tidemark.sources.topic import json_topic, kafka_topic
     if args.kafka:
-        return kafka_topic(spark, args.kafka, args.source, schema)
-    return json_topic(spark, args.source, schema)
+        return kafka_topic(spark, args.kafka, args.source, schema,
+                           max_offsets_per_trigger=args.max_per_trigger)
+    return json_topic(spark, args.source, schema, max_files_per_trigger=args.max_per_trigger)
 
 
 def _app_step(job: str):
@@ -139,11 +144,14 @@ def main(argv: list[str] | None = None) -> int:
         from tidemark.sources.topic import json_topic, kafka_topic
         from tidemark.streaming.cdc_apply import start_cdc_sync
         if args.kafka:
-            raw = (spark.readStream.format("kafka").option("kafka.bootstrap.servers", args.kafka)
-                   .option("subscribe", args.changelog).load()
-                   .selectExpr("partition", "offset", "CAST(value AS STRING) AS value"))
+            reader = (spark.readStream.format("kafka").option("kafka.bootstrap.servers", args.kafka)
+                      .option("subscribe", args.changelog))
+            if args.max_per_trigger:
+                reader = reader.option("maxOffsetsPerTrigger", str(args.max_per_trigger))
+            raw = reader.load().selectExpr("partition", "offset", "CAST(value AS STRING) AS value")
         else:
-            raw = json_topic(spark, args.changelog, schemas.CHANGELOG_TOPIC)
+            raw = json_topic(spark, args.changelog, schemas.CHANGELOG_TOPIC,
+                             max_files_per_trigger=args.max_per_trigger)
         queries = [start_cdc_sync(spark, raw, lambda: spark.read.parquet(args.flow), args.table,
                                   ckpt, trigger, args.compact_every)]
     else:
