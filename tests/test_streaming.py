@@ -218,3 +218,30 @@ def test_replay_takes_several_time_ordered_files_per_batch(spark, scratch):
         spark.conf.set("spark.sql.shuffle.partitions", "4")
     batch = {tuple(r) for r in jobs.orders_per_hour_app(jobs.orders_per_hour(src)).collect()}
     assert got and got <= batch and len(batch - got) == 1  # only the last hour is still open
+
+
+def test_replay_on_the_cluster_state_store(spark, scratch):
+    """The cluster profile's RocksDB state store (changelog checkpointing)
+    gives the same closed windows as batch."""
+    from tidemark.session import CLUSTER_CONF
+    from tidemark.streaming.replay import replay_window_job
+    keys = ["spark.sql.streaming.stateStore.providerClass",
+            "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"]
+    src = fx.orders_time(spark, SF_SMALL)
+    for k in keys:
+        spark.conf.set(k, CLUSTER_CONF[k])
+    try:
+        q = replay_window_job(spark, sj.ORDERS_PER_HOUR, src, 3, root=f"{scratch}/replay")
+        got = {tuple(r) for r in q.collect()}
+    finally:
+        for k in keys:
+            spark.conf.unset(k)
+    assert "RocksDBStateStoreProvider" in _first_offset_log(spark, f"{scratch}/replay/ckpt/dws")
+    batch = {tuple(r) for r in jobs.orders_per_hour_app(jobs.orders_per_hour(src)).collect()}
+    assert got and got <= batch and len(batch - got) == 1
+
+
+def _first_offset_log(spark, checkpoint):
+    """A query's first offset log entry (it records the session's state store
+    provider)."""
+    return "\n".join(r.value for r in spark.read.text(f"{checkpoint}/offsets/0").collect())
