@@ -225,8 +225,8 @@ def test_replay_on_the_cluster_state_store(spark, scratch):
     gives the same closed windows as batch."""
     from tidemark.session import CLUSTER_CONF
     from tidemark.streaming.replay import replay_window_job
-    keys = ["spark.sql.streaming.stateStore.providerClass",
-            "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"]
+    keys = [k for k in CLUSTER_CONF if k.startswith("spark.sql.streaming.stateStore.")]
+    assert len(keys) == 3
     src = fx.orders_time(spark, SF_SMALL)
     for k in keys:
         spark.conf.set(k, CLUSTER_CONF[k])
