@@ -40,8 +40,7 @@ def op7_feistel_sharding(spark, d):
     body = F.coalesce(F.col("text"), F.lit("")).cast("binary")
     rows = table(spark, d, "documents").select(
         "doc_id", (F.octet_length(body) + 1).cast("long").alias("size"), F.crc32(body).alias("text_crc32"))
-    placed = sharding.shard_rows(rows, ["doc_id", "text_crc32", "size"], MODEL_FILE = public_tokenizers.path("piece_bpe_32k.model")
-SHARDS, SHARD_SEED)
+    placed = sharding.shard_rows(rows, ["doc_id", "text_crc32", "size"], SHARDS, SHARD_SEED)
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
                          F.lit(None).cast("int").alias("grown_shard"))
 
