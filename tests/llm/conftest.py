@@ -1,0 +1,27 @@
+import pytest
+from pyspark.sql import types as T
+
+DOCS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()),
+                     T.StructField("lang", T.StringType()), T.StructField("source", T.StringType()),
+                     T.StructField("n_chars", T.LongType())])
+
+
+@pytest.fixture
+def docs_of(spark):
+    """Documents from (doc_id, text[, source]) tuples."""
+    def make(rows, extra=None):
+        full = [(r[0], r[1], "en", r[2] if len(r) > 2 else "s", len(r[1] or "")) for r in rows]
+        df = spark.createDataFrame(full, DOCS)
+        for name, value in (extra or {}).items():
+            df = df.withColumn(name, value)
+        return df
+    return make
+
+
+@pytest.fixture(scope="session")
+def awkward():
+    """Nulls, empty and very long texts, ties and repeated rows."""
+    long = " ".join(f"word{i % 977}" for i in range(60_000))
+    return [(1, "one two three four"), (1, "one two three four"), (None, "no id here at all"), (None, None),
+            (2, None), (3, ""), (4, " \n\t "), (5, long), (6, "one two three four"), (7, "x\ny\nz\nx\ny\nz"),
+            (7, "another text of the same id"), (8, "é ß 漢字 \U0001F600 end"), (9, "\n\n\n\n")]

@@ -1,0 +1,72 @@
+import random
+
+from pyspark.sql import functions as F
+
+from tidemark.llm import licenses, ngrams
+
+INDEX = licenses.Index(licenses.TEMPLATES)
+
+
+def test_every_template_is_found_whole():
+    pick = random.Random(1)
+    for name, template in licenses.TEMPLATES.items():
+        before = " ".join(f"w{pick.randrange(999)}" for _ in range(40)) + "\n"
+        got = licenses.scan(INDEX, f"{before}{template}\nmore words")
+        assert [(r["license"], r["coverage"]) for r in got] == [(name, 1.0)]
+        start, end = got[0]["start"], got[0]["end"]
+        assert f"{before}{template}\nmore words"[start:end] == template
+
+
+def test_edits_are_aligned():
+    """Changed, dropped and added words in a long notice: coverage is the share of words left."""
+    words = ngrams.words_of(licenses.TEMPLATES["MIT-notice"])
+    changed = list(words)
+    for i in (10, 30, 50):
+        changed[i] = "other"
+    del changed[60]
+    changed.insert(40, "added")
+    got = licenses.scan(INDEX, "intro text here " + " ".join(changed))
+    assert [r["license"] for r in got] == ["MIT-notice"]
+    assert got[0]["matched"] == len(words) - 4
+    assert licenses.scan(INDEX, " ".join(words[:len(words) // 2])) == []
+
+
+def test_several_and_repeated():
+    one, two = licenses.TEMPLATES["GPL-3.0"], licenses.TEMPLATES["all-rights-reserved"]
+    got = licenses.scan(INDEX, f"{one}\nabc\n{two}\n{one} {one.upper()}")
+    assert [r["license"] for r in got] == ["GPL-3.0", "all-rights-reserved", "GPL-3.0", "GPL-3.0"]
+
+
+def test_winnowing_guarantee():
+    """Any run of WINDOW + SHINGLE - 1 template words holds an indexed shingle."""
+    import numpy as np
+    run = licenses.WINDOW + licenses.SHINGLE - 1
+    for words in INDEX.words.values():
+        for i in range(len(words) - run + 1):
+            part = licenses.shingle_hashes(np.array(words[i:i + run], dtype=np.uint32)).tolist()
+            assert any(h in INDEX.entries for h in part)
+
+
+def test_similar_license_is_told_apart():
+    assert [r["license"] for r in licenses.scan(INDEX, "Licensed under CC BY-NC 4.0.")] == ["CC-BY-NC-4.0"]
+    assert licenses.scan(INDEX, "Released under the XYZ License.") == []
+
+
+def test_table(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = licenses.scan_licenses(docs, ["doc_id", "text"]).collect()
+    assert len(rows) == docs.count()
+    short = {n: t for n, t in licenses.TEMPLATES.items() if len(t.split()) < licenses.SHORT}
+    for r in rows:
+        found = sum(r["text"].count(t) for t in short.values())
+        assert sum(x["license"] in short and x["coverage"] == 1 for x in r["licenses"]) >= found
+        assert all(r["text"][x["start"]:x["end"]] for x in r["licenses"])
+    assert sum(map(len, (r["licenses"] for r in rows))) > 0
+
+
+def test_awkward_rows(docs_of, awkward):
+    rows = licenses.scan_licenses(docs_of([*awkward, (10, "All rights reserved.")], {"licenses": F.lit(1)}),
+                                  ["doc_id", "licenses"]).collect()
+    assert len(rows) == len(awkward) + 1
+    assert [len(r["licenses"]) for r in rows if r["doc_id"] == 10] == [1]
+    assert licenses.scan_licenses(docs_of([]), ["doc_id"]).collect() == []

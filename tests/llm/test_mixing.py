@@ -1,0 +1,84 @@
+from collections import defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.llm import mixing
+from tidemark.llm.common import word_count
+
+SF = "/root/testdata/sf0.001"
+
+
+def targets(sizes, weights, share, cap):
+    """Targets by repeated dealing, as the contract words it."""
+    names = sorted([s for s in sizes if s is not None], key=lambda s: [ord(c) for c in s]) + [None] * (None in sizes)
+    weight = {s: weights[i % len(weights)] for i, s in enumerate(names)}
+    left, full = share * sum(sizes.values()), {}
+    while True:
+        open_ = [s for s in names if s not in full]
+        total = sum(weight[s] for s in open_)
+        over = [s for s in open_ if weight[s] / total * left > cap * sizes[s]]
+        if not over:
+            return {**full, **{s: weight[s] / total * left for s in open_}}
+        for s in over:
+            full[s] = cap * sizes[s]
+        left = share * sum(sizes.values()) - sum(full.values())
+
+
+def mixed(docs):
+    out = mixing.mix(docs, F.col("source"), word_count(F.col("text")), F.xxhash64("doc_id", "text"), (3, 1, 2), 1.5, 2)
+    return [r.asDict() for r in out.collect()]
+
+
+def test_targets_and_taken(spark):
+    rows = mixed(spark.read.parquet(f"{SF}/documents.parquet").unionByName(
+        spark.read.parquet(f"{SF}/documents.parquet").limit(9).withColumn("source", F.lit(None).cast("string"))
+        .withColumn("doc_id", F.col("doc_id") + 10_000)))
+    sizes, taken, most, got = defaultdict(int), defaultdict(int), defaultdict(int), {}
+    for r in rows:
+        size = len((r["text"] or "").encode().split())
+        assert r["size"] == size and r["taken"] == r["copies"] * size and 0 <= r["copies"] <= 2
+        sizes[r["source"]] += size
+        taken[r["source"]] += r["taken"]
+        most[r["source"]] = max(most[r["source"]], size)
+        got[r["source"]] = (r["target"], r["source_size"])
+    want = targets(sizes, (3, 1, 2), 1.5, 2)
+    for s, size in sizes.items():
+        assert got[s][1] == size
+        assert got[s][0] == pytest.approx(want[s])
+        assert abs(taken[s] - want[s]) <= min(0.02 * want[s] + 2, most[s])
+    assert len(rows) == spark.read.parquet(f"{SF}/documents.parquet").count() + 9
+    again = mixed(spark.read.parquet(f"{SF}/documents.parquet").repartition(7))
+    once = mixed(spark.read.parquet(f"{SF}/documents.parquet"))
+    assert sorted((r["doc_id"], r["copies"]) for r in again) == sorted((r["doc_id"], r["copies"]) for r in once)
+
+
+def test_rates_solve_the_constraint(spark):
+    """The tilted rates give each source its tokens, and have the exponential form."""
+    classes = spark.createDataFrame([("=a", 1, 10), ("=a", 5, 4), ("=a", 40, 2), ("=b", 3, 7)],
+                                    "key string, size long, docs long")
+    goal = spark.createDataFrame([("=a", 110, 70.0), ("=b", 21, 30.0)], "key string, source_size long, target double")
+    solved = {r["key"]: r for r in mixing.tilted_rates(classes, goal, 2).collect()}
+    import math
+    for key, rows in {"=a": [(1, 10), (5, 4), (40, 2)], "=b": [(3, 7)]}.items():
+        s = solved[key]
+        tokens = sum(n * x * min(2, math.exp(s["dual"] * x / s["scale"])) for x, n in rows)
+        assert tokens == pytest.approx(s["target"], rel=1e-5)
+
+
+def test_word_count(spark, docs_of, awkward):
+    rows = docs_of(awkward).select("text", word_count(F.col("text")).alias("n")).collect()
+    assert all(r["n"] == len((r["text"] or "").encode().split()) for r in rows)
+
+
+def test_awkward_rows(docs_of, awkward):
+    rows = mixed(docs_of(awkward, {"copies": F.lit("mine"), "key": F.lit(1), "base": F.lit(2)}))
+    assert len(rows) == len(awkward)
+    assert all(r["key"] == 1 and r["base"] == 2 and 0 <= r["copies"] <= 2 for r in rows)
+    same = {r["copies"] for r in rows if r["doc_id"] == 1}
+    assert len(same) == 1
+
+
+def test_empty(docs_of):
+    assert mixed(docs_of([])) == []
+    assert [r["copies"] for r in mixed(docs_of([(1, ""), (2, None)]))] == [1, 1]

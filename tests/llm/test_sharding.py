@@ -1,0 +1,54 @@
+import zlib
+from collections import Counter
+
+import numpy as np
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from tidemark.llm import sharding
+from tidemark.llm.queries import op7_feistel_sharding
+
+SF = "/root/testdata/sf0.001"
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.integers(1, 3000), st.integers(0, 1 << 40))
+def test_permutation(n, seed):
+    places = sharding.permute(np.arange(n), n, seed)
+    assert sorted(places.tolist()) == list(range(n))
+    assert sharding.unpermute(places, n, seed).tolist() == list(range(n))
+
+
+def test_shuffles():
+    places = sharding.permute(np.arange(10_000), 10_000, 1)
+    assert abs(np.corrcoef(places, np.arange(10_000))[0, 1]) < 0.05
+    assert (sharding.permute(np.arange(10_000), 10_000, 2) != places).mean() > 0.99
+
+
+def test_query(spark):
+    rows = op7_feistel_sharding(spark, SF).collect()
+    texts = {r["doc_id"]: (r["text"] or "").encode() for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    assert len(rows) == len(texts)
+    counts = Counter(r["shard"] for r in rows)
+    assert set(counts) <= set(range(16)) and max(counts.values()) - min(counts.values()) <= 1
+    for shard, n in counts.items():
+        assert sorted(r["slot"] for r in rows if r["shard"] == shard) == list(range(n))
+    for r in rows:
+        assert r["size"] == len(texts[r["doc_id"]]) + 1 and r["text_crc32"] == zlib.crc32(texts[r["doc_id"]])
+        assert r["law"] == "rows" and r["grown_shard"] is None
+
+
+def test_same_for_any_partitioning(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "source")
+    a = sharding.shard_rows(docs, ["doc_id"], 16, 5).collect()
+    b = sharding.shard_rows(docs.repartition(9, "source"), ["doc_id"], 16, 5).collect()
+    assert sorted(map(tuple, a)) == sorted(map(tuple, b))
+
+
+def test_awkward_rows(docs_of, awkward):
+    docs = docs_of(awkward, {"slot": F.lit("mine"), "bucket": F.lit(1), "at": F.lit(2), "first": F.lit(3)})
+    rows = sharding.shard_rows(docs, ["doc_id", "text"], 4, 5).collect()
+    assert sorted((r["shard"], r["slot"]) for r in rows) == sorted((i % 4, i // 4) for i in range(len(awkward)))
+    assert all((r["bucket"], r["at"], r["first"]) == (1, 2, 3) for r in rows)
+    assert sharding.shard_rows(docs_of([]), ["doc_id"], 4, 5).collect() == []

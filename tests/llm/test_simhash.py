@@ -1,0 +1,111 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+from xxhash import xxh64_intdigest
+
+from tidemark.llm import simhash
+from tidemark.llm.components import components
+
+
+def plain_fingerprint(text):
+    low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text)
+    words = [w for w in low.encode().split()]
+    if not words:
+        return 0
+    shingles = [b" ".join(words[i:i + 3]) for i in range(max(1, len(words) - 2))]
+    h = [xxh64_intdigest(s, 42) for s in shingles]
+    return sum(1 << i for i in range(64) if 2 * sum(x >> i & 1 for x in h) > len(h))
+
+
+def plain_components(ids_bits):
+    """Union of all pairs within 2 bits, by brute force."""
+    root = list(range(len(ids_bits)))
+
+    def find(i):
+        while root[i] != i:
+            root[i] = root[root[i]]
+            i = root[i]
+        return i
+
+    for i in range(len(ids_bits)):
+        for j in range(i):
+            if bin(ids_bits[i][1] ^ ids_bits[j][1]).count("1") <= 2:
+                root[find(i)] = find(j)
+    least = {}
+    for i, (doc, _) in enumerate(ids_bits):
+        known = [x for x in (least.get(find(i)), doc) if x is not None]
+        least[find(i)] = min(known) if known else None
+    return [least[find(i)] for i in range(len(ids_bits))]
+
+
+def test_fingerprints():
+    pick = random.Random(1)
+    for _ in range(200):
+        text = " ".join(pick.choice(["A", "bé", "C", "dog", "İ", "ß", "\t", " x"]) for _ in range(pick.randint(0, 12)))
+        assert simhash.fingerprint(text, 3) & (1 << 64) - 1 == plain_fingerprint(text)
+
+
+def test_blocks(monkeypatch):
+    text = " ".join(f"w{i * 7919 % 1009}" for i in range(3000))
+    monkeypatch.setattr(simhash, "_BLOCK", 100)
+    assert simhash.fingerprint(text, 3) & (1 << 64) - 1 == plain_fingerprint(text)
+
+
+@pytest.mark.parametrize("paired", [32, 1, 0])
+def test_links_of_random_clusters(spark, monkeypatch, paired):
+    """Clusters around centres with 0 to 4 changed bits: the same components by pairs and by neighbours."""
+    monkeypatch.setattr(simhash, "PAIRED", paired)
+    pick = random.Random(paired)
+    nodes = set()
+    for _ in range(25):
+        centre = pick.getrandbits(64)
+        for _ in range(pick.choice([1, 3, 12])):
+            bits = centre
+            for _ in range(pick.randint(0, 4)):
+                bits ^= 1 << pick.randrange(64)
+            nodes.add(bits)
+    nodes = sorted(nodes)
+    signed = [n - (1 << 64) if n >> 63 else n for n in nodes]
+    df = spark.createDataFrame([(n,) for n in signed], "bits long")
+    edges = simhash.links(df)
+    got = {r["node"]: r["root"] for r in components(edges).collect()}
+    want = plain_components(list(zip(range(len(nodes)), nodes)))
+    groups = {}
+    for i, s in enumerate(signed):
+        groups.setdefault(got.get(s, s), set()).add(want[i])
+    assert all(len(g) == 1 for g in groups.values()) and len(groups) == len(set(want))
+
+
+def test_components_of_a_chain(spark):
+    edges = [(i, i + 1) for i in range(60)] + [(100, 101), (101, 100), (103, 100)]
+    got = {r["node"]: r["root"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {**{i: 0 for i in range(61)}, 100: 100, 101: 100, 103: 100}
+    assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_table(spark):
+    from tidemark.llm.queries import op4_simhash
+    docs = {r["doc_id"]: r["text"] for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
+    rows = op4_simhash(spark, "/root/testdata/sf0.001").collect()
+    assert {r["doc_id"] for r in rows} == set(docs) and len(rows) == len(docs)
+    bits = [(r["doc_id"], int(r["fingerprint"], 16)) for r in rows]
+    assert all(b == plain_fingerprint(docs[d] or "") and len(r["fingerprint"]) == 16 for (d, b), r in zip(bits, rows))
+    assert [r["component_id"] for r in rows] == plain_components(bits)
+
+
+def test_awkward_rows(docs_of, awkward):
+    docs = docs_of(awkward, {"bits": F.lit("mine"), "n": F.lit(1), "high": F.lit(2), "low": F.lit(3)})
+    rows = simhash.near_duplicates(docs, 3, ["text"]).collect()
+    bits = [(r["doc_id"], r["bits"] & (1 << 64) - 1) for r in rows]
+    assert len(rows) == len(awkward) and all(b == plain_fingerprint(r["text"] or "") for (_, b), r in zip(bits, rows))
+    assert [r["component_id"] for r in rows] == plain_components(bits)
+    kept = simhash.one_of_each(docs, 3)
+    assert kept.columns == docs.columns
+    out = [(r["doc_id"], r["text"]) for r in kept.collect()]
+    groups = {r["group"]: r["component_id"] for r in rows}
+    assert len(out) == len(set(out)) == len(groups)  # one row of each group, that of its smallest id
+    group_of = {(r["doc_id"], r["text"]): r["group"] for r in rows}
+    assert sorted(group_of[r] for r in out) == sorted(groups)
+    assert all(r[0] == groups[group_of[r]] for r in out)
+    assert simhash.one_of_each(docs_of([]), 3).collect() == []

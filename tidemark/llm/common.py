@@ -59,6 +59,23 @@ def same(left: DataFrame, right: DataFrame, pairs: Iterable[tuple[str, str]]) ->
     return cond
 
 
+#: A key with more than one in this many of all rows is hot; at most this many keys can be.
+HOT_SHARE = 1024
+
+
+def join_counted(rows: DataFrame, per: DataFrame, keys: Sequence[str], count: str, total: int) -> DataFrame:
+    """``rows`` inner joined to ``per``, which has one row a key and how many of ``rows`` have it.
+
+    The hot keys' part of ``per`` holds HOT_SHARE rows at most, whatever the
+    input, and is broadcast, so rows of a hot key never meet in one task; the
+    others are shuffled.
+    """
+    hot = F.col(count) * HOT_SHARE > F.lit(total)
+    few, rest = F.broadcast(per.filter(hot)), per.filter(~hot)
+    others = rows.join(F.broadcast(per.filter(hot).select(*keys)), list(keys), "left_anti")
+    return rows.join(few, list(keys)).unionByName(others.join(rest, list(keys)))
+
+
 def numbered(df: DataFrame, *order: str, to: str) -> DataFrame:
     """Row numbers from 0 in the order of ``order``, without one task that sees all rows.
 
@@ -84,16 +101,17 @@ def from_texts(df: DataFrame, text: str, keep: Sequence[str], added: Mapping[str
                scorer: Callable[[], Callable[[list[str]], Sequence]], rows: int = 256) -> DataFrame:
     """The columns ``keep`` of ``df`` and columns made from the texts in Arrow batches.
 
-    ``added`` gives the new columns' types.  ``scorer()`` is called once a task
-    and returns the function from a list of texts (nulls as empty) to one list
-    or array per new column.  At most ``rows`` texts are worked on at a time.
+    ``added`` gives the new columns' types; kept columns of the same names are
+    replaced.  ``scorer()`` is called once a task and returns the function from
+    a list of texts (nulls as empty) to one list or array per new column.  At
+    most ``rows`` texts are worked on at a time.
     """
-    clash = {c.lower() for c in keep} & {c.lower() for c in added}
-    if clash:
-        raise ValueError(f"columns {sorted(clash)} are both kept and made")
-    (body,) = fresh([*keep, *added], "body")
-    slim = df.select(*keep, F.coalesce(F.col(text), F.lit("")).alias(body))
+    taken = {c.lower() for c in added}
+    keep = [c for c in keep if c.lower() not in taken]
     schema = df.select(*keep, *[F.lit(None).cast(t).alias(c) for c, t in added.items()]).schema
+    at_text = keep.index(text) if text in keep else len(keep)
+    slim = df.select(*keep) if text in keep else df.select(*keep, F.col(text))
+    kept = len(keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_schema
@@ -102,9 +120,9 @@ def from_texts(df: DataFrame, text: str, keep: Sequence[str], added: Mapping[str
         for batch in batches:
             for at in range(0, batch.num_rows, rows):
                 part = batch.slice(at, rows)
-                columns = score(part.column(len(keep)).to_pylist())
+                columns = score([t or "" for t in part.column(at_text).to_pylist()])
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns[:-1], *[pa.array(c, made.field(len(keep) + i).type) for i, c in enumerate(columns)]],
+                    [*part.columns[:kept], *[pa.array(c, made.field(kept + i).type) for i, c in enumerate(columns)]],
                     names=made.names)
 
     return slim.mapInArrow(run, schema)

@@ -152,7 +152,7 @@ def mix(docs: DataFrame, source: Column, size: Column, identity: Column,
     classes = classes.drop("source")
     solved = tilted_rates(classes, source_targets(totals, weights, share, cap), cap)
 
-    rate = F.when(F.col("dual") == float("inf"), float(cap)).otherwise(_rate(cap))
+    rate = F.when((F.col("dual") == float("inf")) & (F.col("size") > 0), float(cap)).otherwise(_rate(cap))
     down = Window.partitionBy("key").orderBy(F.desc("size"))  # one row a size
     part = F.col("docs") * (F.col("rate") - F.floor("rate"))
     here = F.floor(F.sum(part).over(down.rowsBetween(Window.unboundedPreceding, 0)) + 0.5)

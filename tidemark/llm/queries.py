@@ -12,11 +12,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm import mixing, sharding, tokenizing
+from tidemark.llm import (licenses, line_dedup, mixing, ngrams, quality, rules, sharding, simhash, tokenizing, topk,
+                          toxicity)
 from tidemark.llm.common import table, word_count
 
 MIX_WEIGHTS, MIX_SHARE, MIX_CAP = (3, 1, 2), 1.5, 2
 MODEL_FILE = public_tokenizers.path("piece_bpe_32k.model")
+SHINGLE_WORDS = 3
 SHARDS, SHARD_SEED = 16, 20240229
 
 
@@ -29,12 +31,41 @@ def op1_source_mixing(spark, d):
     return mixed.select("doc_id", "source", "size", "source_size", "target", "copies", "taken")
 
 
+def op2_line_dedup(spark, d):
+    """Every document without the lines of windows that the corpus has before."""
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    return line_dedup.dedup_lines(docs)
+
+
 def op3_sentencepiece(spark, d):
     """Number and digest of every document's SentencePiece ids, and digest of what they decode to."""
     return tokenizing.tokenize(table(spark, d, "documents"), MODEL_FILE, ["doc_id"],
                                ["n_tokens", "ids_sha256", "decoded_sha256"])
 
 
+def op4_simhash(spark, d):
+    """Fingerprint and near-duplicate component of every document."""
+    found = simhash.near_duplicates(table(spark, d, "documents"), SHINGLE_WORDS)
+    return found.select("doc_id", simhash.hex16(F.col("bits")).alias("fingerprint"), "component_id")
+
+
+def op5_topk_search(spark, d):
+    """The 5 vectors of the largest integer inner product with every 50th vector."""
+    vectors = (table(spark, d, "embeddings").select("vec_id", topk.scaled(F.col("embedding"), 256).alias("v"))
+               .filter("vec_id is not null and v is not null"))
+    queries = vectors.filter("vec_id % 50 = 0").select(F.col("vec_id").alias("query_id"), F.col("v").alias("q"))
+    return topk.top_k(vectors, queries, 5)
+
+
+def op6_quality_classifier(spark, d):
+    """Quality score of every document."""
+    docs = table(spark, d, "documents")
+    model = quality.train(docs, table(spark, d, "labels"))
+    return (quality.score(docs, model, ["doc_id"])
+            .select("doc_id", ngrams.held_out(F.col("doc_id")).alias("held_out"), "score",
+                    (F.col("score") >= 0.7).cast("int").alias("predicted")))
+
+
 def op7_feistel_sharding(spark, d):
     """Shard and slot of every document in a reproducible global shuffle."""
     body = F.coalesce(F.col("text"), F.lit("")).cast("binary")
@@ -45,5 +76,26 @@ def op7_feistel_sharding(spark, d):
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op8_quality_rules(spark, d):
+    """Rule counts of every document and the calibrated classifier's verdict on it."""
+    docs = table(spark, d, "documents")
+    model = rules.train(docs, table(spark, d, "labels"))
+    return rules.judge(docs, model, ["doc_id"])
+
+
+def op9_toxicity(spark, d):
+    """Probabilities of the toxicity categories of every document, and whether it is rejected."""
+    docs = table(spark, d, "documents")
+    model = toxicity.train(docs, table(spark, d, "labels"))
+    return toxicity.detect(docs, model, ["doc_id"])
+
+
+def op10_license_scan(spark, d):
+    """License notices in every document, with coverage and span."""
+    found = licenses.scan_licenses(table(spark, d, "documents"), ["doc_id"])
+    return found.select("doc_id", F.size("licenses").alias("n_licenses"), "licenses")
+
+
 QUERIES: dict[str, Callable[..., DataFrame]] = {f.__name__: f for f in (
-    op1_source_mixing, op3_sentencepiece, op7_feistel_sharding)}
+    op1_source_mixing, op2_line_dedup, op3_sentencepiece, op4_simhash, op5_topk_search,
+    op6_quality_classifier, op7_feistel_sharding, op8_quality_rules, op9_toxicity, op10_license_scan)}

@@ -291,7 +291,7 @@ def tokenize(docs: DataFrame, model_file: str, keep: Sequence[str],
     ``ids`` ends with the end id; ``decoded`` is the text that the ids stand
     for.  A null text counts as empty (the end id alone).  Rows are independent:
     repeated rows, ties and empty tables need nothing special, and a lost task
-    runs again.  A kept column named like an output is refused.
+    runs again.  Kept columns named like an output are replaced.
     """
     return from_texts(docs, text, keep, {name: OUTPUTS[name] for name in outputs},
                       partial(_tokenized, model_file, tuple(outputs)))
