@@ -1,8 +1,9 @@
 """Toxicity by a classifier chain.
 
 Categories are predicted one after the other.  Each has a linear model (logistic
-regression by FTRL) over hashed words and word beginnings that occur in the
-text, and over the probabilities of the categories before it.  While training,
+regression by FTRL) over hashed words and word beginnings of the text, by how
+often they occur (1, 2, or more), and over the probabilities of the categories
+before it.  While training,
 those probabilities come from models of other folds, so a later model learns
 from predictions as good as it will be given, not from fitted labels.
 
@@ -15,6 +16,7 @@ text in otherwise clean prose.  A document is rejected if the chain gives
 from __future__ import annotations
 
 import io
+from collections import Counter
 from collections.abc import Callable, Sequence
 from functools import partial
 
@@ -27,17 +29,19 @@ from tidemark.llm import ngrams
 from tidemark.llm.common import from_texts
 
 CATEGORIES = ("toxic", "abusive", "insulting")
-REJECT = 0.25
+REJECT = 0.3
 FOLDS, PASSES, SEED = 3, 4, 5
 #: Lengths of word beginnings that are features, beside whole words.
 BEGINNINGS = (4, 6)
 #: Labelled rows that the chain is fitted on at most.
 TRAIN_ROWS = 5000
+#: Occurrences of a word that count as "more": one might be chance, many are no surer than this.
+OFTEN = 3
 _CHAIN = 1 << ngrams.BITS  # first feature number of the earlier categories
 
 
 class Features:
-    """Distinct feature numbers of a text, with the words seen last kept."""
+    """Feature numbers and values of a text, with the words seen last kept."""
 
     def __init__(self) -> None:
         self.kept: dict[str, tuple[int, ...]] = {}
@@ -52,24 +56,29 @@ class Features:
             self.kept[word] = found
         return found
 
-    def of(self, text: str) -> np.ndarray:
-        get, make, seen = self.kept.get, self._make, set()
-        for word in set(ngrams.words_of(text)):
+    def of(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        get, make, often = self.kept.get, self._make, {}
+        for word, n in Counter(ngrams.words_of(text)).items():
             found = get(word)
-            seen.update(make(word) if found is None else found)
-        return np.fromiter(seen, dtype=np.int64, count=len(seen))
+            for at in make(word) if found is None else found:
+                often[at] = often.get(at, 0) + n
+        values = np.fromiter(often.values(), dtype=float, count=len(often))
+        return np.fromiter(often, dtype=np.int64, count=len(often)), np.minimum(values, OFTEN)
 
 
-def _learn(x: Sequence[np.ndarray], earlier: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, float]:
-    rows = [(np.concatenate([at, np.arange(_CHAIN, _CHAIN + earlier.shape[1])]), np.concatenate([np.ones(at.size), p]))
-            for at, p in zip(x, earlier, strict=True)]
+Row = tuple[np.ndarray, np.ndarray]
+
+
+def _learn(x: Sequence[Row], earlier: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, float]:
+    rows = [(np.concatenate([at, np.arange(_CHAIN, _CHAIN + earlier.shape[1])]), np.concatenate([often, p]))
+            for (at, often), p in zip(x, earlier, strict=True)]
     model = ngrams.Ftrl(_CHAIN + len(CATEGORIES), alpha=1.0, l1=6.0, l2=0.1)
     return model.fit(rows, y, PASSES, SEED).model()
 
 
-def _probability(model: tuple[np.ndarray, float], x: Sequence[np.ndarray], earlier: np.ndarray) -> np.ndarray:
+def _probability(model: tuple[np.ndarray, float], x: Sequence[Row], earlier: np.ndarray) -> np.ndarray:
     weights, bias = model
-    words = np.array([weights[at].sum(dtype=float) for at in x])
+    words = np.array([weights[at] @ often for at, often in x], dtype=float)
     return ngrams.sigmoid(bias + words + earlier @ weights[_CHAIN:_CHAIN + earlier.shape[1]])
 
 
