@@ -155,7 +155,6 @@ def test_malformed_json_goes_to_rejects(spark):
     m, rejects = cdc.parse_changelog(raw)
     assert m.count() == 1
     assert sorted(r.offset for r in rejects.collect()) == [0, 2]
-    assert sorted(r.offset for r in cdc.changelog_rejects(raw).collect()) == [0, 2]
 
 
 def test_ddl_and_empty_messages_do_nothing(spark):
@@ -170,6 +169,55 @@ def test_ddl_and_empty_messages_do_nothing(spark):
     assert cdc.to_ops(cdc.route(m, flow)).count() == 0
 
 
+def test_key_names_are_trimmed_and_matched_without_case(spark):
+    """A config written as `` ID , no`` gives the keys of ``id,No``."""
+    rng = random.Random(5)
+    logs = [random_log(rng, 12) for _ in range(12)]
+    recs, flows, same = [], [], []
+    for i, msgs in enumerate(logs):
+        recs += [(0, i * 1000 + off, json.dumps(dict(m, table=f"t{i}"))) for off, m in enumerate(msgs)]
+        flows.append((i, 1, "db", f"t{i}", f"h{i}", "cf", False, 10, " ID , no", 2))
+        same.append((*flows[-1][:8], "id,No", 2))
+    raw = spark.createDataFrame(recs, "partition int, offset bigint, value string")
+    m, _ = cdc.parse_changelog(raw)
+
+    def cells(config):
+        usable, keyless = cdc.split_routed(cdc.route(m, spark.createDataFrame(config, FLOW_SCHEMA)))
+        assert keyless.count() == 0
+        return sorted(tuple(r) for r in cdc.live_cells(cdc.fold(cdc.to_ops(usable)))
+                      .select("hbaseTable", "rowkey", "qualifier", "value").collect())
+    assert cells(flows) == cells(same)
+
+
+def test_rows_without_a_key_column_are_rejected(spark):
+    flow = spark.createDataFrame([(1, 1, "d", "t", "h", "cf", False, 10, "id,No", 2)], FLOW_SCHEMA)
+    recs = [{"database": "d", "table": "t", "type": "INSERT", "data": [{"id": "1", "no": None}]},
+            {"database": "d", "table": "t", "type": "INSERT", "data": [{"id": "1", "x": "2"}]}]
+    raw = spark.createDataFrame([(0, i, json.dumps(v)) for i, v in enumerate(recs)],
+                                "partition int, offset bigint, value string")
+    m, _ = cdc.parse_changelog(raw)
+    usable, keyless = cdc.split_routed(cdc.route(m, flow))
+    assert [r.offset for r in usable.collect()] == [0] and [r.offset for r in keyless.collect()] == [1]
+
+
+def test_a_table_on_two_partitions_stops_the_sync(spark, scratch):
+    import pytest
+    from tidemark.sinks.keyed_state import KeyedStateTable
+    from tidemark.streaming.cdc_apply import check_partitions
+    table = KeyedStateTable(spark, f"{scratch}/t")
+    message = json.dumps({"database": "d", "table": "t", "type": "INSERT", "data": [{"id": "1"}]})
+
+    def messages(*partitions):
+        raw = spark.createDataFrame([(p, i, message) for i, p in enumerate(partitions)],
+                                    "partition int, offset bigint, value string")
+        return cdc.parse_changelog(raw)[0]
+    check_partitions(table, messages(1, 1))
+    check_partitions(table, messages(1))
+    for wrong in (messages(2), messages(1, 2)):
+        with pytest.raises(ValueError, match="more than one topic partition"):
+            check_partitions(table, wrong)
+
+
 def test_key_column_match_is_exact_not_substring(spark):
     """With key ``orderId,orderNo`` an updated column ``No`` is a plain cell."""
     flow = spark.createDataFrame([(1, 1, "d", "t", "h", "cf", False, 10, "orderId,orderNo", 2)], FLOW_SCHEMA)

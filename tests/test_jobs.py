@@ -10,7 +10,7 @@ from tidemark.plans.registry import QUERIES
 from tidemark.sources.tables import keyed_table
 from tidemark.sources.topic import json_topic
 from tidemark.streaming import jobs as sj
-from tidemark.streaming.replay import AVAILABLE_NOW, write_replay
+from tidemark.streaming.replay import AVAILABLE_NOW, Replay, by_time, replay_category_job
 
 from conftest import SF_SMALL
 
@@ -27,9 +27,7 @@ def rows(df):
 
 def test_item_counts_stream_equals_batch(spark, scratch):
     b = fx.behavior(spark, SF_SMALL)
-    write_replay(b, "ts", f"{scratch}/src", 3)
-    stream = json_topic(spark, f"{scratch}/src", b.schema, max_files_per_trigger=1)
-    _run([sj.start_item_counts(spark, stream, f"{scratch}/t", f"{scratch}/ckpt", AVAILABLE_NOW)])
+    by_time(b, "ts").run(lambda s: sj.start_item_counts(spark, s, f"{scratch}/t", f"{scratch}/ckpt", AVAILABLE_NOW))
     got = keyed_table(spark, f"{scratch}/t").select(
         F.col("item_id").cast("string"), F.col("category_id").cast("string"), "behavior",
         F.col("ts").cast("timestamp_ntz"), "cnt")
@@ -37,21 +35,45 @@ def test_item_counts_stream_equals_batch(spark, scratch):
     assert rows(got) == rows(want)
 
 
-def test_category_refreshed_lookup_equals_batch(spark, scratch):
+def test_category_job_sees_new_dimension_rows(spark, scratch):
+    """A category that the dimension gains between two slices names the second slice's rows."""
     b, dim = fx.behavior(spark, SF_SMALL), fx.category(spark, SF_SMALL)
-    write_replay(b, "ts", f"{scratch}/src", 3)
-    stream = json_topic(spark, f"{scratch}/src", b.schema, max_files_per_trigger=1)
-    q1, q2 = sj.start_category_job_refreshed(spark, stream, lambda: fx.category(spark, SF_SMALL),
-                                             f"{scratch}/dws", f"{scratch}/app", f"{scratch}/ckpt",
-                                             trigger=AVAILABLE_NOW)
-    _run([q1])
-    _run([q2])
-    # q2 may have started before q1's last batch: run the APP step once more.
-    _run([sj.start_app(spark, f"{scratch}/dws", "category_name string, order_num bigint",
-                       jobs.category_counts_app, ["category_name"], f"{scratch}/app",
-                       f"{scratch}/ckpt/app", AVAILABLE_NOW, recursive=True)])
-    want = jobs.category_counts_app(jobs.category_counts(b, dim))
-    assert rows(keyed_table(spark, f"{scratch}/app")) == rows(want)
+    half = b.withColumn("late", F.col("item_id") % 2)
+    loads = []
+
+    def load():
+        loads.append(1)
+        return dim.limit(0) if len(loads) == 1 else dim
+
+    got = replay_category_job(spark, Replay(half, F.col("late"), 2), load, max_age_s=0.0)
+    first, second = (jobs.category_counts(half.filter(F.col("late") == i), dim if i else dim.limit(0)) for i in (0, 1))
+    want = first.unionByName(second).groupBy("category_name").agg(F.sum("order_num").alias("buy_cnt"))
+    assert rows(got) == rows(want) and len(loads) == 2
+
+
+def test_category_lookup_is_cached_while_young(spark):
+    b, loads = fx.behavior(spark, SF_SMALL), []
+
+    def load():
+        loads.append(1)
+        return fx.category(spark, SF_SMALL)
+
+    got = replay_category_job(spark, by_time(b, "ts"), load)
+    assert rows(got) == rows(jobs.category_counts_app(jobs.category_counts(b, fx.category(spark, SF_SMALL))))
+    assert len(loads) == 3  # once a run of the job, not once a micro-batch
+
+
+def test_item_counts_keep_late_rows(spark, scratch):
+    """Four micro-batches, the last one far behind: every row counts."""
+    import datetime as dt
+    t0 = dt.datetime(2024, 1, 1, 12)
+    data = [(1, 1, 1, "pv", t0, 0), (1, 2, 1, "pv", t0 + dt.timedelta(hours=1), 1),
+            (1, 4, 1, "pv", t0 + dt.timedelta(hours=2), 2), (1, 3, 1, "pv", t0 - dt.timedelta(days=9), 3)]
+    df = spark.createDataFrame(data, "user_id long, item_id long, category_id int, behavior string, "
+                                     "ts timestamp_ntz, part int")
+    Replay(df, F.col("part"), 4).run(
+        lambda s: sj.start_item_counts(spark, s, f"{scratch}/t", f"{scratch}/ckpt", AVAILABLE_NOW))
+    assert sorted(r.item_id for r in keyed_table(spark, f"{scratch}/t").collect()) == [1, 2, 3, 4]
 
 
 def test_user_totals_job(spark, scratch):
@@ -86,9 +108,8 @@ def test_user_totals_stream_equals_batch(spark, scratch):
     o = fx.orders_time(spark, SF_SMALL)
     # Every order twice: the distinct count must not change, the sum doubles.
     src = o.unionByName(o)
-    write_replay(src, "createTime", f"{scratch}/src", 3)
-    stream = json_topic(spark, f"{scratch}/src", o.schema, max_files_per_trigger=1)
-    _run(sj.start_user_totals_stream(spark, stream, f"{scratch}/t", f"{scratch}/ckpt", AVAILABLE_NOW))
+    by_time(src, "createTime").run(
+        lambda s: sj.start_user_totals_stream(spark, s, f"{scratch}/t", f"{scratch}/ckpt", AVAILABLE_NOW))
     got = sj.read_user_totals(spark, f"{scratch}/t").select("userId", "order_num", F.round("gmv", 2))
     want = order_totals(src, ["userId"]).select("userId", "order_num", F.round("gmv", 2))
     assert rows(got) == rows(want)

@@ -1,7 +1,6 @@
 """Physical plan shape: pruning, pushdown, broadcast behind a size check,
 partial aggregation before every shuffle."""
 
-from tidemark.operators.joins import broadcast_if_small
 from tidemark.operators.lookup import enrich_category
 from tidemark.plans import fixtures as fx
 from tidemark.plans import jobs
@@ -30,12 +29,13 @@ def test_lookup_is_broadcast_and_counts_combine_before_shuffle(spark):
     assert "partial_count" in p
 
 
-def test_broadcast_fallback_beyond_bound(spark):
+def test_lookup_is_shuffled_beyond_the_byte_threshold(spark):
+    """No forced hint: a dimension over the session's threshold is joined by shuffle."""
     b, dim = fx.behavior(spark, SF_SMALL), fx.category(spark, SF_SMALL)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     try:
-        p = plan(enrich_category(b, dim, max_broadcast_rows=10))
+        p = plan(enrich_category(b, dim))
         assert "SortMergeJoin [category_id" in p
         assert "BroadcastHashJoin [category_id" not in p
     finally:
@@ -43,11 +43,21 @@ def test_broadcast_fallback_beyond_bound(spark):
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
 
 
-def test_broadcast_if_small_checks_rows(spark):
-    small = spark.range(5)
-    assert "ResolvedHint" in broadcast_if_small(small, 5)._jdf.queryExecution().analyzed().toString() or \
-        "broadcast" in broadcast_if_small(small, 5)._jdf.queryExecution().analyzed().toString().lower()
-    assert "broadcast" not in broadcast_if_small(small, 4)._jdf.queryExecution().analyzed().toString().lower()
+def scans(df):
+    """Columns read of each table, by its first column's prefix."""
+    import re
+    return sorted(re.findall(r"ReadSchema: struct<([^>]*)>", plan(df)))
+
+
+def test_keyed_order_queries_read_their_columns_alone(spark):
+    """Only the needed columns, and no customer scan where nothing of it is used."""
+    totals = ["o_orderkey:bigint,o_custkey:bigint,o_totalprice:double"]
+    assert scans(QUERIES["user_orders"](spark, SF_SMALL)) == totals
+    assert scans(QUERIES["user_orders_md5"](spark, SF_SMALL)) == ["o_orderkey:bigint,o_custkey:bigint"]
+    adhoc = scans(QUERIES["adhoc_sql"](spark, SF_SMALL))
+    assert len(adhoc) == 1 and "c_custkey" not in adhoc[0] and "o_orderpriority" not in adhoc[0]
+    by_province = scans(QUERIES["user_province_orders"](spark, SF_SMALL))
+    assert totals[0] in by_province and "c_custkey:bigint,c_nationkey:int" in ",".join(by_province)
 
 
 def test_distinct_window_counts_spread_by_id(spark):

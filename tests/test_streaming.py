@@ -12,7 +12,7 @@ from tidemark.sources.tables import keyed_table
 from tidemark.sources.topic import json_topic
 from tidemark.streaming import jobs as sj
 from tidemark.streaming.event_time import with_event_time
-from tidemark.streaming.replay import AVAILABLE_NOW, write_replay
+from tidemark.streaming.replay import AVAILABLE_NOW, Replay, by_range, by_time, wait
 
 from conftest import SF_SMALL
 
@@ -32,20 +32,16 @@ def test_restart_between_batches_gives_same_table(spark, scratch):
     with the rest: the APP table equals the batch result for closed windows."""
     job = sj.ORDERS_PER_HOUR
     src = fx.orders_time(spark, SF_SMALL)
-    mid = src.select(F.expr("percentile_approx(createTime, 0.5)").alias("m")).first().m
-    write_replay(src.where(F.col("createTime") < F.lit(mid)), "createTime", f"{scratch}/src", 3)
-
-    def run_once():
-        stream = json_topic(spark, f"{scratch}/src", src.schema, max_files_per_trigger=1)
-        dws = job.dws(with_event_time(stream, "createTime"))
-        _run(append_topic(dws, f"{scratch}/dws", f"{scratch}/ckpt/dws", AVAILABLE_NOW))
-        _run(sj.start_app(spark, f"{scratch}/dws", job.dws_schema, job.app, job.app_keys,
+    halves = list(by_time(src, "createTime", 2))
+
+    def run_once(stream):
+        wait(sj.start_dws(job, stream, f"{scratch}/dws", f"{scratch}/ckpt", AVAILABLE_NOW))
+        wait(sj.start_app(spark, f"{scratch}/dws", job.dws_schema, job.app, job.app_keys,
                           f"{scratch}/app", f"{scratch}/ckpt/app", AVAILABLE_NOW))
 
-    run_once()
+    run_once(halves[0])
     first = {tuple(r) for r in keyed_table(spark, f"{scratch}/app").collect()}
-    write_replay(src.where(F.col("createTime") >= F.lit(mid)), "createTime", f"{scratch}/src", 3, append=True)
-    run_once()
+    run_once(halves[1])
     final = {tuple(r) for r in keyed_table(spark, f"{scratch}/app").select(*job.app_keys, "buy_cnt").collect()}
 
     batch = _hourly_batch(spark)
@@ -79,10 +75,40 @@ def test_upsert_compaction_keeps_the_table(spark, scratch):
     t = UpsertTable(spark, path)
     want = [("k0", 6), ("k1", 7), ("k2", 5)] + [(f"n{i}", -i) for i in range(8)]
     assert sorted(tuple(r) for r in t.current().collect()) == sorted(want)
-    assert t.base.versions() == [2, 5]
+    assert t.versions() == [2, 5]
     assert t.batches() == [3, 4, 5, 6, 7]
 
 
+def test_compaction_leaves_untouched_buckets_alone(spark, scratch):
+    """A batch of one key: the other buckets keep their very files."""
+    path = f"{scratch}/t"
+    many = spark.createDataFrame([(f"k{i}", i) for i in range(200)], "k string, v bigint")
+    upsert_batch(spark, many, 0, ["k"], path, compact_every=1)
+    before = UpsertTable(spark, path).bucket_paths()
+    assert len(before) > 4
+    upsert_batch(spark, spark.createDataFrame([("k7", -1)], "k string, v bigint"), 1, ["k"], path, compact_every=1)
+    after = UpsertTable(spark, path).bucket_paths()
+    assert [b for b in before if before[b] != after[b]] == [b for b in after if "v=000000000001" in after[b]]
+    assert len([b for b in before if before[b] != after[b]]) == 1
+    want = sorted((f"k{i}", -1 if i == 7 else i) for i in range(200))
+    assert sorted(tuple(r) for r in keyed_table(spark, path).collect()) == want
+
+
+def test_old_tombstones_are_purged(spark, scratch):
+    """A delete is forgotten once no older change can be replayed; the table stays the same."""
+    from tidemark.sinks.keyed_state import KeyedStateTable
+    schema = "hbaseTable string, rowkey string, offset bigint, pos int, kind int, family string, qualifier string, value string"
+    table = KeyedStateTable(spark, f"{scratch}/t", compact_every=2)
+    put = lambda key, at: ("h", key, at, 0, 1, "cf", "q", f"v{at}")
+    gone = lambda key, at: ("h", key, at, 0, 0, None, None, None)
+    for i, ops in enumerate([[put("a", 0), put("b", 1)], [gone("a", 2), put("b", 3)],
+                             [put("c", 4)], [put("c", 5), put("a", 6), gone("c", 7)]]):
+        table.apply_batch(spark.createDataFrame(ops, schema), i)
+    assert sorted((r.rowkey, r.value) for r in table.cells().collect()) == [("a", "v6"), ("b", "v3")]
+    deletes = [(r.rowkey, r.offset) for r in table.state().collect() if r.kind == 0]
+    assert deletes == [("c", 7)]
+
+
 def test_combine_duplicate_keys_in_batch(spark):
     rows = spark.createDataFrame([("a", 4, 1), ("a", 9, 1), ("b", 1, 1), ("a", 2, 0)],
                                  f"k string, v bigint, {BATCH} bigint")
@@ -100,12 +126,17 @@ def test_late_rows_are_dropped(spark, scratch):
     schema = "orderId bigint, userId bigint, province string, realTotalMoney double, createTime timestamp_ntz"
     # The watermark moves once per micro-batch, so a row is late only for a
     # window closed in an earlier batch (one file per batch here).
-    for i, rows in enumerate([rows1, rows2, rows3, late]):
-        write_replay(spark.createDataFrame(rows, schema), "createTime", f"{scratch}/src", 1, append=i > 0)
-    stream = json_topic(spark, f"{scratch}/src", schema, max_files_per_trigger=1)
-    dws = jobs.orders_per_hour(with_event_time(stream, "createTime"))
-    q = append_topic(dws, f"{scratch}/dws", f"{scratch}/ckpt", AVAILABLE_NOW)
-    _run(q)
+    data = [(*r, i) for i, rows in enumerate([rows1, rows2, rows3, late]) for r in rows]
+    df = spark.createDataFrame(data, schema + ", part int")
+    queries = []
+
+    def start(stream):
+        dws = jobs.orders_per_hour(with_event_time(stream, "createTime"))
+        queries.append(append_topic(dws, f"{scratch}/dws", f"{scratch}/ckpt", AVAILABLE_NOW))
+        return queries[-1]
+
+    Replay(df, F.col("part"), 4).run(start)
+    q = queries[-1]
     got = {tuple(r) for r in spark.read.json(f"{scratch}/dws").select("day_hour_time", "order_num").collect()}
     assert got == {("2024-01-01 00", 1)}
     dropped = sum(op.get("numRowsDroppedByWatermark", 0)
@@ -113,14 +144,6 @@ def test_late_rows_are_dropped(spark, scratch):
     assert dropped >= 1
 
 
-def test_category_stream_matches_batch(spark):
-    from tidemark.streaming.replay import replay_category_job
-    b, dim = fx.behavior(spark, SF_SMALL), fx.category(spark, SF_SMALL)
-    got = {tuple(r) for r in replay_category_job(spark, b, dim, 3).collect()}
-    want = {tuple(r) for r in jobs.category_counts_app(jobs.category_counts(b, dim)).collect()}
-    assert got == want
-
-
 def test_cdc_sync_restart_and_replay(spark, scratch):
     """Sync half the changelog, stop, resume with the rest: the keyed state
     equals one batch fold of the whole log; re-applying a batch changes nothing."""
@@ -130,19 +153,11 @@ def test_cdc_sync_restart_and_replay(spark, scratch):
 
     log = fx.changelog(spark, SF_SMALL)
     flow = fx.flow(spark)
-    cut = 3 * fx.PHASE_STRIDE
-    write_replay(log.where(F.col("offset") < cut), "offset", f"{scratch}/topic", 3)
-
-    def run():
-        stream = json_topic(spark, f"{scratch}/topic", log.schema, max_files_per_trigger=1)
-        _run(start_cdc_sync(spark, stream, lambda: flow, f"{scratch}/table", f"{scratch}/ckpt",
-                            AVAILABLE_NOW, compact_every=2))
-
-    run()
-    write_replay(log.where(F.col("offset") >= cut), "offset", f"{scratch}/topic", 3, append=True)
-    run()
+    part = F.least(F.floor(F.col("offset") / fx.PHASE_STRIDE), F.lit(4))
+    Replay(log, part, 5).run(lambda stream: start_cdc_sync(
+        spark, stream, lambda: flow, f"{scratch}/table", f"{scratch}/ckpt", AVAILABLE_NOW, compact_every=2))
     table = KeyedStateTable(spark, f"{scratch}/table", compact_every=2)
-    assert table.base.versions()  # compaction happened
+    assert table.versions()  # compaction happened
 
     def cells(df):
         return sorted(tuple(r) for r in df.select("rowkey", "qualifier", "value").collect())
@@ -152,11 +167,9 @@ def test_cdc_sync_restart_and_replay(spark, scratch):
     assert cells(table.cells()) == want
 
     # Re-deliver the last batch's ops (at-least-once): same state.
-    last = table._op_batches()[-1] if table._op_batches() else None
-    if last is not None:
-        from tidemark.sinks.keyed_state import OPS_SCHEMA
-        again = spark.createDataFrame(table.pending_ops(last - 1, last).collect(), OPS_SCHEMA)
-        table.apply_batch(again, last)
+    last = table.batches()[-1]
+    again = spark.createDataFrame(spark.read.schema(table.schema).parquet(table._delta_path(last)).collect(), table.schema)
+    table.apply_batch(again, last)
     assert cells(table.cells()) == want
 
 
@@ -164,8 +177,8 @@ def test_window_job_runs_both_queries_concurrently(spark, scratch):
     """The production runner: DWS and APP queries started together on
     processing-time triggers, fed while running, stopped after draining."""
     src = fx.behavior(spark, SF_SMALL)
-    write_replay(src, "ts", f"{scratch}/src", 2)
-    stream = json_topic(spark, f"{scratch}/src", src.schema, max_files_per_trigger=1)
+    src.repartitionByRange(2, "ts").sortWithinPartitions("ts").write.json(f"{scratch}/src")
+    stream = json_topic(spark, f"{scratch}/src", src.schema)
     q1, q2 = sj.start_window_job(spark, sj.UV_10MIN, stream, f"{scratch}/dws", f"{scratch}/app",
                                  f"{scratch}/ckpt", {"processingTime": "1 second"}, "uv_test")
     try:
@@ -192,10 +205,9 @@ def test_streaming_two_level_distinct_equals_batch(spark, scratch):
             (9, 9, "z", 1.0, t0 + dt.timedelta(hours=3))]  # closes the 10:00 windows
     schema = "orderId bigint, userId bigint, province string, realTotalMoney double, createTime timestamp_ntz"
     df = spark.createDataFrame(rows, schema)
-    write_replay(df, "createTime", f"{scratch}/src", 2)
-    stream = json_topic(spark, f"{scratch}/src", schema, max_files_per_trigger=1)
-    dws = jobs.user_province_hour(with_event_time(stream, "createTime"))
-    _run(append_topic(dws, f"{scratch}/dws", f"{scratch}/ckpt", AVAILABLE_NOW))
+    by_time(df, "createTime", 2).run(lambda stream: append_topic(
+        jobs.user_province_hour(with_event_time(stream, "createTime")), f"{scratch}/dws", f"{scratch}/ckpt",
+        AVAILABLE_NOW))
     got = sorted(tuple(r) for r in spark.read.schema(sj.USER_PROVINCE_HOUR.dws_schema)
                  .json(f"{scratch}/dws").collect())
     want = sorted(tuple(r) for r in jobs.user_province_hour(df).collect() if r.userId != 9)
@@ -203,21 +215,15 @@ def test_streaming_two_level_distinct_equals_batch(spark, scratch):
     assert (7, "p", 10, 1, 5.25) in got
 
 
-def test_replay_takes_several_time_ordered_files_per_batch(spark, scratch):
-    """The replay's file count follows the shuffle partitions; each trigger
-    takes a contiguous run of files, and no row is late."""
-    from tidemark.streaming import jobs as sj
-    from tidemark.streaming.replay import replay_window_job, write_replay_batches
+def test_replay_slices_cover_every_row_once(spark):
+    """Slices are ranges of the time column in order, nulls first, and hold all rows."""
     src = fx.orders_time(spark, SF_SMALL)
-    spark.conf.set("spark.sql.shuffle.partitions", "12")
-    try:
-        assert write_replay_batches(src, "createTime", f"{scratch}/probe", 4) == 3
-        got = {tuple(r) for r in replay_window_job(spark, sj.ORDERS_PER_HOUR, src, 4,
-                                                   root=f"{scratch}/replay").collect()}
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", "4")
-    batch = {tuple(r) for r in jobs.orders_per_hour_app(jobs.orders_per_hour(src)).collect()}
-    assert got and got <= batch and len(batch - got) == 1  # only the last hour is still open
+    src = src.unionByName(src.limit(3).withColumn("createTime", F.lit(None).cast("timestamp_ntz")))
+    cut = src.select("createTime", by_range(src, "createTime", 4).alias("s"))
+    got = cut.groupBy("s").agg(F.min("createTime").alias("low"), F.max("createTime").alias("high"),
+                               F.count(F.lit(1)).alias("n")).orderBy("s").collect()
+    assert [r.s for r in got] == [0, 1, 2, 3] and sum(r.n for r in got) == src.count()
+    assert all(a.high < b.low for a, b in zip(got, got[1:]))
 
 
 def test_replay_on_the_cluster_state_store(spark, scratch):

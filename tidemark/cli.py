@@ -2,9 +2,10 @@
 
     python -m tidemark orders-per-hour --source DIR --dws DIR --app DIR --checkpoint DIR
     python -m tidemark cdc-sync --changelog DIR --flow PARQUET --table DIR --checkpoint DIR
-    python -m tidemark sql "SELECT .." --data DIR
+    python -m tidemark sql "SELECT .." --table orders=DIR --out DIR
 
-Sources are JSON-lines topic directories (or Kafka with ``--kafka``);
+Sources are JSON-lines topic directories (or Kafka with ``--kafka``); small
+tables are Parquet, a table a job wrote, or ``jdbc:<url>#<table>``;
 checkpoints default to a folder under ``spark.checkpoint.dir``.  Every job
 runs until stopped; ``--available-now`` processes what is there and exits.
 """
@@ -16,6 +17,9 @@ import sys
 
 from tidemark.session import get_session, input_bytes, scratch_path, shuffle_partitions_for
 
+# Where a Kafka job starts without a checkpoint: fixed settings of the source jobs.
+STARTING = {"uv-10min": "earliest", "category-counts": "earliest"}
+
 WINDOW_JOBS = {
     "orders-per-hour": ("ORDERS_PER_HOUR", "orders"),
     "orders-per-minute": ("ORDERS_PER_MINUTE", "orders"),
@@ -37,6 +41,10 @@ def _parser() -> argparse.ArgumentParser:
         sp.add_argument("--trigger", default="5 seconds", help="processing-time trigger interval")
         sp.add_argument("--available-now", action="store_true", help="process what is there, then stop")
         sp.add_argument("--kafka", help="bootstrap servers: read the source from Kafka instead of files")
+        sp.add_argument("--starting", choices=["earliest", "latest"],
+                        help="where Kafka is read from without a checkpoint (default: earliest for "
+                             "uv-10min and category-counts, latest for all others)")
+        sp.add_argument("--group", help="Kafka consumer group")
         sp.add_argument("--local", action="store_true", help="local[*] session with local defaults")
         sp.add_argument("--max-per-trigger", type=int,
                         help="bound on one micro-batch: Kafka offsets (maxOffsetsPerTrigger) "
@@ -46,18 +54,26 @@ def _parser() -> argparse.ArgumentParser:
     for name in WINDOW_JOBS:
         sp = sub.add_parser(name)
         sp.add_argument("--source", required=True, help="topic directory (or Kafka topic with --kafka)")
-        sp.add_argument("--dws", required=True)
+        sp.add_argument("--dws", help="DWS topic directory")
+        sp.add_argument("--dws-topic", help="DWS topic in Kafka instead (with --kafka)")
         sp.add_argument("--app", required=True)
         common(sp)
+    for name, text in (("item-counts", "behaviour topic"), ("user-totals-stream", "typed order topic"),
+                       ("user-top1", "DWS topic of user-province-hour")):
+        sp = sub.add_parser(name)
+        sp.add_argument("--source", required=True, help=text)
+        sp.add_argument("--out", required=True, help="upserted table")
+        common(sp)
     sp = sub.add_parser("category-counts")
     sp.add_argument("--source", required=True)
-    sp.add_argument("--dim", required=True, help="category dimension (Parquet)")
+    sp.add_argument("--dim", required=True, help="category dimension")
+    sp.add_argument("--dim-age", type=float, default=600.0, help="seconds after which it is read again")
     sp.add_argument("--dws", required=True)
     sp.add_argument("--app", required=True)
     common(sp)
     sp = sub.add_parser("cdc-sync")
     sp.add_argument("--changelog", required=True, help="topic of partition, offset, value records")
-    sp.add_argument("--flow", required=True, help="routing config table (Parquet)")
+    sp.add_argument("--flow", required=True, help="routing config table")
     sp.add_argument("--table", required=True)
     sp.add_argument("--compact-every", type=int, default=10)
     common(sp)
@@ -72,16 +88,41 @@ def _parser() -> argparse.ArgumentParser:
     sp.add_argument("--local", action="store_true")
     sp = sub.add_parser("sql")
     sp.add_argument("query")
-    sp.add_argument("--data", required=True, help="folder of the source tables")
-    sp.add_argument("--rows", type=int, default=20)
+    sp.add_argument("--data", help="folder of the source tables (registers the warehouse views)")
+    sp.add_argument("--table", action="append", default=[], metavar="NAME=PLACE",
+                    help="register any table a job wrote; a JSON topic is NAME=PATH::SCHEMA")
+    sp.add_argument("--out", help="write the whole result there as Parquet instead of printing it")
+    sp.add_argument("--rows", type=int, help="print at most this many rows (default: all)")
     sp.add_argument("--local", action="store_true")
     return p
 
 
+def kafka_start(args) -> dict:
+    """Start position and consumer group of a job's Kafka source."""
+    return {"starting": args.starting or STARTING.get(args.job, "latest"), "group_id": args.group}
+
+
+def _tables(given: list[str]) -> dict:
+    """``NAME=PLACE`` and ``NAME=PATH::SCHEMA`` arguments as ``sources.tables.register`` takes them."""
+    out = {}
+    for item in given:
+        name, _, place = item.partition("=")
+        path, found, schema = place.partition("::")
+        out[name] = (schema, path) if found else place
+    return out
+
+
+def _print_all(df, limit: int | None) -> None:
+    """Every row as it is read, partition by partition."""
+    print("\t".join(df.columns))
+    for row in (df.limit(limit) if limit is not None else df).toLocalIterator():
+        print("\t".join("NULL" if v is None else str(v) for v in row))
+
+
 def _source(spark, args, schema: str):
     from tidemark.sources.topic import json_topic, kafka_topic
     if args.kafka:
-        return kafka_topic(spark, args.kafka, args.source, schema,
+        return kafka_topic(spark, args.kafka, args.source, schema, **kafka_start(args),
                            max_offsets_per_trigger=args.max_per_trigger)
     return json_topic(spark, args.source, schema, max_files_per_trigger=args.max_per_trigger)
 
@@ -94,7 +135,7 @@ def _app_step(job: str):
         w = getattr(sj, WINDOW_JOBS[job][0])
         return w.dws_schema, w.app, w.app_keys, False
     if job == "category-counts":
-        return "category_name string, order_num bigint", jobs.category_counts_app, ["category_name"], True
+        return sj.CATEGORY_DWS, jobs.category_counts_app, ["category_name"], True
     return None
 
 
@@ -106,15 +147,22 @@ def main(argv: list[str] | None = None) -> int:
         # Batch jobs: one shuffle partition per 256 MB of input (AQE
         # coalesces small stages down from there).
         inputs = {"dwd-extract": "keyed", "user-totals": "keyed", "sql": "data"}
-        if args.job in inputs:
+        if args.job in inputs and getattr(args, inputs[args.job]):
             size = input_bytes(spark, [getattr(args, inputs[args.job])])
             spark.conf.set("spark.sql.shuffle.partitions", str(shuffle_partitions_for(size)))
 
     if args.job == "sql":
-        from tidemark.plans.registry import adhoc_sql
-        df = adhoc_sql(spark, args.data, args.query)
+        from tidemark.plans.registry import register_warehouse
+        from tidemark.sources.tables import register
+        if args.data:
+            register_warehouse(spark, args.data)
+        register(spark, _tables(args.table))
+        df = spark.sql(args.query)
         df.printSchema()
-        df.show(args.rows, truncate=False)
+        if args.out:
+            df.write.parquet(args.out)
+        else:
+            _print_all(df, args.rows)
         return 0
     if args.job == "dwd-extract":
         from tidemark.sources.tables import keyed_table
@@ -134,25 +182,35 @@ def main(argv: list[str] | None = None) -> int:
     if args.job in WINDOW_JOBS:
         job_name, kind = WINDOW_JOBS[args.job]
         schema = schemas.DWD_ORDERS if kind == "orders" else schemas.USER_BEHAVIOR
-        queries = sj.start_window_job(spark, getattr(sj, job_name), _source(spark, args, schema),
-                                      args.dws, args.app, ckpt, trigger, args.job.replace("-", "_"))
+        source, job, label = _source(spark, args, schema), getattr(sj, job_name), args.job.replace("-", "_")
+        if args.dws_topic:
+            queries = sj.start_window_job_kafka(spark, job, source, args.kafka, args.dws_topic, args.app, ckpt,
+                                                trigger, label)
+        else:
+            queries = sj.start_window_job(spark, job, source, args.dws, args.app, ckpt, trigger, label)
     elif args.job == "category-counts":
-        dim = spark.read.parquet(args.dim)
-        queries = sj.start_category_job(spark, _source(spark, args, schemas.USER_BEHAVIOR), dim,
-                                        args.dws, args.app, ckpt, trigger)
+        from tidemark.sources.tables import load_table
+        queries = sj.start_category_job(spark, _source(spark, args, schemas.USER_BEHAVIOR),
+                                        lambda: load_table(spark, args.dim), args.dws, args.app, ckpt,
+                                        args.dim_age, trigger)
+    elif args.job == "item-counts":
+        queries = [sj.start_item_counts(spark, _source(spark, args, schemas.USER_BEHAVIOR), args.out, ckpt, trigger)]
+    elif args.job == "user-totals-stream":
+        queries = sj.start_user_totals_stream(spark, _source(spark, args, schemas.DWD_ORDERS), args.out, ckpt, trigger)
+    elif args.job == "user-top1":
+        dws = _source(spark, args, sj.USER_PROVINCE_HOUR.dws_schema)
+        queries = [sj.start_user_top1(spark, dws, args.out, ckpt, trigger)]
     elif args.job == "cdc-sync":
-        from tidemark.sources.topic import json_topic, kafka_topic
+        from tidemark.sources.tables import load_table
+        from tidemark.sources.topic import json_topic, kafka_records
         from tidemark.streaming.cdc_apply import start_cdc_sync
         if args.kafka:
-            reader = (spark.readStream.format("kafka").option("kafka.bootstrap.servers", args.kafka)
-                      .option("subscribe", args.changelog))
-            if args.max_per_trigger:
-                reader = reader.option("maxOffsetsPerTrigger", str(args.max_per_trigger))
-            raw = reader.load().selectExpr("partition", "offset", "CAST(value AS STRING) AS value")
+            raw = kafka_records(spark, args.kafka, args.changelog, **kafka_start(args),
+                                max_offsets_per_trigger=args.max_per_trigger)
         else:
             raw = json_topic(spark, args.changelog, schemas.CHANGELOG_TOPIC,
                              max_files_per_trigger=args.max_per_trigger)
-        queries = [start_cdc_sync(spark, raw, lambda: spark.read.parquet(args.flow), args.table,
+        queries = [start_cdc_sync(spark, raw, lambda: load_table(spark, args.flow), args.table,
                                   ckpt, trigger, args.compact_every)]
     else:
         raise SystemExit(f"unknown job {args.job}")
@@ -161,7 +219,7 @@ def main(argv: list[str] | None = None) -> int:
         for q in queries:
             q.awaitTermination()
         app = _app_step(args.job)
-        if app is not None:
+        if app is not None and args.dws:
             # The APP query may have started before the DWS query's last
             # batch: run it once more over everything the DWS query wrote.
             schema, fn, keys, recursive = app

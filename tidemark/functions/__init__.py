@@ -1,7 +1,7 @@
 """Scalar building blocks, all built-in Spark expressions (no Python UDFs)."""
 
 from tidemark.functions.casts import try_cast_columns
-from tidemark.functions.keys import full_md5_key, row_key, uppercase_keys
+from tidemark.functions.keys import full_md5_key, row_key
 from tidemark.functions.labels import (
     HOUR_LABEL, MINUTE_LABEL, TEN_MINUTE_LABEL, current_hour_label, hour_of_day,
     window_label,
@@ -9,6 +9,6 @@ from tidemark.functions.labels import (
 
 __all__ = [
     "HOUR_LABEL", "MINUTE_LABEL", "TEN_MINUTE_LABEL", "current_hour_label",
-    "full_md5_key", "hour_of_day", "row_key", "try_cast_columns", "uppercase_keys",
+    "full_md5_key", "hour_of_day", "row_key", "try_cast_columns",
     "window_label",
 ]

@@ -37,16 +37,17 @@ def row_key(cols: Sequence[str | Column]) -> Column:
     return salted(joined_key(parts))
 
 
+def map_value(data: Column, name: Column) -> Column:
+    """Value of a map's key, the name matched without case (NULL if absent)."""
+    low = F.lower(name)
+    return F.try_element_at(F.map_values(F.map_filter(data, lambda k, v: F.lower(k) == low)), F.lit(1))
+
+
 def row_key_from_map(data: Column, key_names: Column) -> Column:
-    """Salted row key of a string map, key names given as an array column."""
-    return salted(joined_key(F.transform(key_names, lambda k: F.try_element_at(data, k))))
+    """Salted row key of a string map, key names given as an array column (matched without case)."""
+    return salted(joined_key(F.transform(key_names, lambda k: map_value(data, k))))
 
 
 def full_md5_key(col: str | Column) -> Column:
     v = _col(col).cast("string")
     return F.concat(F.md5(v), F.lit("_"), v)
-
-
-def uppercase_keys(data: Column, flag: Column) -> Column:
-    """Upper-case the qualifiers of a map when the routing flag says so."""
-    return F.transform_keys(data, lambda k, v: F.when(flag, F.upper(k)).otherwise(k))

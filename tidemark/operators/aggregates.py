@@ -33,8 +33,7 @@ def user_totals_keyed(orders_text: DataFrame) -> DataFrame:
 
 
 def user_order_counts_md5(orders_text: DataFrame) -> DataFrame:
-    """``SELECT MD5(u)||'_'||u AS rowkey, ROW(u, n) AS cf FROM (SELECT u,
-    count(distinct orderId) n .. GROUP BY u)``."""
+    """Distinct orders of each user, keyed by the user id behind its whole MD5."""
     t = orders_text.groupBy("userId").agg(F.count_distinct("orderId").alias("order_num"))
     return t.select(full_md5_key("userId").alias("rowkey"),
                     F.struct(F.col("userId").alias("user_id"), "order_num").alias("cf"))

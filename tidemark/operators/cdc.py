@@ -28,8 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.keys import joined_key, row_key_from_map, salted
-from tidemark.operators.joins import broadcast_if_small
+from tidemark.functions.keys import joined_key, map_value, row_key_from_map, salted
 
 CHANGELOG_SCHEMA = (
     "database string, table string, type string, es bigint, ts bigint, "
@@ -60,19 +59,6 @@ def split_parsed(parsed: DataFrame, value_col: str = "value") -> tuple[DataFrame
     return messages, rejects
 
 
-HEADER_SCHEMA = "database string, table string, type string"
-
-
-def changelog_rejects(raw: DataFrame, value_col: str = "value") -> DataFrame:
-    """Records without a database, table and type, found by a header-only
-    parse (no arrays of maps are built)."""
-    keep = [c for c in raw.columns if c != value_col]
-    h = raw.select(*keep, F.col(value_col),
-                   F.inline_outer(F.array(F.from_json(F.col(value_col), HEADER_SCHEMA))))
-    ok = F.col("database").isNotNull() & F.col("table").isNotNull() & F.col("type").isNotNull()
-    return h.where(~F.coalesce(ok, F.lit(False))).select(*keep, F.col(value_col))
-
-
 def parse_changelog(raw: DataFrame, value_col: str = "value") -> tuple[DataFrame, DataFrame]:
     """JSON text to message columns; returns ``(messages, rejects)``.
 
@@ -89,19 +75,16 @@ def latest_flow(flow: DataFrame) -> DataFrame:
     return flow.groupBy("databaseName", "tableName").agg(best).select("f.*").select(*cols)
 
 
-def route(messages: DataFrame, flow: DataFrame, max_broadcast_rows: int = 100_000,
-          flow_rows: int | None = None) -> DataFrame:
+def route(messages: DataFrame, flow: DataFrame) -> DataFrame:
     """Keep messages whose (database, table) has a running config; attach it.
 
     Joined on both columns (no concatenated key, so ``ab``+``c`` never
-    matches ``a``+``bc``).  The config is small and broadcast behind a
-    row-count check (``flow_rows``: a count already taken, e.g. by the cache
-    that polls the config, bounds the reduced config too).
+    matches ``a``+``bc``).  Spark broadcasts the config if its measured size
+    is under the session's threshold, and shuffles it otherwise.
     """
     f = latest_flow(flow).where(F.col("status") == FLOW_RUNNING)
-    f = broadcast_if_small(f.select("databaseName", "tableName", "flowId", "hbaseTable",
-                                    "family", "uppercaseQualifier", "rowKey"), max_broadcast_rows,
-                           known_rows=flow_rows)
+    f = f.select("databaseName", "tableName", "flowId", "hbaseTable",
+                 "family", "uppercaseQualifier", "rowKey")
     j = messages.join(f, (messages["database"] == f["databaseName"])
                       & (messages["table"] == f["tableName"]), "inner")
     return j.drop("databaseName", "tableName")
@@ -112,9 +95,29 @@ def _ci_member(names: Column, name: Column) -> Column:
     return F.exists(names, lambda k: F.lower(k) == low)
 
 
-def _ci_value(m: Column, name: Column) -> Column:
-    low = F.lower(name)
-    return F.try_element_at(F.map_values(F.map_filter(m, lambda k, v: F.lower(k) == low)), F.lit(1))
+def _key_columns(row_key: Column) -> Column:
+    return F.transform(F.split(row_key, ","), lambda k: F.trim(k))
+
+
+def _has_keys(routed_key: Column, data: Column) -> Column:
+    """Whether every row image of a message names every key column."""
+    return F.forall(data, lambda d: d.isNull() | F.forall(
+        routed_key, lambda k: F.exists(F.map_keys(d), lambda c: F.lower(c) == F.lower(k))))
+
+
+def split_routed(routed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(usable, rejects)``: messages with a row image that lacks a configured
+    key column have no row key and go to the rejects."""
+    good = F.coalesce(_has_keys(_key_columns(F.col("rowKey")), F.col("data")), F.lit(True))
+    return routed.where(good), routed.where(~good)
+
+
+def table_partitions(messages: DataFrame) -> DataFrame:
+    """``database, table, low, high``: the topic partitions each source table came on.
+
+    Offsets order the changes of a table only within one partition."""
+    return messages.groupBy("database", "table").agg(
+        F.min("partition").alias("low"), F.max("partition").alias("high"))
 
 
 def to_ops(routed: DataFrame) -> DataFrame:
@@ -128,7 +131,7 @@ def to_ops(routed: DataFrame) -> DataFrame:
     base = routed.where(kind.isin("INSERT", "UPDATE", "DELETE")).select(
         "hbaseTable", "offset", "family", "uppercaseQualifier",
         kind.alias("op"),
-        F.split(F.trim(F.col("rowKey")), ",").alias("key_cols"),
+        _key_columns(F.col("rowKey")).alias("key_cols"),
         F.transform(F.col("data"), lambda d, i: F.struct(
             d.alias("d"), F.try_element_at(F.col("old"), i + 1).alias("o"))).alias("rows"),
     )
@@ -137,7 +140,7 @@ def to_ops(routed: DataFrame) -> DataFrame:
     changed = F.coalesce(F.map_keys(o), F.array().cast("array<string>"))
     key_change = (F.col("op") == "UPDATE") & F.exists(changed, lambda c: _ci_member(keys, c))
     old_key = salted(joined_key(F.transform(keys, lambda k: F.when(
-        _ci_member(changed, k), _ci_value(o, k)).otherwise(F.try_element_at(d, k)))))
+        _ci_member(changed, k), map_value(o, k)).otherwise(map_value(d, k)))))
     rows = rows.where(d.isNotNull()).select(
         "hbaseTable", "offset", "pos", "family", "uppercaseQualifier", "op",
         d.alias("d"), changed.alias("changed"), key_change.alias("key_change"),

@@ -31,9 +31,10 @@ def top1_desc(df: DataFrame, partition: Sequence[str], order: Sequence[str]) ->
     """``row_number() OVER (PARTITION BY p ORDER BY o1 DESC, o2 DESC ..) = 1``.
 
     Written as ``max(struct(order.., rest..))``: struct comparison is
-    lexicographic with nulls lowest, which is ``DESC NULLS LAST``.  Unlike a
-    window it needs no sort and combines partially before the shuffle, so a
-    partition key with a third of the rows is not gathered in one task.
+    lexicographic with nulls lowest, which is ``DESC NULLS LAST``.  A struct
+    buffer makes it a sort aggregate, but unlike a window it combines before
+    the shuffle, so a partition key with a third of the rows is not gathered
+    in one task.
     The remaining columns break ties, which makes the pick deterministic.
     """
     rest = [c for c in df.columns if c not in partition and c not in order]

@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, broadcast_if_small
-
 # Fixed values of the source job: parents 1..8 keep their name, anything else
 # (including an unmatched lookup, whose parent is NULL) is labelled "其他".
 KNOWN_PARENT_IDS = (1, 2, 3, 4, 5, 6, 7, 8)
@@ -15,28 +13,25 @@ OTHER_CATEGORY = "其他"
 
 def category_name(parent_id: str = "parent_category_id",
                   parent_name: str = "parent_category_name"):
-    """``CASE WHEN parent IN (1..8) THEN name ELSE '其他' END`` (NULL parent -> else)."""
+    """The parent's name where it is one of the known parents, else the label for all others."""
     return (F.when(F.col(parent_id).isin(*KNOWN_PARENT_IDS), F.col(parent_name))
             .otherwise(F.lit(OTHER_CATEGORY)))
 
 
-def enrich_category(behavior: DataFrame, dim: DataFrame,
-                    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                    dim_rows: int | None = None) -> DataFrame:
+def enrich_category(behavior: DataFrame, dim: DataFrame) -> DataFrame:
     """Left lookup join on ``category_id = sub_category_id``.
 
-    Output: ``user_id, item_id, behavior, category_name``.  The dimension is
-    broadcast when its row count is within the bound (the source's lookup
-    cache held 5,000 rows); a larger one is shuffle-joined instead.
-    Works on a streaming ``behavior`` too (stream-static join).
+    Output: ``user_id, item_id, behavior, category_name``.  Spark broadcasts
+    the dimension if its size in bytes is under the session's threshold (the
+    file size at planning, or the measured size at run time), and shuffles
+    both sides otherwise.
     """
     d = dim.select("sub_category_id", "parent_category_id", "parent_category_name")
-    d = broadcast_if_small(d, max_broadcast_rows, known_rows=dim_rows)
     joined = behavior.join(d, behavior["category_id"] == d["sub_category_id"], "left")
     return joined.select("user_id", "item_id", "behavior", category_name().alias("category_name"))
 
 
 def purchases_by_category(enriched: DataFrame, behavior_value: str = "buy") -> DataFrame:
-    """``SELECT category_name, COUNT(*) order_num .. WHERE behavior = 'buy' GROUP BY 1``."""
+    """Number of purchases of each parent category, as ``category_name, order_num``."""
     return (enriched.where(F.col("behavior") == behavior_value)
             .groupBy("category_name").agg(F.count(F.lit(1)).alias("order_num")))

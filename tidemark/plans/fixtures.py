@@ -8,6 +8,8 @@ tables.  Fixed derivation constants are collected at the top.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,15 +26,14 @@ ORDER_KEY_COLUMNS = "orderId,orderNo"
 CDC_DATABASE = "test"
 CDC_BLOCK = 4                     # orders per changelog message
 PHASE_STRIDE = 1_000_000_000_000  # offset = phase * stride + block
-KEY_SHIFT = 10_000_000            # key change: orderId + 10,000,000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def behavior(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """ods.user_behavior: user_id, item_id, category_id, behavior, ts."""
+def behavior(spark: SparkSession, sf_dir: str, keep: Sequence[str] = ()) -> DataFrame:
+    """ods.user_behavior: user_id, item_id, category_id, behavior, ts (and event columns to ``keep``)."""
     e = table(spark, sf_dir, "events")
     return e.select(
         F.col("user_id"),
@@ -41,6 +42,7 @@ def behavior(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("event_type") == PURCHASE_EVENT, F.lit(BUY))
          .otherwise(F.col("event_type")).alias("behavior"),
         F.col("ts"),
+        *keep,
     )
 
 
@@ -100,16 +102,20 @@ def text_fields(df: DataFrame) -> dict[str, Column]:
     }
 
 
-def orders_kv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """dwd.orders_kv: rowkey + family ``cf`` of text fields."""
+def orders_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The keyed order table with its family expanded: rowkey + text fields.
+
+    Flat columns, so a query of a few fields reads those alone (a struct in
+    between would hold all of them, and the lookup join that feeds them)."""
     o = orders(spark, sf_dir)
     t = text_fields(o)
-    # Text columns first, then a struct of plain column references: the
-    # optimizer can see through it, so a query reading a few fields prunes
-    # the rest (and the lookup join feeding them) from the scan.
-    flat = o.select(row_key(["orderId", "orderNo"]).alias("rowkey"),
+    return o.select(row_key(["orderId", "orderNo"]).alias("rowkey"),
                     *[t[name].alias(name) for name in ORDER_FIELDS])
-    return to_keyed(flat, F.col("rowkey"), "cf", list(ORDER_FIELDS))
+
+
+def orders_kv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """dwd.orders_kv: rowkey + family ``cf`` of text fields."""
+    return to_keyed(orders_text(spark, sf_dir), F.col("rowkey"), "cf", list(ORDER_FIELDS))
 
 
 def category(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -147,6 +153,11 @@ def _text_map(fields: dict[str, Column]) -> Column:
     return F.create_map(*kv)
 
 
+def key_shift(spark: SparkSession, sf_dir: str) -> int:
+    """What a key change adds to an order key: beyond the greatest key, so no moved key meets another."""
+    return (table(spark, sf_dir, "orders").agg(F.max("o_orderkey")).first()[0] or 0) + 1
+
+
 def changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A binlog-style JSON topic derived from ``orders`` (and two other tables).
 
@@ -156,7 +167,7 @@ def changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
     0. INSERT every order.
     1. UPDATE realTotalMoney + 1 where orderId % 3 = 0.
     2. UPDATE province to NULL where orderId % 7 = 0.
-    3. Key change orderId -> orderId + 10,000,000 where orderId % 50 = 0.
+    3. Key change orderId -> orderId + ``key_shift`` where orderId % 50 = 0.
     4. DELETE where orderId % 10 = 1.
     5. ``insert`` (lower case) the original row again where orderId % 100 = 1.
     6. INSERT every customer (no routing config: dropped).
@@ -170,7 +181,7 @@ def changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
     t1 = {**t0, "realTotalMoney": F.when(oid % 3 == 0, (F.col("realTotalMoney") + 1).cast("string"))
                                    .otherwise(t0["realTotalMoney"])}
     t2 = {**t1, "province": F.when(oid % 7 == 0, F.lit(None).cast("string")).otherwise(t1["province"])}
-    t3 = {**t2, "orderId": (oid + KEY_SHIFT).cast("string")}
+    t3 = {**t2, "orderId": (oid + key_shift(spark, sf_dir)).cast("string")}
     no_old = F.lit(None).cast("map<string,string>")
     phases = [
         (0, "INSERT", F.lit(True), _text_map(t0), no_old),

@@ -53,7 +53,7 @@ def user_province_hour(orders: DataFrame) -> DataFrame:
                           keys=["userId", "province"],
                           sums={"gmv": F.col("realTotalMoney").cast("double")})
     return w.select("userId", "province", hour_of_day("window").alias("hour_of_day"),
-                    "order_num", F.round("gmv", 2).alias("gmv"))
+                    "order_num", "gmv")
 
 
 def user_province_hour_app(dws: DataFrame) -> DataFrame:

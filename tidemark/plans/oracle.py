@@ -7,7 +7,7 @@ Spark code paths.
 
 from __future__ import annotations
 
-from tidemark.plans.registry import ADHOC_SQL, CURRENT_HOUR_NOW
+from tidemark.plans.registry import CURRENT_HOUR_NOW
 
 FX_ORDERS_TIME = """fx_orders_time AS (
   SELECT event_id AS orderId, user_id AS userId, event_type AS province,
@@ -76,7 +76,7 @@ CDC_BASE = _with(FX_ORDERS, FX_TEXT, """img AS (
               THEN CAST(CAST(t.realTotalMoney AS DECIMAL(11,2)) + 1 AS VARCHAR)
               ELSE t.realTotalMoney END AS rtm1,
          CASE WHEN CAST(t.orderId AS BIGINT) % 7 = 0 THEN NULL ELSE t.province END AS prov2,
-         CAST(CAST(t.orderId AS BIGINT) + 10000000 AS VARCHAR) AS oid3
+         CAST(CAST(t.orderId AS BIGINT) + (SELECT max(o_orderkey) + 1 FROM orders) AS VARCHAR) AS oid3
   FROM fx_text t)""", """ph AS (
   SELECT *, CAST(row_number() OVER (PARTITION BY phase, block ORDER BY oid) - 1 AS INTEGER) AS pos,
          phase * 1000000000000 + block AS "offset",
@@ -116,7 +116,7 @@ CDC_STATE = _with(FX_ORDERS, FX_TEXT, """img AS (
               ELSE t.realTotalMoney END AS rtm1,
          CASE WHEN CAST(t.orderId AS BIGINT) % 7 = 0 THEN NULL ELSE t.province END AS prov2,
          CASE WHEN CAST(t.orderId AS BIGINT) % 7 = 0 THEN '' ELSE t.province END AS prov_upd,
-         CAST(CAST(t.orderId AS BIGINT) + 10000000 AS VARCHAR) AS oid3
+         CAST(CAST(t.orderId AS BIGINT) + (SELECT max(o_orderkey) + 1 FROM orders) AS VARCHAR) AS oid3
   FROM fx_text t)""") + "SELECT 'dwd:orders' AS hbaseTable, rowkey, family, qualifier, value FROM (\n  " + "\n  UNION ALL ".join([
     _cells(_KEEP, _rk(_j("orderId", "orderNo")), "1 AS x",
            {"realTotalMoney": "rtm1", "province": "prov_upd"}),
@@ -138,7 +138,7 @@ GROUP BY ALL"""
 
 CLOSED_USER_HOURS = """dws AS (
   SELECT userId, province, CAST(hour(date_trunc('hour', createTime)) AS BIGINT) AS hour_of_day,
-         count(DISTINCT orderId) AS order_num, round(sum(CAST(realTotalMoney AS DOUBLE)), 2) AS gmv
+         count(DISTINCT orderId) AS order_num, sum(CAST(realTotalMoney AS DOUBLE)) AS gmv
   FROM fx_orders_time WHERE createTime IS NOT NULL
   GROUP BY userId, province, date_trunc('hour', createTime)
   HAVING date_trunc('hour', createTime) + INTERVAL 1 HOUR
@@ -166,10 +166,10 @@ GROUP BY userId, province, date_trunc('hour', createTime)""",
 
     "user_province_hour_app": _with(FX_ORDERS_TIME, """dws AS (
   SELECT userId, province, CAST(hour(date_trunc('hour', createTime)) AS BIGINT) AS hour_of_day,
-         count(DISTINCT orderId) AS order_num, round(sum(CAST(realTotalMoney AS DOUBLE)), 2) AS gmv
+         count(DISTINCT orderId) AS order_num, sum(CAST(realTotalMoney AS DOUBLE)) AS gmv
   FROM fx_orders_time WHERE createTime IS NOT NULL
   GROUP BY userId, province, date_trunc('hour', createTime))""") + """
-SELECT userId, province, hour_of_day, max(order_num) AS buy_cnt, max(gmv) AS gmv
+SELECT userId, province, hour_of_day, max(order_num) AS buy_cnt, round(max(gmv), 2) AS gmv
 FROM dws GROUP BY userId, province, hour_of_day""",
 
     "uv_10min": _with(FX_BEHAVIOR, """dws AS (
@@ -232,13 +232,13 @@ FROM r WHERE rn = 1""",
 
     "user_top1": _with(FX_ORDERS_TIME, """dws AS (
   SELECT userId, province, CAST(hour(date_trunc('hour', createTime)) AS BIGINT) AS hour_of_day,
-         count(DISTINCT orderId) AS order_num, round(sum(CAST(realTotalMoney AS DOUBLE)), 2) AS gmv
+         count(DISTINCT orderId) AS order_num, sum(CAST(realTotalMoney AS DOUBLE)) AS gmv
   FROM fx_orders_time WHERE createTime IS NOT NULL
   GROUP BY userId, province, date_trunc('hour', createTime))""", """r AS (
   SELECT *, row_number() OVER (PARTITION BY userId ORDER BY order_num DESC NULLS LAST,
          gmv DESC NULLS LAST, province DESC NULLS LAST, hour_of_day DESC NULLS LAST) AS rownum
   FROM dws)""") + """
-SELECT userId, province, hour_of_day, order_num, gmv FROM r WHERE rownum = 1""",
+SELECT userId, province, hour_of_day, order_num, round(gmv, 2) AS gmv FROM r WHERE rownum = 1""",
 
     "salted_row_key": _with(FX_ORDERS) + """
 SELECT orderId, orderNo,
@@ -286,7 +286,7 @@ FROM kv GROUP BY userId""",
     "stream_cdc_state": CDC_STATE,
 
     "stream_user_province_hour_app": _with(FX_ORDERS_TIME, CLOSED_USER_HOURS) + """
-SELECT userId, province, hour_of_day, max(order_num) AS buy_cnt, max(gmv) AS gmv
+SELECT userId, province, hour_of_day, max(order_num) AS buy_cnt, round(max(gmv), 2) AS gmv
 FROM dws GROUP BY userId, province, hour_of_day""",
 
     "stream_user_orders": _with(FX_ORDERS_TIME) + """
@@ -298,10 +298,52 @@ FROM fx_orders_time GROUP BY userId""",
   SELECT *, row_number() OVER (PARTITION BY userId ORDER BY order_num DESC NULLS LAST,
          gmv DESC NULLS LAST, province DESC NULLS LAST, hour_of_day DESC NULLS LAST) AS rownum
   FROM dws)""") + """
-SELECT userId, province, hour_of_day, order_num, gmv FROM r WHERE rownum = 1""",
+SELECT userId, province, hour_of_day, order_num, round(gmv, 2) AS gmv FROM r WHERE rownum = 1""",
 
-    "adhoc_sql": _with(FX_ORDERS, FX_TEXT, "flink_dwd_orders AS (SELECT * FROM fx_text)") + ADHOC_SQL,
+    "adhoc_sql": _with(FX_ORDERS) + """
+SELECT CAST(userId AS VARCHAR) AS customer, count(DISTINCT orderId) AS orders_placed,
+       CAST(min(CAST(createTime AS DATE)) AS VARCHAR) AS first_day,
+       round(sum(CAST(realTotalMoney AS DOUBLE)) FILTER (WHERE payFrom = 1), 2) AS paid_by_card
+FROM fx_orders GROUP BY userId""",
 }
+ORACLE_SQL["stream_orders_per_minute"] = _with(FX_ORDERS_TIME, """dws AS (
+  SELECT strftime(date_trunc('minute', createTime), '%Y-%m-%d %H:%M') AS day_time_str,
+         count(DISTINCT orderId) AS order_num
+  FROM fx_orders_time WHERE createTime IS NOT NULL GROUP BY date_trunc('minute', createTime)
+  HAVING date_trunc('minute', createTime) + INTERVAL 1 MINUTE
+         <= (SELECT max(createTime) FROM fx_orders_time) - INTERVAL 5 SECOND)""") + """
+SELECT substring(day_time_str, 1, 10) AS dt, day_time_str, max(order_num) AS buy_cnt FROM dws GROUP BY day_time_str"""
+# Late rows count only where their window ends after the first slice's watermark.
+ORACLE_SQL["stream_late_rows"] = """WITH marks AS (
+  SELECT max(ts) FILTER (WHERE event_id % 4 <> 3) - INTERVAL 5 SECOND AS first_mark,
+         max(ts) - INTERVAL 5 SECOND AS last_mark FROM events),
+kept AS (
+  SELECT user_id, time_bucket(INTERVAL 10 MINUTE, ts) AS w FROM events, marks
+  WHERE event_id % 4 <> 3 OR time_bucket(INTERVAL 10 MINUTE, ts) + INTERVAL 10 MINUTE > first_mark)
+SELECT strftime(w, '%Y-%m-%d %H:%M') AS day_time_str, count(DISTINCT user_id) AS uv
+FROM kept, marks WHERE w + INTERVAL 10 MINUTE <= last_mark GROUP BY w"""
+ORACLE_SQL["stream_category_refreshed"] = _with(FX_CATEGORY) + """
+SELECT CASE WHEN c.parent_category_id IN (1, 2, 3, 4, 5, 6, 7, 8) THEN c.parent_category_name
+            ELSE '其他' END AS category_name, count(*) AS buy_cnt
+FROM events e LEFT JOIN fx_category c
+  ON TRY_CAST(json_extract_string(e.props, '$.k') AS INTEGER) = c.sub_category_id
+ AND (e.event_id % 2 = 1 OR c.sub_category_id < 10)
+WHERE e.event_type = 'purchase' GROUP BY 1"""
+_SYNCED = "WITH cells AS (" + CDC_STATE + "), kv AS (SELECT rowkey, " + ", ".join(
+    f"max(CASE WHEN lower(qualifier) = '{f.lower()}' THEN value END) AS {f}" for f in ORDER_FIELDS) + \
+    " FROM cells GROUP BY rowkey)\n"
+ORACLE_SQL["stream_cdc_user_orders"] = ORACLE_SQL["cdc_user_orders"]
+ORACLE_SQL["stream_cdc_dwd_current_hour"] = _SYNCED + f"""
+SELECT TRY_CAST(orderId AS BIGINT) AS orderId, orderNo, TRY_CAST(userId AS BIGINT) AS userId,
+       TRY_CAST(goodId AS BIGINT) AS goodId, TRY_CAST(goodsMoney AS DOUBLE) AS goodsMoney,
+       TRY_CAST(realTotalMoney AS DOUBLE) AS realTotalMoney, TRY_CAST(payFrom AS BIGINT) AS payFrom,
+       province, TRY_CAST(createTime AS TIMESTAMP) AS createTime
+FROM kv
+WHERE substring(createTime, 1, 13) = strftime(TIMESTAMP '{CURRENT_HOUR_NOW}' + INTERVAL 8 HOUR, '%Y-%m-%d %H')"""
+ORACLE_SQL["stream_cdc_sql"] = _SYNCED + """
+SELECT payFrom AS channel, count(*) AS orders_kept, round(sum(CAST(realTotalMoney AS DOUBLE)), 2) AS money
+FROM kv GROUP BY payFrom"""
+ORACLE_SQL["stream_item_counts_late"] = ORACLE_SQL["item_counts_upsert"]
 ORACLE_SQL["stream_item_counts_upsert"] = ORACLE_SQL["item_counts_upsert"]
 ORACLE_SQL["stream_topic_select"] = _with(FX_BEHAVIOR) + """
 SELECT user_id, item_id, CAST(category_id AS BIGINT) AS category_id, behavior, ts FROM fx_behavior"""

@@ -24,17 +24,21 @@ from tidemark.plans import jobs
 # Fixed clock for the current-hour extract: 16:30 UTC is 00:30 next day at UTC+8.
 CURRENT_HOUR_NOW = "1998-08-01 16:30:00"
 
-ADHOC_SQL = (
-    "SELECT MD5(USERID)||'_'||USERID AS rowkey, USERID AS user_id, ORDER_NUM AS order_num "
-    "FROM (SELECT USERID, count(distinct ORDERID) AS ORDER_NUM FROM flink_dwd_orders "
-    "GROUP BY USERID) TEMP"
-)
+# A statement of the kind an analyst types: text fields of the keyed order table.
+ADHOC_SQL = """
+WITH per_customer AS (
+  SELECT userId AS customer, count(DISTINCT orderId) AS orders_placed,
+         substring(min(createTime), 1, 10) AS first_day,
+         sum(CASE WHEN payFrom = '1' THEN CAST(realTotalMoney AS DOUBLE) END) AS by_card
+  FROM keyed_orders GROUP BY userId)
+SELECT customer, orders_placed, first_day, round(by_card, 2) AS paid_by_card FROM per_customer
+"""
 
 
 def register_warehouse(spark: SparkSession, sf_dir: str) -> None:
-    """Temp views for ad-hoc SQL: the keyed order table (family expanded, as
-    ``flink_dwd_orders``), the behaviour log and the category dimension."""
-    jobs.order_text(fx.orders_kv(spark, sf_dir)).createOrReplaceTempView("flink_dwd_orders")
+    """Temp views for ad-hoc SQL: the keyed order table (as ``keyed_orders`` with
+    its family expanded), the behaviour log and the category dimension."""
+    fx.orders_text(spark, sf_dir).createOrReplaceTempView("keyed_orders")
     fx.orders_kv(spark, sf_dir).createOrReplaceTempView("dwd_orders_kv")
     fx.behavior(spark, sf_dir).createOrReplaceTempView("user_behavior")
     fx.category(spark, sf_dir).createOrReplaceTempView("dim_category")
@@ -46,6 +50,11 @@ def adhoc_sql(spark: SparkSession, sf_dir: str, text: str = ADHOC_SQL) -> DataFr
     return spark.sql(text)
 
 
+def _money(df: DataFrame) -> DataFrame:
+    """Sums rounded for comparison with the oracle; the jobs keep them as they are."""
+    return df.withColumn("gmv", F.round("gmv", 2))
+
+
 def q_orders_per_hour(spark, d):
     return jobs.orders_per_hour_app(jobs.orders_per_hour(fx.orders_time(spark, d)))
 
@@ -55,11 +64,11 @@ def q_orders_per_minute(spark, d):
 
 
 def q_user_province_hour_windows(spark, d):
-    return jobs.user_province_hour(fx.orders_time(spark, d))
+    return _money(jobs.user_province_hour(fx.orders_time(spark, d)))
 
 
 def q_user_province_hour_app(spark, d):
-    return jobs.user_province_hour_app(jobs.user_province_hour(fx.orders_time(spark, d)))
+    return _money(jobs.user_province_hour_app(jobs.user_province_hour(fx.orders_time(spark, d))))
 
 
 def q_uv_10min(spark, d):
@@ -83,17 +92,17 @@ def q_dwd_current_hour(spark, d):
 
 
 def q_user_orders(spark, d):
-    t = agg.user_totals_keyed(jobs.order_text(fx.orders_kv(spark, d)))
+    t = agg.user_totals_keyed(fx.orders_text(spark, d))
     return t.select("rowkey", "cf.user_id", "cf.order_num", F.round("cf.gmv", 2).alias("gmv"))
 
 
 def q_user_province_orders(spark, d):
-    t = agg.order_totals(jobs.order_text(fx.orders_kv(spark, d)), ["userId", "province"])
+    t = agg.order_totals(fx.orders_text(spark, d), ["userId", "province"])
     return t.select("userId", "province", "order_num", F.round("gmv", 2).alias("gmv"))
 
 
 def q_user_orders_md5(spark, d):
-    return agg.user_order_counts_md5(jobs.order_text(fx.orders_kv(spark, d))).select("rowkey", "cf.*")
+    return agg.user_order_counts_md5(fx.orders_text(spark, d)).select("rowkey", "cf.*")
 
 
 def q_item_counts_upsert(spark, d):
@@ -102,7 +111,7 @@ def q_item_counts_upsert(spark, d):
 
 def q_user_top1(spark, d):
     dws = jobs.user_province_hour(fx.orders_time(spark, d))
-    return top1_desc(dws, ["userId"], ["order_num", "gmv"])
+    return _money(top1_desc(dws, ["userId"], ["order_num", "gmv"]))
 
 
 def q_salted_row_key(spark, d):
@@ -144,111 +153,182 @@ def q_adhoc_sql(spark, d):
     return adhoc_sql(spark, d)
 
 
-# Streaming replays: the table replayed in event-time order through the
-# streaming job (DWS query, then APP query reading the DWS topic back), in
-# REPLAY_FILES micro-batches of time-ordered files.
-REPLAY_FILES = 4
+# Streaming replays: a table replayed through a shipped streaming job, slice by
+# slice on one checkpoint (see ``streaming.replay``).
+
+
+def _slices(spark, d, *tables):
+    from tidemark.streaming.replay import slices_for
+    return slices_for(spark, [f"{d.rstrip('/')}/{t}.parquet" for t in tables])
+
+
+def _window_replay(spark, d, job, source):
+    from tidemark.streaming.replay import replay_window_job
+    return replay_window_job(spark, job, source, _slices(spark, d, "events"))
 
 
 def q_stream_orders_per_hour(spark, d):
+    """Closed hours only: the last window stays open at the end of the input."""
     from tidemark.streaming import jobs as sj
-    from tidemark.streaming.replay import replay_window_job
-    return replay_window_job(spark, sj.ORDERS_PER_HOUR, fx.orders_time(spark, d), REPLAY_FILES)
+    return _window_replay(spark, d, sj.ORDERS_PER_HOUR, fx.orders_time(spark, d))
 
 
-def q_stream_uv_10min(spark, d):
+def q_stream_orders_per_minute(spark, d):
+    """Closed minutes only: the last window stays open at the end of the input."""
     from tidemark.streaming import jobs as sj
-    from tidemark.streaming.replay import replay_window_job
-    return replay_window_job(spark, sj.UV_10MIN, fx.behavior(spark, d), REPLAY_FILES)
+    return _window_replay(spark, d, sj.ORDERS_PER_MINUTE, fx.orders_time(spark, d))
 
 
-def q_stream_category_counts(spark, d):
-    from tidemark.streaming.replay import replay_category_job
-    return replay_category_job(spark, fx.behavior(spark, d), fx.category(spark, d), REPLAY_FILES)
+def q_stream_uv_10min(spark, d):
+    """Closed ten minutes only: the last window stays open at the end of the input."""
+    from tidemark.streaming import jobs as sj
+    return _window_replay(spark, d, sj.UV_10MIN, fx.behavior(spark, d))
 
 
 def q_stream_user_province_hour_app(spark, d):
+    """Closed hours only: the last windows stay open at the end of the input."""
     from tidemark.streaming import jobs as sj
-    from tidemark.streaming.replay import replay_window_job
-    return replay_window_job(spark, sj.USER_PROVINCE_HOUR, fx.orders_time(spark, d), REPLAY_FILES)
+    return _money(_window_replay(spark, d, sj.USER_PROVINCE_HOUR, fx.orders_time(spark, d)))
 
 
-def _replay_stream(spark, df, time_col, schema=None):
-    from tidemark.session import scratch_path
-    from tidemark.sources.topic import json_topic
-    from tidemark.streaming.replay import write_replay_batches
-    root = scratch_path(spark, "replay")
-    per_batch = write_replay_batches(df, time_col, f"{root}/src", REPLAY_FILES)
-    return root, json_topic(spark, f"{root}/src", schema or df.schema, max_files_per_trigger=per_batch)
+def _late(spark, d):
+    """Behaviour in two slices: the events whose id leaves 3 modulo 4 come after all others."""
+    from tidemark.streaming.replay import Replay
+    rows = fx.behavior(spark, d, keep=["event_id"])
+    return Replay(rows, (F.col("event_id") % 4 == 3).cast("int"), 2)
+
+
+def q_stream_late_rows(spark, d):
+    """A second slice whose rows are late for every window that the first one closed.
+
+    Unique visitors per 10 minutes: the windows of the first slice but the last
+    are closed by its watermark, so the late rows change only windows that end
+    after it."""
+    from tidemark.sources.tables import keyed_table
+    from tidemark.streaming import jobs as sj
+    from tidemark.streaming.replay import AVAILABLE_NOW, wait
+    replay = _late(spark, d)
+    at, job = replay.root, sj.UV_10MIN
+    replay.run(lambda stream: sj.start_dws(job, stream, f"{at}/dws", f"{at}/ckpt", AVAILABLE_NOW))
+    wait(sj.start_app(spark, f"{at}/dws", job.dws_schema, job.app, job.app_keys, f"{at}/app",
+                      f"{at}/ckpt/app", AVAILABLE_NOW))
+    return keyed_table(spark, f"{at}/app")
+
+
+def q_stream_category_counts(spark, d):
+    from tidemark.streaming.replay import by_time, replay_category_job
+    replay = by_time(fx.behavior(spark, d), "ts", _slices(spark, d, "events"))
+    return replay_category_job(spark, replay, lambda: fx.category(spark, d))
+
+
+def q_stream_category_refreshed(spark, d):
+    """The lookup table grows while the job runs: the first slice (even event
+    ids) sees categories 0 to 9, the second all of them."""
+    from tidemark.streaming.replay import Replay, replay_category_job
+    loads = []
 
+    def load():
+        loads.append(1)
+        dim = fx.category(spark, d)
+        return dim.filter("sub_category_id < 10") if len(loads) == 1 else dim
 
-def _await_all(queries):
-    for q in queries:
-        q.awaitTermination()
-        if q.exception() is not None:
-            raise RuntimeError(str(q.exception()))
+    replay = Replay(fx.behavior(spark, d, keep=["event_id"]), F.col("event_id") % 2, 2)
+    return replay_category_job(spark, replay, load, max_age_s=0.0)
 
 
 def q_stream_user_orders(spark, d):
     """Un-windowed per-user distinct orders and GMV on a stream (orders as events)."""
     from tidemark.streaming import jobs as sj
-    root, stream = _replay_stream(spark, fx.orders_time(spark, d), "createTime")
-    _await_all(sj.start_user_totals_stream(spark, stream, f"{root}/t", f"{root}/ckpt",
-                                           {"availableNow": True}))
-    t = sj.read_user_totals(spark, f"{root}/t")
-    return t.select("userId", "order_num", F.round("gmv", 2).alias("gmv"))
+    from tidemark.streaming.replay import AVAILABLE_NOW, by_time
+    replay = by_time(fx.orders_time(spark, d), "createTime", _slices(spark, d, "events"))
+    at = replay.root
+    replay.run(lambda stream: sj.start_user_totals_stream(spark, stream, f"{at}/t", f"{at}/ckpt", AVAILABLE_NOW))
+    return _money(sj.read_user_totals(spark, f"{at}/t").select("userId", "order_num", "gmv"))
 
 
-def q_stream_item_counts_upsert(spark, d):
+def _item_counts(spark, replay):
     from tidemark.sources.tables import keyed_table
     from tidemark.streaming import jobs as sj
-    root, stream = _replay_stream(spark, fx.behavior(spark, d), "ts")
-    _await_all([sj.start_item_counts(spark, stream, f"{root}/t", f"{root}/ckpt", {"availableNow": True})])
-    t = keyed_table(spark, f"{root}/t")
+    from tidemark.streaming.replay import AVAILABLE_NOW
+    at = replay.root
+    replay.run(lambda stream: sj.start_item_counts(spark, stream, f"{at}/t", f"{at}/ckpt", AVAILABLE_NOW))
+    t = keyed_table(spark, f"{at}/t")
     return t.select(F.col("item_id").cast("string").alias("rowkey"),
                     F.col("item_id").cast("string").alias("item_id"),
                     F.col("category_id").cast("string").alias("category_id"),
                     "behavior", F.col("ts").cast("timestamp_ntz").alias("ts"), "cnt")
 
 
+def q_stream_item_counts_upsert(spark, d):
+    from tidemark.streaming.replay import by_time
+    return _item_counts(spark, by_time(fx.behavior(spark, d), "ts", _slices(spark, d, "events")))
+
+
+def q_stream_item_counts_late(spark, d):
+    """A quarter of the rows arrives after all others, late by any watermark: all count."""
+    return _item_counts(spark, _late(spark, d))
+
+
 def q_stream_user_top1(spark, d):
-    """Hourly per-user windows on a stream (append), then the best window per
-    user on the resulting DWS stream (update), upserted."""
-    from tidemark.sinks.topic import append_topic
+    """Hourly per-user windows on a stream (append; closed hours only), then the
+    best window per user on the resulting DWS stream (update), upserted."""
     from tidemark.sources.tables import keyed_table
     from tidemark.sources.topic import json_topic
     from tidemark.streaming import jobs as sj
-    from tidemark.streaming.event_time import with_event_time
-    root, stream = _replay_stream(spark, fx.orders_time(spark, d), "createTime")
-    dws = jobs.user_province_hour(with_event_time(stream, "createTime"))
-    _await_all([append_topic(dws, f"{root}/dws", f"{root}/ckpt/dws", {"availableNow": True})])
-    dws_stream = json_topic(spark, f"{root}/dws", sj.USER_PROVINCE_HOUR.dws_schema)
-    _await_all([sj.start_user_top1(spark, dws_stream, f"{root}/top", f"{root}/ckpt/top",
-                                   {"availableNow": True})])
-    return keyed_table(spark, f"{root}/top").select("userId", "province", "hour_of_day", "order_num", "gmv")
+    from tidemark.streaming.replay import AVAILABLE_NOW, by_time, wait
+    replay = by_time(fx.orders_time(spark, d), "createTime", _slices(spark, d, "events"))
+    at, job = replay.root, sj.USER_PROVINCE_HOUR
+    replay.run(lambda stream: sj.start_dws(job, stream, f"{at}/dws", f"{at}/ckpt", AVAILABLE_NOW))
+    dws = json_topic(spark, f"{at}/dws", job.dws_schema)
+    wait(sj.start_user_top1(spark, dws, f"{at}/top", f"{at}/ckpt/top", AVAILABLE_NOW))
+    return _money(keyed_table(spark, f"{at}/top").select("userId", "province", "hour_of_day", "order_num", "gmv"))
+
+
+def _cdc_table(spark, d):
+    """The changelog replayed through the CDC sync, compacting every 2 batches; the table's path."""
+    from tidemark.streaming.cdc_apply import start_cdc_sync
+    from tidemark.streaming.replay import AVAILABLE_NOW, Replay, SLICES
+    phase = F.floor(F.col("offset") / fx.PHASE_STRIDE)
+    n = max(SLICES, _slices(spark, d, "orders"))
+    part = F.when(phase == 0, F.pmod(F.col("offset"), F.lit(n - 2))).when(phase < 4, n - 2).otherwise(n - 1)
+    replay = Replay(fx.changelog(spark, d), part, n)
+    at = replay.root
+    replay.run(lambda stream: start_cdc_sync(spark, stream, lambda: fx.flow(spark), f"{at}/table", f"{at}/ckpt",
+                                             AVAILABLE_NOW, compact_every=2))
+    return f"{at}/table"
 
 
 def q_stream_cdc_state(spark, d):
-    """The changelog replayed as a topic through the streaming CDC sync
-    (compacting every 2 batches); the resulting keyed state's live cells."""
-    from tidemark.session import scratch_path
+    """Live cells of the keyed state that the streaming CDC sync maintains."""
     from tidemark.sinks.keyed_state import KeyedStateTable
-    from tidemark.sources.topic import json_topic
-    from tidemark.streaming.cdc_apply import start_cdc_sync
-    from tidemark.streaming.replay import write_replay_batches
-    root = scratch_path(spark, "replay")
-    log = fx.changelog(spark, d)
-    per_batch = write_replay_batches(log, "offset", f"{root}/topic", REPLAY_FILES)
-    stream = json_topic(spark, f"{root}/topic", log.schema, max_files_per_trigger=per_batch)
-    q = start_cdc_sync(spark, stream, lambda: fx.flow(spark), f"{root}/table",
-                       f"{root}/ckpt", {"availableNow": True}, compact_every=2)
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
-    cells = KeyedStateTable(spark, f"{root}/table").cells()
+    cells = KeyedStateTable(spark, _cdc_table(spark, d)).cells()
     return cells.select("hbaseTable", "rowkey", "family", "qualifier", "value")
 
 
+def q_stream_cdc_user_orders(spark, d):
+    """The order path as shipped: CDC sync, its table opened by the per-user job, its result read back."""
+    from tidemark.session import scratch_path
+    from tidemark.sources.tables import keyed_table
+    from tidemark.streaming import jobs as sj
+    out = scratch_path(spark, "user_totals")
+    sj.run_user_totals(keyed_table(spark, _cdc_table(spark, d)), out)
+    return _money(keyed_table(spark, out).select("rowkey", "cf.user_id", "cf.order_num", "cf.gmv"))
+
+
+def q_stream_cdc_dwd_current_hour(spark, d):
+    """The hourly extract of the table that the CDC sync maintains."""
+    from tidemark.sources.tables import keyed_table
+    return jobs.dwd_current_hour(keyed_table(spark, _cdc_table(spark, d)), now=CURRENT_HOUR_NOW)
+
+
+def q_stream_cdc_sql(spark, d):
+    """Ad-hoc SQL over the table that the CDC sync wrote, registered by name and path."""
+    from tidemark.sources.tables import register
+    register(spark, {"synced_orders": _cdc_table(spark, d)})
+    return spark.sql("SELECT payFrom AS channel, count(*) AS orders_kept, "
+                     "round(sum(CAST(realTotalMoney AS DOUBLE)), 2) AS money FROM synced_orders GROUP BY payFrom")
+
+
 def q_stream_topic_select(spark, d):
     """The behaviour log as a topic of JSON text records (ids quoted, as a
     producer may send them), read as a stream: parsed with the declared text
@@ -258,14 +338,20 @@ def q_stream_topic_select(spark, d):
     from tidemark.sinks.topic import append_topic
     from tidemark.sources.topic import json_topic, parse_json
     from tidemark.streaming.event_time import with_event_time
+    from tidemark.streaming.replay import AVAILABLE_NOW, by_time
     b = fx.behavior(spark, d)
     record = F.struct(*[F.col(c).cast("string").alias(c) for c in ("user_id", "item_id", "category_id")],
                       "behavior", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts"))
-    root, raw = _replay_stream(spark, b.select("ts", F.to_json(record).alias("value")), "ts",
-                               schema="value string")
-    rows = with_event_time(schemas.typed_behavior(parse_json(raw, schemas.USER_BEHAVIOR_TEXT)), "ts")
-    _await_all([append_topic(rows.select("*"), f"{root}/out", f"{root}/ckpt", {"availableNow": True})])
-    out = json_topic(spark, f"{root}/out", schemas.USER_BEHAVIOR, streaming=False)
+    replay = by_time(b.select("ts", F.to_json(record).alias("value")), "ts", _slices(spark, d, "events"))
+    at = replay.root
+
+    def start(raw):
+        rows = with_event_time(schemas.typed_behavior(parse_json(raw.select("value"), schemas.USER_BEHAVIOR_TEXT)),
+                               "ts")
+        return append_topic(rows.select("*"), f"{at}/out", f"{at}/ckpt", AVAILABLE_NOW)
+
+    replay.run(start)
+    out = json_topic(spark, f"{at}/out", schemas.USER_BEHAVIOR, streaming=False)
     return out.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 
@@ -299,4 +385,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_item_counts_upsert": q_stream_item_counts_upsert,
     "stream_user_top1": q_stream_user_top1,
     "stream_topic_select": q_stream_topic_select,
+    "stream_orders_per_minute": q_stream_orders_per_minute,
+    "stream_late_rows": q_stream_late_rows,
+    "stream_category_refreshed": q_stream_category_refreshed,
+    "stream_item_counts_late": q_stream_item_counts_late,
+    "stream_cdc_user_orders": q_stream_cdc_user_orders,
+    "stream_cdc_dwd_current_hour": q_stream_cdc_dwd_current_hour,
+    "stream_cdc_sql": q_stream_cdc_sql,
 }

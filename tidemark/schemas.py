@@ -5,36 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.keyed import ORDER_FIELDS
-
 # ods.user_behavior as JSON text: ids may arrive quoted, so they are read as
 # text and typed with try_cast (a bad value becomes NULL, the row is kept).
 USER_BEHAVIOR_TEXT = "user_id string, item_id string, category_id string, behavior string, ts string"
 USER_BEHAVIOR = "user_id bigint, item_id bigint, category_id bigint, behavior string, ts timestamp"
 
-# dwd.orders topic (typed extract) and the keyed order table.
+# dwd.orders topic (typed extract).
 DWD_ORDERS = ("orderId bigint, orderNo string, userId bigint, goodId bigint, goodsMoney double, "
               "realTotalMoney double, payFrom bigint, province string, createTime timestamp")
-ORDERS_KV = "rowkey string, cf struct<" + ", ".join(f"{f}: string" for f in ORDER_FIELDS) + ">"
-
 CATEGORY = "sub_category_id int, parent_category_id int, parent_category_name string"
 
 # A changelog topic record as the file double stores it (Kafka supplies
 # partition and offset itself).
 CHANGELOG_TOPIC = "partition int, offset bigint, value string"
 
-# Results.
-ORDERS_PER_HOUR = "day_hour_time string, order_num bigint"
-BUY_ORDERS_PER_HOUR = "day_hour_time string, buy_cnt bigint"
-ORDERS_PER_MINUTE = "day_time_str string, order_num bigint"
-BUY_ORDERS_PER_MINUTE = "dt string, day_time_str string, buy_cnt bigint"
-DWS_ORDERS = "userId bigint, province string, hour_of_day bigint, order_num bigint, gmv double"
-BUY_CNT_PER_HOUR = "userId bigint, province string, hour_of_day bigint, buy_cnt bigint, gmv double"
-UV_10MIN = "day_time_str string, uv bigint"
-DWS_CATEGORY = "category_name string, order_num bigint"
-TOP_CATEGORY = "category_name string, buy_cnt bigint"
-DWS_USER_ORDERS = "rowkey string, cf struct<user_id: string, order_num: bigint, gmv: double>"
-
 
 def typed_behavior(text: DataFrame) -> DataFrame:
     """Text behaviour records to ``USER_BEHAVIOR`` types with ``try_cast``."""

@@ -1,7 +1 @@
-"""Sink adapters: append topics, versioned upsert snapshots, CDC apply."""
-
-from tidemark.sinks.snapshot import SnapshotTable
-from tidemark.sinks.topic import append_topic
-from tidemark.sinks.upsert import UpsertTable, upsert_batch, upsert_table
-
-__all__ = ["SnapshotTable", "UpsertTable", "append_topic", "upsert_batch", "upsert_table"]
+"""Append topics, keyed upsert tables and the CDC state table."""

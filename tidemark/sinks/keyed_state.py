@@ -1,88 +1,41 @@
-"""A CDC-maintained keyed table: base snapshots plus appended op batches.
+"""A CDC-maintained keyed table: ops of micro-batches in a bucketed table.
 
-Layout under ``path``::
-
-    base/v=<n>      folded state (live cells + latest tombstone per row key)
-                    covering every op of micro-batches <= n
-    ops/batch=<n>   the ops of micro-batch n (overwritten if n is replayed)
-    rejects/batch=<n>  records that did not parse
-
-A micro-batch costs a write of its own ops.  Every ``compact_every`` batches
-the ops since the last base are folded into a new base, so no batch rewrites
-the whole table.  Readers fold the latest base with the pending ops; the fold
-orders by ``seq`` (offset, row, kind), so a replayed or re-delivered batch
-gives the same state.
+The fold (``operators.cdc.fold``) orders ops by ``seq`` (offset, row, kind), so
+a replayed or re-delivered batch gives the same state.  Tombstones are kept
+only as long as an older op can still arrive: compaction drops those that lie
+before the first offset of the batch it ends with, the oldest that can be
+replayed (offsets of one source table only grow).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.operators import cdc
-from tidemark.sinks.snapshot import SnapshotTable, delete_path, list_batches
-
-OPS_SCHEMA = ("hbaseTable string, rowkey string, offset bigint, pos int, kind int, "
-              "family string, qualifier string, value string")
-BATCH_DIGITS = 12
-
-
-class KeyedStateTable:
-    def __init__(self, spark: SparkSession, path: str, compact_every: int = 10, keep: int = 2):
-        self.spark = spark
-        self.path = path.rstrip("/")
-        self.compact_every = compact_every
-        self.base = SnapshotTable(spark, f"{self.path}/base", keep=keep)
+from tidemark.sinks.bucketed import BUCKETS, BucketedTable
 
-    # -- op batches ---------------------------------------------------------
-    def _ops_path(self, batch_id: int) -> str:
-        return f"{self.path}/ops/batch={batch_id:0{BATCH_DIGITS}d}"
+OPS_COLUMNS = ("hbaseTable", "rowkey", "offset", "pos", "kind", "family", "qualifier", "value")
+KIND = "keyed-state"
 
-    def _op_batches(self) -> list[int]:
-        return list_batches(self.spark, f"{self.path}/ops")
 
-    def append_ops(self, ops: DataFrame, batch_id: int) -> None:
-        ops.select(*[c.split()[0] for c in OPS_SCHEMA.split(", ")]).write.mode("overwrite").parquet(
-            self._ops_path(batch_id))
+class KeyedStateTable(BucketedTable):
+    def __init__(self, spark: SparkSession, path: str, compact_every: int = 10, buckets: int = BUCKETS):
+        super().__init__(spark, path, ["hbaseTable", "rowkey"], self._fold, {"kind": KIND}, compact_every, buckets)
 
-    def pending_ops(self, after: int | None, upto: int | None = None) -> DataFrame:
-        ids = [b for b in self._op_batches()
-               if (after is None or b > after) and (upto is None or b <= upto)]
-        if not ids:
-            return self.spark.createDataFrame([], OPS_SCHEMA)
-        return self.spark.read.schema(OPS_SCHEMA).parquet(*[self._ops_path(b) for b in ids])
+    def _fold(self, ops: DataFrame, upto: int | None) -> DataFrame:
+        state = cdc.state_as_ops(cdc.fold(ops))
+        if upto is None:
+            return state
+        oldest = (self._read([self._delta_path(upto)]).groupBy(F.col("hbaseTable").alias("of"))
+                  .agg(F.min("offset").alias("oldest")))  # one row a table
+        gone = (F.col("kind") == cdc.KIND_DELETE) & (F.col("offset") < F.col("oldest"))
+        return (state.join(F.broadcast(oldest), F.col("hbaseTable") == F.col("of"), "left")
+                .filter(~F.coalesce(gone, F.lit(False))).drop("of", "oldest"))
 
-    # -- state --------------------------------------------------------------
-    def state(self, upto: int | None = None) -> DataFrame:
-        """Folded state (``cdc.fold`` rows) including ops of batches <= ``upto``."""
-        below = None if upto is None else upto + 1
-        v = self.base.latest_version(below=below)
-        pending = [b for b in self._op_batches() if (v is None or b > v) and (upto is None or b <= upto)]
-        if v is not None and not pending:
-            return self.spark.read.parquet(self.base.version_path(v))  # already folded
-        ops = self.pending_ops(v, upto)
-        if v is not None:
-            ops = cdc.state_as_ops(self.spark.read.parquet(self.base.version_path(v))).unionByName(ops)
-        return cdc.fold(ops)
+    def apply_batch(self, ops: DataFrame, batch_id: int) -> None:
+        self.apply(ops.select(*OPS_COLUMNS), batch_id)
 
     def cells(self) -> DataFrame:
+        """Live cells: ``hbaseTable, rowkey, family, qualifier, value`` and their place in the log."""
         return cdc.live_cells(self.state())
-
-    def compact(self, upto: int) -> None:
-        """Fold everything up to batch ``upto`` into base ``v=upto``."""
-        if upto in self.base.versions():
-            return  # already compacted (a replayed batch): never overwrite what we read
-        self.base.commit(self.state(upto), upto)
-        self._expire_ops()
-
-    def _expire_ops(self) -> None:
-        versions = self.base.versions()
-        if len(versions) < 2:
-            return
-        for b in self._op_batches():
-            if b <= versions[0]:
-                delete_path(self.spark, self._ops_path(b))
-
-    def apply_batch(self, ops: DataFrame, batch_id: int) -> None:
-        self.append_ops(ops, batch_id)
-        if (batch_id + 1) % self.compact_every == 0:
-            self.compact(batch_id)

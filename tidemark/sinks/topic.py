@@ -40,12 +40,13 @@ def kafka_append(df: DataFrame, servers: str, topic: str, checkpoint: str,
             .trigger(**(trigger or {"processingTime": "5 seconds"})).start())
 
 
-def print_rows(df: DataFrame, n: int = 20, trigger: dict | None = None) -> StreamingQuery | None:
-    """Print rows: ``show`` for a batch, the console sink for a stream."""
+def print_rows(df: DataFrame, trigger: dict | None = None) -> StreamingQuery | None:
+    """Print every row: as they are read for a batch, the console sink for a stream."""
     if not df.isStreaming:
-        df.show(n, truncate=False)
+        for row in df.toLocalIterator():
+            print(row)
         return None
-    return (df.writeStream.format("console").option("truncate", "false")
+    return (df.writeStream.format("console").option("truncate", "false").option("numRows", str(2**31 - 1))
             .outputMode("append" if not _aggregating(df) else "update")
             .trigger(**(trigger or {"processingTime": "5 seconds"})).start())
 

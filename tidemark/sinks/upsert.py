@@ -1,15 +1,7 @@
-"""Upsert sink: one row per key, as a base snapshot plus per-batch deltas.
+"""Upsert sink: one row per key in a bucketed table (see ``sinks.bucketed``).
 
-Layout under ``path``::
-
-    _table.json      key columns, column order and the combine rule
-    base/v=<n>       the whole table as of micro-batch n (complete versions only)
-    delta/batch=<n>  the rows micro-batch n wrote, one per key (overwritten on replay)
-
-A micro-batch writes only its own rows.  Every ``compact_every`` batches the
-deltas are folded into a new base.  Readers fold the latest base with the
-later deltas.  The fold is an associative per-key aggregate, so it combines
-on the map side, and a replayed batch gives the same table:
+The combine rules are associative per-key aggregates, so they combine on the
+map side and a replayed batch gives the same table:
 
 * ``latest``: the row of the greatest batch id wins (plain upsert);
 * ``sum``: values add up (running totals fed with per-batch deltas);
@@ -18,17 +10,15 @@ on the map side, and a replayed batch gives the same table:
 
 from __future__ import annotations
 
-import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.sinks.snapshot import SnapshotTable, delete_path, list_batches, read_text, write_text
+from tidemark.sinks.bucketed import BUCKETS, BucketedTable
 
 BATCH = "_batch"
-BATCH_DIGITS = 12
 
 
 def combine(df: DataFrame, keys: Sequence[str], rule: str = "latest",
@@ -47,78 +37,30 @@ def combine(df: DataFrame, keys: Sequence[str], rule: str = "latest",
     return df.groupBy(*keys).agg(best.alias("_r")).select(*keys, "_r.*")
 
 
-class UpsertTable:
+class UpsertTable(BucketedTable):
     def __init__(self, spark: SparkSession, path: str, keys: Sequence[str] | None = None,
                  rule: str = "latest", order: Sequence[str] = (), compact_every: int = 10,
-                 keep: int = 2):
-        self.spark = spark
-        self.path = path.rstrip("/")
-        self.compact_every = compact_every
-        self.base = SnapshotTable(spark, f"{self.path}/base", keep=keep)
-        meta = read_text(spark, f"{self.path}/_table.json")
-        if meta is not None:
-            m = json.loads(meta)
-            self.keys, self.rule, self.order = m["keys"], m["rule"], m["order"]
-            self.columns = m["columns"]
-        else:
-            if keys is None:
-                raise ValueError(f"no upsert table at {self.path}")
-            self.keys, self.rule, self.order, self.columns = list(keys), rule, list(order), None
-
-    @staticmethod
-    def exists(spark: SparkSession, path: str) -> bool:
-        return read_text(spark, f"{path.rstrip('/')}/_table.json") is not None
-
-    def _delta_path(self, batch_id: int) -> str:
-        return f"{self.path}/delta/batch={batch_id:0{BATCH_DIGITS}d}"
-
-    def batches(self) -> list[int]:
-        return list_batches(self.spark, f"{self.path}/delta")
-
-    def next_batch_id(self) -> int:
-        ids = self.batches() + self.base.versions()
-        return max(ids) + 1 if ids else 0
+                 buckets: int = BUCKETS):
+        super().__init__(spark, path, keys or (), self._fold, {"rule": rule, "order": list(order)},
+                         compact_every, buckets)
+        if not self.keys:
+            raise ValueError(f"no upsert table at {self.path}")
+
+    def _fold(self, rows: DataFrame, upto: int | None) -> DataFrame:
+        folded = combine(rows, self.keys, self.options["rule"], self.options["order"])
+        return folded.select(*self.schema.names)
+
+    @property
+    def columns(self) -> list[str]:
+        return [c for c in self.schema.names if c != BATCH]
 
     def apply(self, batch: DataFrame, batch_id: int) -> None:
-        """Write micro-batch ``batch_id`` (idempotent) and compact when due."""
-        if self.columns is None:
-            self.columns = list(batch.columns)
-            write_text(self.spark, f"{self.path}/_table.json", json.dumps(
-                {"keys": self.keys, "rule": self.rule, "order": self.order, "columns": self.columns}))
-        rows = combine(batch.select(*self.columns).withColumn(BATCH, F.lit(batch_id).cast("bigint")),
-                       self.keys, self.rule, self.order)
-        rows.write.mode("overwrite").parquet(self._delta_path(batch_id))
-        if (batch_id + 1) % self.compact_every == 0:
-            self.compact(batch_id)
-
-    def state(self, upto: int | None = None) -> DataFrame:
-        """The folded table (with ``_batch``) including batches <= ``upto``."""
-        v = self.base.latest_version(below=None if upto is None else upto + 1)
-        ids = [b for b in self.batches() if (v is None or b > v) and (upto is None or b <= upto)]
-        if v is not None and not ids:
-            return self.spark.read.parquet(self.base.version_path(v))  # already one row per key
-        parts = [self.spark.read.parquet(self._delta_path(b)) for b in ids]
-        if v is not None:
-            parts.insert(0, self.spark.read.parquet(self.base.version_path(v)))
-        if not parts:
-            raise ValueError(f"upsert table {self.path} has no data")
-        union = parts[0]
-        for p in parts[1:]:
-            union = union.unionByName(p)
-        return combine(union, self.keys, self.rule, self.order)
+        """Write micro-batch ``batch_id`` as it is (readers fold) and compact when due."""
+        super().apply(batch.withColumn(BATCH, F.lit(batch_id).cast("bigint")), batch_id)
 
     def current(self, upto: int | None = None) -> DataFrame:
         return self.state(upto).select(*self.columns)
 
-    def compact(self, upto: int) -> None:
-        if upto in self.base.versions():
-            return  # a replayed batch: never overwrite the version being read
-        self.base.commit(self.state(upto), upto)
-        oldest = self.base.versions()[0]
-        for b in self.batches():
-            if b <= oldest and len(self.base.versions()) > 1:
-                delete_path(self.spark, self._delta_path(b))
-
 
 def upsert_batch(spark: SparkSession, batch: DataFrame, batch_id: int, keys: Sequence[str],
                  path: str, rule: str = "latest", order: Sequence[str] = (),

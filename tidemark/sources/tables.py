@@ -4,21 +4,57 @@ from __future__ import annotations
 
 import os
 import time
-from collections.abc import Callable
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.operators import cdc
+from tidemark.operators.keyed import ORDER_FIELDS, expand_family
+from tidemark.sinks.bucketed import BucketedTable
+from tidemark.sinks.keyed_state import KIND, KeyedStateTable
 from tidemark.sinks.upsert import UpsertTable
 
+# Fixed name of the keyed order table in the routing config.
+ORDERS_TABLE = "dwd:orders"
 
-def keyed_table(spark: SparkSession, path: str) -> DataFrame:
-    """Current state of a keyed table written by ``upsert_table`` (or a
-    plain Parquet directory)."""
-    if UpsertTable.exists(spark, path):
+
+def keyed_table(spark: SparkSession, path: str, table: str = ORDERS_TABLE, family: str = "cf",
+                fields: Sequence[str] = ORDER_FIELDS) -> DataFrame:
+    """Current rows of a keyed table, whichever job wrote it.
+
+    * a table of the CDC sync: ``rowkey, family STRUCT<fields>`` of its keyed
+      table ``table`` (the sync may hold several);
+    * an upsert table: its rows;
+    * anything else: a plain Parquet directory.
+    """
+    if BucketedTable.exists(spark, path):
+        if BucketedTable(spark, path).options.get("kind") == KIND:
+            return cdc.state_to_keyed(KeyedStateTable(spark, path).cells(), family, list(fields), table)
         return UpsertTable(spark, path).current()
     return spark.read.parquet(path)
 
 
+def register(spark: SparkSession, tables: Mapping[str, str | tuple[str, str]]) -> None:
+    """Name tables for SQL: ``name -> path`` of any table the jobs wrote, or
+    ``name -> (schema, path)`` of a JSON topic.  A keyed table's family is expanded."""
+    for name, where in tables.items():
+        if isinstance(where, tuple):
+            df = spark.read.schema(where[0]).option("recursiveFileLookup", "true").json(where[1])
+        else:
+            df = load_table(spark, where)
+            if "cf" in df.columns:
+                df = expand_family(df, "cf")
+        df.createOrReplaceTempView(name)
+
+
+def load_table(spark: SparkSession, where: str) -> DataFrame:
+    """A small table by place: ``jdbc:<url>#<table>``, or a path for ``keyed_table``."""
+    if where.startswith("jdbc:"):
+        url, _, name = where.partition("#")
+        return jdbc_table(spark, url, name)
+    return keyed_table(spark, where)
+
+
 def jdbc_table(spark: SparkSession, url: str, table: str, user_env: str = "JDBC_USER",
                password_env: str = "JDBC_PASSWORD", **options: str) -> DataFrame:
     """A JDBC table; credentials come from options or the environment, never code."""
@@ -40,14 +76,13 @@ class CachedTable:
         self.max_age_s = max_age_s
         self._df: DataFrame | None = None
         self._loaded_at = 0.0
-        self.rows: int | None = None  # row count of the cached copy
 
     def get(self) -> DataFrame:
         now = time.monotonic()
         if self._df is None or now - self._loaded_at >= self.max_age_s:
             old = self._df
             df = self.loader().cache()
-            self.rows = df.count()
+            df.count()
             self._df, self._loaded_at = df, now
             if old is not None:
                 old.unpersist()

@@ -40,21 +40,26 @@ def json_topic(spark: SparkSession, path: str, schema: StructType | str, streami
     return reader.json(path)
 
 
-def kafka_topic(spark: SparkSession, servers: str, topic: str, schema: StructType | str,
-                starting: str = "latest", group_id: str | None = None,
-                max_offsets_per_trigger: int | None = None) -> DataFrame:
+def kafka_options(servers: str, topic: str, starting: str = "latest", group_id: str | None = None,
+                  max_offsets_per_trigger: int | None = None) -> dict[str, str]:
+    """Reader options: servers, topic, start without a checkpoint, group and batch bound."""
+    out = {"kafka.bootstrap.servers": servers, "subscribe": topic, "startingOffsets": starting}
+    if group_id:
+        out["kafka.group.id"] = group_id
+    if max_offsets_per_trigger:
+        out["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
+    return out
+
+
+def kafka_records(spark: SparkSession, servers: str, topic: str, **options) -> DataFrame:
+    """``partition, offset, value`` of a Kafka topic; new partitions are found on every trigger."""
+    raw = spark.readStream.format("kafka").options(**kafka_options(servers, topic, **options)).load()
+    return raw.select("partition", "offset", F.col("value").cast("string").alias("value"))
+
+
+def kafka_topic(spark: SparkSession, servers: str, topic: str, schema: StructType | str, **options) -> DataFrame:
     """Kafka topic of JSON values, parsed with ``schema``.
 
-    Keeps ``partition`` and ``offset`` so changelog consumers can order
-    events.  Partition discovery is automatic on every trigger.
+    Keeps ``partition`` and ``offset`` so changelog consumers can order events.
     """
-    reader = (spark.readStream.format("kafka")
-              .option("kafka.bootstrap.servers", servers)
-              .option("subscribe", topic)
-              .option("startingOffsets", starting))
-    if group_id:
-        reader = reader.option("kafka.group.id", group_id)
-    if max_offsets_per_trigger:
-        reader = reader.option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
-    raw = reader.load().select("partition", "offset", F.col("value").cast("string").alias("value"))
-    return parse_json(raw, schema)
+    return parse_json(kafka_records(spark, servers, topic, **options), schema)

@@ -1,20 +1,22 @@
 """Streaming CDC sync: changelog topic -> routed ops -> keyed state table.
 
-``foreachBatch`` parses the batch, routes it with the latest routing config
-(re-read when older than 60 s), turns rows into ops and appends them to a
-``KeyedStateTable``; the table compacts itself every few batches.  All
-events of one source table must come from one topic partition (the offsets
-order them).
+``foreachBatch`` parses the batch once, routes it with the latest routing
+config (re-read when older than 60 s), turns rows into ops and appends them to
+a ``KeyedStateTable``, which compacts the touched buckets every few batches.
+All events of one source table must come from one topic partition, because
+offsets order them; a table that arrives on two stops the job.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators import cdc
+from tidemark.sinks.files import read_text, write_text
 from tidemark.sinks.keyed_state import KeyedStateTable
 from tidemark.sources.tables import CachedTable
 
@@ -22,13 +24,34 @@ from tidemark.sources.tables import CachedTable
 CONFIG_POLL_SECONDS = 60.0
 
 
+def check_partitions(table: KeyedStateTable, messages: DataFrame) -> None:
+    """Remember the topic partition of each source table; fail on a second one."""
+    path = f"{table.path}/_partitions.json"
+    known = json.loads(read_text(table.spark, path) or "{}")
+    found = dict(known)
+    for r in cdc.table_partitions(messages).collect():  # one row a source table
+        name = f"{r['database']}.{r['table']}"
+        if r["low"] != r["high"] or found.setdefault(name, r["low"]) != r["low"]:
+            raise ValueError(f"changes of {name} arrive on more than one topic partition; their order is unknown")
+    if found != known:
+        write_text(table.spark, path, json.dumps(found))
+
+
 def changelog_batch_writer(table: KeyedStateTable, flow: CachedTable) -> Callable[[DataFrame, int], None]:
     def write(batch: DataFrame, batch_id: int) -> None:
-        cdc.changelog_rejects(batch).write.mode("overwrite").parquet(
-            f"{table.path}/rejects/batch={batch_id:012d}")
-        messages, _ = cdc.parse_changelog(batch)
-        config = flow.get()
-        table.apply_batch(cdc.to_ops(cdc.route(messages, config, flow_rows=flow.rows)), batch_id)
+        parsed = cdc.parse_flagged(batch).persist()
+        try:
+            messages, unparsed = cdc.split_parsed(parsed)
+            check_partitions(table, messages)
+            usable, keyless = cdc.split_routed(cdc.route(messages, flow.get()))
+            rejects = unparsed.select("partition", "offset", "value")
+            rejects = rejects.unionByName(
+                parsed.join(keyless.select("partition", "offset").distinct(), ["partition", "offset"], "left_semi")
+                .select("partition", "offset", "value"))
+            rejects.write.mode("overwrite").parquet(f"{table.path}/rejects/batch={batch_id:012d}")
+            table.apply_batch(cdc.to_ops(usable), batch_id)
+        finally:
+            parsed.unpersist()
     return write
 
 

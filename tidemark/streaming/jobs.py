@@ -22,8 +22,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.plans import jobs
+from tidemark.sinks.files import ensure_dir
 from tidemark.sinks.topic import append_topic
-from tidemark.sinks.upsert import upsert_table
+from tidemark.sinks.upsert import UpsertTable, upsert_table
+from tidemark.sources.tables import CachedTable
 from tidemark.sources.topic import json_topic
 from tidemark.streaming.event_time import with_event_time
 
@@ -53,15 +55,19 @@ UV_10MIN = WindowJob("ts", jobs.uv_10min, "day_time_str string, uv bigint",
                      jobs.uv_10min_app, ["day_time_str"])
 
 
+def start_dws(job: WindowJob, source: DataFrame, dws_path: str, checkpoint_dir: str,
+              trigger: dict | None = None, name: str = "job") -> StreamingQuery:
+    """The DWS query of a windowed job: closed windows appended to the DWS topic."""
+    dws = job.dws(with_event_time(source, job.time_col))
+    return append_topic(dws, dws_path, f"{checkpoint_dir}/dws", trigger or DEFAULT_TRIGGER, f"{name}_dws")
+
+
 def start_window_job(spark: SparkSession, job: WindowJob, source: DataFrame, dws_path: str,
                      app_path: str, checkpoint_dir: str, trigger: dict | None = None,
                      name: str = "job") -> list[StreamingQuery]:
-    trigger = trigger or DEFAULT_TRIGGER
-    dws = job.dws(with_event_time(source, job.time_col))
-    q1 = append_topic(dws, dws_path, f"{checkpoint_dir}/dws", trigger, f"{name}_dws")
-    q2 = start_app(spark, dws_path, job.dws_schema, job.app, job.app_keys, app_path,
-                   f"{checkpoint_dir}/app", trigger, name)
-    return [q1, q2]
+    return [start_dws(job, source, dws_path, checkpoint_dir, trigger, name),
+            start_app(spark, dws_path, job.dws_schema, job.app, job.app_keys, app_path,
+                      f"{checkpoint_dir}/app", trigger, name)]
 
 
 def start_app(spark: SparkSession, dws_path: str, dws_schema: str,
@@ -69,75 +75,78 @@ def start_app(spark: SparkSession, dws_path: str, dws_schema: str,
               checkpoint: str, trigger: dict | None = None, name: str = "job",
               recursive: bool = False) -> StreamingQuery:
     """Read a DWS topic back and upsert its ``max`` compaction."""
-    from tidemark.sinks.snapshot import ensure_dir
     ensure_dir(spark, dws_path)
     dws = json_topic(spark, dws_path, dws_schema, recursive=recursive)
     return upsert_table(app(dws), keys, app_path, checkpoint, "update",
                         trigger or DEFAULT_TRIGGER, f"{name}_app")
 
 
-def start_category_job(spark: SparkSession, behavior: DataFrame, dim: DataFrame, dws_path: str,
-                       app_path: str, checkpoint_dir: str, trigger: dict | None = None,
-                       name: str = "category") -> list[StreamingQuery]:
-    """Purchases per parent category: stream-static lookup join (the static
-    side is re-read each micro-batch), running count in update mode, each
-    batch's changed counts appended to the DWS topic, then compacted."""
+def start_window_job_kafka(spark: SparkSession, job: WindowJob, source: DataFrame, servers: str, topic: str,
+                           app_path: str, checkpoint_dir: str, trigger: dict | None = None,
+                           name: str = "job") -> list[StreamingQuery]:
+    """The same job with its DWS topic in Kafka (needs the connector; not run in the tests)."""
+    from tidemark.sinks.topic import kafka_append
+    from tidemark.sources.topic import kafka_topic
     trigger = trigger or DEFAULT_TRIGGER
-    counts = jobs.category_counts(behavior, dim)
-
-    def append(batch: DataFrame, batch_id: int) -> None:
-        # Idempotent replay: each batch owns one sub-directory.
-        batch.write.mode("overwrite").json(f"{dws_path}/batch={batch_id:012d}")
-
-    q1 = (counts.writeStream.outputMode("update").foreachBatch(append)
-          .option("checkpointLocation", f"{checkpoint_dir}/dws").queryName(f"{name}_dws")
-          .trigger(**trigger).start())
-    q2 = start_app(spark, dws_path, "category_name string, order_num bigint",
-                   jobs.category_counts_app, ["category_name"], app_path,
-                   f"{checkpoint_dir}/app", trigger, name, recursive=True)
-    return [q1, q2]
-
-
-def start_category_job_refreshed(spark: SparkSession, behavior: DataFrame,
-                                 dim_loader: Callable[[], DataFrame], dws_path: str,
-                                 app_path: str, checkpoint_dir: str, max_age_s: float = 600.0,
-                                 trigger: dict | None = None, name: str = "category") -> list[StreamingQuery]:
-    """The category job with a lookup cache: the dimension is re-read only
-    when older than ``max_age_s`` (the source cached lookups for 10 min), and
-    the running counts live in a snapshot updated per micro-batch."""
-    from tidemark.sinks.upsert import UpsertTable
-    from tidemark.sources.tables import CachedTable
-    from tidemark.operators.lookup import enrich_category, purchases_by_category
+    dws = job.dws(with_event_time(source, job.time_col))
+    back = kafka_topic(spark, servers, topic, job.dws_schema, starting="earliest").drop("partition", "offset")
+    return [kafka_append(dws, servers, topic, f"{checkpoint_dir}/dws", trigger),
+            upsert_table(job.app(back), job.app_keys, app_path, f"{checkpoint_dir}/app", "update", trigger,
+                         f"{name}_app")]
 
-    trigger = trigger or DEFAULT_TRIGGER
+
+CATEGORY_DWS = "category_name string, order_num bigint"
+
+
+def start_category_dws(behavior: DataFrame, dim_loader: Callable[[], DataFrame], dws_path: str,
+                       checkpoint_dir: str, max_age_s: float = 600.0, trigger: dict | None = None,
+                       name: str = "category") -> StreamingQuery:
+    """Purchases per parent category, looked up in a dimension that is re-read
+    when older than ``max_age_s`` (a lookup cache of 10 minutes).
+
+    Each micro-batch's counts are added to a running table of counts, and the
+    changed totals are appended to the DWS topic.  A replayed batch overwrites
+    its own files in both places.
+    """
     dim = CachedTable(dim_loader, max_age_s)
-    state_path = f"{checkpoint_dir}/counts"
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        lookup = dim.get()
-        delta = purchases_by_category(enrich_category(batch, lookup, dim_rows=dim.rows))
-        table = UpsertTable(batch.sparkSession, state_path, ["category_name"], rule="sum")
+        delta = jobs.category_counts(batch, dim.get())
+        table = UpsertTable(batch.sparkSession, f"{checkpoint_dir}/counts", ["category_name"], rule="sum")
         table.apply(delta, batch_id)
-        changed = table.current(upto=batch_id).join(delta.select("category_name"), "category_name", "left_semi")
+        new = batch.sparkSession.read.schema(table.schema).parquet(table._delta_path(batch_id))
+        changed = table.current(upto=batch_id).join(new.select("category_name"), "category_name", "left_semi")
         changed.write.mode("overwrite").json(f"{dws_path}/batch={batch_id:012d}")
 
-    q1 = (behavior.writeStream.foreachBatch(write).option("checkpointLocation", f"{checkpoint_dir}/dws")
-          .queryName(f"{name}_dws").trigger(**trigger).start())
-    q2 = start_app(spark, dws_path, "category_name string, order_num bigint",
-                   jobs.category_counts_app, ["category_name"], app_path,
-                   f"{checkpoint_dir}/app", trigger, name, recursive=True)
-    return [q1, q2]
+    return (behavior.writeStream.foreachBatch(write).option("checkpointLocation", f"{checkpoint_dir}/dws")
+            .queryName(f"{name}_dws").trigger(**(trigger or DEFAULT_TRIGGER)).start())
+
+
+def start_category_app(spark: SparkSession, dws_path: str, app_path: str, checkpoint_dir: str,
+                       trigger: dict | None = None, name: str = "category") -> StreamingQuery:
+    return start_app(spark, dws_path, CATEGORY_DWS, jobs.category_counts_app, ["category_name"], app_path,
+                     f"{checkpoint_dir}/app", trigger, name, recursive=True)
+
+
+def start_category_job(spark: SparkSession, behavior: DataFrame, dim_loader: Callable[[], DataFrame],
+                       dws_path: str, app_path: str, checkpoint_dir: str, max_age_s: float = 600.0,
+                       trigger: dict | None = None, name: str = "category") -> list[StreamingQuery]:
+    return [start_category_dws(behavior, dim_loader, dws_path, checkpoint_dir, max_age_s, trigger, name),
+            start_category_app(spark, dws_path, app_path, checkpoint_dir, trigger, name)]
 
 
 def start_item_counts(spark: SparkSession, behavior: DataFrame, table_path: str, checkpoint: str,
                       trigger: dict | None = None, name: str = "item_counts") -> StreamingQuery:
     """Counts per (item, category, behaviour, ts) upserted into a table keyed
     by item: the latest ``ts`` wins, then category, then behaviour, then the
-    larger count of the same group.  The watermark on ``ts`` bounds state."""
+    larger count of the same group.
+
+    Every row counts, however late: there is no watermark, so the state grows
+    with the distinct groups, as the source's un-windowed aggregate does."""
     from tidemark.operators.aggregates import item_counts
     from tidemark.sinks.upsert import upsert_batch
 
-    counts = item_counts(with_event_time(behavior, "ts"))
+    counts = item_counts(behavior)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         upsert_batch(batch.sparkSession, batch, batch_id, ["item_id"], table_path,

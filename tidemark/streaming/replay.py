@@ -1,132 +1,99 @@
-"""Replay a table as a time-ordered stream (tests and the replay queries).
-
-``write_replay`` range-partitions the rows on event time into ``n_files``
-JSON files (one Spark job) and then sets the files' modification times in
-range order, so the file source with ``maxFilesPerTrigger`` reads them
-oldest-first and no row is late for its window.  ``write_replay_batches``
-sizes the file count from the shuffle partitions and returns how many files
-make one micro-batch.  ``run_*`` start the DWS
-query with ``availableNow``, wait for it, then do the same for the APP query
-that reads the DWS topic back.
+"""Replay a table as a stream in slices (tests and the replay queries).
+
+The rows are written once as Parquet, split by a slice number: ranges of an
+ordering column, or a given expression.  Each slice is one ``availableNow``
+run of the job, on the same checkpoint, so a job sees the slices one after the
+other as it would see a topic grow, and no file order matters.  The number of
+slices follows from the input's size.
 """
 
 from __future__ import annotations
 
-import time
+from collections.abc import Callable, Iterator, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.session import scratch_path
-from tidemark.sinks.topic import TIME_FORMATS
+from tidemark.session import input_bytes, scratch_path
+from tidemark.sinks.files import delete_path, list_dirs
 from tidemark.sources.tables import keyed_table
-from tidemark.sources.topic import json_topic
 from tidemark.streaming import jobs as sj
 
 AVAILABLE_NOW = {"availableNow": True}
+#: Bytes of input files that one slice holds, and the fewest slices of a replay.
+SLICE_BYTES = 8 << 30
+SLICES = 3
+
+
+def slices_for(spark: SparkSession, paths: Sequence[str]) -> int:
+    return max(SLICES, -(-input_bytes(spark, list(paths)) // SLICE_BYTES))
+
+
+def by_range(df: DataFrame, col: str, n: int) -> Column:
+    """Slice 0 .. n-1 of ``col`` in about equal ranges, lowest values (and nulls) first."""
+    at = [i / n for i in range(1, n)]
+    bounds = df.select(F.percentile_approx(F.col(col), at, 1000)).first()[0] or []  # n - 1 values
+    out = F.lit(0)
+    for b in bounds:
+        out = out + F.coalesce((F.col(col) > F.lit(b).cast(df.schema[col].dataType)).cast("int"), F.lit(0))
+    return out
+
 
+class Replay:
+    """A table written in slices under ``root``; iterating gives a stream over each slice in turn."""
 
-def write_replay(df: DataFrame, time_col: str, path: str, n_files: int = 4,
-                 append: bool = False) -> None:
-    """Write ``df`` as ``n_files`` time-ranged JSON files with increasing
-    modification times (after any files already there when ``append``)."""
-    spark = df.sparkSession
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(conf)
-
-    def parts():
-        if not fs.exists(root):
-            return {}
-        return {st.getPath().getName(): st for st in fs.listStatus(root)
-                if st.getPath().getName().startswith("part-")}
-
-    before = parts() if append else {}
-    # Range partitioning samples the input, then reads it again to shuffle,
-    # like any global sort; nothing is cached, so the whole table never has
-    # to fit in executor storage.
-    (df.repartitionByRange(n_files, time_col).sortWithinPartitions(time_col)
-        .write.mode("append" if append else "overwrite")
-        .options(**TIME_FORMATS)
-        .json(path))
-    new = sorted((st.getPath() for name, st in parts().items() if name not in before),
-                 key=lambda p: p.getName())
-    base = int(time.time() * 1000) - 1000 * (len(new) + 1)
-    if before:
-        base = max(base, max(st.getModificationTime() for st in before.values()) + 1000)
-    for i, p in enumerate(new):
-        fs.setTimes(p, base + 1000 * i, -1)
-    # Some object stores ignore setTimes; the file source would then read the
-    # ranges out of order and drop rows as late.  Fail instead.
-    times = [fs.getFileStatus(p).getModificationTime() for p in new]
-    if any(b <= a for a, b in zip(times, times[1:])):
-        raise RuntimeError(f"the file system under {path} did not keep the replay file times")
-
-
-def write_replay_batches(df: DataFrame, time_col: str, path: str, n_batches: int = 4) -> int:
-    """Write ``df`` for a replay of ``n_batches`` micro-batches and return the
-    files per batch (``maxFilesPerTrigger``).
-
-    The write runs with one range per shuffle partition, so its parallelism
-    grows with the cluster rather than being one task per micro-batch; each
-    trigger then takes the next contiguous run of time-ordered files.
-    """
-    shuffle = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    per_batch = max(1, shuffle // n_batches)
-    write_replay(df, time_col, path, n_batches * per_batch)
-    return per_batch
-
-
-def _await(queries) -> None:
-    for q in queries:
+    def __init__(self, df: DataFrame, slice_of: Column, n: int, root: str | None = None):
+        self.spark, self.schema, self.n = df.sparkSession, df.schema, n
+        self.root = root or scratch_path(self.spark, "replay")
+        number = F.lpad(slice_of.cast("int").cast("string"), 9, "0")
+        df.withColumn("_slice", number).write.partitionBy("_slice").parquet(f"{self.root}/src")
+
+    def __iter__(self) -> Iterator[DataFrame]:
+        for name in list_dirs(self.spark, f"{self.root}/src", "_slice="):
+            # A pattern that matches this one folder: a plain path would have to hold the files
+            # of earlier runs too, which a restarted source opens once more.
+            yield self.spark.readStream.schema(self.schema).parquet(f"{self.root}/src/{name[:-1]}[{name[-1]}]")
+
+    def run(self, start: Callable[[DataFrame], StreamingQuery | list[StreamingQuery]]) -> "Replay":
+        """Start the job on every slice in turn, and wait for each."""
+        for stream in self:
+            wait(start(stream))
+        delete_path(self.spark, f"{self.root}/src")  # the slices have been read
+        return self
+
+
+def wait(queries: StreamingQuery | list[StreamingQuery]) -> None:
+    for q in queries if isinstance(queries, list) else [queries]:
         q.awaitTermination()
         if q.exception() is not None:
             raise RuntimeError(str(q.exception()))
 
 
+def by_time(df: DataFrame, time_col: str, n: int = SLICES, root: str | None = None) -> Replay:
+    """A replay in event-time order: no row is late for its window."""
+    return Replay(df, by_range(df, time_col, n), n, root)
+
+
 def replay_window_job(spark: SparkSession, job: sj.WindowJob, source: DataFrame,
-                      n_files: int = 4, root: str | None = None) -> DataFrame:
-    """Run a windowed job over ``source`` replayed in time order; return the
-    APP table (closed windows only: the last ones stay open)."""
-    root = root or scratch_path(spark, "replay")
-    per_batch = write_replay_batches(source, job.time_col, f"{root}/src", n_files)
-    stream = json_topic(spark, f"{root}/src", source.schema, max_files_per_trigger=per_batch)
-    dws = job.dws(sj.with_event_time(stream, job.time_col))
-    from tidemark.sinks.topic import append_topic
-    _await([append_topic(dws, f"{root}/dws", f"{root}/ckpt/dws", AVAILABLE_NOW)])
-    _await([sj.start_app(spark, f"{root}/dws", job.dws_schema, job.app, job.app_keys,
-                         f"{root}/app", f"{root}/ckpt/app", AVAILABLE_NOW)])
-    return _read_app(spark, f"{root}/app", job.dws_schema)
-
-
-def replay_category_job(spark: SparkSession, behavior: DataFrame, dim: DataFrame,
-                        n_files: int = 4, root: str | None = None) -> DataFrame:
-    root = root or scratch_path(spark, "replay")
-    per_batch = write_replay_batches(behavior, "ts", f"{root}/src", n_files)
-    stream = json_topic(spark, f"{root}/src", behavior.schema, max_files_per_trigger=per_batch)
-    q1, _ = _category_queries(spark, stream, dim, root)
-    return _read_app(spark, f"{root}/app", None)
-
-
-def _category_queries(spark, stream, dim, root):
-    from tidemark.plans import jobs
-    counts = jobs.category_counts(stream, dim)
-
-    def append(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").json(f"{root}/dws/batch={batch_id:012d}")
-
-    q1 = (counts.writeStream.outputMode("update").foreachBatch(append)
-          .option("checkpointLocation", f"{root}/ckpt/dws").trigger(availableNow=True).start())
-    _await([q1])
-    q2 = sj.start_app(spark, f"{root}/dws", "category_name string, order_num bigint",
-                      jobs.category_counts_app, ["category_name"], f"{root}/app",
-                      f"{root}/ckpt/app", AVAILABLE_NOW, "category", recursive=True)
-    _await([q2])
-    return q1, q2
-
-
-def _read_app(spark: SparkSession, path: str, _schema) -> DataFrame:
-    from tidemark.sinks.upsert import UpsertTable
-    if not UpsertTable.exists(spark, path):
-        raise RuntimeError(f"no APP table written under {path}")
-    return keyed_table(spark, path)
+                      n: int = SLICES, root: str | None = None) -> DataFrame:
+    """Run a windowed job's shipped queries over ``source`` replayed in time order.
+
+    Returns the APP table.  The windows that the watermark has not closed by
+    the end of the input (the last ones) are not in it."""
+    replay = by_time(source, job.time_col, n, root)
+    at = replay.root
+    replay.run(lambda stream: sj.start_dws(job, stream, f"{at}/dws", f"{at}/ckpt", AVAILABLE_NOW))
+    wait(sj.start_app(spark, f"{at}/dws", job.dws_schema, job.app, job.app_keys, f"{at}/app",
+                      f"{at}/ckpt/app", AVAILABLE_NOW))
+    return keyed_table(spark, f"{at}/app")
+
+
+def replay_category_job(spark: SparkSession, replay: Replay, dim_loader: Callable[[], DataFrame],
+                        max_age_s: float = 600.0) -> DataFrame:
+    """The shipped category job over a replay, then its APP table."""
+    at = replay.root
+    replay.run(lambda stream: sj.start_category_dws(stream, dim_loader, f"{at}/dws", f"{at}/ckpt", max_age_s,
+                                                    AVAILABLE_NOW))
+    wait(sj.start_category_app(spark, f"{at}/dws", f"{at}/app", f"{at}/ckpt", AVAILABLE_NOW))
+    return keyed_table(spark, f"{at}/app")
