@@ -6,23 +6,23 @@ _OP2 = r"""
 WITH split AS (
   SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents),
 numbered AS (
-  SELECT doc_id, unnest(parts) AS body, unnest(range(1, len(parts) + 1)) AS at FROM split),
+  SELECT doc_id, unnest(parts) AS body, unnest(range(1, len(parts) + 1)) AS spot FROM split),
 worded AS (
-  SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY at) AS place
+  SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY spot) AS place
   FROM numbered WHERE regexp_matches(body, '[^\x20\x09-\x0D]')),
 windows AS (
-  SELECT a.doc_id, a.at AS line, c.at AS last, a.body AS x, b.body AS y, c.body AS z
+  SELECT a.doc_id, a.spot AS line, c.spot AS last, a.body AS x, b.body AS y, c.body AS z
   FROM worded a JOIN worded b ON a.doc_id = b.doc_id AND b.place = a.place + 1
   JOIN worded c ON a.doc_id = c.doc_id AND c.place = a.place + 2),
 ranked AS (
   SELECT *, row_number() OVER (PARTITION BY x, y, z ORDER BY doc_id, line) AS nth FROM windows),
 covered AS (
-  SELECT DISTINCT doc_id, unnest(range(line, last + 1)) AS at FROM ranked WHERE nth > 1)
+  SELECT DISTINCT doc_id, unnest(range(line, last + 1)) AS spot FROM ranked WHERE nth > 1)
 SELECT d.doc_id,
-  coalesce(string_agg(n.body, chr(10) ORDER BY n.at) FILTER (WHERE c.at IS NULL), CASE WHEN any_value(d.text) IS NOT NULL THEN '' END) AS text,
-  CAST(count(n.at) AS INTEGER) AS lines, CAST(count(c.at) AS INTEGER) AS removed_lines
+  coalesce(string_agg(n.body, chr(10) ORDER BY n.spot) FILTER (WHERE c.spot IS NULL), CASE WHEN any_value(d.text) IS NOT NULL THEN '' END) AS text,
+  CAST(count(n.spot) AS INTEGER) AS lines, CAST(count(c.spot) AS INTEGER) AS removed_lines
 FROM documents d LEFT JOIN numbered n ON n.doc_id = d.doc_id
-LEFT JOIN covered c ON c.doc_id = n.doc_id AND c.at = n.at
+LEFT JOIN covered c ON c.doc_id = n.doc_id AND c.spot = n.spot
 GROUP BY d.doc_id
 """
 
