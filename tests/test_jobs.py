@@ -113,3 +113,18 @@ def test_user_totals_stream_equals_batch(spark, scratch):
     got = sj.read_user_totals(spark, f"{scratch}/t").select("userId", "order_num", F.round("gmv", 2))
     want = order_totals(src, ["userId"]).select("userId", "order_num", F.round("gmv", 2))
     assert rows(got) == rows(want)
+
+
+def test_processing_time_is_the_clock_of_each_micro_batch(spark, scratch):
+    """One value a micro-batch, between its start and end, growing from slice to slice."""
+    import datetime as dt
+    from tidemark.sinks.topic import append_topic
+    from tidemark.streaming.event_time import with_processing_time
+    src = spark.range(40).withColumn("part", (F.col("id") % 2).cast("int"))
+    before = dt.datetime.now()
+    Replay(src, F.col("part"), 2).run(lambda s: append_topic(with_processing_time(s), f"{scratch}/out",
+                                                             f"{scratch}/ckpt", AVAILABLE_NOW))
+    got = spark.read.schema("id long, part int, proctime timestamp").json(f"{scratch}/out")
+    times = [r.t for r in got.groupBy("part").agg(F.min("proctime").alias("t"), F.count_distinct("proctime").alias("n"))
+             .filter("n = 1").orderBy("part").collect()]
+    assert len(times) == 2 and before < times[0] < times[1]

@@ -14,3 +14,8 @@ def with_event_time(df: DataFrame, col: str, delay: str = WATERMARK_DELAY) -> Da
     """Cast ``col`` to TIMESTAMP (session zone UTC keeps the wall clock) and
     declare the watermark on it."""
     return df.withColumn(col, F.col(col).cast("timestamp")).withWatermark(col, delay)
+
+
+def with_processing_time(df: DataFrame, col: str = "proctime") -> DataFrame:
+    """Add the clock of the batch or micro-batch that reads the row."""
+    return df.withColumn(col, F.current_timestamp())
