@@ -51,14 +51,6 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.length(marks), F.lit(0)).cast("long")
 
 
-def same(left: DataFrame, right: DataFrame, pairs: Iterable[tuple[str, str]]) -> Column:
-    """Null-safe equality of the column pairs of two frames."""
-    cond = F.lit(True)
-    for a, b in pairs:
-        cond = cond & left[a].eqNullSafe(right[b])
-    return cond
-
-
 #: A key with more than one in this many of all rows is hot; at most this many keys can be.
 HOT_SHARE = 1024
 

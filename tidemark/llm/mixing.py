@@ -25,8 +25,8 @@ from tidemark.llm.common import cut, fresh, numbered
 STEPS = 60
 #: Relative error of a source's token constraint at which its dual is solved.
 CLOSE = 1e-6
-#: A document's extra copy is decided by its place among this many hash ranges.
-RANGES = 256
+#: Leading bits of a document's hash: a class's documents are counted in 256 hash ranges.
+RANGE_BITS = 8
 
 
 def source_targets(sizes: DataFrame, weights: Sequence[float], share: float, cap: float) -> DataFrame:
@@ -142,7 +142,7 @@ def mix(docs: DataFrame, source: Column, size: Column, identity: Column,
     mine, per, gains = fresh([*docs.columns, *named], "mine", "per", "gains")
     key = F.coalesce(F.concat(F.lit("="), source), F.lit(""))  # never null: joins need no null-safe test
     slim = cut(docs.select(key.alias("key"), source.alias("source"), size.alias("size"),
-                           identity.alias("mark"), F.shiftrightunsigned(identity, 56).alias("range")))
+                           identity.alias("mark"), F.shiftrightunsigned(identity, 64 - RANGE_BITS).alias("range")))
     ranges = cut(slim.groupBy("key", "size", "range").agg(F.count(F.lit(1)).alias("docs"),
                                                           F.first("source").alias("source")))
     classes = cut(ranges.groupBy("key", "size").agg(F.sum("docs").alias("docs"), F.first("source").alias("source"))
@@ -166,12 +166,12 @@ def mix(docs: DataFrame, source: Column, size: Column, identity: Column,
 
     # The hash up to which a class's documents get one copy more than the rest.
     some = copies.filter("extra > 0").select("key", "size", "extra")
-    upto = Window.partitionBy("key", "size").orderBy("range")  # RANGES rows at most
+    upto = Window.partitionBy("key", "size").orderBy("range")  # 256 rows at most
     picked = (ranges.select("key", "size", "range", "docs").join(some, ["key", "size"])
               .withColumn("below", F.sum("docs").over(upto) - F.col("docs"))
               .filter("below < extra and below + docs >= extra")
               .select("key", "size", "range", (F.col("extra") - F.col("below")).alias("nth")))
-    by_hash = Window.partitionBy("key", "size", "range").orderBy("mark")  # 1 / RANGES of a class
+    by_hash = Window.partitionBy("key", "size", "range").orderBy("mark")  # 1/256 of a class
     bound = (slim.join(picked, ["key", "size", "range"]).withColumn("at", F.row_number().over(by_hash))
              .filter("at = nth").select("key", "size", F.col("mark").alias("most")))
     bounds = copies.drop("extra").join(bound, ["key", "size"], "left")

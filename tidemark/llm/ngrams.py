@@ -87,7 +87,7 @@ def sparse(families: Sequence[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     numbers = np.concatenate([f for f in families]) if families else np.zeros(0, dtype=np.uint32)
     parts = np.concatenate([np.full(f.size, 1.0 / max(f.size, 1)) for f in families]) if families else np.zeros(0)
     at, back = np.unique(numbers, return_inverse=True)
-    return at, np.bincount(back, weights=parts, minlength=at.size)
+    return at.astype(np.int32), np.bincount(back, weights=parts, minlength=at.size).astype(np.float32)
 
 
 def score(weights: np.ndarray, bias: float, families: Sequence[np.ndarray]) -> float:
@@ -120,13 +120,13 @@ class Ftrl:
         self.n[at] = more
 
     def fit(self, rows: Sequence[tuple[np.ndarray, np.ndarray]], y: np.ndarray, passes: int, seed: int) -> "Ftrl":
-        """``passes`` over the rows in a seeded order; both labels weigh the same in sum."""
-        bias = np.array([self.z.size - 1])
-        rows = [(np.concatenate([at, bias]).astype(np.int64), np.append(x, 1.0)) for at, x in rows]
+        """``passes`` over the rows in a seeded order."""
+        bias = np.array([self.z.size - 1], dtype=np.int32)
         order = np.random.default_rng(seed)
         for _ in range(passes):
             for i in order.permutation(len(rows)):
-                self.update(*rows[i], float(y[i]))
+                at, x = rows[i]
+                self.update(np.concatenate([at, bias]), np.append(x, 1.0), float(y[i]))
         return self
 
     def model(self) -> tuple[np.ndarray, float]:

@@ -34,7 +34,7 @@ def families(hashes: ngrams.WordHashes, text: str) -> list[np.ndarray]:
 
 def _fit(label: str, rows: pd.DataFrame) -> bytes:
     hashes = ngrams.WordHashes()
-    x = [ngrams.sparse(families(hashes, t)) for t in rows["text"]]
+    x = [ngrams.sparse(families(hashes, t)) for t in rows.pop("text")]
     weights, bias = ngrams.Ftrl(1 << ngrams.BITS).fit(x, rows[label].to_numpy(dtype=float), PASSES, SEED).model()
     out = io.BytesIO()
     np.savez_compressed(out, weights=weights, bias=bias)

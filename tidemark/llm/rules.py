@@ -89,14 +89,14 @@ def platt(odds: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 def _fit(label: str, rows: pd.DataFrame) -> bytes:
     hashes = ngrams.WordHashes()
     y = rows[label].to_numpy(dtype=float)
-    x = [families(hashes, t, ngrams.words_of(t)) for t in rows["text"]]
-    aside = np.random.default_rng(SEED).random(len(x)) < CALIBRATE
+    aside = np.random.default_rng(SEED).random(len(y)) < CALIBRATE
     if aside.all() or len(set(y[~aside])) < 2:
         aside[:] = False
-    trained = [ngrams.sparse(f) for f, out in zip(x, aside, strict=True) if not out]
+    x = [ngrams.sparse(families(hashes, t, ngrams.words_of(t))) for t in rows.pop("text")]
+    trained = [row for row, out in zip(x, aside, strict=True) if not out]
     weights, bias = ngrams.Ftrl(1 << ngrams.BITS).fit(trained, y[~aside], PASSES, SEED).model()
     of = aside if aside.any() else ~aside
-    odds = np.array([ngrams.score(weights, bias, f) for f, used in zip(x, of, strict=True) if used])
+    odds = np.array([bias + float(weights[at] @ part) for (at, part), used in zip(x, of, strict=True) if used])
     scale, shift = platt(odds, y[of])
     out = io.BytesIO()
     np.savez_compressed(out, weights=weights, bias=bias, scale=scale, shift=shift)
