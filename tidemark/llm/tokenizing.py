@@ -33,7 +33,7 @@ from tidemark.llm.common import from_texts
 
 MARK = "▁"
 #: Encodings of words that a worker keeps, twice: when full, those not used since the last time go.
-KEPT_WORDS = 3 << 17
+KEPT_WORDS = 3 << 16
 #: Words longer than this are encoded without being kept.
 KEPT_CHARS = 64
 _NORMAL, _BYTE = 1, 6
