@@ -43,8 +43,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @carried
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines that the corpus has before; ``n_chars`` follows the text."""
-    return line_dedup.dedup_lines(docs).withColumn(
+    """Documents, short ones too, without the lines that the corpus has before; ``n_chars`` follows the text."""
+    return line_dedup.dedup_lines(docs, short=True).withColumn(
         "n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 

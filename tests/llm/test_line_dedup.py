@@ -66,3 +66,47 @@ def test_same_id_other_text(docs_of):
     out = sorted((r["text"], r["removed_lines"]) for r in dedup_lines(docs_of(rows)).collect())
     assert out.count(("", 3)) in (0, 2) and len(out) == 4
     assert sum(n for _, n in out) in (6, 9)  # the null id is first; both rows of one document agree
+
+
+def brute_short(rows):
+    """As ``brute``, where a document of one or two worded lines is one window; rows by id."""
+    seen, out = set(), brute(rows)
+    for doc_id, text in sorted(rows):
+        lines = (text or "").split("\n")
+        word = [i for i, x in enumerate(lines) if x.strip(SPACE)]
+        if len(word) in (1, 2):
+            window = tuple(lines[i] for i in word)
+            if window in seen:
+                gone = range(word[0], word[-1] + 1)
+                out[doc_id] = ("\n".join(x for i, x in enumerate(lines) if i not in gone), len(lines), len(gone))
+            seen.add(window)
+    return out
+
+
+def run_short(docs):
+    return {r["doc_id"]: (r["text"], r["lines"], r["removed_lines"]) for r in dedup_lines(docs, short=True).collect()}
+
+
+def test_short_documents(docs_of):
+    """Copies of documents of one and two worded lines; one line twice is not that line."""
+    rows = [(1, "p q"), (2, "p q\n \nr"), (3, "\np q\n"), (4, "p q\n\nr\n"), (5, "p q\np q"), (6, "p q\nr\ns"), (7, None), (8, "")]
+    got = run_short(docs_of(rows))
+    assert got == brute_short(rows)
+    assert got[3] == ("\n", 3, 1) and got[4] == ("", 4, 3) and [got[i][2] for i in (1, 2, 5, 6, 7, 8)] == [0] * 6
+
+
+def test_short_random(docs_of):
+    pick = random.Random(3)
+    rows = [(i, "\n".join(pick.choice(["a", "b", "c", "", " ", "d e"]) for _ in range(pick.randint(0, 6))))
+            for i in range(200)]
+    assert run_short(docs_of(rows)) == brute_short(rows)
+
+
+def test_pipeline_short_copies(spark, docs_of):
+    """The pipeline's stage finds whole copies of short documents."""
+    import corpus_pipeline
+    docs = docs_of([(1, "one long line"), (2, "one long line"), (3, "other")]).select(
+        "doc_id", "text", F.lit("s").alias("source"), F.length("text").alias("n_chars"))
+    out = corpus_pipeline.drop_repeated_lines(spark, docs, "")
+    assert {r["doc_id"]: (r["text"], r["n_chars"]) for r in out.collect()} == {
+        1: ("one long line", 13), 2: ("", 0), 3: ("other", 5)}

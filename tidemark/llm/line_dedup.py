@@ -3,7 +3,9 @@
 Every three consecutive lines of a document form a window; windows overlap.  A
 window that stands in the corpus more than once is kept at its first occurrence
 (by document id, then line); at every later one its three lines are covered.
-The covered lines of all windows of a document are merged, and removed.
+The covered lines of all windows of a document are merged, and removed.  On
+request, a document of fewer lines forms one window of all its lines, which
+meets only windows of as many lines.
 
 Windows are compared by 128 bits of hash, found by one aggregation over all
 windows of the corpus, which combines in each task before its shuffle.  Texts
@@ -22,28 +24,34 @@ from tidemark.llm.common import SPACE, cut, fresh, join_counted
 WIDTH = 3
 
 
-def _windows(docs: DataFrame, key: Column, text: Column, width: int) -> DataFrame:
+def _windows(docs: DataFrame, key: Column, text: Column, width: int, short: bool) -> DataFrame:
     """``high, low, doc, line, last``: hash and place of each window, lines from 1."""
     word = f"[^{SPACE}]"
     lines = F.transform(F.split(text, "\n", -1), lambda x, i: F.when(x.rlike(word), F.struct(
         (i + 1).alias("at"), F.xxhash64(x).alias("a"), F.xxhash64(F.lit(1), x).alias("b"))))
     hashed = docs.select(key.alias("doc"), F.array_compact(lines).alias("lines"))
-    starts = F.when(F.size("lines") >= width, F.sequence(F.lit(1), F.size("lines") - (width - 1)))
+    n = F.size("lines")
+    starts = F.when(n >= width, F.sequence(F.lit(1), n - (width - 1)))
+    if short:
+        starts = F.when(n.between(1, width - 1), F.array(F.lit(1))).otherwise(starts)
     at = hashed.select("doc", "lines", F.explode_outer(starts).alias("i")).filter(F.col("i").isNotNull())
-    part = [F.element_at("lines", F.col("i") + k) for k in range(width)]
+    part = [F.get("lines", F.col("i") + (k - 1)) for k in range(width)]
+    fewer = F.when(n < width, n)  # hashes skip nulls
     return at.select(
-        F.xxhash64(*[p["a"] for p in part]).alias("high"), F.xxhash64(F.lit(2), *[p["b"] for p in part]).alias("low"),
-        "doc", part[0]["at"].alias("line"), part[-1]["at"].alias("last"))
+        F.xxhash64(*[p["a"] for p in part], fewer).alias("high"),
+        F.xxhash64(F.lit(2), *[p["b"] for p in part], fewer).alias("low"), "doc", part[0]["at"].alias("line"),
+        F.get("lines", F.least(F.col("i") + (width - 1), n) - 1)["at"].alias("last"))
 
 
 def dedup_lines(docs: DataFrame, order: Sequence[str] = ("doc_id",), text: str = "text",
-                width: int = WIDTH) -> DataFrame:
+                width: int = WIDTH, short: bool = False) -> DataFrame:
     r"""``docs`` with ``text`` less the removed lines, and ``lines``, ``removed_lines`` (int).
 
     Lines are the \n-separated parts of the text, compared as they are.  Lines
     of white space alone are skipped by windows; they go only where they stand
     between the lines of a removed window.  Documents of fewer than ``width``
-    other lines have no window and stay whole.
+    other lines have no window and stay whole; with ``short`` they have one, of all
+    their other lines, and lose them if an earlier such document has the same ones.
 
     The first occurrence is the one of the smallest ``order`` columns (nulls
     first), then the smallest hash of the text, then the first line; a repeat inside one
@@ -53,7 +61,7 @@ def dedup_lines(docs: DataFrame, order: Sequence[str] = ("doc_id",), text: str =
     is left.  Columns named like an output column are replaced; others stay.
     """
     key = F.struct(*order, F.xxhash64(text).alias("body"))
-    windows = cut(_windows(docs, key, F.col(text), width))
+    windows = cut(_windows(docs, key, F.col(text), width, short))
     total = windows.count()
     found = windows.groupBy("high", "low").agg(F.count(F.lit(1)).alias("n"),
                                                F.min(F.struct("doc", "line")).alias("first"))
