@@ -8,7 +8,7 @@ from tidemark.plans import jobs
 from tidemark.plans.registry import QUERIES
 from tidemark.sources.tables import keyed_table
 
-from conftest import SF_SMALL
+from compare import SF_SMALL
 
 
 def test_cli_uv_job_available_now(spark, scratch):

@@ -12,7 +12,7 @@ from tidemark.sources.topic import json_topic
 from tidemark.streaming import jobs as sj
 from tidemark.streaming.replay import AVAILABLE_NOW, Replay, by_time, replay_category_job
 
-from conftest import SF_SMALL
+from compare import SF_SMALL
 
 
 def _run(queries):

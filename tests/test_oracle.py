@@ -3,8 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
-from compare import digest, duck
-from conftest import SF_SMALL
+from compare import SF_SMALL, digest, duck
 from tidemark.plans.registry import QUERIES
 
 # Every query of the warehouse has an oracle; of other registered queries those that SQL can express.

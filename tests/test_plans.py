@@ -6,7 +6,7 @@ from tidemark.plans import fixtures as fx
 from tidemark.plans import jobs
 from tidemark.plans.registry import QUERIES
 
-from conftest import SF_SMALL
+from compare import SF_SMALL
 
 
 def plan(df):

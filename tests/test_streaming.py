@@ -14,7 +14,7 @@ from tidemark.streaming import jobs as sj
 from tidemark.streaming.event_time import with_event_time
 from tidemark.streaming.replay import AVAILABLE_NOW, Replay, by_range, by_time, wait
 
-from conftest import SF_SMALL
+from compare import SF_SMALL
 
 
 def _run(q):
