@@ -26,4 +26,66 @@ LEFT JOIN covered c ON c.doc_id = n.doc_id AND c.spot = n.spot
 GROUP BY d.doc_id
 """
 
-ORACLE_SQL: dict[str, str] = {"op2_line_dedup": _OP2}
+
+def _tree(name: str, source: str) -> str:
+    """CTEs over the leaves ``source`` (grp, rank, n, hash): the runs of every level, and each group's top."""
+    return f"""
+{name}_nodes AS (
+  SELECT grp, 0 AS level, rank, n, hash FROM {source}
+  UNION ALL
+  SELECT grp, level + 1, rank // 8, (n + 7) // 8, sha256(string_agg(hash, '' ORDER BY rank))
+  FROM {name}_nodes WHERE n > 1 GROUP BY grp, level, rank // 8, n),
+{name}_runs AS (
+  SELECT grp, level, rank // 8 AS run, list(hash ORDER BY rank) AS hashes
+  FROM {name}_nodes WHERE n > 1 GROUP BY grp, level, rank // 8),
+{name}_tops AS (SELECT grp, hash FROM {name}_nodes WHERE n = 1)"""
+
+
+def _walk(name: str, source: str) -> str:
+    """CTE <name>_ends: ``proof`` and ``node`` of the rows of ``source`` (id, grp, rank, proof, node) after all levels."""
+    return f"""
+{name}_walk AS (
+  SELECT id, grp, 0 AS level, rank, proof, node FROM {source}
+  UNION ALL
+  SELECT w.id, w.grp, w.level + 1, w.rank // 8,
+    w.proof || array_to_string(r.hashes[:w.rank % 8], '') || array_to_string(r.hashes[w.rank % 8 + 2:], ''),
+    sha256(array_to_string(r.hashes[:w.rank % 8], '') || w.node || array_to_string(r.hashes[w.rank % 8 + 2:], ''))
+  FROM {name}_walk w JOIN {name}_runs r ON r.grp = w.grp AND r.level = w.level AND r.run = w.rank // 8),
+{name}_ends AS (SELECT id, arg_max(proof, level) AS proof, arg_max(node, level) AS node FROM {name}_walk GROUP BY id)"""
+
+
+def _leaf(text: str) -> str:
+    fields = ("doc_id", "source", "lang", "n_chars", text)
+    return "sha256(" + " || ".join(f"coalesce(strlen(CAST({f} AS VARCHAR)) || ':' || {f}, '-')" for f in fields) + ")"
+
+
+#: crc32 of an integer's decimal text, bit by bit (reflected polynomial 0xEDB88320).
+_CRC32 = """xor(4294967295, list_reduce(
+  list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+  lambda at, byte: list_reduce(list_prepend(xor(at, byte), range(8)),
+    lambda x, bit: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END)))"""
+
+_OP12 = f"""
+WITH RECURSIVE hashed AS (
+  SELECT row_number() OVER () AS id, doc_id, coalesce('=' || lang, '') AS grp, {_leaf("text")} AS leaf,
+    CASE WHEN {_CRC32} % 3 = 0
+      THEN {_leaf("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} END AS changed
+  FROM documents),
+leaves AS (
+  SELECT *, leaf AS hash, row_number() OVER (PARTITION BY grp ORDER BY doc_id NULLS FIRST, leaf) - 1 AS rank,
+    count(*) OVER (PARTITION BY grp) AS n FROM hashed),
+{_tree("low", "leaves")},
+subroots AS (
+  SELECT '' AS grp, grp AS of_grp, hash, row_number() OVER (ORDER BY grp) - 1 AS rank, count(*) OVER () AS n FROM low_tops),
+{_tree("high", "subroots")},
+starts AS (SELECT id, grp, rank, '' AS proof, coalesce(changed, leaf) AS node FROM leaves),
+{_walk("low", "starts")},
+halves AS (
+  SELECT e.id, s.grp, s.rank, e.proof, e.node FROM low_ends e JOIN leaves l ON l.id = e.id JOIN subroots s ON s.of_grp = l.grp),
+{_walk("high", "halves")}
+SELECT l.doc_id, l.leaf, s.hash AS subroot, t.hash AS root, sha256(e.proof) AS proof_sha256, e.node AS folded_root,
+  e.node = t.hash AS verified
+FROM leaves l JOIN subroots s ON s.of_grp = l.grp JOIN high_ends e ON e.id = l.id CROSS JOIN high_tops t
+"""
+
+ORACLE_SQL: dict[str, str] = {"op2_line_dedup": _OP2, "op12_merkle_manifest": _OP12}

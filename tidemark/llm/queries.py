@@ -6,13 +6,14 @@ derives the digest columns of its contract.
 
 from __future__ import annotations
 
+import string
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm import (licenses, line_dedup, mixing, ngrams, quality, rules, sharding, simhash, tokenizing, topk,
+from tidemark.llm import (licenses, line_dedup, merkle, mixing, ngrams, quality, rules, sharding, simhash, tokenizing, topk,
                           toxicity)
 from tidemark.llm.common import table, word_count
 
@@ -96,6 +97,19 @@ def op10_license_scan(spark, d):
     return found.select("doc_id", F.size("licenses").alias("n_licenses"), "licenses")
 
 
+def op12_merkle_manifest(spark, d):
+    """Leaf, roots and proof of every document, checked against a copy in which some texts were tampered with."""
+    docs, fields = table(spark, d, "documents"), ("doc_id", "source", "lang", "n_chars", "text")
+    lower = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    changed = F.when(F.crc32(F.col("doc_id").cast("string")) % 3 == 0,
+                     merkle.leaf([lower if c == "text" else F.col(c) for c in fields]))
+    made = merkle.manifest(docs, fields, "lang", ["doc_id"], ["doc_id"], {"changed": changed})
+    folded = made.withColumn("folded_root", merkle.fold(F.coalesce("changed", "leaf"), F.col("path")))
+    return folded.select("doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("path")).alias("proof_sha256"),
+                         "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
 QUERIES: dict[str, Callable[..., DataFrame]] = {f.__name__: f for f in (
     op1_source_mixing, op2_line_dedup, op3_sentencepiece, op4_simhash, op5_topk_search,
-    op6_quality_classifier, op7_feistel_sharding, op8_quality_rules, op9_toxicity, op10_license_scan)}
+    op6_quality_classifier, op7_feistel_sharding, op8_quality_rules, op9_toxicity, op10_license_scan,
+    op12_merkle_manifest)}
