@@ -62,7 +62,7 @@ def _leaf(text: str) -> str:
 #: crc32 of an integer's decimal text, bit by bit (reflected polynomial 0xEDB88320).
 _CRC32 = """xor(4294967295, list_reduce(
   list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
-  lambda at, byte: list_reduce(list_prepend(xor(at, byte), range(8)),
+  lambda crc, c: list_reduce(list_prepend(xor(crc, c), range(8)),
     lambda x, bit: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END)))"""
 
 _OP12 = f"""
