@@ -13,12 +13,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm import (licenses, line_dedup, merkle, mixing, ngrams, quality, rules, sharding, simhash, tokenizing, topk,
-                          toxicity)
+from tidemark.llm import (licenses, line_dedup, merkle, mixing, ngrams, quality, rules, sharding, simhash, tokenfile,
+                          tokenizing, topk, toxicity)
 from tidemark.llm.common import table, word_count
+from tidemark.session import scratch_path
 
 MIX_WEIGHTS, MIX_SHARE, MIX_CAP = (3, 1, 2), 1.5, 2
 MODEL_FILE = public_tokenizers.path("piece_bpe_32k.model")
+BYTE_MODEL, END_ID = public_tokenizers.path("byte_bpe_50k.json"), 2
 SHINGLE_WORDS = 3
 SHARDS, SHARD_SEED = 16, 20240229
 
@@ -109,7 +111,14 @@ def op12_merkle_manifest(spark, d):
                          "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
 
 
+def op13_token_files(spark, d):
+    """Every document's place, number and checksum of ids, read back from the token files written of the table."""
+    path = scratch_path(spark, "tokens")
+    tokenfile.write_tokens(table(spark, d, "documents"), BYTE_MODEL, END_ID, path)
+    return tokenfile.with_crc32(tokenfile.read_tokens(spark, path), ["doc_id", "start", "n_tokens"])
+
+
 QUERIES: dict[str, Callable[..., DataFrame]] = {f.__name__: f for f in (
     op1_source_mixing, op2_line_dedup, op3_sentencepiece, op4_simhash, op5_topk_search,
     op6_quality_classifier, op7_feistel_sharding, op8_quality_rules, op9_toxicity, op10_license_scan,
-    op12_merkle_manifest)}
+    op12_merkle_manifest, op13_token_files)}
