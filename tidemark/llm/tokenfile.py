@@ -48,13 +48,16 @@ class PartEncoder:
         # Special tokens in a text, and controls of which the two sides differ whether they are white space, need the library.
         self.odd = (*special, "\x1c", "\x1d", "\x1e", "\x1f")
         self.apart = re.compile(r" ?\S+|\s+(?!\S)|\s")
-        self.plain = re.compile(r"( [A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")  # a word and a run of marks
+        self.space = re.compile(r"\s")
+        self.plain = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")  # a word and a run of marks
         if [m for m, _ in self.split(" À")] != ["ĠÃĢ"]:
             raise ValueError("not a byte-level tokenizer")
-        self.letter = {ord(c): self.split(c)[0][0] for c in [" ", *map(chr, range(0xC0, 0x100))]}
-        self.kept: dict[str, bytes] = {}
+        self.letter = {ord(c): self.split(c)[0][0] for c in map(chr, range(0xC0, 0x100))}
+        self.kept: dict[str, bytes] = {}  # of a space and the part
         self.older: dict[str, bytes] = {}
-        for text in ("ab cd", "a  b", "a \n b", "a\n\nb\n", " a\t b", "a's 's É, 1b  .", "x" + " " * 9 + "y"):
+        self.starts: dict[str, bytes] = {}  # of the part alone, at the start of a line
+        self.line = self.whole("\n")
+        for text in ("ab cd", "a  b", "a \n b", "a\n\nb\n", " a\t b", "a's 's É, 1b  .\nx", "x" + " " * 9 + "y", "\n"):
             if self.encode(text) != self.whole(text):
                 raise ValueError("not a byte-level tokenizer whose tokens end at white space")
 
@@ -65,29 +68,59 @@ class PartEncoder:
         """Ids of one pre-token, in the characters that stand for its bytes."""
         return array("i", [t.id for t in self.model.tokenize(mapped)]).tobytes()
 
-    def _made(self, part: str) -> bytes:
+    def _made(self, part: str, led: str) -> bytes:
+        """Ids of ``part`` behind a space, if ``led``, or alone."""
         plain = self.plain.fullmatch(part)
         if not plain:
-            return b"".join([self._ids(piece) for piece, _ in self.split(part)])
+            return b"".join([self._ids(piece) for piece, _ in self.split(" " + part if led else part)])
         if part[-1].isalpha():
-            return self._ids(part.translate(self.letter))
+            return self._ids(led + (part if part.isascii() else part.translate(self.letter)))
         word, marks = plain.groups()
-        return self._part(word) + self._part(marks)
+        return (self._spaced(word) if led else self._start(word)) + self._start(marks)
 
-    def _part(self, part: str) -> bytes:
-        """Ids of a part between two cuts, kept."""
-        found = self.kept.get(part) or self.older.get(part) or self._made(part)
+    def _spaced(self, part: str) -> bytes:
+        """Ids of a space and the part, kept."""
+        found = self.kept.get(part) or self.older.get(part) or self._made(part, "Ġ")
         if len(part) <= KEPT_CHARS:
             if len(self.kept) >= KEPT_PARTS:
                 self.kept, self.older = {}, self.kept
             self.kept[part] = found
         return found
 
+    def _start(self, part: str) -> bytes:
+        """Ids of a part that no space leads, kept."""
+        found = self.starts.get(part)
+        if found is None:
+            found = self._made(part, "")
+            if len(part) <= KEPT_CHARS:
+                if len(self.starts) >= KEPT_PARTS // 4:
+                    self.starts.clear()
+                self.starts[part] = found
+        return found
+
+    def _line(self, line: str) -> bytes | None:
+        """Ids of a line whose white space is single spaces between parts, else none."""
+        first, *parts = line.split(" ")
+        found = list(map(self.kept.get, parts))
+        if None in found:
+            for i, ids in enumerate(found):
+                if ids is None:
+                    part = parts[i]
+                    if not part or self.space.search(part):
+                        return None
+                    found[i] = self._spaced(part)
+        if first not in self.starts and (not first or self.space.search(first)):
+            return None
+        return self._start(first) + b"".join(found)
+
     def encode(self, text: str) -> bytes:
         if any(o in text for o in self.odd):
             return self.whole(text)
-        get, make = self.kept.get, self._part
-        return b"".join([get(p) or make(p) for p in self.apart.findall(text)])
+        lines = list(map(self._line, text.split("\n")))
+        if None not in lines:  # then each line end is a token
+            return self.line.join(lines)
+        return b"".join([self._spaced(p[1:]) if len(p) > 1 and p[0] == " " and not p[1].isspace() else self._start(p)
+                         for p in self.apart.findall(text)])
 
 
 _ENCODERS: dict[str, PartEncoder] = {}
