@@ -88,4 +88,30 @@ SELECT l.doc_id, l.leaf, s.hash AS subroot, t.hash AS root, sha256(e.proof) AS p
 FROM leaves l JOIN subroots s ON s.of_grp = l.grp JOIN high_ends e ON e.id = l.id CROSS JOIN high_tops t
 """
 
-ORACLE_SQL: dict[str, str] = {"op2_line_dedup": _OP2, "op12_merkle_manifest": _OP12}
+_TERMS = (r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+          r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')")
+
+_OP11 = f"""
+WITH docs AS (SELECT row_number() OVER () AS id, doc_id, {_TERMS} AS terms FROM documents),
+lengths AS (SELECT id, doc_id, len(terms) AS n FROM docs WHERE len(terms) > 0),
+totals AS (SELECT count(*) AS all_docs, CAST(sum(n) AS BIGINT) AS all_terms FROM lengths),
+tfs AS (SELECT id, term, count(*) AS tf FROM (SELECT id, unnest(terms) AS term FROM docs) GROUP BY id, term),
+dfs AS (SELECT term, count(*) AS df FROM tfs GROUP BY term),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * all_docs + 2) / (2 * df + 1))) AS BIGINT) AS w FROM dfs, totals),
+asked AS (
+  SELECT item_id, text, term, count(*) AS times FROM (
+    SELECT item_id, text, unnest({_TERMS}) AS term FROM (SELECT DISTINCT item_id, text FROM benchmark))
+  GROUP BY item_id, text, term),
+scores AS (
+  SELECT a.item_id, a.text, f.id, any_value(l.doc_id) AS doc_id, CAST(sum(
+    a.times * w.w * ((1000000000 * f.tf) // (1000 * f.tf + 12 * (100 - 25 + (25 * l.n * t.all_docs) // t.all_terms)))) AS BIGINT) AS score
+  FROM asked a JOIN weights w ON w.term = a.term JOIN tfs f ON f.term = a.term JOIN lengths l ON l.id = f.id, totals t
+  GROUP BY a.item_id, a.text, f.id),
+ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY item_id, text ORDER BY score DESC, doc_id NULLS FIRST) AS INTEGER) AS rank
+  FROM scores WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 20
+"""
+
+ORACLE_SQL: dict[str, str] = {"op2_line_dedup": _OP2, "op11_lexical_search": _OP11, "op12_merkle_manifest": _OP12}

@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm import (licenses, line_dedup, merkle, mixing, ngrams, quality, rules, sharding, simhash, tokenfile,
+from tidemark.llm import (lexical, licenses, line_dedup, merkle, mixing, ngrams, quality, rules, sharding, simhash, tokenfile,
                           tokenizing, topk, toxicity)
 from tidemark.llm.common import table, word_count
 from tidemark.session import scratch_path
@@ -99,6 +99,11 @@ def op10_license_scan(spark, d):
     return found.select("doc_id", F.size("licenses").alias("n_licenses"), "licenses")
 
 
+def op11_lexical_search(spark, d):
+    """The 20 documents that score highest for each benchmark item."""
+    return lexical.search(table(spark, d, "documents"), table(spark, d, "benchmark"), 20)
+
+
 def op12_merkle_manifest(spark, d):
     """Leaf, roots and proof of every document, checked against a copy in which some texts were tampered with."""
     docs, fields = table(spark, d, "documents"), ("doc_id", "source", "lang", "n_chars", "text")
@@ -121,4 +126,4 @@ def op13_token_files(spark, d):
 QUERIES: dict[str, Callable[..., DataFrame]] = {f.__name__: f for f in (
     op1_source_mixing, op2_line_dedup, op3_sentencepiece, op4_simhash, op5_topk_search,
     op6_quality_classifier, op7_feistel_sharding, op8_quality_rules, op9_toxicity, op10_license_scan,
-    op12_merkle_manifest, op13_token_files)}
+    op11_lexical_search, op12_merkle_manifest, op13_token_files)}
