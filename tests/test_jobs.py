@@ -88,10 +88,11 @@ def test_dwd_extract_job(spark, scratch):
     day = fx.orders(spark, SF_SMALL).first().createTime
     now = (day - dt.timedelta(hours=8) + dt.timedelta(minutes=30)).strftime("%Y-%m-%d %H:%M:%S")
     kv = fx.orders_kv(spark, SF_SMALL)
-    out = sj.run_dwd_extract(kv, f"{scratch}/dwd", now=now)
-    back = spark.read.schema(out.schema).json(f"{scratch}/dwd")
+    counts = sj.run_dwd_extract(kv, f"{scratch}/dwd", now=now)
     want = jobs.dwd_current_hour(kv, now=now).withColumn("createTime", F.col("createTime").cast("timestamp"))
+    back = spark.read.schema(want.schema).json(f"{scratch}/dwd")
     assert rows(back) == rows(want) and len(rows(want)) > 0
+    assert counts == {"read": len(rows(want)), "kept": len(rows(want)), "rejected": 0}
     assert all(r.createTime.date() == day.date() for r in back.collect())
 
 

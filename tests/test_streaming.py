@@ -1,13 +1,15 @@
 """Streaming: restart from checkpoint, idempotent upserts, late rows."""
 
 import datetime as dt
+import json
 
 from pyspark.sql import functions as F
 
 from tidemark.plans import fixtures as fx
 from tidemark.plans import jobs
 from tidemark.sinks.topic import append_topic
-from tidemark.sinks.upsert import BATCH, UpsertTable, combine, upsert_batch
+from tidemark.sinks.bucketed import BATCH
+from tidemark.sinks.upsert import UpsertTable, combine, upsert_batch
 from tidemark.sources.tables import keyed_table
 from tidemark.sources.topic import json_topic
 from tidemark.streaming import jobs as sj
@@ -62,51 +64,99 @@ def test_upsert_replay_is_idempotent(spark, scratch):
     upsert_batch(spark, b1, 1, ["k"], path)  # the same batch replayed after a failure
     twice = sorted(tuple(r) for r in keyed_table(spark, path).collect())
     assert once == twice == [("a", 1), ("b", 5), ("c", 3)]
-    assert UpsertTable(spark, path).batches() == [0, 1]
+    assert {p[2] for p in UpsertTable(spark, path).partitions()} == {0, 1}
 
 
-def test_upsert_compaction_keeps_the_table(spark, scratch):
-    """Many small batches with compaction every 3: only the latest row per key
-    survives, bases are written, and old deltas are dropped."""
+def test_upsert_folds_keep_the_table(spark, scratch):
+    """Many small batches with a fold every 3: only the latest row per key
+    survives, and the files that a fold has read are gone."""
     path = f"{scratch}/t"
     for i in range(8):
         b = spark.createDataFrame([(f"k{i % 3}", i), (f"n{i}", -i)], "k string, v bigint")
-        upsert_batch(spark, b, i, ["k"], path, compact_every=3)
+        upsert_batch(spark, b, i, ["k"], path, fold_every=3)
     t = UpsertTable(spark, path)
     want = [("k0", 6), ("k1", 7), ("k2", 5)] + [(f"n{i}", -i) for i in range(8)]
     assert sorted(tuple(r) for r in t.current().collect()) == sorted(want)
-    assert t.versions() == [2, 5]
-    assert t.batches() == [3, 4, 5, 6, 7]
+    assert sorted({p[2] for p in t.partitions()}) == [5, 6, 7]  # batches 0 to 5 are one partition
 
 
-def test_compaction_leaves_untouched_buckets_alone(spark, scratch):
-    """A batch of one key: the other buckets keep their very files."""
+def test_replay_after_a_fold(spark, scratch):
+    """The batch that comes after a fold may be replayed; the folded one has finished."""
     path = f"{scratch}/t"
-    many = spark.createDataFrame([(f"k{i}", i) for i in range(200)], "k string, v bigint")
-    upsert_batch(spark, many, 0, ["k"], path, compact_every=1)
-    before = UpsertTable(spark, path).bucket_paths()
-    assert len(before) > 4
-    upsert_batch(spark, spark.createDataFrame([("k7", -1)], "k string, v bigint"), 1, ["k"], path, compact_every=1)
-    after = UpsertTable(spark, path).bucket_paths()
-    assert [b for b in before if before[b] != after[b]] == [b for b in after if "v=000000000001" in after[b]]
-    assert len([b for b in before if before[b] != after[b]]) == 1
-    want = sorted((f"k{i}", -1 if i == 7 else i) for i in range(200))
+    batches = [spark.createDataFrame([("a", i), (f"b{i}", i)], "k string, v bigint") for i in range(5)]
+    for i in (0, 1, 2, 3, 4, 4):
+        upsert_batch(spark, batches[i], i, ["k"], path, fold_every=2)
+    assert sorted(tuple(r) for r in keyed_table(spark, path).collect()) == \
+        sorted([("a", 4)] + [(f"b{i}", i) for i in range(5)])
+
+
+def test_a_fold_that_did_not_delete(spark, scratch, monkeypatch):
+    """A crash between a fold's write and its deletes: the next fold finds the same rows."""
+    from tidemark.sinks import bucketed
+    path = f"{scratch}/t"
+    with monkeypatch.context() as m:
+        m.setattr(bucketed, "delete_path", lambda *a: None)
+        for i in range(5):
+            upsert_batch(spark, spark.createDataFrame([("a", i), (f"b{i}", i)], "k string, v bigint"), i, ["k"], path,
+                         fold_every=2)
+    want = sorted([("a", 4)] + [(f"b{i}", i) for i in range(5)])
+    assert sorted(tuple(r) for r in keyed_table(spark, path).collect()) == want
+    UpsertTable(spark, path).fold_batches(4)
+    assert sorted(tuple(r) for r in keyed_table(spark, path).collect()) == want
+    assert {p[2] for p in UpsertTable(spark, path).partitions()} == {4}
+
+
+def test_folds_leave_untouched_buckets_alone_and_split_large_ones(spark, scratch, monkeypatch):
+    """Buckets grow in number with the table; a batch of one key makes only its bucket's files new."""
+    from tidemark.sinks import bucketed
+    path = f"{scratch}/t"
+    many = spark.createDataFrame([(f"k{i}", i) for i in range(2000)], "k string, v bigint")
+    monkeypatch.setattr(bucketed, "BUCKET_BYTES", 4000)
+    upsert_batch(spark, many, 0, ["k"], path)
+    t = UpsertTable(spark, path)
+    assert {p[:2] for p in t.partitions()} == {(1, 0)}
+    t.fold_batches(0)
+    before = t.partitions()
+    of = before[0][0]
+    assert of > 4 and len(before) == of and {p[0] for p in before} == {of}
+    monkeypatch.setattr(bucketed, "BUCKET_BYTES", 1 << 30)
+    upsert_batch(spark, spark.createDataFrame([("k7", -1)], "k string, v bigint"), 1, ["k"], path)
+    t.fold_batches(1)
+    after = t.partitions()
+    assert len(set(before) - set(after)) == 1 and [p[2] for p in set(after) - set(before)] == [1]
+    want = sorted((f"k{i}", -1 if i == 7 else i) for i in range(2000))
     assert sorted(tuple(r) for r in keyed_table(spark, path).collect()) == want
 
 
+def test_writes_have_more_tasks_than_buckets(spark, scratch):
+    """One bucket, written by many tasks: rows are dealt by bucket and slice of the key hash."""
+    t = UpsertTable(spark, f"{scratch}/t", ["id"])
+    rows = spark.range(10_000).withColumn("batch", F.lit(0).cast("long"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        spread = t._spread(rows, 1)
+        tasks = spread.select(F.spark_partition_id().alias("p")).distinct().count()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert tasks == int(spark.conf.get("spark.sql.shuffle.partitions")) > 1
+    assert spread.select("bucket").distinct().count() == 1
+
+
 def test_old_tombstones_are_purged(spark, scratch):
     """A delete is forgotten once no older change can be replayed; the table stays the same."""
     from tidemark.sinks.keyed_state import KeyedStateTable
     schema = "hbaseTable string, rowkey string, offset bigint, pos int, kind int, family string, qualifier string, value string"
-    table = KeyedStateTable(spark, f"{scratch}/t", compact_every=2)
+    table = KeyedStateTable(spark, f"{scratch}/t", fold_every=2)
     put = lambda key, at: ("h", key, at, 0, 1, "cf", "q", f"v{at}")
     gone = lambda key, at: ("h", key, at, 0, 0, None, None, None)
     for i, ops in enumerate([[put("a", 0), put("b", 1)], [gone("a", 2), put("b", 3)],
-                             [put("c", 4)], [put("c", 5), put("a", 6), gone("c", 7)]]):
+                             [put("c", 4)], [put("c", 5), put("a", 6), gone("c", 7)], [put("d", 8)]]):
         table.apply_batch(spark.createDataFrame(ops, schema), i)
-    assert sorted((r.rowkey, r.value) for r in table.cells().collect()) == [("a", "v6"), ("b", "v3")]
-    deletes = [(r.rowkey, r.offset) for r in table.state().collect() if r.kind == 0]
-    assert deletes == [("c", 7)]
+    assert sorted((r.rowkey, r.value) for r in table.cells().collect()) == [("a", "v6"), ("b", "v3"), ("d", "v8")]
+    deletes = lambda: [(r.rowkey, r.offset) for r in table.state().collect() if r.kind == 0]
+    assert deletes() == [("c", 7)]
+    table.fold_batches(4)  # the delete now stands in the oldest files
+    assert deletes() == [] and {r.rowkey for r in table.cells().collect()} == {"a", "b", "d"}
 
 
 def test_combine_duplicate_keys_in_batch(spark):
@@ -155,9 +205,9 @@ def test_cdc_sync_restart_and_replay(spark, scratch):
     flow = fx.flow(spark)
     part = F.least(F.floor(F.col("offset") / fx.PHASE_STRIDE), F.lit(4))
     Replay(log, part, 5).run(lambda stream: start_cdc_sync(
-        spark, stream, lambda: flow, f"{scratch}/table", f"{scratch}/ckpt", AVAILABLE_NOW, compact_every=2))
-    table = KeyedStateTable(spark, f"{scratch}/table", compact_every=2)
-    assert table.versions()  # compaction happened
+        spark, stream, lambda: flow, f"{scratch}/table", f"{scratch}/ckpt", AVAILABLE_NOW, fold_every=2))
+    table = KeyedStateTable(spark, f"{scratch}/table", fold_every=2)
+    assert {p[2] for p in table.partitions()} == {3, 4}  # batches 0 to 3 have been folded
 
     def cells(df):
         return sorted(tuple(r) for r in df.select("rowkey", "qualifier", "value").collect())
@@ -167,8 +217,9 @@ def test_cdc_sync_restart_and_replay(spark, scratch):
     assert cells(table.cells()) == want
 
     # Re-deliver the last batch's ops (at-least-once): same state.
-    last = table.batches()[-1]
-    again = spark.createDataFrame(spark.read.schema(table.schema).parquet(table._delta_path(last)).collect(), table.schema)
+    last = table.next_batch_id() - 1
+    rows = table.stored().filter(F.col(BATCH) == last).select(*table.schema.names)
+    again = spark.createDataFrame(rows.collect(), table.schema)
     table.apply_batch(again, last)
     assert cells(table.cells()) == want
 
@@ -251,3 +302,65 @@ def _first_offset_log(spark, checkpoint):
     """A query's first offset log entry (it records the session's state store
     provider)."""
     return "\n".join(r.value for r in spark.read.text(f"{checkpoint}/offsets/0").collect())
+
+
+def _changes(*rows):
+    """Changelog records (partition, offset, database, table, data) as JSON text."""
+    return [(p, o, json.dumps({"database": d, "table": t, "type": "INSERT", "data": [x]})) for p, o, d, t, x in rows]
+
+
+def _flow(spark, *tables):
+    return spark.createDataFrame([(i + 1, 1, "d", t, f"h:{t}", "cf", False, 10, "id", 2) for i, t in enumerate(tables)],
+                                 fx.FLOW_SCHEMA)
+
+
+def _sync(spark, scratch, batches, loader, **options):
+    """One micro-batch after the other through the sync's batch writer."""
+    from tidemark.sinks.keyed_state import KeyedStateTable
+    from tidemark.sources.tables import CachedTable
+    from tidemark.streaming.cdc_apply import RoutingState, changelog_batch_writer
+    table = KeyedStateTable(spark, f"{scratch}/table")
+    write = changelog_batch_writer(table, RoutingState(spark, f"{scratch}/routing", CachedTable(loader, 0.0)))
+    for i, rows in batches:
+        write(spark.createDataFrame(rows, "partition int, offset bigint, value string"), i)
+    return table
+
+
+def test_tables_without_a_flow_may_come_from_anywhere(spark, scratch):
+    """Only configured tables need one topic partition; others are dropped, and counted."""
+    import pytest
+    from tidemark.streaming.cdc_apply import cdc_progress
+    rows = _changes((0, 0, "d", "other", {"id": "1"}), (1, 1, "d", "other", {"id": "2"}), (1, 2, "d", "t", {"id": "3"}),
+                    (1, 3, "d", "t", {"no": "4"})) + [(0, 4, "no json")]
+    table = _sync(spark, scratch, [(0, rows)], lambda: _flow(spark, "t"))
+    assert {(r.hbaseTable, r.value) for r in table.cells().collect()} == {("h:t", "3")}
+    assert [tuple(r) for r in cdc_progress(spark, table.path).collect()] == [(0, 5, 1, 2, 2)]
+    with pytest.raises(ValueError, match="more than one topic partition"):
+        _sync(spark, scratch, [(1, _changes((0, 5, "d", "t", {"id": "5"})))], lambda: _flow(spark, "t"))
+
+
+def test_a_batch_keeps_its_routing(spark, scratch):
+    """A replayed batch is routed as it first was, also by a new process; configs are only ever put."""
+    now = ["a"]
+    loader = lambda: _flow(spark, *now)
+    first = _changes((0, 0, "d", "a", {"id": "1"}), (0, 1, "d", "b", {"id": "1"}))
+    second = _changes((0, 2, "d", "a", {"id": "2"}), (0, 3, "d", "b", {"id": "2"}))
+    table = _sync(spark, scratch, [(0, first)], loader)
+    now[:] = ["b"]  # a disappears from the config, b appears
+    _sync(spark, scratch, [(0, first), (1, second)], loader)
+    now[:] = []
+    _sync(spark, scratch, [(1, second)], loader)
+    assert sorted((r.hbaseTable, r.value) for r in table.cells().collect()) == [("h:a", "1"), ("h:a", "2"), ("h:b", "2")]
+
+
+def test_user_totals_agree_after_every_batch(spark, scratch):
+    """Count and sum of a user come from the same batches, as of each of them."""
+    rows = [(i % 7 if i % 5 else None, i % 3, float(i), i % 4) for i in range(60)]
+    df = spark.createDataFrame(rows, "orderId long, userId long, realTotalMoney double, part int")
+    Replay(df, F.col("part"), 4).run(lambda s: sj.start_user_totals_stream(
+        spark, s, f"{scratch}/t", f"{scratch}/ckpt", AVAILABLE_NOW))
+    for batch in range(4):
+        got = {r["userId"]: (r["order_num"], r["gmv"]) for r in sj.read_user_totals(spark, f"{scratch}/t", batch).collect()}
+        some = [r for r in rows if r[3] <= batch]
+        assert got == {u: (len({r[0] for r in some if r[1] == u and r[0] is not None}),
+                           sum(r[2] for r in some if r[1] == u)) for u in {r[1] for r in some}}

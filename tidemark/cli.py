@@ -75,7 +75,7 @@ def _parser() -> argparse.ArgumentParser:
     sp.add_argument("--changelog", required=True, help="topic of partition, offset, value records")
     sp.add_argument("--flow", required=True, help="routing config table")
     sp.add_argument("--table", required=True)
-    sp.add_argument("--compact-every", type=int, default=10)
+    sp.add_argument("--fold-every", type=int, default=10, help="batches between folds of the table's files")
     common(sp)
     sp = sub.add_parser("dwd-extract")
     sp.add_argument("--keyed", required=True, help="keyed order table")
@@ -167,7 +167,8 @@ def main(argv: list[str] | None = None) -> int:
     if args.job == "dwd-extract":
         from tidemark.sources.tables import keyed_table
         from tidemark.streaming.jobs import run_dwd_extract
-        run_dwd_extract(keyed_table(spark, args.keyed), args.out, args.now)
+        counts = run_dwd_extract(keyed_table(spark, args.keyed), args.out, args.now)
+        print(" ".join(f"{k}={v}" for k, v in counts.items()))
         return 0
     if args.job == "user-totals":
         from tidemark.sources.tables import keyed_table
@@ -196,7 +197,7 @@ def main(argv: list[str] | None = None) -> int:
     elif args.job == "item-counts":
         queries = [sj.start_item_counts(spark, _source(spark, args, schemas.USER_BEHAVIOR), args.out, ckpt, trigger)]
     elif args.job == "user-totals-stream":
-        queries = sj.start_user_totals_stream(spark, _source(spark, args, schemas.DWD_ORDERS), args.out, ckpt, trigger)
+        queries = [sj.start_user_totals_stream(spark, _source(spark, args, schemas.DWD_ORDERS), args.out, ckpt, trigger)]
     elif args.job == "user-top1":
         dws = _source(spark, args, sj.USER_PROVINCE_HOUR.dws_schema)
         queries = [sj.start_user_top1(spark, dws, args.out, ckpt, trigger)]
@@ -211,7 +212,7 @@ def main(argv: list[str] | None = None) -> int:
             raw = json_topic(spark, args.changelog, schemas.CHANGELOG_TOPIC,
                              max_files_per_trigger=args.max_per_trigger)
         queries = [start_cdc_sync(spark, raw, lambda: load_table(spark, args.flow), args.table,
-                                  ckpt, trigger, args.compact_every)]
+                                  ckpt, trigger, args.fold_every)]
     else:
         raise SystemExit(f"unknown job {args.job}")
 

@@ -10,6 +10,8 @@ qualifiers while readers declare ``cf`` and camelCase.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -73,14 +75,15 @@ def dwd_orders(orders_text: DataFrame, time_type: str = "timestamp_ntz") -> Data
     return df.select(*try_cast_columns(df, types))
 
 
+def failed_cast() -> Column:
+    """Whether a non-null text of the row failed a cast of the typed extract."""
+    bad = [F.col(c).isNotNull() & F.col(c).try_cast(t).isNull() for c, t in DWD_ORDER_TYPES.items()]
+    return reduce(or_, bad)
+
+
 def cast_rejects(orders_text: DataFrame) -> DataFrame:
-    """Rows whose non-null text failed a cast of the typed extract."""
-    bad = [F.col(c).isNotNull() & F.col(c).try_cast(t).isNull()
-           for c, t in DWD_ORDER_TYPES.items()]
-    cond = bad[0]
-    for b in bad[1:]:
-        cond = cond | b
-    return orders_text.where(cond)
+    """Rows of which the typed extract loses a text."""
+    return orders_text.where(failed_cast())
 
 
 def current_hour(df: DataFrame, text_time_col: str = "createTime",

@@ -285,7 +285,7 @@ def q_stream_user_top1(spark, d):
 
 
 def _cdc_table(spark, d):
-    """The changelog replayed through the CDC sync, compacting every 2 batches; the table's path."""
+    """The changelog replayed through the CDC sync, folding its files every 2 batches; the table's path."""
     from tidemark.streaming.cdc_apply import start_cdc_sync
     from tidemark.streaming.replay import AVAILABLE_NOW, Replay, SLICES
     phase = F.floor(F.col("offset") / fx.PHASE_STRIDE)
@@ -294,7 +294,7 @@ def _cdc_table(spark, d):
     replay = Replay(fx.changelog(spark, d), part, n)
     at = replay.root
     replay.run(lambda stream: start_cdc_sync(spark, stream, lambda: fx.flow(spark), f"{at}/table", f"{at}/ckpt",
-                                             AVAILABLE_NOW, compact_every=2))
+                                             AVAILABLE_NOW, fold_every=2))
     return f"{at}/table"
 
 

@@ -13,7 +13,6 @@ USER_BEHAVIOR = "user_id bigint, item_id bigint, category_id bigint, behavior st
 # dwd.orders topic (typed extract).
 DWD_ORDERS = ("orderId bigint, orderNo string, userId bigint, goodId bigint, goodsMoney double, "
               "realTotalMoney double, payFrom bigint, province string, createTime timestamp")
-CATEGORY = "sub_category_id int, parent_category_id int, parent_category_name string"
 
 # A changelog topic record as the file double stores it (Kafka supplies
 # partition and offset itself).

@@ -1,142 +1,143 @@
-"""A keyed table as Parquet: bucketed base versions plus per-batch deltas.
-
-Layout under ``path``::
-
-    _table.json             key columns, row schema, bucket count and options
-    base/v=<n>/bucket=<b>   bucket b folded over all batches up to n
-    delta/batch=<n>         the rows micro-batch n wrote (overwritten if n is replayed)
-
-A micro-batch writes its own rows and nothing else.  Compaction rewrites only
-the buckets that got rows since the one before; every other bucket keeps its
-files.  A reader takes each bucket's newest base and the deltas after the
-newest version, and folds them; the fold is associative per key, so a replayed
-batch gives the same table.
+"""A keyed table as plain Parquet, partitioned by bucket and batch, folded by key when read.
+
+Every micro-batch writes its rows to ``rows/buckets=<of>/bucket=<b>/batch=<n>``
+by dynamic partition overwrite, so a replayed batch replaces its own rows and
+nothing else.  The table is what a per-key aggregation makes of all rows; the
+aggregations of ``upsert`` and ``keyed_state`` give the same result however often rows
+that they have folded are folded again.  ``fold_batches`` uses that: it writes the
+folded rows of the buckets that got rows to the newest finished batch's partition,
+then deletes the partitions it read.  A crash in between costs nothing but space.
+
+Writes are spread by (bucket, hash of the key), so their parallelism follows
+the rows, not the number of buckets.  A table starts with one bucket; once a
+bucket holds more than ``BUCKET_BYTES`` the next fold deals the whole table out
+into more.  ``_table.json`` beside the rows holds schema, keys and the rule of the fold.
+
+A reader lists the files when it plans.  One that is still reading while a fold
+deletes what it read has to start again.
 """
 
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
-from tidemark.sinks.files import delete_path, list_batches, list_dirs, read_text, write_text
+from tidemark.session import input_bytes
+from tidemark.sinks.files import delete_path, glob_dirs, read_text, write_text
 
-DIGITS = 12
-#: Buckets of a new table; fixed once it exists (a few per executor core for a large one).
-BUCKETS = 16
+BATCH = "batch"
+PARTS = ("buckets", "bucket", BATCH)
+#: Size from which a bucket is split, and into how many ranges of key hashes its rows are dealt for a write.
+BUCKET_BYTES, SLICES = 1 << 30, 32
 
 
 class BucketedTable:
-    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str] = (),
-                 fold: Callable[[DataFrame], DataFrame] | None = None, options: dict | None = None,
-                 compact_every: int = 10, buckets: int = BUCKETS):
-        self.spark, self.path, self.compact_every = spark, path.rstrip("/"), compact_every
-        self.fold = fold
+    """Rows of a keyed table; subclasses give the fold."""
+
+    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str] = (), rule: dict | None = None,
+                 fold_every: int = 10):
+        self.spark, self.path, self.fold_every = spark, path.rstrip("/"), fold_every
+        self.keys, self.rule, self.schema = list(keys), rule or {}, None
         meta = read_text(spark, f"{self.path}/_table.json")
         if meta is not None:
-            m = json.loads(meta)
-            self.keys, self.options, self.buckets = m["keys"], m["options"], m["buckets"]
-            self.schema: StructType | None = StructType.fromJson(m["schema"])
-        else:
-            self.keys, self.options, self.buckets, self.schema = list(keys), options or {}, buckets, None
+            known = json.loads(meta)
+            self.keys, self.rule = known["keys"], known["rule"]
+            self.schema: StructType | None = StructType.fromJson(known["schema"])
 
     @staticmethod
     def exists(spark: SparkSession, path: str) -> bool:
         return read_text(spark, f"{path.rstrip('/')}/_table.json") is not None
 
-    # -- files ---------------------------------------------------------------
-    def _version_path(self, version: int) -> str:
-        return f"{self.path}/base/v={version:0{DIGITS}d}"
+    def fold(self, rows: DataFrame) -> DataFrame:
+        """One state for each key from rows with their ``batch``; the batch column stays."""
+        raise NotImplementedError
 
-    def _delta_path(self, batch_id: int) -> str:
-        return f"{self.path}/delta/batch={batch_id:0{DIGITS}d}"
+    def forget(self, folded: DataFrame, rows: DataFrame) -> DataFrame:
+        """``folded`` without what no later row can need; ``rows`` has ``bucket`` and the bucket's ``oldest`` batch."""
+        return folded
 
-    def versions(self) -> list[int]:
-        return list_batches(self.spark, f"{self.path}/base", "v=")
+    # -- partitions ----------------------------------------------------------
+    def partitions(self) -> list[tuple[int, int, int]]:
+        """``(buckets, bucket, batch)`` of every partition there is."""
+        names = glob_dirs(self.spark, f"{self.path}/rows/buckets=*/bucket=*/batch=*")
+        return sorted(tuple(int(part.split("=")[1]) for part in name.split("/")[-3:]) for name in names)
 
-    def batches(self) -> list[int]:
-        return list_batches(self.spark, f"{self.path}/delta")
+    def buckets(self) -> int:
+        return max((p[0] for p in self.partitions()), default=1)
 
     def next_batch_id(self) -> int:
-        ids = self.batches() + self.versions()
-        return max(ids) + 1 if ids else 0
-
-    def bucket_paths(self, upto: int | None = None) -> dict[int, str]:
-        """The newest base folder of each bucket among the versions up to ``upto``."""
-        found: dict[int, str] = {}
-        for v in sorted(self.versions(), reverse=True):
-            if upto is None or v <= upto:
-                for name in list_dirs(self.spark, self._version_path(v), "bucket="):
-                    found.setdefault(int(name[len("bucket="):]), f"{self._version_path(v)}/{name}")
-        return found
-
-    def bucket(self) -> Column:
-        return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
-
-    def _read(self, paths: Sequence[str]) -> DataFrame:
-        if not paths:
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(*paths)
+        return max((p[2] for p in self.partitions()), default=-1) + 1
+
+    def stored(self) -> DataFrame:
+        """All rows as they were written, with their ``buckets``, ``bucket`` and ``batch``."""
+        if self.schema is None:
+            raise ValueError(f"no table at {self.path}")
+        schema = StructType([*self.schema, *[StructField(p, LongType()) for p in PARTS]])
+        if not self.partitions():
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(f"{self.path}/rows")
 
     # -- writes --------------------------------------------------------------
+    def _spread(self, rows: DataFrame, buckets: int) -> DataFrame:
+        """Rows with their partition columns, dealt to tasks by bucket and slice of the key hashes."""
+        key = F.xxhash64(*self.keys)
+        piece: Column = F.pmod(F.shiftright(key, 32), F.lit(SLICES))
+        return rows.withColumns({"buckets": F.lit(buckets).cast("long"), "bucket": F.pmod(key, F.lit(buckets))}) \
+            .repartition(F.col("bucket"), piece)
+
+    def _write(self, rows: DataFrame) -> None:
+        (rows.select(*self.schema.names, *PARTS).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(*PARTS).parquet(f"{self.path}/rows"))
+
     def append(self, rows: DataFrame, batch_id: int) -> None:
-        """Write micro-batch ``batch_id`` (idempotent)."""
+        """Write micro-batch ``batch_id``; writing it again replaces it."""
         if self.schema is None:
             self.schema = StructType.fromJson(json.loads(rows.schema.json()))
             for field in self.schema:
                 field.nullable = True
-            write_text(self.spark, f"{self.path}/_table.json", json.dumps({
-                "keys": self.keys, "options": self.options, "buckets": self.buckets,
-                "schema": json.loads(self.schema.json())}))
-        rows.select(*self.schema.names).write.mode("overwrite").parquet(self._delta_path(batch_id))
+            write_text(self.spark, f"{self.path}/_table.json", json.dumps(
+                {"schema": json.loads(self.schema.json()), "keys": self.keys, "rule": self.rule}))
+        self._write(self._spread(rows.withColumn(BATCH, F.lit(batch_id).cast("long")), self.buckets()))
 
     def apply(self, rows: DataFrame, batch_id: int) -> None:
+        """Append a micro-batch; now and then first fold those before it, which can no longer be replayed."""
+        if batch_id and batch_id % self.fold_every == 0:
+            self.fold_batches(batch_id - 1)
         self.append(rows, batch_id)
-        if (batch_id + 1) % self.compact_every == 0:
-            self.compact(batch_id)
-
-    def compact(self, upto: int) -> None:
-        """Fold the buckets that batches up to ``upto`` touched into version ``upto``."""
-        versions = self.versions()
-        if self.schema is None or upto in versions:
-            return  # a replayed batch: never overwrite the version being read
-        last = max((v for v in versions if v < upto), default=None)
-        pending = self._read([self._delta_path(b) for b in self.batches()
-                              if (last is None or b > last) and b <= upto])
-        touched = {r[0] for r in pending.select(self.bucket().alias("b")).distinct().collect()}
-        old = [p for b, p in self.bucket_paths(upto).items() if b in touched]
-        folded = self.fold(self._read(old).unionByName(pending), upto)
-        (folded.withColumn("bucket", self.bucket()).repartition("bucket")
-         .write.mode("overwrite").partitionBy("bucket").parquet(self._version_path(upto)))
-        self._expire(last)
-
-    def _expire(self, last: int | None) -> None:
-        """Drop what no reader that started after the compaction before needs."""
-        if last is None:
+
+    def fold_batches(self, upto: int) -> None:
+        """Fold the buckets with rows of several batches up to ``upto``, all finished, into that batch's partition."""
+        found = [p for p in self.partitions() if p[2] <= upto]
+        if not found:
+            return
+        size = input_bytes(self.spark, [f"{self.path}/rows"])
+        now, want = max(p[0] for p in found), 1
+        while want < now or want * BUCKET_BYTES < size:
+            want *= 2
+        if {p[0] for p in found} == {want}:  # else all rows are dealt out anew
+            many = {p[1] for p in found if p[2] != min(q[2] for q in found if q[1] == p[1])}
+            found = [p for p in found if p[1] in many]
+        if not found:
             return
-        for b in self.batches():
-            if b <= last:
-                delete_path(self.spark, self._delta_path(b))
-        current = set(self.bucket_paths(last).values()) | set(self.bucket_paths().values())
-        for v in self.versions():
-            for name in list_dirs(self.spark, self._version_path(v), "bucket="):
-                if f"{self._version_path(v)}/{name}" not in current:
-                    delete_path(self.spark, f"{self._version_path(v)}/{name}")
+        rows = self.stored().filter(F.col(BATCH) <= upto)
+        if {p[0] for p in found} == {want}:
+            rows = rows.filter(F.col("bucket").isin([p[1] for p in found]))
+        oldest = {}
+        for p in found:
+            oldest[p[:2]] = min(p[2], oldest.get(p[:2], p[2]))
+        known = self.spark.createDataFrame([(*k, v) for k, v in oldest.items()], "buckets long, bucket long, oldest long")
+        folded = self.forget(self.fold(rows.drop("buckets", "bucket")), rows.join(known, ["buckets", "bucket"]))
+        self._write(self._spread(folded.withColumn(BATCH, F.lit(upto).cast("long")), want))
+        for p in found:
+            if p[2] != upto or p[0] != want:
+                delete_path(self.spark, f"{self.path}/rows/" + "/".join(f"{n}={v}" for n, v in zip(PARTS, p, strict=True)))
 
     # -- reads ---------------------------------------------------------------
-    def pending(self, after: int | None = None, upto: int | None = None) -> list[int]:
-        return [b for b in self.batches() if (after is None or b > after) and (upto is None or b <= upto)]
-
     def state(self, upto: int | None = None) -> DataFrame:
-        """The folded rows of all batches up to ``upto``."""
-        if self.schema is None:
-            raise ValueError(f"no table at {self.path}")
-        last = max((v for v in self.versions() if upto is None or v <= upto), default=None)
-        base = self._read(list(self.bucket_paths(upto).values()))
-        ids = self.pending(last, upto)
-        if not ids:
-            return base  # already folded
-        return self.fold(base.unionByName(self._read([self._delta_path(b) for b in ids])), None)
+        """The fold of all batches up to ``upto``."""
+        rows = self.stored().drop("buckets", "bucket")
+        return self.fold(rows if upto is None else rows.filter(F.col(BATCH) <= upto)).select(*self.schema.names)

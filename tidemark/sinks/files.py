@@ -20,6 +20,12 @@ def list_dirs(spark: SparkSession, root: str, prefix: str) -> list[str]:
                   if st.isDirectory() and st.getPath().getName().startswith(prefix))
 
 
+def glob_dirs(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths of the directories that match ``pattern``."""
+    fs, p, _ = _fs(spark, pattern)
+    return sorted(str(st.getPath().toString()) for st in fs.globStatus(p) or [] if st.isDirectory())
+
+
 def list_batches(spark: SparkSession, root: str, prefix: str = "batch=") -> list[int]:
     """Ids of complete ``<prefix><id>`` directories (``_SUCCESS`` present) under ``root``."""
     fs, _, jvm = _fs(spark, root)

@@ -2,9 +2,9 @@
 
 The fold (``operators.cdc.fold``) orders ops by ``seq`` (offset, row, kind), so
 a replayed or re-delivered batch gives the same state.  Tombstones are kept
-only as long as an older op can still arrive: compaction drops those that lie
-before the first offset of the batch it ends with, the oldest that can be
-replayed (offsets of one source table only grow).
+only as long as an older op may still be beside them: a fold of batches drops
+those that came with the oldest batch of their bucket, whose rows nothing older
+can meet any more (offsets of one source table only grow).
 """
 
 from __future__ import annotations
@@ -13,25 +13,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import cdc
-from tidemark.sinks.bucketed import BUCKETS, BucketedTable
+from tidemark.sinks.bucketed import BATCH, BucketedTable
 
 OPS_COLUMNS = ("hbaseTable", "rowkey", "offset", "pos", "kind", "family", "qualifier", "value")
 KIND = "keyed-state"
 
 
 class KeyedStateTable(BucketedTable):
-    def __init__(self, spark: SparkSession, path: str, compact_every: int = 10, buckets: int = BUCKETS):
-        super().__init__(spark, path, ["hbaseTable", "rowkey"], self._fold, {"kind": KIND}, compact_every, buckets)
-
-    def _fold(self, ops: DataFrame, upto: int | None) -> DataFrame:
-        state = cdc.state_as_ops(cdc.fold(ops))
-        if upto is None:
-            return state
-        oldest = (self._read([self._delta_path(upto)]).groupBy(F.col("hbaseTable").alias("of"))
-                  .agg(F.min("offset").alias("oldest")))  # one row a table
-        gone = (F.col("kind") == cdc.KIND_DELETE) & (F.col("offset") < F.col("oldest"))
-        return (state.join(F.broadcast(oldest), F.col("hbaseTable") == F.col("of"), "left")
-                .filter(~F.coalesce(gone, F.lit(False))).drop("of", "oldest"))
+    def __init__(self, spark: SparkSession, path: str, fold_every: int = 10):
+        super().__init__(spark, path, ["hbaseTable", "rowkey"], {"kind": KIND}, fold_every)
+
+    def fold(self, rows: DataFrame) -> DataFrame:
+        return cdc.state_as_ops(cdc.fold(rows))
+
+    def forget(self, folded: DataFrame, rows: DataFrame) -> DataFrame:
+        # A row key's bucket is found again by its hash; one row a bucket and table.
+        last = rows.filter(F.col(BATCH) == F.col("oldest")).groupBy("hbaseTable", "buckets", "bucket") \
+            .agg(F.max("offset").alias("last")).groupBy(F.col("hbaseTable").alias("of")).agg(F.min("last").alias("last"))
+        gone = (F.col("kind") == cdc.KIND_DELETE) & (F.col("offset") <= F.col("last"))
+        return (folded.join(last, F.col("hbaseTable") == F.col("of"), "left")
+                .filter(~F.coalesce(gone, F.lit(False))).drop("of", "last"))
 
     def apply_batch(self, ops: DataFrame, batch_id: int) -> None:
         self.apply(ops.select(*OPS_COLUMNS), batch_id)

@@ -1,10 +1,9 @@
 """Upsert sink: one row per key in a bucketed table (see ``sinks.bucketed``).
 
-The combine rules are associative per-key aggregates, so they combine on the
-map side and a replayed batch gives the same table:
+The combine rules are per-key aggregates that combine on the map side and may
+fold a row again without changing the result, so a replayed batch gives the same table:
 
 * ``latest``: the row of the greatest batch id wins (plain upsert);
-* ``sum``: values add up (running totals fed with per-batch deltas);
 * ``greatest``: the row with the greatest ``order`` tuple wins, whatever the arrival order.
 """
 
@@ -16,18 +15,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.sinks.bucketed import BUCKETS, BucketedTable
-
-BATCH = "_batch"
+from tidemark.sinks.bucketed import BATCH, BucketedTable
 
 
 def combine(df: DataFrame, keys: Sequence[str], rule: str = "latest",
             order: Sequence[str] = ()) -> DataFrame:
-    """Fold rows (with a ``_batch`` column) to one row per key."""
+    """Fold rows (with a ``batch`` column) to one row per key."""
     rest = [c for c in df.columns if c not in keys and c != BATCH]
-    if rule == "sum":
-        aggs = [F.sum(c).alias(c) for c in rest] + [F.max(BATCH).alias(BATCH)]
-        return df.groupBy(*keys).agg(*aggs)
     if rule == "greatest":
         best = F.max_by(F.struct(BATCH, *rest), F.struct(*order, BATCH))
     elif rule == "latest":
@@ -39,33 +33,22 @@ def combine(df: DataFrame, keys: Sequence[str], rule: str = "latest",
 
 class UpsertTable(BucketedTable):
     def __init__(self, spark: SparkSession, path: str, keys: Sequence[str] | None = None,
-                 rule: str = "latest", order: Sequence[str] = (), compact_every: int = 10,
-                 buckets: int = BUCKETS):
-        super().__init__(spark, path, keys or (), self._fold, {"rule": rule, "order": list(order)},
-                         compact_every, buckets)
+                 rule: str = "latest", order: Sequence[str] = (), fold_every: int = 10):
+        super().__init__(spark, path, keys or (), {"combine": rule, "order": list(order)}, fold_every)
         if not self.keys:
             raise ValueError(f"no upsert table at {self.path}")
 
-    def _fold(self, rows: DataFrame, upto: int | None) -> DataFrame:
-        folded = combine(rows, self.keys, self.options["rule"], self.options["order"])
-        return folded.select(*self.schema.names)
-
-    @property
-    def columns(self) -> list[str]:
-        return [c for c in self.schema.names if c != BATCH]
-
-    def apply(self, batch: DataFrame, batch_id: int) -> None:
-        """Write micro-batch ``batch_id`` as it is (readers fold) and compact when due."""
-        super().apply(batch.withColumn(BATCH, F.lit(batch_id).cast("bigint")), batch_id)
+    def fold(self, rows: DataFrame) -> DataFrame:
+        return combine(rows, self.keys, self.rule["combine"], self.rule["order"])
 
     def current(self, upto: int | None = None) -> DataFrame:
-        return self.state(upto).select(*self.columns)
+        return self.state(upto)
 
 
 def upsert_batch(spark: SparkSession, batch: DataFrame, batch_id: int, keys: Sequence[str],
                  path: str, rule: str = "latest", order: Sequence[str] = (),
-                 compact_every: int = 10) -> UpsertTable:
-    table = UpsertTable(spark, path, keys, rule, order, compact_every)
+                 fold_every: int = 10) -> UpsertTable:
+    table = UpsertTable(spark, path, keys, rule, order, fold_every)
     table.apply(batch, batch_id)
     return table
 
@@ -73,15 +56,15 @@ def upsert_batch(spark: SparkSession, batch: DataFrame, batch_id: int, keys: Seq
 def upsert_table(df: DataFrame, keys: Sequence[str], path: str, checkpoint: str,
                  output_mode: str = "update", trigger: dict | None = None,
                  query_name: str | None = None, rule: str = "latest",
-                 order: Sequence[str] = (), compact_every: int = 10) -> StreamingQuery | None:
+                 order: Sequence[str] = (), fold_every: int = 10) -> StreamingQuery | None:
     """Upsert a stream (``foreachBatch``) or a batch DataFrame into ``path``."""
     if not df.isStreaming:
-        table = UpsertTable(df.sparkSession, path, keys, rule, order, compact_every)
+        table = UpsertTable(df.sparkSession, path, keys, rule, order, fold_every)
         table.apply(df, table.next_batch_id())
         return None
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        UpsertTable(batch.sparkSession, path, keys, rule, order, compact_every).apply(batch, batch_id)
+        UpsertTable(batch.sparkSession, path, keys, rule, order, fold_every).apply(batch, batch_id)
 
     w = (df.writeStream.outputMode(output_mode).foreachBatch(write)
          .option("checkpointLocation", checkpoint))

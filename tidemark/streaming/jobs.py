@@ -18,10 +18,13 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.plans import jobs
+from tidemark.operators.keyed import current_hour, dwd_orders, failed_cast
+from tidemark.sinks.bucketed import BATCH
 from tidemark.sinks.files import ensure_dir
 from tidemark.sinks.topic import append_topic
 from tidemark.sinks.upsert import UpsertTable, upsert_table
@@ -104,19 +107,23 @@ def start_category_dws(behavior: DataFrame, dim_loader: Callable[[], DataFrame],
     """Purchases per parent category, looked up in a dimension that is re-read
     when older than ``max_age_s`` (a lookup cache of 10 minutes).
 
-    Each micro-batch's counts are added to a running table of counts, and the
-    changed totals are appended to the DWS topic.  A replayed batch overwrites
+    Each micro-batch's counts are added to those of the batches before, upserted
+    into a running table, and appended to the DWS topic.  A replayed batch overwrites
     its own files in both places.
     """
     dim = CachedTable(dim_loader, max_age_s)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        delta = jobs.category_counts(batch, dim.get())
-        table = UpsertTable(batch.sparkSession, f"{checkpoint_dir}/counts", ["category_name"], rule="sum")
-        table.apply(delta, batch_id)
-        new = batch.sparkSession.read.schema(table.schema).parquet(table._delta_path(batch_id))
-        changed = table.current(upto=batch_id).join(new.select("category_name"), "category_name", "left_semi")
-        changed.write.mode("overwrite").json(f"{dws_path}/batch={batch_id:012d}")
+        totals = jobs.category_counts(batch, dim.get())
+        table = UpsertTable(batch.sparkSession, f"{checkpoint_dir}/counts", ["category_name"])
+        if table.schema is not None:
+            before = table.current(upto=batch_id - 1).withColumnRenamed("order_num", "before")
+            same = F.col("category_name").eqNullSafe(F.col("known"))
+            totals = totals.join(before.withColumnRenamed("category_name", "known"), same, "left").select(
+                "category_name", (F.col("order_num") + F.coalesce("before", F.lit(0))).alias("order_num"))
+        table.apply(totals, batch_id)
+        table.stored().filter(F.col(BATCH) == batch_id).select(*table.schema.names) \
+            .write.mode("overwrite").json(f"{dws_path}/batch={batch_id:012d}")
 
     return (behavior.writeStream.foreachBatch(write).option("checkpointLocation", f"{checkpoint_dir}/dws")
             .queryName(f"{name}_dws").trigger(**(trigger or DEFAULT_TRIGGER)).start())
@@ -166,12 +173,20 @@ def start_user_top1(spark: SparkSession, dws: DataFrame, table_path: str, checkp
                         checkpoint, "update", trigger or DEFAULT_TRIGGER, name)
 
 
-def run_dwd_extract(kv: DataFrame, topic_path: str, now=None) -> DataFrame:
-    """Bounded scan of the keyed order table: the current UTC+8 hour's rows,
-    typed, appended to the DWD topic (event time as TIMESTAMP for watermarks)."""
-    out = jobs.dwd_current_hour(kv, now, time_type="timestamp")
-    append_topic(out, topic_path)
-    return out
+def run_dwd_extract(kv: DataFrame, topic_path: str, now=None, all_hours: bool = False) -> dict[str, int]:
+    """Bounded scan of the keyed order table: the current UTC+8 hour's rows (or all),
+    typed, appended to the DWD topic (event time as TIMESTAMP for watermarks).
+
+    A row with a text that is not of its field's type is written with a null there
+    and counted as a reject.  Returns the rows ``read``, ``kept`` whole and ``rejected``,
+    counted in the one pass of the write.
+    """
+    rows, seen = jobs.order_text(kv), Observation()
+    rows = rows if all_hours else current_hour(rows, "createTime", now)
+    counted = rows.observe(seen, F.count(F.lit(1)).alias("read"), F.count_if(failed_cast()).alias("rejected"))
+    append_topic(dwd_orders(counted, "timestamp"), topic_path)
+    found = seen.get
+    return {"read": found["read"], "kept": found["read"] - found["rejected"], "rejected": found["rejected"]}
 
 
 def run_user_totals(kv: DataFrame, table_path: str) -> None:
@@ -190,37 +205,21 @@ def await_any(spark: SparkSession, timeout_s: float | None = None) -> bool:
 
 
 def start_user_totals_stream(spark: SparkSession, orders: DataFrame, table_path: str,
-                             checkpoint_dir: str, trigger: dict | None = None,
-                             name: str = "user_totals") -> list[StreamingQuery]:
+                             checkpoint: str, trigger: dict | None = None,
+                             name: str = "user_totals") -> StreamingQuery:
     """Un-windowed per-user ``count(distinct orderId)`` and ``sum(money)`` on a stream.
 
-    Streams reject ``count_distinct`` and chained aggregations in update
-    mode, and a per-user set of ids would hold a hot user's whole history in
-    one state row.  Instead two queries keep per-key state:
+    One query with one stateful aggregate: the money so far of each (user,
+    order).  Its state is one entry per pair, spread over all tasks, so a hot
+    user's history never stands in one state row.  The changed pairs are
+    upserted into one table; ``read_user_totals`` counts and sums them, so a
+    user's count and sum always come from the same batches.
+    """
+    pairs = orders.groupBy("userId", "orderId").agg(F.sum(F.col("realTotalMoney").try_cast("double")).alias("money"))
+    return upsert_table(pairs, ["userId", "orderId"], table_path, checkpoint, "update", trigger or DEFAULT_TRIGGER, name)
 
-    * ``dropDuplicates(userId, orderId)`` then a count per user (state is one
-      entry per distinct pair, spread over all tasks);
-    * ``sum(realTotalMoney)`` per user over every row (duplicates included,
-      as the source's ``sum`` does).
 
-    Each upserts its own snapshot; ``read_user_totals`` joins them.
-    """
-    from pyspark.sql import functions as F
-    trigger = trigger or DEFAULT_TRIGGER
-    counts = (orders.dropDuplicates(["userId", "orderId"]).where(F.col("orderId").isNotNull())
-              .groupBy("userId").agg(F.count(F.lit(1)).alias("order_num")))
-    sums = orders.groupBy("userId").agg(F.sum(F.col("realTotalMoney").try_cast("double")).alias("gmv"))
-    return [upsert_table(counts, ["userId"], f"{table_path}/order_num", f"{checkpoint_dir}/order_num",
-                         "update", trigger, f"{name}_order_num"),
-            upsert_table(sums, ["userId"], f"{table_path}/gmv", f"{checkpoint_dir}/gmv",
-                         "update", trigger, f"{name}_gmv")]
-
-
-def read_user_totals(spark: SparkSession, table_path: str) -> DataFrame:
-    """``userId, order_num, gmv`` from the two snapshots of ``start_user_totals_stream``."""
-    from pyspark.sql import functions as F
-    from tidemark.sources.tables import keyed_table
-    n = keyed_table(spark, f"{table_path}/order_num")
-    g = keyed_table(spark, f"{table_path}/gmv")
-    return (g.join(n, "userId", "full")
-            .select("userId", F.coalesce("order_num", F.lit(0)).alias("order_num"), "gmv"))
+def read_user_totals(spark: SparkSession, table_path: str, upto: int | None = None) -> DataFrame:
+    """``userId, order_num, gmv`` from the table of ``start_user_totals_stream`` (as of batch ``upto``)."""
+    pairs = UpsertTable(spark, table_path).current(upto)
+    return pairs.groupBy("userId").agg(F.count("orderId").alias("order_num"), F.sum("money").alias("gmv"))
