@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import argparse
 import sys
+from contextlib import nullcontext
 
 from tidemark.session import get_session, input_bytes, scratch_path, shuffle_partitions_for
 
@@ -42,14 +43,19 @@ def _parser() -> argparse.ArgumentParser:
         sp.add_argument("--available-now", action="store_true", help="process what is there, then stop")
         sp.add_argument("--kafka", help="bootstrap servers: read the source from Kafka instead of files")
         sp.add_argument("--starting", choices=["earliest", "latest"],
-                        help="where Kafka is read from without a checkpoint (default: earliest for "
-                             "uv-10min and category-counts, latest for all others)")
+                        help="where the source is read from without a checkpoint (Kafka: earliest for "
+                             "uv-10min and category-counts, latest for all others; files: earliest)")
         sp.add_argument("--group", help="Kafka consumer group")
         sp.add_argument("--local", action="store_true", help="local[*] session with local defaults")
         sp.add_argument("--max-per-trigger", type=int,
                         help="bound on one micro-batch: Kafka offsets (maxOffsetsPerTrigger) "
                              "or topic files (maxFilesPerTrigger); keeps a backlog from "
                              "arriving as one batch")
+        sp.add_argument("--max-bytes-per-trigger", type=int, help="bound on the bytes of topic files in one micro-batch")
+        sp.add_argument("--min-per-trigger", type=int, help="Kafka: records that a micro-batch waits for")
+        sp.add_argument("--max-delay", help="Kafka: how long it waits for them at most, such as '2s'")
+        sp.add_argument("--progress", help="folder for a row per micro-batch: rows read, rows dropped as late")
+        sp.add_argument("--restarts", type=int, default=3, help="how often a failed job is started again")
 
     for name in WINDOW_JOBS:
         sp = sub.add_parser(name)
@@ -119,12 +125,23 @@ def _print_all(df, limit: int | None) -> None:
         print("\t".join("NULL" if v is None else str(v) for v in row))
 
 
-def _source(spark, args, schema: str):
+def kafka_bounds(args) -> dict:
+    """Size and delay of a job's micro-batches on Kafka."""
+    return {"max_offsets_per_trigger": args.max_per_trigger, "min_offsets_per_trigger": args.min_per_trigger,
+            "max_trigger_delay": args.max_delay}
+
+
+def file_options(args, ckpt: str) -> dict:
+    """Start and bounds of a job's micro-batches on a file topic."""
+    return {"starting": args.starting or "earliest", "checkpoint": ckpt,
+            "max_files_per_trigger": args.max_per_trigger, "max_bytes_per_trigger": args.max_bytes_per_trigger}
+
+
+def _source(spark, args, schema: str, ckpt: str):
     from tidemark.sources.topic import json_topic, kafka_topic
     if args.kafka:
-        return kafka_topic(spark, args.kafka, args.source, schema, **kafka_start(args),
-                           max_offsets_per_trigger=args.max_per_trigger)
-    return json_topic(spark, args.source, schema, max_files_per_trigger=args.max_per_trigger)
+        return kafka_topic(spark, args.kafka, args.source, schema, **kafka_start(args), **kafka_bounds(args))
+    return json_topic(spark, args.source, schema, **file_options(args, ckpt))
 
 
 def _app_step(job: str):
@@ -176,14 +193,31 @@ def main(argv: list[str] | None = None) -> int:
         run_user_totals(keyed_table(spark, args.keyed), args.out)
         return 0
 
-    from tidemark import schemas
-    from tidemark.streaming import jobs as sj
     trigger = {"availableNow": True} if args.available_now else {"processingTime": args.trigger}
     ckpt = args.checkpoint or scratch_path(spark, "jobs", args.job)
+
+    from tidemark.streaming.progress import ProgressTable, supervise
+    with ProgressTable(spark, args.progress) if args.progress else nullcontext():
+        supervise(spark, lambda: _start(spark, args, trigger, ckpt), args.restarts)
+        app = _app_step(args.job)
+        if args.available_now and app is not None and args.dws:
+            # The APP query may have started before the DWS query's last
+            # batch: run it once more over everything the DWS query wrote.
+            from tidemark.streaming import jobs as sj
+            schema, fn, keys, recursive = app
+            supervise(spark, lambda: [sj.start_app(spark, args.dws, schema, fn, keys, args.app, f"{ckpt}/app", trigger,
+                                                   args.job, recursive=recursive)], args.restarts)
+    return 0
+
+
+def _start(spark, args, trigger: dict, ckpt: str) -> list:
+    """The queries of a streaming job, started."""
+    from tidemark import schemas
+    from tidemark.streaming import jobs as sj
     if args.job in WINDOW_JOBS:
         job_name, kind = WINDOW_JOBS[args.job]
         schema = schemas.DWD_ORDERS if kind == "orders" else schemas.USER_BEHAVIOR
-        source, job, label = _source(spark, args, schema), getattr(sj, job_name), args.job.replace("-", "_")
+        source, job, label = _source(spark, args, schema, ckpt), getattr(sj, job_name), args.job.replace("-", "_")
         if args.dws_topic:
             queries = sj.start_window_job_kafka(spark, job, source, args.kafka, args.dws_topic, args.app, ckpt,
                                                 trigger, label)
@@ -191,44 +225,29 @@ def main(argv: list[str] | None = None) -> int:
             queries = sj.start_window_job(spark, job, source, args.dws, args.app, ckpt, trigger, label)
     elif args.job == "category-counts":
         from tidemark.sources.tables import load_table
-        queries = sj.start_category_job(spark, _source(spark, args, schemas.USER_BEHAVIOR),
+        queries = sj.start_category_job(spark, _source(spark, args, schemas.USER_BEHAVIOR, ckpt),
                                         lambda: load_table(spark, args.dim), args.dws, args.app, ckpt,
                                         args.dim_age, trigger)
     elif args.job == "item-counts":
-        queries = [sj.start_item_counts(spark, _source(spark, args, schemas.USER_BEHAVIOR), args.out, ckpt, trigger)]
+        queries = [sj.start_item_counts(spark, _source(spark, args, schemas.USER_BEHAVIOR, ckpt), args.out, ckpt, trigger)]
     elif args.job == "user-totals-stream":
-        queries = [sj.start_user_totals_stream(spark, _source(spark, args, schemas.DWD_ORDERS), args.out, ckpt, trigger)]
+        queries = [sj.start_user_totals_stream(spark, _source(spark, args, schemas.DWD_ORDERS, ckpt), args.out, ckpt, trigger)]
     elif args.job == "user-top1":
-        dws = _source(spark, args, sj.USER_PROVINCE_HOUR.dws_schema)
+        dws = _source(spark, args, sj.USER_PROVINCE_HOUR.dws_schema, ckpt)
         queries = [sj.start_user_top1(spark, dws, args.out, ckpt, trigger)]
     elif args.job == "cdc-sync":
         from tidemark.sources.tables import load_table
         from tidemark.sources.topic import json_topic, kafka_records
         from tidemark.streaming.cdc_apply import start_cdc_sync
         if args.kafka:
-            raw = kafka_records(spark, args.kafka, args.changelog, **kafka_start(args),
-                                max_offsets_per_trigger=args.max_per_trigger)
+            raw = kafka_records(spark, args.kafka, args.changelog, **kafka_start(args), **kafka_bounds(args))
         else:
-            raw = json_topic(spark, args.changelog, schemas.CHANGELOG_TOPIC,
-                             max_files_per_trigger=args.max_per_trigger)
+            raw = json_topic(spark, args.changelog, schemas.CHANGELOG_TOPIC, **file_options(args, ckpt))
         queries = [start_cdc_sync(spark, raw, lambda: load_table(spark, args.flow), args.table,
                                   ckpt, trigger, args.fold_every)]
     else:
         raise SystemExit(f"unknown job {args.job}")
-
-    if args.available_now:
-        for q in queries:
-            q.awaitTermination()
-        app = _app_step(args.job)
-        if app is not None and args.dws:
-            # The APP query may have started before the DWS query's last
-            # batch: run it once more over everything the DWS query wrote.
-            schema, fn, keys, recursive = app
-            sj.start_app(spark, args.dws, schema, fn, keys, args.app, f"{ckpt}/app", trigger,
-                         args.job, recursive=recursive).awaitTermination()
-        return 0
-    sj.await_any(spark)
-    return 0
+    return queries
 
 
 if __name__ == "__main__":

@@ -35,3 +35,16 @@ def purchases_by_category(enriched: DataFrame, behavior_value: str = "buy") -> D
     """Number of purchases of each parent category, as ``category_name, order_num``."""
     return (enriched.where(F.col("behavior") == behavior_value)
             .groupBy("category_name").agg(F.count(F.lit(1)).alias("order_num")))
+
+
+def purchases_by_key(behavior: DataFrame, behavior_value: str = "buy") -> DataFrame:
+    """Number of purchases of each category id, as ``category_id, n``: what has to be looked up."""
+    return (behavior.where(F.col("behavior") == behavior_value)
+            .groupBy("category_id").agg(F.count(F.lit(1)).alias("n")))
+
+
+def purchases_by_parent(by_key: DataFrame, dim: DataFrame) -> DataFrame:
+    """``category_name, order_num`` from the counts by category id: the same as counting enriched rows."""
+    d = dim.select("sub_category_id", "parent_category_id", "parent_category_name")
+    joined = by_key.join(d, by_key["category_id"] == d["sub_category_id"], "left")
+    return joined.groupBy(category_name().alias("category_name")).agg(F.sum("n").alias("order_num"))

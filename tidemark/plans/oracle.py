@@ -347,3 +347,28 @@ ORACLE_SQL["stream_item_counts_late"] = ORACLE_SQL["item_counts_upsert"]
 ORACLE_SQL["stream_item_counts_upsert"] = ORACLE_SQL["item_counts_upsert"]
 ORACLE_SQL["stream_topic_select"] = _with(FX_BEHAVIOR) + """
 SELECT user_id, item_id, CAST(category_id AS BIGINT) AS category_id, behavior, ts FROM fx_behavior"""
+ORACLE_SQL["stream_dropped_rows"] = """WITH marks AS (
+  SELECT max(ts) FILTER (WHERE event_id % 4 <> 3) - INTERVAL 5 SECOND AS mark FROM events)
+SELECT 'orders_dws' AS query, CAST(count(*) AS BIGINT) AS dropped_rows FROM events, marks
+WHERE event_id % 4 = 3 AND date_trunc('hour', ts) + INTERVAL 1 HOUR <= mark"""
+ORACLE_SQL["dwd_rejects"] = """SELECT count(*) AS rows_read, count(*) FILTER (WHERE o_orderkey % 10 NOT IN (3, 7)) AS rows_kept,
+  count(*) FILTER (WHERE o_orderkey % 10 IN (3, 7)) AS rows_rejected FROM orders"""
+ORACLE_SQL["stream_cdc_config_change"] = """WITH rows AS (
+  SELECT 'dwd:customer' AS hbaseTable, CAST(c_custkey AS VARCHAR) AS id,
+         unnest([{'q': 'c_custkey', 'v': CAST(c_custkey AS VARCHAR)}, {'q': 'c_name', 'v': c_name}]) AS cell FROM customer
+  UNION ALL
+  SELECT 'dwd:supplier', CAST(s_suppkey AS VARCHAR),
+         unnest([{'q': 'S_SUPPKEY', 'v': CAST(s_suppkey AS VARCHAR)}, {'q': 'S_NAME', 'v': s_name}])
+  FROM supplier WHERE s_suppkey % 3 <> 0)
+SELECT hbaseTable, substr(md5(id), 1, 8) || '_' || id AS rowkey, 'cf' AS family, cell.q AS qualifier, cell.v AS value
+FROM rows WHERE cell.v IS NOT NULL"""
+ORACLE_SQL["stream_latest_start"] = """SELECT user_id, event_id % 500 AS item_id,
+  TRY_CAST(TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS BIGINT) AS category_id,
+  CASE WHEN event_type = 'purchase' THEN 'buy' ELSE event_type END AS behavior, ts
+FROM events WHERE event_id % 2 = 1"""
+ORACLE_SQL["adhoc_ddl"] = _with(FX_ORDERS) + """, totals AS (
+  SELECT userId, count(DISTINCT orderId) AS n, sum(CAST(realTotalMoney AS DOUBLE)) AS gmv FROM fx_orders GROUP BY userId)
+SELECT c_mktsegment AS segment, count(*) AS customers, CAST(sum(n) AS BIGINT) AS orders_placed, round(sum(gmv), 2) AS gmv
+FROM totals JOIN customer ON userId = c_custkey GROUP BY c_mktsegment"""
+ORACLE_SQL["insert_into_topic"] = """SELECT user_id, event_type AS kind, count(*) AS n, round(sum(value), 2) AS amount,
+  max(ts) AS latest FROM events WHERE event_type = 'purchase' OR value > 50 GROUP BY user_id, event_type"""

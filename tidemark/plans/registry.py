@@ -355,6 +355,129 @@ def q_stream_topic_select(spark, d):
     return out.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 
+def q_stream_dropped_rows(spark, d):
+    """Rows that the hourly orders job drops as late, as its listener reports them.
+
+    The second slice is late for all windows that the first one closed; every order
+    id is one row, so nothing is combined before Spark counts."""
+    from tidemark.streaming import jobs as sj
+    from tidemark.streaming.progress import ProgressTable, dropped_rows
+    from tidemark.streaming.replay import AVAILABLE_NOW, Replay
+    rows = fx.orders_time(spark, d)
+    replay = Replay(rows, (F.col("orderId") % 4 == 3).cast("int"), 2)
+    at = replay.root
+    with ProgressTable(spark, f"{at}/progress") as seen:
+        for stream in replay:
+            seen.wait(sj.start_dws(sj.ORDERS_PER_HOUR, stream, f"{at}/dws", f"{at}/ckpt", AVAILABLE_NOW, "orders"))
+    return dropped_rows(spark, f"{at}/progress")
+
+
+def q_dwd_rejects(spark, d):
+    """Rows that the typed extract reads, keeps whole and rejects; one order in ten has a text for its
+    money, and one in ten a text for its time."""
+    from tidemark.operators.keyed import ORDER_FIELDS, to_keyed
+    from tidemark.session import scratch_path
+    from tidemark.streaming import jobs as sj
+    rows, last = fx.orders_text(spark, d), F.substring("orderId", -1, 1)
+    bad = rows.withColumns({"realTotalMoney": F.when(last == "3", "n/a").otherwise(F.col("realTotalMoney")),
+                            "createTime": F.when(last == "7", "soon").otherwise(F.col("createTime"))})
+    kv = to_keyed(bad, F.col("rowkey"), "cf", list(ORDER_FIELDS))
+    counts = sj.run_dwd_extract(kv, scratch_path(spark, "dwd"), all_hours=True)
+    return spark.createDataFrame([tuple(counts[c] for c in ("read", "kept", "rejected"))],
+                                 "rows_read long, rows_kept long, rows_rejected long")
+
+
+def _customers_and_suppliers(spark, d, n):
+    """Changelog of customer and supplier rows, ``n`` slices in offset order."""
+    parts = []
+    for table, key, name, add in (("customer", "c_custkey", "c_name", 0), ("supplier", "s_suppkey", "s_name", 1)):
+        row = F.create_map(F.lit(key), F.col(key).cast("string"), F.lit(name), F.col(name))
+        parts.append(fx.table(spark, d, table).select(
+            F.pmod(F.col(key), F.lit(n)).cast("int").alias("part"), (F.col(key) * 2 + add).alias("at"),
+            F.to_json(F.struct(F.lit("test").alias("database"), F.lit(table).alias("table"), F.lit("INSERT").alias("type"),
+                               F.array(row).alias("data"))).alias("value")))
+    both = parts[0].unionByName(parts[1])
+    return both.select(F.lit(0).alias("partition"), (F.col("part") * fx.PHASE_STRIDE + F.col("at")).alias("offset"),
+                       "value", "part")
+
+
+def q_stream_cdc_config_change(spark, d):
+    """The routing config changes while the CDC sync runs: after the first of three slices the
+    customer flow disappears, which leaves it in force, and the supplier flow appears."""
+    from tidemark.sinks.keyed_state import KeyedStateTable
+    from tidemark.streaming.cdc_apply import start_cdc_sync
+    from tidemark.streaming.replay import AVAILABLE_NOW, Replay
+    customer = (1, 1, "test", "customer", "dwd:customer", "cf", False, 10, "c_custkey", 2)
+    supplier = (2, 1, "test", "supplier", "dwd:supplier", "cf", True, 10, "s_suppkey", 2)
+    polls = []
+
+    def poll():
+        polls.append(1)
+        return spark.createDataFrame([customer if len(polls) == 1 else supplier], fx.FLOW_SCHEMA)
+
+    log = _customers_and_suppliers(spark, d, 3)
+    replay = Replay(log.drop("part"), F.floor(F.col("offset") / fx.PHASE_STRIDE), 3)
+    at = replay.root
+    replay.run(lambda stream: start_cdc_sync(spark, stream, poll, f"{at}/table", f"{at}/ckpt", AVAILABLE_NOW,
+                                             poll_seconds=0.0))
+    cells = KeyedStateTable(spark, f"{at}/table").cells()
+    return cells.select("hbaseTable", "rowkey", "family", "qualifier", "value")
+
+
+def q_stream_latest_start(spark, d):
+    """A job that starts at the end of a file topic: of the behaviour log only the odd events, which come later."""
+    from tidemark import schemas
+    from tidemark.session import scratch_path
+    from tidemark.sinks.topic import append_topic
+    from tidemark.sources.topic import json_topic
+    from tidemark.streaming.replay import AVAILABLE_NOW, wait
+    at = scratch_path(spark, "latest")
+    log = fx.behavior(spark, d, keep=["event_id"]).withColumn("ts", F.col("ts").cast("timestamp"))
+    for odd in (0, 1):
+        append_topic(log.filter(F.col("event_id") % 2 == odd).drop("event_id"), f"{at}/log")
+        stream = json_topic(spark, f"{at}/log", schemas.USER_BEHAVIOR, starting="latest", checkpoint=f"{at}/ckpt")
+        wait(append_topic(stream, f"{at}/out", f"{at}/ckpt", AVAILABLE_NOW))
+    out = json_topic(spark, f"{at}/out", schemas.USER_BEHAVIOR, streaming=False)
+    return out.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
+def q_adhoc_ddl(spark, d):
+    """Tables opened by DDL alone: a source table, and a keyed table that a job wrote, folded by its key."""
+    from tidemark.session import scratch_path
+    from tidemark.sql import run_script
+    from tidemark.streaming import jobs as sj
+    at = scratch_path(spark, "ddl")
+    sj.run_user_totals(fx.orders_kv(spark, d), at)
+    return run_script(spark, f"""
+      CREATE OR REPLACE TEMPORARY VIEW ddl_customer USING parquet OPTIONS (path '{d}/customer.parquet');
+      CREATE OR REPLACE TEMPORARY VIEW ddl_user_rows
+        (rowkey STRING, cf STRUCT<user_id: STRING, order_num: BIGINT, gmv: DOUBLE>, buckets BIGINT, bucket BIGINT, batch BIGINT)
+        USING parquet OPTIONS (path '{at}/rows');
+      CREATE OR REPLACE TEMPORARY VIEW ddl_user_orders AS
+        SELECT rowkey, max_by(cf, batch) AS cf FROM ddl_user_rows GROUP BY rowkey;
+      SELECT c_mktsegment AS segment, count(*) AS customers, sum(cf.order_num) AS orders_placed, round(sum(cf.gmv), 2) AS gmv
+      FROM ddl_user_orders JOIN ddl_customer ON CAST(rowkey AS BIGINT) = c_custkey GROUP BY c_mktsegment""")
+
+
+def q_insert_into_topic(spark, d):
+    """A topic declared by DDL, filled by two ``INSERT INTO .. SELECT`` statements and read back, in SQL alone."""
+    from tidemark.session import scratch_path
+    from tidemark.sinks.files import ensure_dir
+    from tidemark.sql import run_script
+    at = scratch_path(spark, "inserted")
+    ensure_dir(spark, at)
+    return run_script(spark, f"""
+      CREATE OR REPLACE TEMPORARY VIEW ins_events USING parquet OPTIONS (path '{d}/events.parquet');
+      CREATE OR REPLACE TEMPORARY VIEW ins_topic (user_id BIGINT, kind STRING, amount DOUBLE, at TIMESTAMP)
+        USING json OPTIONS (path '{at}', timestampFormat "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX");
+      INSERT INTO ins_topic SELECT user_id, event_type, value, CAST(ts AS TIMESTAMP) FROM ins_events
+        WHERE event_type = 'purchase';
+      INSERT INTO ins_topic SELECT user_id, event_type, value, CAST(ts AS TIMESTAMP) FROM ins_events
+        WHERE event_type <> 'purchase' AND value > 50;
+      SELECT user_id, kind, count(*) AS n, round(sum(amount), 2) AS amount, CAST(max(at) AS TIMESTAMP_NTZ) AS latest
+      FROM ins_topic GROUP BY user_id, kind""")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "orders_per_hour": q_orders_per_hour,
     "orders_per_minute": q_orders_per_minute,
@@ -392,4 +515,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_cdc_user_orders": q_stream_cdc_user_orders,
     "stream_cdc_dwd_current_hour": q_stream_cdc_dwd_current_hour,
     "stream_cdc_sql": q_stream_cdc_sql,
+    "stream_dropped_rows": q_stream_dropped_rows,
+    "dwd_rejects": q_dwd_rejects,
+    "stream_cdc_config_change": q_stream_cdc_config_change,
+    "stream_latest_start": q_stream_latest_start,
+    "adhoc_ddl": q_adhoc_ddl,
+    "insert_into_topic": q_insert_into_topic,
 }

@@ -63,3 +63,14 @@ def ensure_dir(spark: SparkSession, path: str) -> None:
     fs, p, _ = _fs(spark, path)
     if not fs.exists(p):
         fs.mkdirs(p)
+
+
+def newest_file(spark: SparkSession, path: str) -> int:
+    """Time (ms) of the newest file under ``path``; 0 if there is none."""
+    fs, p, _ = _fs(spark, path)
+    newest = 0
+    if fs.exists(p):
+        files = fs.listFiles(p, True)
+        while files.hasNext():
+            newest = max(newest, files.next().getModificationTime())
+    return newest

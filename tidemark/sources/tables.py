@@ -6,7 +6,8 @@ import os
 import time
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.operators import cdc
 from tidemark.operators.keyed import ORDER_FIELDS, expand_family
@@ -87,3 +88,41 @@ class CachedTable:
             if old is not None:
                 old.unpersist()
         return self._df
+
+
+class KeyedLookup:
+    """Rows of a dimension, looked up by the keys that a batch holds.
+
+    Only the keys not known yet are asked for: the filter on them reaches the
+    dimension's scan (Parquet row groups, a JDBC ``WHERE``).  Rows are kept by key
+    for ``max_age_s``, those of at most ``max_keys`` keys.  A batch with more
+    keys than that joins the dimension itself.
+    """
+
+    def __init__(self, loader: Callable[[], DataFrame], key: str, max_keys: int = 5000, max_age_s: float = 600.0):
+        self.loader, self.key, self.max_keys, self.max_age_s = loader, key, max_keys, max_age_s
+        self.kept: dict[object, tuple[float, list[Row]]] = {}
+
+    def asked(self, keys: list) -> DataFrame:
+        """The scan of the dimension for some keys."""
+        return self.loader().filter(F.col(self.key).isin(keys))
+
+    def rows_for(self, keys: DataFrame) -> DataFrame:
+        """The dimension's rows of the keys in the one column of ``keys``, and maybe others."""
+        column = F.col(keys.columns[0])
+        wanted = [r[0] for r in keys.filter(column.isNotNull()).distinct().limit(self.max_keys + 1).collect()]
+        if len(wanted) > self.max_keys:
+            return self.loader()
+        now = time.monotonic()
+        self.kept = {k: v for k, v in self.kept.items() if now - v[0] < self.max_age_s}
+        missing = [k for k in wanted if k not in self.kept]
+        dim = self.asked(missing)
+        if missing:
+            found: dict[object, list[Row]] = {k: [] for k in missing}
+            for row in dim.collect():
+                found[row[self.key]].append(row)
+            self.kept.update({k: (now, rows) for k, rows in found.items()})
+        rows = [r for k in wanted for r in self.kept[k][1]]
+        while len(self.kept) > self.max_keys:
+            self.kept.pop(next(iter(self.kept)))  # the one looked up longest ago
+        return keys.sparkSession.createDataFrame(rows, dim.schema)

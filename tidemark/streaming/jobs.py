@@ -10,7 +10,7 @@ the source jobs wrote a topic and read it back:
 * APP: the DWS topic read back as a stream, compacted with ``max`` per key
   in update mode, upserted into a versioned snapshot.
 
-``spark.streams.awaitAnyTermination()`` waits on all of them.
+``streaming.progress.supervise`` runs them together: if one fails, all start again.
 """
 
 from __future__ import annotations
@@ -24,11 +24,12 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.plans import jobs
 from tidemark.operators.keyed import current_hour, dwd_orders, failed_cast
+from tidemark.operators.lookup import purchases_by_key, purchases_by_parent
 from tidemark.sinks.bucketed import BATCH
 from tidemark.sinks.files import ensure_dir
 from tidemark.sinks.topic import append_topic
 from tidemark.sinks.upsert import UpsertTable, upsert_table
-from tidemark.sources.tables import CachedTable
+from tidemark.sources.tables import KeyedLookup
 from tidemark.sources.topic import json_topic
 from tidemark.streaming.event_time import with_event_time
 
@@ -104,17 +105,19 @@ CATEGORY_DWS = "category_name string, order_num bigint"
 def start_category_dws(behavior: DataFrame, dim_loader: Callable[[], DataFrame], dws_path: str,
                        checkpoint_dir: str, max_age_s: float = 600.0, trigger: dict | None = None,
                        name: str = "category") -> StreamingQuery:
-    """Purchases per parent category, looked up in a dimension that is re-read
-    when older than ``max_age_s`` (a lookup cache of 10 minutes).
+    """Purchases per parent category.  Each micro-batch is counted by category id, and the
+    ids not known yet are looked up in the dimension; what was found is kept
+    for ``max_age_s`` (a lookup cache of 5,000 keys and 10 minutes).
 
     Each micro-batch's counts are added to those of the batches before, upserted
     into a running table, and appended to the DWS topic.  A replayed batch overwrites
     its own files in both places.
     """
-    dim = CachedTable(dim_loader, max_age_s)
+    dim = KeyedLookup(dim_loader, "sub_category_id", max_age_s=max_age_s)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        totals = jobs.category_counts(batch, dim.get())
+        counts = purchases_by_key(batch).persist()  # a row for each category id
+        totals = purchases_by_parent(counts, dim.rows_for(counts.select("category_id")))
         table = UpsertTable(batch.sparkSession, f"{checkpoint_dir}/counts", ["category_name"])
         if table.schema is not None:
             before = table.current(upto=batch_id - 1).withColumnRenamed("order_num", "before")
@@ -124,6 +127,7 @@ def start_category_dws(behavior: DataFrame, dim_loader: Callable[[], DataFrame],
         table.apply(totals, batch_id)
         table.stored().filter(F.col(BATCH) == batch_id).select(*table.schema.names) \
             .write.mode("overwrite").json(f"{dws_path}/batch={batch_id:012d}")
+        counts.unpersist()
 
     return (behavior.writeStream.foreachBatch(write).option("checkpointLocation", f"{checkpoint_dir}/dws")
             .queryName(f"{name}_dws").trigger(**(trigger or DEFAULT_TRIGGER)).start())
@@ -196,14 +200,6 @@ def run_user_totals(kv: DataFrame, table_path: str) -> None:
     upsert_table(user_totals_keyed(jobs.order_text(kv)), ["rowkey"], table_path, checkpoint="")
 
 
-def await_any(spark: SparkSession, timeout_s: float | None = None) -> bool:
-    """Several inserts in one job: wait until any query stops."""
-    if timeout_s is None:
-        spark.streams.awaitAnyTermination()
-        return True
-    return spark.streams.awaitAnyTermination(timeout_s)
-
-
 def start_user_totals_stream(spark: SparkSession, orders: DataFrame, table_path: str,
                              checkpoint: str, trigger: dict | None = None,
                              name: str = "user_totals") -> StreamingQuery:
