@@ -70,21 +70,25 @@ class PartEncoder:
 
     def _made(self, part: str, led: str) -> bytes:
         """Ids of ``part`` behind a space, if ``led``, or alone."""
+        if part.isascii() and part.isalpha():
+            return self._ids(led + part)
         plain = self.plain.fullmatch(part)
         if not plain:
             return b"".join([self._ids(piece) for piece, _ in self.split(" " + part if led else part)])
         if part[-1].isalpha():
-            return self._ids(led + (part if part.isascii() else part.translate(self.letter)))
+            return self._ids(led + part.translate(self.letter))
         word, marks = plain.groups()
         return (self._spaced(word) if led else self._start(word)) + self._start(marks)
 
     def _spaced(self, part: str) -> bytes:
         """Ids of a space and the part, kept."""
-        found = self.kept.get(part) or self.older.get(part) or self._made(part, "Ġ")
-        if len(part) <= KEPT_CHARS:
-            if len(self.kept) >= KEPT_PARTS:
-                self.kept, self.older = {}, self.kept
-            self.kept[part] = found
+        found = self.kept.get(part)
+        if found is None:
+            found = self.older.get(part) or self._made(part, "Ġ")
+            if len(part) <= KEPT_CHARS:
+                if len(self.kept) >= KEPT_PARTS:
+                    self.kept, self.older = {}, self.kept
+                self.kept[part] = found
         return found
 
     def _start(self, part: str) -> bytes:
@@ -106,7 +110,7 @@ class PartEncoder:
             for i, ids in enumerate(found):
                 if ids is None:
                     part = parts[i]
-                    if not part or self.space.search(part):
+                    if not part.isalpha() and (not part or self.space.search(part)):
                         return None
                     found[i] = self._spaced(part)
         if first not in self.starts and (not first or self.space.search(first)):
