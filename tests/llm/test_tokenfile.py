@@ -47,6 +47,12 @@ def test_special_tokens_and_marks():
         same(text)
 
 
+def test_white_space_is_never_a_word():
+    """A run of white space met once is not taken for the start of a line later."""
+    for text in ("0 \xa0\xa0 x", "\xa0", "\t", "\u3000 a", "0\n\xa0", "0\n\t", "a\n\u3000", " \n \n", "a b\n\n c"):
+        same(text)
+
+
 def test_small_memory(monkeypatch):
     monkeypatch.setattr(tokenfile, "KEPT_PARTS", 3)
     own = tokenfile.PartEncoder(BYTE_MODEL)

@@ -123,7 +123,7 @@ class PartEncoder:
         lines = list(map(self._line, text.split("\n")))
         if None not in lines:  # then each line end is a token
             return self.line.join(lines)
-        return b"".join([self._spaced(p[1:]) if len(p) > 1 and p[0] == " " and not p[1].isspace() else self._start(p)
+        return b"".join([self._made(p, "") if p.isspace() else self._spaced(p[1:]) if p[0] == " " else self._start(p)
                          for p in self.apart.findall(text)])
 
 
