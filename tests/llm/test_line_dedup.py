@@ -110,3 +110,21 @@ def test_pipeline_short_copies(spark, docs_of):
     out = corpus_pipeline.drop_repeated_lines(spark, docs, "")
     assert {r["doc_id"]: (r["text"], r["n_chars"]) for r in out.collect()} == {
         1: ("one long line", 13), 2: ("", 0), 3: ("other", 5)}
+
+
+def test_many_equal_rows(spark):
+    """50,000 equal rows: one short list of lines, and the same result for each."""
+    from tidemark.llm.line_dedup import dedup_lines
+    text = "a b\nc d\ne f\na b\nc d\ne f\nlast"
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string").crossJoin(spark.range(50_000).drop("id"))
+    other = spark.createDataFrame([(2, "a b\nc d\ne f\nown")], docs.schema)
+    rows = dedup_lines(docs.unionByName(other)).groupBy("doc_id", "text", "removed_lines").count().collect()
+    assert {tuple(r) for r in rows} == {(1, "a b\nc d\ne f\nlast", 3, 50_000), (2, "own", 3, 1)}
+
+
+def test_many_lines(spark):
+    """A document of 20,000 lines: work and memory grow with its lines, not with their square."""
+    from tidemark.llm.line_dedup import dedup_lines
+    text = "\n".join(f"line {i % 19_990}" for i in range(20_000))
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    assert dedup_lines(docs).select("lines", "removed_lines").first() == (20_000, 10)

@@ -34,13 +34,17 @@ def _windows(docs: DataFrame, key: Column, text: Column, width: int, short: bool
     starts = F.when(n >= width, F.sequence(F.lit(1), n - (width - 1)))
     if short:
         starts = F.when(n.between(1, width - 1), F.array(F.lit(1))).otherwise(starts)
-    at = hashed.select("doc", "lines", F.explode_outer(starts).alias("i")).filter(F.col("i").isNotNull())
-    part = [F.get("lines", F.col("i") + (k - 1)) for k in range(width)]
     fewer = F.when(n < width, n)  # hashes skip nulls
-    return at.select(
-        F.xxhash64(*[p["a"] for p in part], fewer).alias("high"),
-        F.xxhash64(F.lit(2), *[p["b"] for p in part], fewer).alias("low"), "doc", part[0]["at"].alias("line"),
-        F.get("lines", F.least(F.col("i") + (width - 1), n) - 1)["at"].alias("last"))
+
+    def window(i: Column) -> Column:
+        part = [F.get("lines", i + (k - 1)) for k in range(width)]
+        return F.struct(
+            F.xxhash64(*[p["a"] for p in part], fewer).alias("high"),
+            F.xxhash64(F.lit(2), *[p["b"] for p in part], fewer).alias("low"), part[0]["at"].alias("line"),
+            F.get("lines", F.least(i + (width - 1), n) - 1)["at"].alias("last"))
+
+    # An array of windows, not one of lines beside each window: linear in the document's lines.
+    return hashed.select("doc", F.inline(F.transform(starts, window))).select("high", "low", "doc", "line", "last")
 
 
 def dedup_lines(docs: DataFrame, order: Sequence[str] = ("doc_id",), text: str = "text",
@@ -68,16 +72,17 @@ def dedup_lines(docs: DataFrame, order: Sequence[str] = ("doc_id",), text: str =
     repeated = cut(found.filter("n > 1"))
     later = join_counted(windows, repeated, ["high", "low"], "n", total) \
         .filter(F.struct("doc", "line") != F.col("first"))
-    covered = later.groupBy("doc").agg(F.array_distinct(F.flatten(
-        F.collect_list(F.sequence("line", "last")))).alias("covered"))  # as many as the document has lines
+    # Distinct first: equal rows have the same windows, so a document's list is as long as its lines.
+    covered = later.select("doc", "line", "last").distinct().groupBy("doc").agg(F.array_distinct(F.flatten(
+        F.collect_list(F.sequence("line", "last")))).alias("covered"))
 
     doc, lines, gone = fresh([*docs.columns, "lines", "removed_lines"], "doc", "lines_in", "gone")
     covered = covered.select(F.col("doc").alias(doc), F.col("covered").alias(gone))
-    split = docs.withColumn(lines, F.split(text, "\n", -1)).withColumn(doc, key).drop(text)
-    same = split[f"{doc}.body"] == covered[f"{doc}.body"]
+    keyed = docs.withColumn(doc, key)
+    same = keyed[f"{doc}.body"] == covered[f"{doc}.body"]
     for c in order:
-        same = same & split[f"{doc}.{c}"].eqNullSafe(covered[f"{doc}.{c}"])
-    joined = split.join(covered, same, "left").drop(doc)
+        same = same & keyed[f"{doc}.{c}"].eqNullSafe(covered[f"{doc}.{c}"])
+    joined = keyed.join(covered, same, "left").drop(doc).withColumn(lines, F.split(text, "\n", -1))
     left = F.when(F.col(gone).isNull(), F.col(lines)).otherwise(F.transform(
         F.array_except(F.sequence(F.lit(1), F.size(lines)), gone), lambda i: F.element_at(F.col(lines), i)))
     names = [c for c in docs.columns if c.lower() not in ("lines", "removed_lines")]
