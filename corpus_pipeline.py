@@ -24,10 +24,15 @@ from tidemark.session import checkpoint_root
 USED = ("doc_id", "text", "source", "n_chars")
 
 
+#: Rows of an Arrow batch: whole documents are large, and batches in both directions lie beside the heap.
+BATCH_ROWS = 512
+
+
 def carried(stage: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
     """The stage, with the other columns renamed before it and named back after."""
     @wraps(stage)
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
         named = {c: f"carried_{i}" for i, c in enumerate(docs.columns) if c not in USED}
         out = stage(spark, docs.withColumnsRenamed(named), sf_dir)
         return out.withColumnsRenamed({v: k for k, v in named.items()}).select(*docs.columns)
@@ -76,7 +81,7 @@ STAGES = [
     ("sentencepiece", encode),
 ]
 
-#: Learned and hashed stages have no SQL form; the tests hold them against brute force.
+#: Learned and hashed stages have no SQL form; the tests hold run()'s rows against a plain-Python version.
 ORACLE_SQL = None
 
 
