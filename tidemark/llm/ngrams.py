@@ -39,7 +39,7 @@ def words_of(text: str) -> list[str]:
 
 def shape(word: str) -> str:
     """Kinds of characters in the word, each run once: ``Word***`` is ``Xx*``."""
-    return "".join("X" if m[1] else "x" if m[2] else "9" if m[3] else m[4] for m in _RUNS.finditer(word))[:12]
+    return "".join("X" if m[1] else "x" if m[2] else "9" if m[3] else m[4] for m in _RUNS.finditer(word))
 
 
 class WordHashes:
