@@ -2,7 +2,7 @@
 
 The base rules count words, symbols, repeated lines and repeated three-word
 windows.  The verdict on what they pass comes from a logistic regression over
-hashed word n-grams (1, 2) and character n-grams (3 and 5 UTF-8 bytes), fitted
+hashed word n-grams (1, 2) and character n-grams (3 and 5 code points), fitted
 on labelled quality rows; its log-odds are calibrated to probabilities on rows
 that the weights have not seen (Platt scaling), and a fixed threshold decides.
 """
@@ -64,7 +64,7 @@ def base(text: str, words: Sequence[str]) -> tuple[int, int, int, int, int]:
 def families(hashes: ngrams.WordHashes, text: str, words: Sequence[str]) -> list[np.ndarray]:
     """Feature numbers of the whole text, one array for each kind of n-gram."""
     of, _ = hashes.of(words)
-    body = np.frombuffer(text.encode(), dtype=np.uint8).astype(np.uint32)
+    body = np.frombuffer(text.encode("utf-32-le"), dtype="<u4")
     return [ngrams.grams(of, 1, 1), ngrams.grams(of, 2, 2), ngrams.grams(body, 3, 3), ngrams.grams(body, 5, 4)]
 
 
