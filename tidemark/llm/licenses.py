@@ -3,10 +3,10 @@
 Templates are cut into three-word shingles; winnowing keeps the smallest hash
 of every three neighbours, and an inverted index maps it to its template and place.  Every
 shingle of a text is looked up, so any run of five template words that a text
-shares (or all of a shorter template) finds an entry.  Entries on neighbouring
+shares (three of a template of up to ten words) finds an entry.  Entries on neighbouring
 diagonals make one candidate, which is aligned to the template within a band
-around its diagonal.  What covers enough of a template is reported with the span of
-the text; of overlapping reports the one with the most words matched stays.
+around its diagonal.  What covers enough of a template, with the same words that tell licenses
+apart, is reported with the span of the text; of overlapping reports the one with the most words matched stays.
 """
 
 from __future__ import annotations
@@ -24,60 +24,139 @@ from pyspark.sql import DataFrame
 from tidemark.llm import ngrams
 from tidemark.llm.common import from_texts
 
-#: License notices as their owners publish them: fixed values.
+#: License notices and short licenses as their owners publish them: fixed values.
+_BSD = ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
+        "the following conditions are met")
+_BSD_TWO = (f"{_BSD}: 1. Redistributions of source code must retain the above copyright notice, this list of conditions "
+            "and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, "
+            "this list of conditions and the following disclaimer in the documentation and/or other materials provided "
+            "with the distribution.")
+_BSD_THIRD = (" 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or "
+              "promote products derived from this software without specific prior written permission.")
+_BSD_END = (" THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED "
+            "WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A "
+            "PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY "
+            "DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, "
+            "PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) "
+            "HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING "
+            "NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE "
+            "POSSIBILITY OF SUCH DAMAGE.")
+_MIT = ("Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+        "documentation files (the \"Software\"), to deal in the Software without restriction, including without "
+        "limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the "
+        "Software, and to permit persons to whom the Software is furnished to do so, subject to the following "
+        "conditions: The above copyright notice and this permission notice shall be included in all copies or "
+        "substantial portions of the Software.")
+_MIT_END = (" THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT "
+            "LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO "
+            "EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER "
+            "IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE "
+            "USE OR OTHER DEALINGS IN THE SOFTWARE.")
+_ISC = ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+        "granted, provided that the above copyright notice and this permission notice appear in all copies.")
+_ISC_END = (" THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE "
+            "INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR "
+            "ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF "
+            "USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF "
+            "OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.")
+_UNLICENSE = ("This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, "
+              "publish, use, compile, sell, or distribute this software, either in source code form or as a compiled "
+              "binary, for any purpose, commercial or non-commercial, and by any means.")
+_GNU = ("This {thing} is free software{mark} you can redistribute it and/or modify it under the terms of the GNU {name} as "
+        "published by the Free Software Foundation")
+_LATER = ", either version {} of the License, or (at your option) any later version."
+_GNU_NAMES = {"GPL": ("program", "General Public License", ("2.0", "3.0")),
+              "LGPL": ("library", "Lesser General Public License", ("2.1", "3.0")),
+              "AGPL": ("program", "Affero General Public License", ("3.0",))}
+
+
+def _families() -> dict[str, str]:
+    """Notices of licenses that come in versions and kinds."""
+    out = {}
+    for short, (thing, name, versions) in _GNU_NAMES.items():
+        for v in versions:
+            plain = v.removesuffix(".0")
+            out[f"{short}-{v}"] = f"This work is licensed under the GNU {name}, version {plain}."
+            out[f"{short}-{v}-notice"] = _GNU.format(thing=thing, mark=":", name=name) + _LATER.format(plain)
+    for kind in ("BY", "BY-SA", "BY-NC", "BY-ND", "BY-NC-SA", "BY-NC-ND"):
+        for v in ("2.0", "2.5", "3.0", "4.0"):
+            out[f"CC-{kind}-{v}"] = f"Licensed under CC {kind} {v}."
+    return out
+
+
 TEMPLATES = {
     "MIT": "Released under the MIT License.",
-    "MIT-notice": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
-                  "associated documentation files (the \"Software\"), to deal in the Software without restriction, "
-                  "including without limitation the rights to use, copy, modify, merge, publish, distribute, "
-                  "sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is "
-                  "furnished to do so, subject to the following conditions: The above copyright notice and this "
-                  "permission notice shall be included in all copies or substantial portions of the Software.",
+    "MIT-notice": _MIT,
+    "MIT-text": _MIT + _MIT_END,
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
     "Apache-2.0-notice": "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file "
                          "except in compliance with the License. You may obtain a copy of the License at",
-    "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.",
-    "GPL-3.0-notice": "This program is free software: you can redistribute it and/or modify it under the terms of the "
-                      "GNU General Public License as published by the Free Software Foundation, either version 3 of "
-                      "the License, or (at your option) any later version.",
-    "LGPL-notice": "This library is free software; you can redistribute it and/or modify it under the terms of the "
-                   "GNU Lesser General Public License as published by the Free Software Foundation",
-    "BSD-notice": "Redistribution and use in source and binary forms, with or without modification, are permitted "
-                  "provided that the following conditions are met",
-    "ISC-notice": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without "
-                  "fee is hereby granted, provided that the above copyright notice and this permission notice appear "
-                  "in all copies.",
+    "LGPL-notice": _GNU.format(thing="library", mark=";", name="Lesser General Public License"),
+    "BSD-notice": _BSD,
+    "BSD-2-Clause-text": _BSD_TWO + _BSD_END,
+    "BSD-3-Clause-text": _BSD_TWO + _BSD_THIRD + _BSD_END,
+    "ISC-notice": _ISC,
+    "ISC-text": _ISC + _ISC_END,
+    "MPL-1.1": "Licensed under the Mozilla Public License, version 1.1.",
+    "MPL-2.0": "Licensed under the Mozilla Public License, version 2.0.",
     "MPL-2.0-notice": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
-    "CC-BY-4.0": "Licensed under CC BY 4.0.",
-    "CC-BY-SA-4.0": "Licensed under CC BY-SA 4.0.",
-    "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
+    "EPL-1.0": "Licensed under the Eclipse Public License, version 1.0.",
+    "EPL-2.0": "Licensed under the Eclipse Public License, version 2.0.",
+    "Unlicense": _UNLICENSE,
     "CC0-1.0": "To the extent possible under law, the author has waived all copyright and related or neighboring "
                "rights to this work.",
     "all-rights-reserved": "All rights reserved.",
+    **_families(),
 }
+#: Words that tell licenses apart, and words behind which a number is a version: fixed values.
+TELLING = {"mit", "apache", "bsd", "isc", "gnu", "lesser", "affero", "mozilla", "eclipse", "cc", "neither", "reserved"}
+KINDS = {"by", "by-sa", "by-nc", "by-nd", "by-nc-sa", "by-nc-nd"}  # behind cc
+BEFORE_VERSION = {"version", "v", "license", "licence"} | KINDS
+_NUMBER = re.compile(r"v?(\d+(?:\.\d+)*)")
 SHINGLE, WINDOW = 3, 3
-#: Share of a template's words that must be matched; shorter templates need all of them.
-COVERAGE, SHORT = 0.8, 10
+#: Share of a template's words that must be matched, besides all that tell licenses apart.
+COVERAGE = 0.8
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _SLOTS = 20
 
 
+def _core(word: str) -> str:
+    """The word in lower case without marks around; a version without ``v`` and a last ``.0``."""
+    core = word.lower().strip(ngrams.MARKS)
+    number = _NUMBER.fullmatch(core)
+    return number[1].removesuffix(".0") if number else core
+
+
 def _hash(word: str) -> int:
-    return crc32(word.lower().strip(ngrams.MARKS).encode())
+    return crc32(_core(word).encode())
+
+
+def telling(words: Sequence[str], first: int = 0) -> list[str]:
+    """The words from ``first`` on that tell licenses apart: names, kinds and versions, in their order."""
+    cores = [_core(w) for w in words]
+
+    def tells(i: int) -> bool:
+        core, before = cores[i], cores[i - 1] if i else ""
+        return core in TELLING or (core in KINDS and before == "cc") or (
+            before in BEFORE_VERSION and _NUMBER.fullmatch(core) is not None)
+
+    return [cores[i] for i in range(first, len(cores)) if tells(i)]
 
 
 class Index:
     """Winnowed shingles of the templates."""
 
     def __init__(self, templates: Mapping[str, str]):
+        self.telling = {name: telling(ngrams.words_of(text)) for name, text in templates.items()}
         self.words = {name: [_hash(w) for w in ngrams.words_of(text)] for name, text in templates.items()}
         if any(len(w) < SHINGLE for w in self.words.values()):
             raise ValueError(f"a template needs {SHINGLE} words")
         self.entries: dict[int, list[tuple[str, int]]] = defaultdict(list)
         for name, words in self.words.items():
             shingles = shingle_hashes(np.array(words, dtype=np.uint32)).tolist()
-            last = max(1, len(shingles) - WINDOW + 1)
-            picked = {min(range(i, min(i + WINDOW, len(shingles))), key=lambda j: (shingles[j], -j)) for i in range(last)}
+            window = max(1, min(WINDOW, len(shingles) // WINDOW))  # a short template keeps every shingle
+            picked = {min(range(i, i + window), key=lambda j: (shingles[j], -j))
+                      for i in range(len(shingles) - window + 1)}
             for j in sorted(picked):
                 self.entries[shingles[j]].append((name, j))
         self.maybe = np.zeros(1 << _SLOTS, dtype=bool)
@@ -144,7 +223,9 @@ def scan(index: Index, text: str) -> list[dict]:
                 continue  # within the band of the candidate before
             done = d
             matched, first, end = align(template, words, d, band)
-            if matched >= (COVERAGE if len(template) >= SHORT else 1.0) * len(template):
+            if matched >= COVERAGE * len(template) \
+                    and telling([text[x:y] for x, y in spans[max(0, first - 1):end]], min(first, 1)) \
+                    == index.telling[name]:
                 found.append((-matched, first, end, name, matched / len(template)))
     taken: list[tuple[int, int]] = []
     kept = []
@@ -187,8 +268,9 @@ def scan_licenses(docs: DataFrame, keep: Sequence[str], templates: Mapping[str,
     """The columns ``keep`` and ``licenses``, an array of the reports of the whole text.
 
     A report has the template's name, the share of its words that is matched,
-    their number, and the span in characters.  Templates of under 10 words
-    must be matched whole, longer ones by 0.8.  Null and empty texts
+    their number, and the span in characters.  A share of 0.8 must be matched, and the
+    words of the span that tell licenses apart (names, kinds such as Lesser or NC, versions)
+    must be those of the template, no more and no less.  Null and empty texts
     have an empty array.  Rows are independent of each other.
     """
     kind = "array<struct<license:string,coverage:double,matched:int,start:int,end:int>>"
