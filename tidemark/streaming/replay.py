@@ -13,6 +13,7 @@ from collections.abc import Callable, Iterator, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.session import input_bytes, scratch_path
@@ -24,6 +25,8 @@ AVAILABLE_NOW = {"availableNow": True}
 #: Bytes of input files that one slice holds, and the fewest slices of a replay.
 SLICE_BYTES = 8 << 30
 SLICES = 3
+#: Pieces of a slice that different tasks may write.
+PIECES = 64
 
 
 def slices_for(spark: SparkSession, paths: Sequence[str]) -> int:
@@ -31,13 +34,22 @@ def slices_for(spark: SparkSession, paths: Sequence[str]) -> int:
 
 
 def by_range(df: DataFrame, col: str, n: int) -> Column:
-    """Slice 0 .. n-1 of ``col`` in about equal ranges, lowest values (and nulls) first."""
+    """Slice 0 .. n-1 of ``col`` in about equal ranges, lowest values (and nulls) first.
+
+    The place among the n - 1 bounds is found by halving a literal array, in as many steps as n has bits.
+    """
     at = [i / n for i in range(1, n)]
     bounds = df.select(F.percentile_approx(F.col(col), at, 1000)).first()[0] or []  # n - 1 values
-    out = F.lit(0)
-    for b in bounds:
-        out = out + F.coalesce((F.col(col) > F.lit(b).cast(df.schema[col].dataType)).cast("int"), F.lit(0))
-    return out
+    if not bounds:
+        return F.lit(0)
+    value, given = F.col(col), F.lit(list(bounds)).cast(ArrayType(df.schema[col].dataType))
+    steps = F.lit([1 << i for i in reversed(range(len(bounds).bit_length()))])
+
+    def closer(low: Column, step: Column) -> Column:
+        """The greatest place so far all of whose bounds are below the value."""
+        return F.when(F.try_element_at(given, low + step) < value, low + step).otherwise(low)
+
+    return F.when(value.isNull(), 0).otherwise(F.aggregate(steps, F.lit(0), closer))
 
 
 class Replay:
@@ -47,7 +59,10 @@ class Replay:
         self.spark, self.schema, self.n = df.sparkSession, df.schema, n
         self.root = root or scratch_path(self.spark, "replay")
         number = F.lpad(slice_of.cast("int").cast("string"), 9, "0")
-        df.withColumn("_slice", number).write.partitionBy("_slice").parquet(f"{self.root}/src")
+        # Ranged by slice, and within a slice by a hash of the row: few files a slice, and no task with a whole one.
+        spread = F.pmod(F.xxhash64(*df.columns), F.lit(PIECES))
+        (df.withColumn("_slice", number).repartitionByRange("_slice", spread)
+         .write.partitionBy("_slice").parquet(f"{self.root}/src"))
 
     def __iter__(self) -> Iterator[DataFrame]:
         for name in list_dirs(self.spark, f"{self.root}/src", "_slice="):
