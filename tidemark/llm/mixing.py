@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import cut, fresh, numbered
 
-#: Newton steps after which the bisection bracket is narrow enough in any case.
-STEPS = 60
+#: Steps in which every source is solved; a bracket that is halved so often is as narrow as numbers can be.
+STEPS = 200
 #: Relative error of a source's token constraint at which its dual is solved.
 CLOSE = 1e-6
 #: Leading bits of a document's hash: a class's documents are counted in 256 hash ranges.
@@ -97,6 +97,8 @@ def tilted_rates(classes: DataFrame, targets: DataFrame, cap: float) -> DataFram
                         .when((F.col("slope") > 0) & (newton > low) & (newton < high), newton)
                         .otherwise(middle))
             .select("key", *kept))
+    else:
+        raise ArithmeticError(f"token constraints not solved in {STEPS} steps")
     return state
 
 
