@@ -70,3 +70,43 @@ def test_table(spark):
     sf = "/root/testdata/sf0.001"
     vectors = [(r["vec_id"], r["embedding"]) for r in spark.read.parquet(f"{sf}/embeddings.parquet").collect()]
     assert {tuple(r) for r in op5_topk_search(spark, sf).collect()} == brute(vectors)
+
+
+def test_repeated_vectors_are_rows(spark, monkeypatch):
+    """A vector given several times takes as many ranks; equal rows are dealt over the blocks."""
+    monkeypatch.setattr(topk, "VECTORS", 10)
+    rows = [(1, [5.0, 1.0])] * 3 + [(2, [4.0, 1.0])] + [(3, [-1.0, 0.0])] * 60
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    v = df.select("vec_id", topk.scaled(F.col("embedding"), 256).alias("v")) \
+        .withColumns({"row": F.lit("x"), "block": F.lit(1), "bar": F.lit(2), "kind": F.lit(3)})
+    q = v.filter("vec_id = 2").select(F.col("vec_id").alias("query_id"), F.col("v").alias("q"), "block", "bar")
+    got = [tuple(r) for r in topk.top_k(v, q.unionByName(q), 5).orderBy("rank").collect()]
+    best = 1024 * 1280 + 256 * 256
+    assert got == [(2, 1, 1, best), (2, 2, 1, best), (2, 3, 1, best), (2, 4, 3, -262144), (2, 5, 3, -262144)]
+
+
+def test_the_bar_of_one_block_spares_the_others():
+    """A block whose greatest components are below the bar is not read; lists are read no further than it."""
+    pick = np.random.default_rng(3)
+    block = topk.Block(4)
+    block.add(np.arange(2000), pick.integers(-20, 20, (2000, 4)))
+    query = np.array([[1, 2, 3, 4]])
+    limit = int(np.abs(query).sum() * 20) + 1
+    assert [c.size for c in block.answers(np.array([-1]), np.array([0]), query, [limit], 3)] == [0] * 4
+    ids = np.array([-1])
+    _, _, at, scores = block.answers(ids, np.array([0]), query, [None], 3)
+    _, _, same, again = block.answers(ids, np.array([0]), query, [int(scores[1])], 3)
+    assert same.tolist() == at[scores >= scores[1]].tolist() and again.min() >= scores[1]
+
+
+def test_vectors_move_the_same_however_many_queries(spark, monkeypatch):
+    """Each pass shuffles a vector once: rows that reach the blocks are vectors + queries x blocks."""
+    monkeypatch.setattr(topk, "VECTORS", 50)
+    pick = np.random.default_rng(4)
+    rows = [(i, [int(x) for x in pick.integers(-9, 9, 3)]) for i in range(200)]
+    v = spark.createDataFrame(rows, "vec_id long, v array<long>")
+    seen = []
+    monkeypatch.setattr(topk, "_pass", lambda a, b, k, of=topk._pass: seen.append((a.count(), b.count())) or of(a, b, k))
+    for n in (5, 100):
+        topk.top_k(v, v.limit(n).select(F.col("vec_id").alias("query_id"), F.col("v").alias("q")), 3).collect()
+    assert seen == [(200, 5), (200, 15), (200, 100), (200, 300)]
