@@ -30,8 +30,7 @@ CLUSTER_CONF = {
     "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1024 * 1024 * 1024),
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
-    # Broadcasts stay small: explicit ones are row-count checked, automatic
-    # ones are decided from measured sizes at runtime.
+    # Broadcasts stay small: Spark decides on them from sizes, at planning and at run time.
     "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
     # Streaming state in RocksDB so a hot key's state spills to disk rather
