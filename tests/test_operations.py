@@ -197,3 +197,14 @@ def test_replayed_config_change_equals_one_run(spark, scratch):
     got = cdc_progress(spark, f"{scratch}/t").agg(F.sum("read"), F.sum("kept"), F.sum("dropped"), F.sum("rejected")).first()
     suppliers, customers = (spark.read.parquet(f"{SF_SMALL}/{t}.parquet").count() for t in ("supplier", "customer"))
     assert tuple(got) == (suppliers + customers, suppliers, customers, 0)
+
+
+def test_print_rows(spark, scratch, capsys):
+    """Every row of a batch is printed; a stream runs into the console sink."""
+    from tidemark.sinks.topic import print_rows
+    print_rows(spark.range(3))
+    assert capsys.readouterr().out.splitlines() == ["Row(id=0)", "Row(id=1)", "Row(id=2)"]
+    _topic(spark, scratch, 1)
+    query = print_rows(json_topic(spark, f"{scratch}/in", "id long"), AVAILABLE_NOW)
+    wait(query)
+    assert sum(p["numInputRows"] for p in query.recentProgress) == 40

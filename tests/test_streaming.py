@@ -90,6 +90,19 @@ def test_replay_after_a_fold(spark, scratch):
         sorted([("a", 4)] + [(f"b{i}", i) for i in range(5)])
 
 
+def test_a_replay_may_write_other_rows(spark, scratch, monkeypatch):
+    """What the first attempt of a batch wrote to other buckets does not stay."""
+    from tidemark.sinks import bucketed
+    path = f"{scratch}/t"
+    monkeypatch.setattr(bucketed, "BUCKET_BYTES", 2000)
+    upsert_batch(spark, spark.range(500).selectExpr("id AS k", "id AS v"), 0, ["k"], path)
+    UpsertTable(spark, path).fold_batches(0)
+    upsert_batch(spark, spark.range(500, 540).selectExpr("id AS k", "id AS v"), 1, ["k"], path)
+    upsert_batch(spark, spark.range(600, 601).selectExpr("id AS k", "id AS v"), 1, ["k"], path)
+    assert len({p[1] for p in UpsertTable(spark, path).partitions()}) > 1
+    assert sorted(r["k"] for r in keyed_table(spark, path).collect()) == [*range(500), 600]
+
+
 def test_a_fold_that_did_not_delete(spark, scratch, monkeypatch):
     """A crash between a fold's write and its deletes: the next fold finds the same rows."""
     from tidemark.sinks import bucketed

@@ -1,7 +1,7 @@
 """A keyed table as plain Parquet, partitioned by bucket and batch, folded by key when read.
 
 Every micro-batch writes its rows to ``rows/buckets=<of>/bucket=<b>/batch=<n>``
-by dynamic partition overwrite, so a replayed batch replaces its own rows and
+by dynamic partition overwrite; a replayed batch replaces its own rows and
 nothing else.  The table is what a per-key aggregation makes of all rows; the
 aggregations of ``upsert`` and ``keyed_state`` give the same result however often rows
 that they have folded are folded again.  ``fold_batches`` uses that: it writes the
@@ -66,9 +66,6 @@ class BucketedTable:
         names = glob_dirs(self.spark, f"{self.path}/rows/buckets=*/bucket=*/batch=*")
         return sorted(tuple(int(part.split("=")[1]) for part in name.split("/")[-3:]) for name in names)
 
-    def buckets(self) -> int:
-        return max((p[0] for p in self.partitions()), default=1)
-
     def next_batch_id(self) -> int:
         return max((p[2] for p in self.partitions()), default=-1) + 1
 
@@ -93,6 +90,10 @@ class BucketedTable:
         (rows.select(*self.schema.names, *PARTS).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(*PARTS).parquet(f"{self.path}/rows"))
 
+    def _drop(self, partitions: list[tuple[int, int, int]]) -> None:
+        for p in partitions:
+            delete_path(self.spark, f"{self.path}/rows/" + "/".join(f"{n}={v}" for n, v in zip(PARTS, p, strict=True)))
+
     def append(self, rows: DataFrame, batch_id: int) -> None:
         """Write micro-batch ``batch_id``; writing it again replaces it."""
         if self.schema is None:
@@ -101,7 +102,10 @@ class BucketedTable:
                 field.nullable = True
             write_text(self.spark, f"{self.path}/_table.json", json.dumps(
                 {"schema": json.loads(self.schema.json()), "keys": self.keys, "rule": self.rule}))
-        self._write(self._spread(rows.withColumn(BATCH, F.lit(batch_id).cast("long")), self.buckets()))
+        there = self.partitions()
+        self._drop([p for p in there if p[2] == batch_id])  # of a first attempt, whose rows may have been others
+        buckets = max((p[0] for p in there), default=1)
+        self._write(self._spread(rows.withColumn(BATCH, F.lit(batch_id).cast("long")), buckets))
 
     def apply(self, rows: DataFrame, batch_id: int) -> None:
         """Append a micro-batch; now and then first fold those before it, which can no longer be replayed."""
@@ -132,9 +136,7 @@ class BucketedTable:
         known = self.spark.createDataFrame([(*k, v) for k, v in oldest.items()], "buckets long, bucket long, oldest long")
         folded = self.forget(self.fold(rows.drop("buckets", "bucket")), rows.join(known, ["buckets", "bucket"]))
         self._write(self._spread(folded.withColumn(BATCH, F.lit(upto).cast("long")), want))
-        for p in found:
-            if p[2] != upto or p[0] != want:
-                delete_path(self.spark, f"{self.path}/rows/" + "/".join(f"{n}={v}" for n, v in zip(PARTS, p, strict=True)))
+        self._drop([p for p in found if p[2] != upto or p[0] != want])
 
     # -- reads ---------------------------------------------------------------
     def state(self, upto: int | None = None) -> DataFrame:
