@@ -35,7 +35,7 @@ from tokenizers import Tokenizer
 #: Bytes of a row group, rows of a page, and bytes after which a dictionary would give way to plain values.
 ROW_GROUP_BYTES, PAGE_ROWS, DICTIONARY_BYTES = 32 << 20, 512, 4 << 20
 #: Parts whose ids a worker keeps, twice: when full, those not used since the last time go; longer parts are not kept.
-KEPT_PARTS, KEPT_CHARS = 1 << 18, 48
+KEPT_PARTS, KEPT_CHARS = 1 << 19, 48
 
 
 class PartEncoder:
@@ -52,7 +52,9 @@ class PartEncoder:
         self.plain = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")  # a word and a run of marks
         if [m for m, _ in self.split(" À")] != ["ĠÃĢ"]:
             raise ValueError("not a byte-level tokenizer")
-        self.letter = {ord(c): self.split(c)[0][0] for c in map(chr, range(0xC0, 0x100))}
+        self.letter = {b: chr(b) for b in range(128)}  # the character that stands for a byte of a Latin letter
+        for c in map(chr, range(0xC0, 0x100)):
+            self.letter.update(zip(c.encode(), self.split(c)[0][0], strict=True))
         self.kept: dict[str, bytes] = {}  # of a space and the part
         self.older: dict[str, bytes] = {}
         self.starts: dict[str, bytes] = {}  # of the part alone, at the start of a line
@@ -76,7 +78,7 @@ class PartEncoder:
         if not plain:
             return b"".join([self._ids(piece) for piece, _ in self.split(" " + part if led else part)])
         if part[-1].isalpha():
-            return self._ids(led + part.translate(self.letter))
+            return self._ids(led + "".join([self.letter[b] for b in part.encode()]))
         word, marks = plain.groups()
         return (self._spaced(word) if led else self._start(word)) + self._start(marks)
 
