@@ -35,7 +35,7 @@ from tokenizers import Tokenizer
 #: Bytes of a row group, rows of a page, and bytes after which a dictionary would give way to plain values.
 ROW_GROUP_BYTES, PAGE_ROWS, DICTIONARY_BYTES = 32 << 20, 512, 4 << 20
 #: Parts whose ids a worker keeps, twice: when full, those not used since the last time go; longer parts are not kept.
-KEPT_PARTS, KEPT_CHARS = 1 << 19, 48
+KEPT_PARTS, KEPT_CHARS = 3 << 17, 48
 
 
 class PartEncoder:
