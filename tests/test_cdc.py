@@ -229,3 +229,99 @@ def test_key_column_match_is_exact_not_substring(spark):
     m, _ = cdc.parse_changelog(raw)
     cells = {(r.qualifier, r.value) for r in cdc.live_cells(cdc.fold(cdc.to_ops(cdc.route(m, flow)))).collect()}
     assert cells == {("orderId", "1"), ("orderNo", "a"), ("No", "y")}
+
+
+def _cells(state):
+    return sorted(tuple(str(v) for v in r) for r in state.select(
+        "hbaseTable", "rowkey", "kind", "family", "qualifier", "value", "seq").collect())
+
+
+def test_wide_fold_equals_the_fold_of_cells(spark):
+    """Random wide ops, with repeated qualifiers and ops of one place in the log: cell by cell the same state,
+    also when a folded state is folded again with later ops."""
+    rng = random.Random(3)
+    rows = []
+    for _ in range(400):
+        names = tuple(rng.choice("abcd") for _ in range(rng.choice([1, 1, 2, 3])))
+        at = (rng.choice("hi"), rng.choice("rstuvw"), rng.randrange(12), rng.randrange(2))
+        if rng.random() < 0.1:
+            rows.append((*at, 0, None, None, None))
+        else:  # one place in the log gives one value list for each list of qualifiers
+            own = random.Random(str((at, names)))
+            rows.append((*at, 1, rng.choice(["f", "g"]) if rng.random() < 0.2 else None, list(names),
+                         [str(own.randrange(9)) for _ in names]))
+    ops = spark.createDataFrame(rows, "hbaseTable string, rowkey string, offset bigint, pos int, kind int, "
+                                      "family string, qualifiers array<string>, values array<string>")
+    want = _cells(cdc.fold(cdc.to_cells(ops)))
+    assert _cells(cdc.to_cells(cdc.fold(ops))) == want
+    old, new = cdc.fold(ops.where("offset < 6")), ops.where("offset >= 6")
+    assert _cells(cdc.to_cells(cdc.fold(cdc.state_as_ops(old).unionByName(new)))) == want
+
+
+def test_wide_ops_are_one_record_a_row_change(spark):
+    """A row image is shuffled as one record; its cells are those of the plain form."""
+    rng = random.Random(13)
+    logs = [random_log(rng, 12) for _ in range(6)]
+    recs = [(0, i * 1000 + off, json.dumps(dict(m, table=f"t{i}"))) for i, msgs in enumerate(logs) for off, m in enumerate(msgs)]
+    flows = [(i, 1, "db", f"t{i}", f"h{i}", "cf", bool(i % 2), 10, "id,No", 2) for i in range(len(logs))]
+    m, _ = cdc.parse_changelog(spark.createDataFrame(recs, "partition int, offset bigint, value string"))
+    routed = cdc.route(m, spark.createDataFrame(flows, FLOW_SCHEMA))
+    wide, plain = cdc.to_ops(routed, wide=True), cdc.to_ops(routed)
+    assert sorted(map(str, cdc.to_cells(wide).collect())) == sorted(map(str, plain.collect()))
+    places = wide.groupBy("hbaseTable", "offset", "pos", "kind").count()
+    assert places.where("count > 1").count() == 0 and wide.count() < plain.count()
+    keyed = [cdc.state_to_keyed(cdc.live_cells(cdc.fold(o)), "cf", FIELDS, "h1").collect() for o in (wide, plain)]
+    assert keyed[0] and sorted(map(str, keyed[0])) == sorted(map(str, keyed[1]))
+
+
+def test_a_table_begun_with_cells_goes_on(spark, scratch):
+    """A table whose schema has one cell a row takes wide ops as cells."""
+    from tidemark.sinks.keyed_state import CELL_COLUMNS, KeyedStateTable
+    cells = spark.createDataFrame([("h", "r", 0, 0, 1, "f", "a", "1"), ("h", "r", 0, 0, 1, "f", "b", "2")],
+                                  "hbaseTable string, rowkey string, offset bigint, pos int, kind int, family string, "
+                                  "qualifier string, value string")
+    KeyedStateTable(spark, f"{scratch}/t").apply(cells.select(*CELL_COLUMNS), 0)
+    table = KeyedStateTable(spark, f"{scratch}/t")
+    later = cells.where("qualifier = 'a'").withColumn("offset", cells["offset"] + 1)
+    table.apply_batch(cdc.to_wide(later), 1)
+    assert table.schema.names == list(CELL_COLUMNS)
+    assert sorted((r.qualifier, r.offset) for r in table.cells().collect()) == [("a", 1), ("b", 0)]
+
+
+def test_the_sync_keeps_no_batch_in_memory(spark, scratch, monkeypatch):
+    """A batch is read twice and never persisted, so no task holds or reads a cached part of it."""
+    from pyspark.sql.classic.dataframe import DataFrame
+    from tidemark.sinks.keyed_state import KeyedStateTable
+    from tidemark.streaming.cdc_apply import RoutingState, cdc_progress, changelog_batch_writer
+    kept = []
+    monkeypatch.setattr(DataFrame, "persist", lambda self, *a: kept.append(self) or self)
+
+    class Flow:
+        def get(self):
+            return spark.createDataFrame([(1, 1, "d", "t", "h", "cf", False, 10, "id", 2)], FLOW_SCHEMA)
+    table = KeyedStateTable(spark, f"{scratch}/t")
+    recs = [(0, 0, json.dumps({"database": "d", "table": "t", "type": "INSERT", "data": [{"id": "1"}]})),
+            (0, 1, json.dumps({"database": "d", "table": "t", "type": "INSERT", "data": [{"no": "1"}]})),
+            (0, 2, "no json"), (1, 3, json.dumps({"database": "d", "table": "u", "type": "INSERT", "data": []}))]
+    changelog_batch_writer(table, RoutingState(spark, f"{scratch}/r", Flow()))(
+        spark.createDataFrame(recs, "partition int, offset bigint, value string"), 0)
+    assert not kept
+    assert [tuple(r) for r in cdc_progress(spark, table.path).collect()] == [(0, 4, 1, 1, 2)]
+    assert sorted(r.offset for r in spark.read.parquet(f"{table.path}/rejects").collect()) == [1, 2]
+
+
+def test_a_first_batch_is_dealt_to_many_tasks(spark, scratch):
+    """One bucket's rows are dealt to more tasks than the slices of a full bucket, whatever the batch's size."""
+    from pyspark.sql import functions as F
+    from tidemark.sinks import bucketed
+    from tidemark.sinks.upsert import UpsertTable
+    table, old = UpsertTable(spark, f"{scratch}/t", ["id"]), spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        spark.conf.set("spark.sql.shuffle.partitions", "64")
+        rows = table._spread(spark.range(20_000).withColumn("batch", F.lit(0).cast("long")), 1)
+        tasks = rows.select(F.spark_partition_id().alias("p")).distinct().count()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert tasks > bucketed.SLICES

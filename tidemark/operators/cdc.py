@@ -112,6 +112,20 @@ def split_routed(routed: DataFrame) -> tuple[DataFrame, DataFrame]:
     return routed.where(good), routed.where(~good)
 
 
+def route_flagged(parsed: DataFrame, flow: DataFrame) -> DataFrame:
+    """``parse_flagged`` records with their running config, where there is one, and ``_state``: ``kept`` (a usable
+    change), ``rejected`` (no change, or a row image without its key) or ``dropped`` (no running flow).
+
+    Every record stays one row, so the parts need no second join to be told apart."""
+    f = latest_flow(flow).where(F.col("status") == FLOW_RUNNING).select(
+        "databaseName", "tableName", "flowId", "hbaseTable", "family", "uppercaseQualifier", "rowKey")
+    j = parsed.join(f, F.col("_ok") & (parsed["database"] == f["databaseName"]) & (parsed["table"] == f["tableName"]), "left")
+    good = F.coalesce(_has_keys(_key_columns(F.col("rowKey")), F.col("data")), F.lit(True))
+    state = F.when(~F.col("_ok"), "rejected").when(F.col("databaseName").isNull(), "dropped") \
+        .when(good, "kept").otherwise("rejected")
+    return j.withColumn("_state", state).drop("databaseName", "tableName")
+
+
 def table_partitions(messages: DataFrame) -> DataFrame:
     """``database, table, low, high``: the topic partitions each source table came on.
 
@@ -120,12 +134,14 @@ def table_partitions(messages: DataFrame) -> DataFrame:
         F.min("partition").alias("low"), F.max("partition").alias("high"))
 
 
-def to_ops(routed: DataFrame) -> DataFrame:
+def to_ops(routed: DataFrame, wide: bool = False) -> DataFrame:
     """Routed messages to ops: ``hbaseTable, rowkey, offset, pos, kind, family, qualifier, value``.
 
     Tombstones have ``kind = 0`` and NULL family/qualifier/value.  Every data
-    row yields one array of ops (its tombstone, if any, then its puts) that
-    is exploded once: a single pass over the messages.
+    row yields one array of ops (its tombstone, if any, then its put) that
+    is exploded once: a single pass over the messages.  ``wide`` ops hold all cells
+    of a put in ``qualifiers`` and ``values`` (NULL in a tombstone), so what is
+    shuffled is one record a row change, not one a cell.
     """
     kind = F.upper(F.col("type"))
     base = routed.where(kind.isin("INSERT", "UPDATE", "DELETE")).select(
@@ -147,32 +163,46 @@ def to_ops(routed: DataFrame) -> DataFrame:
         row_key_from_map(d, keys).alias("new_key"),
         F.when(key_change, old_key).alias("old_key"))  # only key changes need it
 
-    def qual(k: Column) -> Column:
-        return F.when(F.col("uppercaseQualifier"), F.upper(k)).otherwise(k)
+    def cell(name: Column, value: Column) -> Column:
+        return F.struct(F.when(F.col("uppercaseQualifier"), F.upper(name)).otherwise(name).alias("q"), value.alias("v"))
 
-    def op(rowkey: Column, k: int, family, qualifier, value) -> Column:
-        return F.struct(rowkey.alias("rowkey"), F.lit(k).alias("kind"),
-                        family.cast("string").alias("family"),
-                        qualifier.cast("string").alias("qualifier"),
-                        value.cast("string").alias("value"))
+    def op(rowkey: Column, k: int, family, cells) -> Column:
+        return F.struct(rowkey.alias("rowkey"), F.lit(k).alias("kind"), family.cast("string").alias("family"),
+                        cells.cast("array<struct<q:string,v:string>>").alias("cells"))
 
     null = F.lit(None)
     is_tomb = (F.col("op") == "DELETE") | F.col("key_change")
     is_full = (F.col("op") == "INSERT") | F.col("key_change")
-    is_upd = (F.col("op") == "UPDATE") & ~F.col("key_change")
     tomb_key = F.when(F.col("key_change"), F.col("old_key")).otherwise(F.col("new_key"))
-    tomb = F.filter(F.array(op(tomb_key, KIND_DELETE, null, null, null)), lambda _: is_tomb)
-    full = F.transform(
-        F.filter(F.map_entries(F.col("d")), lambda e: is_full & e["value"].isNotNull()),
-        lambda e: op(F.col("new_key"), KIND_PUT, F.col("family"), qual(e["key"]), e["value"]))
-    upd = F.transform(
-        F.filter(F.col("changed"), lambda _: is_upd),
-        lambda c: op(F.col("new_key"), KIND_PUT, F.col("family"), qual(c),
-                     F.coalesce(F.try_element_at(F.col("d"), c), F.lit(""))))
-    ops = rows.select("hbaseTable", "offset", "pos",
-                      F.explode(F.concat(tomb, full, upd)).alias("x"))
-    return ops.select("hbaseTable", "x.rowkey", "offset", "pos", "x.kind",
-                      "x.family", "x.qualifier", "x.value")
+    full = F.transform(F.filter(F.map_entries(F.col("d")), lambda e: e["value"].isNotNull()),
+                       lambda e: cell(e["key"], e["value"]))
+    upd = F.transform("changed", lambda c: cell(c, F.coalesce(F.try_element_at(F.col("d"), c), F.lit(""))))
+    put = op(F.col("new_key"), KIND_PUT, F.col("family"), F.when(is_full, full).when(F.col("op") == "UPDATE", upd))
+    both = F.filter(F.array(F.when(is_tomb, op(tomb_key, KIND_DELETE, null, null)), put),
+                    lambda x: (x["kind"] == KIND_DELETE) | (F.size(x["cells"]) > 0))
+    ops = rows.select("hbaseTable", "offset", "pos", F.explode(both).alias("x"))
+    ops = ops.select("hbaseTable", "x.rowkey", "offset", "pos", "x.kind", "x.family",
+                     F.col("x.cells.q").alias("qualifiers"), F.col("x.cells.v").alias("values"))
+    return ops if wide else to_cells(ops)
+
+
+def is_wide(ops: DataFrame) -> bool:
+    """Whether ops (or the rows of a state) are wide."""
+    return "qualifiers" in ops.columns
+
+
+def to_cells(ops: DataFrame) -> DataFrame:
+    """Wide ops one cell a row; a tombstone stays one row."""
+    keep = [c for c in ops.columns if c not in ("qualifiers", "values")]
+    cells = F.arrays_zip(F.col("qualifiers").alias("qualifier"), F.col("values").alias("value"))
+    return ops.select(*keep, F.inline_outer(cells))
+
+
+def to_wide(ops: DataFrame) -> DataFrame:
+    """Ops of one cell each as wide ops; nothing is moved or gathered."""
+    put = F.col("kind") == KIND_PUT
+    return ops.select(*[c for c in ops.columns if c not in ("qualifier", "value")],
+                      F.when(put, F.array("qualifier")).alias("qualifiers"), F.when(put, F.array("value")).alias("values"))
 
 
 def seq_col() -> Column:
@@ -190,18 +220,68 @@ def fold(ops: DataFrame) -> DataFrame:
     One partial aggregate per cell (a hot row's updates collapse on the map
     side before the shuffle), then a window per row key over the reduced
     rows, which hold at most one row per qualifier plus one tombstone.
+
+    Wide ops give a wide state (``qualifiers, values`` for ``qualifier, value``): the
+    aggregate is per row key and list of qualifiers, the window takes from each of
+    the row's reduced ops the cells that a newer one has too.
     """
-    # One aggregate buffer per cell: the greatest (seq, value); seq decides,
+    # One aggregate buffer per group: the greatest (seq, value); seq decides,
     # the value only breaks a tie between duplicate qualifiers of one row.
-    best = F.max(F.struct(seq_col().alias("seq"), F.col("value"))).alias("_best")
-    cells = (ops.groupBy("hbaseTable", "rowkey", "kind", "family", "qualifier").agg(best)
-             .select("hbaseTable", "rowkey", "kind", "family", "qualifier", "_best.value", "_best.seq"))
-    by_row = Window.partitionBy("hbaseTable", "rowkey")
+    what, of = ("qualifiers", "values") if is_wide(ops) else ("qualifier", "value")
+    best = F.max(F.struct(seq_col().alias("seq"), F.col(of))).alias("_best")
+    # The row key comes first: its hash prefix decides nearly all comparisons of the sorts.
+    cells = (ops.groupBy("rowkey", "hbaseTable", "kind", "family", what).agg(best)
+             .select("hbaseTable", "rowkey", "kind", "family", what, f"_best.{of}", "_best.seq"))
+    by_row = Window.partitionBy("rowkey", "hbaseTable")
     del_seq = F.max(F.when(F.col("kind") == KIND_DELETE, F.col("seq"))).over(by_row)
-    return (cells.withColumn("del_seq", del_seq)
-            .where((F.col("kind") == KIND_DELETE) | F.col("del_seq").isNull()
-                   | (F.col("seq") > F.col("del_seq")))
-            .drop("del_seq"))
+    alive = ((F.col("kind") == KIND_DELETE) | F.col("del_seq").isNull() | (F.col("seq") > F.col("del_seq")))
+    if not is_wide(ops):
+        return cells.withColumn("del_seq", del_seq).where(alive).drop("del_seq")
+    put = F.when(F.col("kind") == KIND_PUT, F.struct("seq", "family", "qualifiers", "values"))
+    state = cells.withColumns({"del_seq": del_seq, "puts": F.collect_list(put).over(by_row)}).where(alive)
+    is_put = F.col("kind") == KIND_PUT
+    kept = F.filter(F.when(is_put, _standing()).otherwise(F.array(F.lit(None))), lambda c: ~is_put | (F.size(c) > 0))
+    return (state.select("hbaseTable", "rowkey", "kind", "family", "seq", F.explode(kept).alias("kept"))
+            .select("hbaseTable", "rowkey", "kind", "family", F.col("kept.qualifiers").alias("qualifiers"),
+                    F.col("kept.values").alias("values"), "seq"))
+
+
+def _standing() -> Column:
+    """One array: the cells of a reduced wide put that no other of the row's reduced ``puts`` replaces.
+
+    ``puts`` has one op for each list of qualifiers that the row was written with."""
+    cells, names = F.arrays_zip("qualifiers", "values"), F.col("qualifiers")
+    newer = F.filter("puts", lambda p: (p["seq"] > F.col("seq")) & p["family"].eqNullSafe(F.col("family")))
+    taken = F.flatten(F.transform(newer, lambda p: p["qualifiers"]))
+    kept = F.transform(F.array(taken), lambda t: F.when(F.size(t) == 0, cells).otherwise(  # taken is made once
+        F.filter(cells, lambda c: ~F.array_contains(t, c["qualifiers"]))))
+    # Equal qualifiers in one op, or ops of one place in the log: the greater value stands, as in the fold of cells.
+    ties = (F.size(F.array_distinct(names)) < F.size(names)) | (
+        (F.size("puts") > 1) & F.exists("puts", lambda p: (p["seq"] == F.col("seq")) & (p["qualifiers"] != names)))
+    return F.when(ties, F.array(_greatest())).when(F.size("puts") == 1, F.array(cells)).otherwise(kept)
+
+
+def _greatest() -> Column:
+    """``_standing`` where (seq, value) decides between equal qualifiers."""
+    seq, names, values = F.col("seq"), F.col("qualifiers"), F.col("values")
+
+    def pairs(q: Column, v: Column) -> Column:
+        return F.arrays_zip(q.alias("q"), v.alias("v"))
+
+    def beaten(name: Column, value: Column, at: Column) -> Column:
+        def by(p: Column) -> Column:
+            newer = (p["seq"] > seq) & F.array_contains(p["qualifiers"], name)
+            tie = (p["seq"] == seq) & F.exists(pairs(p["qualifiers"], p["values"]),
+                                               lambda c: (c["q"] == name) & (c["v"] > value))
+            # of equal cells of two ops that of the lesser list of qualifiers stands
+            same = (p["seq"] == seq) & (p["qualifiers"] < names) & F.exists(
+                pairs(p["qualifiers"], p["values"]), lambda c: (c["q"] == name) & (c["v"] == value))
+            return p["family"].eqNullSafe(F.col("family")) & (newer | tie | same)
+        again = F.exists(pairs(F.slice(names, 1, at), F.slice(values, 1, at)),
+                         lambda c: (c["q"] == name) & (c["v"] == value))
+        return F.exists("puts", by) | again
+
+    return F.filter(F.arrays_zip("qualifiers", "values"), lambda c, i: ~beaten(c["qualifiers"], c["values"], i))
 
 
 def live_cells(state: DataFrame) -> DataFrame:
@@ -210,21 +290,35 @@ def live_cells(state: DataFrame) -> DataFrame:
 
 def state_as_ops(state: DataFrame) -> DataFrame:
     """A folded state back in ops form, to fold it again with newer ops."""
-    return state.select("hbaseTable", "rowkey", "seq.offset", "seq.pos", "kind",
-                        "family", "qualifier", "value")
+    what = ("qualifiers", "values") if is_wide(state) else ("qualifier", "value")
+    return state.select("hbaseTable", "rowkey", "seq.offset", "seq.pos", "kind", "family", *what)
+
+
+def _field(name: str) -> Column:
+    """The greatest value of a wide op's cells whose qualifier is ``name``, ignoring case."""
+    low, values = F.col("_low"), F.col("values")
+    many = F.array_max(F.transform(F.filter(F.arrays_zip(low.alias("q"), values.alias("v")),
+                                            lambda c: c["q"] == name.lower()), lambda c: c["v"]))
+    one = F.get(values, F.array_position(low, name.lower()).cast("int") - 1)
+    return F.when(F.size(F.array_distinct(low)) < F.size(low), many).otherwise(one)
 
 
 def state_to_keyed(cells: DataFrame, family: str, fields: list[str],
                    table: str | None = None) -> DataFrame:
-    """Pivot live cells of one keyed table into ``rowkey, family STRUCT<fields>``
+    """Pivot live cells (plain or wide) of one keyed table into ``rowkey, family STRUCT<fields>``
     (names matched ignoring case; ``table`` selects the keyed table when the
     state holds several).
 
     A conditional ``max`` per field: partial aggregation, no list collected.
+    Of one table, the rows are grouped where the fold left them.
     """
     if table is not None:
         cells = cells.where(F.col("hbaseTable") == table)
-    q = F.lower(F.col("qualifier"))
-    aggs = [F.max(F.when(q == name.lower(), F.col("value"))).alias(name) for name in fields]
-    wide = cells.groupBy("rowkey").agg(*aggs)
+    if is_wide(cells):
+        cells = cells.withColumn("_low", F.transform("qualifiers", lambda k: F.lower(k)))
+        aggs = [F.max(_field(name)).alias(name) for name in fields]
+    else:
+        q = F.lower(F.col("qualifier"))
+        aggs = [F.max(F.when(q == name.lower(), F.col("value"))).alias(name) for name in fields]
+    wide = cells.groupBy("rowkey", *["hbaseTable"] * (table is not None)).agg(*aggs)
     return wide.select("rowkey", F.struct(*fields).alias(family))

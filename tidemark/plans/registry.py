@@ -135,7 +135,7 @@ def q_cdc_cells(spark, d):
 
 
 def q_cdc_state(spark, d):
-    cells = cdc.live_cells(cdc.fold(cdc.to_ops(_routed(spark, d))))
+    cells = cdc.to_cells(cdc.live_cells(cdc.fold(cdc.to_ops(_routed(spark, d), wide=True))))
     return cells.select("hbaseTable", "rowkey", "family", "qualifier", "value")
 
 
@@ -143,7 +143,7 @@ def q_cdc_user_orders(spark, d):
     """The whole order path: binlog -> CDC-maintained keyed order table ->
     per-user totals in the keyed DWS table."""
     from tidemark.operators.keyed import ORDER_FIELDS
-    cells = cdc.live_cells(cdc.fold(cdc.to_ops(_routed(spark, d))))
+    cells = cdc.live_cells(cdc.fold(cdc.to_ops(_routed(spark, d), wide=True)))
     kv = cdc.state_to_keyed(cells, "cf", list(ORDER_FIELDS), table="dwd:orders")
     t = agg.user_totals_keyed(jobs.order_text(kv))
     return t.select("rowkey", "cf.user_id", "cf.order_num", F.round("cf.gmv", 2).alias("gmv"))

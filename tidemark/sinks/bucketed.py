@@ -31,8 +31,9 @@ from tidemark.sinks.files import delete_path, glob_dirs, read_text, write_text
 
 BATCH = "batch"
 PARTS = ("buckets", "bucket", BATCH)
-#: Size from which a bucket is split, and into how many ranges of key hashes its rows are dealt for a write.
-BUCKET_BYTES, SLICES = 1 << 30, 32
+#: Size from which a bucket is split, and into how many ranges of key hashes its rows are dealt for a write: at
+#: least SLICES, and PIECES in all buckets, as a first batch may be large. Spark joins small ones to one task.
+BUCKET_BYTES, SLICES, PIECES = 1 << 30, 32, 1024
 
 
 class BucketedTable:
@@ -82,7 +83,7 @@ class BucketedTable:
     def _spread(self, rows: DataFrame, buckets: int) -> DataFrame:
         """Rows with their partition columns, dealt to tasks by bucket and slice of the key hashes."""
         key = F.xxhash64(*self.keys)
-        piece: Column = F.pmod(F.shiftright(key, 32), F.lit(SLICES))
+        piece: Column = F.pmod(F.shiftright(key, 32), F.lit(max(SLICES, PIECES // buckets)))
         return rows.withColumns({"buckets": F.lit(buckets).cast("long"), "bucket": F.pmod(key, F.lit(buckets))}) \
             .repartition(F.col("bucket"), piece)
 

@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from tidemark.operators import cdc
 from tidemark.sinks.bucketed import BATCH, BucketedTable
 
-OPS_COLUMNS = ("hbaseTable", "rowkey", "offset", "pos", "kind", "family", "qualifier", "value")
+OPS_COLUMNS = ("hbaseTable", "rowkey", "offset", "pos", "kind", "family", "qualifiers", "values")
+CELL_COLUMNS = (*OPS_COLUMNS[:-2], "qualifier", "value")
 KIND = "keyed-state"
 
 
@@ -35,8 +36,17 @@ class KeyedStateTable(BucketedTable):
                 .filter(~F.coalesce(gone, F.lit(False))).drop("of", "last"))
 
     def apply_batch(self, ops: DataFrame, batch_id: int) -> None:
-        self.apply(ops.select(*OPS_COLUMNS), batch_id)
+        """Append ops, wide or of one cell each; a table that was begun with cells goes on with them."""
+        if self.schema is not None and "qualifiers" not in self.schema.names:
+            self.apply((cdc.to_cells(ops) if cdc.is_wide(ops) else ops).select(*CELL_COLUMNS), batch_id)
+        else:
+            self.apply((ops if cdc.is_wide(ops) else cdc.to_wide(ops)).select(*OPS_COLUMNS), batch_id)
+
+    def rows(self) -> DataFrame:
+        """Live cells as they are stored, a row's cells of one change together (``qualifiers, values``)."""
+        return cdc.live_cells(self.state())
 
     def cells(self) -> DataFrame:
         """Live cells: ``hbaseTable, rowkey, family, qualifier, value`` and their place in the log."""
-        return cdc.live_cells(self.state())
+        live = self.rows()
+        return cdc.to_cells(live) if cdc.is_wide(live) else live

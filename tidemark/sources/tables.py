@@ -30,7 +30,7 @@ def keyed_table(spark: SparkSession, path: str, table: str = ORDERS_TABLE, famil
     """
     if BucketedTable.exists(spark, path):
         if BucketedTable(spark, path).rule.get("kind") == KIND:
-            return cdc.state_to_keyed(KeyedStateTable(spark, path).cells(), family, list(fields), table)
+            return cdc.state_to_keyed(KeyedStateTable(spark, path).rows(), family, list(fields), table)
         return UpsertTable(spark, path).current()
     return spark.read.parquet(path)
 

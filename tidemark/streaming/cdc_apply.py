@@ -1,12 +1,12 @@
 """Streaming CDC sync: changelog topic -> routed ops -> keyed state table.
 
-``foreachBatch`` parses the batch once, routes it with the routing config that
-belongs to the batch, turns rows into ops and appends them to a
-``KeyedStateTable``.  All events of one configured source table must come from one
+``foreachBatch`` routes the batch with the routing config that belongs to it, turns
+rows into ops and appends them to a ``KeyedStateTable``.  It reads the batch twice, first to
+count and check it, then to write; nothing of it is kept in memory in between.  All events of one configured source table must come from one
 topic partition, because offsets order them; one that arrives on two stops the
 job.  Events of tables without a running flow are dropped, wherever they arrive.
 
-What a batch read, kept, dropped and rejected is counted in its own passes and
+What a batch read, kept, dropped and rejected is counted in the first pass and
 written under ``progress``; records that are no changes, or have no row key, under ``rejects``.
 """
 
@@ -15,7 +15,7 @@ from __future__ import annotations
 import json
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -59,10 +59,14 @@ class RoutingState:
 
 def check_partitions(table: KeyedStateTable, routed: DataFrame) -> None:
     """Remember the topic partition of each configured source table; fail on a second one."""
+    remember_partitions(table, cdc.table_partitions(routed).collect())  # one row a source table
+
+
+def remember_partitions(table: KeyedStateTable, tables: list[Row]) -> None:
     path = f"{table.path}/_partitions.json"
     known = json.loads(read_text(table.spark, path) or "{}")
     found = dict(known)
-    for r in cdc.table_partitions(routed).collect():  # one row a source table
+    for r in tables:
         name = f"{r['database']}.{r['table']}"
         if r["low"] != r["high"] or found.setdefault(name, r["low"]) != r["low"]:
             raise ValueError(f"changes of {name} arrive on more than one topic partition; their order is unknown")
@@ -72,24 +76,21 @@ def check_partitions(table: KeyedStateTable, routed: DataFrame) -> None:
 
 def changelog_batch_writer(table: KeyedStateTable, routing: RoutingState) -> Callable[[DataFrame, int], None]:
     def write(batch: DataFrame, batch_id: int) -> None:
-        parsed = cdc.parse_flagged(batch).persist()
-        try:
-            messages, unparsed = cdc.split_parsed(parsed)
-            usable, keyless = cdc.split_routed(cdc.route(messages, routing.config(batch_id)))
-            check_partitions(table, usable)
-            rejects = unparsed.select("partition", "offset", "value")
-            rejects = rejects.unionByName(
-                parsed.join(keyless.select("partition", "offset").distinct(), ["partition", "offset"], "left_semi")
-                .select("partition", "offset", "value"))
-            kept, rejected, one = Observation(), Observation(), F.count(F.lit(1)).alias("n")
-            rejects.observe(rejected, one).write.mode("overwrite").parquet(f"{table.path}/rejects/batch={batch_id:012d}")
-            table.apply_batch(cdc.to_ops(usable.observe(kept, one)), batch_id)
-            read, n_kept, n_rejected = parsed.count(), kept.get["n"], rejected.get["n"]
-            write_text(table.spark, f"{table.path}/progress/batch={batch_id:012d}.json", json.dumps({
-                "batch": batch_id, "read": read, "kept": n_kept, "dropped": read - n_kept - n_rejected,
-                "rejected": n_rejected}))
-        finally:
-            parsed.unpersist()
+        flagged = cdc.route_flagged(cdc.parse_flagged(batch), routing.config(batch_id))
+        kept = F.col("_state") == "kept"
+        # One row a configured source table, and one for each kind of other records.
+        stats = flagged.groupBy("_state", F.when(kept, F.col("database")).alias("database"),
+                                F.when(kept, F.col("table")).alias("table")) \
+            .agg(F.min("partition").alias("low"), F.max("partition").alias("high"), F.count(F.lit(1)).alias("n")).collect()
+        remember_partitions(table, [r for r in stats if r["_state"] == "kept"])
+        n = {s: sum(r["n"] for r in stats if r["_state"] == s) for s in ("kept", "dropped", "rejected")}
+        rejects = flagged.where(F.col("_state") == "rejected").select("partition", "offset", "value")
+        if not n["rejected"]:  # the batch need not be read for them
+            rejects = table.spark.createDataFrame([], rejects.schema)
+        rejects.write.mode("overwrite").parquet(f"{table.path}/rejects/batch={batch_id:012d}")
+        table.apply_batch(cdc.to_ops(flagged.where(kept), wide=True), batch_id)
+        write_text(table.spark, f"{table.path}/progress/batch={batch_id:012d}.json",
+                   json.dumps({"batch": batch_id, "read": sum(n.values()), **n}))
     return write
 
 
