@@ -37,10 +37,14 @@ def row_key(cols: Sequence[str | Column]) -> Column:
     return salted(joined_key(parts))
 
 
+def lower_names(names: Column) -> Column:
+    return F.transform(names, lambda k: F.lower(k))
+
+
 def map_value(data: Column, name: Column) -> Column:
     """Value of a map's key, the name matched without case (NULL if absent)."""
-    low = F.lower(name)
-    return F.try_element_at(F.map_values(F.map_filter(data, lambda k, v: F.lower(k) == low)), F.lit(1))
+    at = F.array_position(lower_names(F.map_keys(data)), F.lower(name))  # of the first; 0: none
+    return F.get(F.map_values(data), at.cast("int") - 1)
 
 
 def row_key_from_map(data: Column, key_names: Column) -> Column:

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.keys import joined_key, map_value, row_key_from_map, salted
+from tidemark.functions.keys import joined_key, lower_names, map_value, row_key_from_map, salted
 
 CHANGELOG_SCHEMA = (
     "database string, table string, type string, es bigint, ts bigint, "
@@ -91,8 +91,7 @@ def route(messages: DataFrame, flow: DataFrame) -> DataFrame:
 
 
 def _ci_member(names: Column, name: Column) -> Column:
-    low = F.lower(name)
-    return F.exists(names, lambda k: F.lower(k) == low)
+    return F.array_contains(lower_names(names), F.lower(name))
 
 
 def _key_columns(row_key: Column) -> Column:
@@ -102,7 +101,7 @@ def _key_columns(row_key: Column) -> Column:
 def _has_keys(routed_key: Column, data: Column) -> Column:
     """Whether every row image of a message names every key column."""
     return F.forall(data, lambda d: d.isNull() | F.forall(
-        routed_key, lambda k: F.exists(F.map_keys(d), lambda c: F.lower(c) == F.lower(k))))
+        routed_key, lambda k: _ci_member(F.map_keys(d), k)))
 
 
 def split_routed(routed: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -315,7 +314,7 @@ def state_to_keyed(cells: DataFrame, family: str, fields: list[str],
     if table is not None:
         cells = cells.where(F.col("hbaseTable") == table)
     if is_wide(cells):
-        cells = cells.withColumn("_low", F.transform("qualifiers", lambda k: F.lower(k)))
+        cells = cells.withColumn("_low", lower_names(F.col("qualifiers")))
         aggs = [F.max(_field(name)).alias(name) for name in fields]
     else:
         q = F.lower(F.col("qualifier"))
