@@ -325,3 +325,21 @@ def test_a_first_batch_is_dealt_to_many_tasks(spark, scratch):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
         spark.conf.set("spark.sql.shuffle.partitions", old)
     assert tasks > bucketed.SLICES
+
+
+def test_row_images_of_one_message_with_other_names(spark):
+    """Rows of a message that name their columns otherwise than its first row, or not at all, are seen one by one."""
+    names = [{"ID": "1", "a": None, "b": "x"}, None, {"b": "y", "id": "2", "Id": "3"}, {"iD": None, "a": "z"}]
+    logs = [names, [None, *names], [{"id": "4"}, {"a": "5"}], [{"a": "5"}, {"id": "4"}], [], [{"id": "6", "a": None}]]
+    recs = [(0, i, json.dumps({"database": "d", "table": "t", "type": "INSERT", "data": rows})) for i, rows in enumerate(logs)]
+    raw = spark.createDataFrame(recs, "partition int, offset bigint, value string")
+    flow = spark.createDataFrame([(1, 1, "d", "t", "h", "cf", True, 10, "id", 2)], FLOW_SCHEMA)
+    flagged = cdc.route_flagged(cdc.parse_flagged(raw), flow)
+    state = {r.offset: r._state for r in flagged.collect()}
+    assert state == {0: "kept", 1: "kept", 2: "rejected", 3: "rejected", 4: "kept", 5: "kept"}
+    kept = flagged.where("_state = 'kept'")
+    assert "_keys" in kept.columns  # made once a flow
+    want = [("1", ["ID", "B"], ["1", "x"]), ("2", ["B", "ID", "ID"], ["y", "2", "3"]), ("", ["A"], ["z"])]
+    got = [(r.offset, r.rowkey.split("_")[1], r.qualifiers, r["values"])
+           for r in cdc.to_ops(kept, wide=True).orderBy("offset", "pos").collect()]
+    assert got == [(i, *w) for i in (0, 1) for w in want] + [(5, "6", ["ID"], ["6"])]

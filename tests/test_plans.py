@@ -1,6 +1,8 @@
 """Physical plan shape: pruning, pushdown, broadcast behind a size check,
 partial aggregation before every shuffle."""
 
+import re
+
 from tidemark.operators.lookup import enrich_category
 from tidemark.plans import fixtures as fx
 from tidemark.plans import jobs
@@ -104,6 +106,21 @@ def test_cdc_fold_combines_cells_before_the_shuffle(spark):
     assert p.count("Window [") == 1
 
 
+def test_changelog_shuffles_an_order_once(spark):
+    """The messages of all phases are made after the shuffle of the orders, not before it."""
+    p = plan(fx.changelog(spark, SF_SMALL))
+    assert p.index("Generate explode") < p.index("ObjectHashAggregate")
+
+
+def test_names_of_a_row_image_are_lowered_once(spark):
+    """The row key looks its columns up in one lowered list of names, and the wide fold's explode compares no cells."""
+    from tidemark.operators import cdc
+    ops = cdc.to_ops(cdc.route(cdc.parse_changelog(fx.changelog(spark, SF_SMALL))[0], fx.flow(spark)), wide=True)
+    assert len(re.findall(r"transform\(map_keys\(d#\d+\), lambdafunction\(lower\(", plan(ops))) == 1
+    explodes = [line for line in plan(cdc.fold(ops)).splitlines() if "Generate explode(CASE WHEN whole" in line]
+    assert len(explodes) == 1 and "lambdafunction" not in explodes[0]
+
+
 def test_current_hour_prefix_reaches_the_parquet_scan(spark, scratch):
     """On a stored keyed table the hour test is a pushed prefix filter."""
     fx.orders_kv(spark, SF_SMALL).write.parquet(f"{scratch}/kv")

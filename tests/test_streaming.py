@@ -377,3 +377,22 @@ def test_user_totals_agree_after_every_batch(spark, scratch):
         some = [r for r in rows if r[3] <= batch]
         assert got == {u: (len({r[0] for r in some if r[1] == u and r[0] is not None}),
                            sum(r[2] for r in some if r[1] == u)) for u in {r[1] for r in some}}
+
+
+def test_a_dealt_replay_makes_each_row_once(spark, scratch):
+    """Rows that lie over all tasks already are written where they are; more slices are ranged, and hold the same rows."""
+    from pyspark.sql import functions as F
+    from tidemark.streaming.replay import DIRECT, Replay
+    made = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for b in batches:
+            made.add(b.num_rows)
+            yield b
+    df = spark.range(300).repartition(4, "id").mapInArrow(seen, "id bigint")
+    Replay(df, F.col("id") % 3, 3, f"{scratch}/few", dealt=True)
+    assert made.value == 300
+    Replay(df, F.col("id") % (DIRECT + 1), DIRECT + 1, f"{scratch}/many", dealt=True)
+    for n, name in ((3, "few"), (DIRECT + 1, "many")):
+        rows = spark.read.parquet(f"{scratch}/{name}/src").select("id", F.col("_slice").cast("int")).collect()
+        assert sorted(map(tuple, rows)) == [(i, i % n) for i in range(300)]

@@ -41,10 +41,14 @@ def lower_names(names: Column) -> Column:
     return F.transform(names, lambda k: F.lower(k))
 
 
+def value_at(data: Column, low: Column, low_name: Column) -> Column:
+    """Value of a map's key ``low_name``; ``low`` has the map's key names, both in lower case (NULL if absent)."""
+    return F.get(F.map_values(data), F.array_position(low, low_name).cast("int") - 1)  # of the first; 0: none
+
+
 def map_value(data: Column, name: Column) -> Column:
     """Value of a map's key, the name matched without case (NULL if absent)."""
-    at = F.array_position(lower_names(F.map_keys(data)), F.lower(name))  # of the first; 0: none
-    return F.get(F.map_values(data), at.cast("int") - 1)
+    return value_at(data, lower_names(F.map_keys(data)), F.lower(name))
 
 
 def row_key_from_map(data: Column, key_names: Column) -> Column:

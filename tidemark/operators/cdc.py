@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.keys import joined_key, lower_names, map_value, row_key_from_map, salted
+from tidemark.functions.keys import joined_key, lower_names, map_value, salted, value_at
 
 CHANGELOG_SCHEMA = (
     "database string, table string, type string, es bigint, ts bigint, "
@@ -90,24 +90,29 @@ def route(messages: DataFrame, flow: DataFrame) -> DataFrame:
     return j.drop("databaseName", "tableName")
 
 
-def _ci_member(names: Column, name: Column) -> Column:
-    return F.array_contains(lower_names(names), F.lower(name))
-
-
 def _key_columns(row_key: Column) -> Column:
     return F.transform(F.split(row_key, ","), lambda k: F.trim(k))
 
 
-def _has_keys(routed_key: Column, data: Column) -> Column:
-    """Whether every row image of a message names every key column."""
-    return F.forall(data, lambda d: d.isNull() | F.forall(
-        routed_key, lambda k: _ci_member(F.map_keys(d), k)))
+def _lower_keys() -> Column:
+    return lower_names(_key_columns(F.col("rowKey")))
+
+
+def _has_keys(low_keys: Column, data: Column) -> Column:
+    """Whether every row image of a message names every key column (``low_keys``: in lower case).
+
+    Names are lowered once a list, and a list that equals the message's first is not looked at again."""
+    def named(names: Column) -> Column:
+        return F.forall(F.array(lower_names(names)), lambda low: F.forall(low_keys, lambda k: F.array_contains(low, k)))
+
+    return F.forall(F.array(F.map_keys(F.get(data, F.lit(0)))), lambda first: (first.isNull() | named(first)) & F.forall(
+        data, lambda d: d.isNull() | F.coalesce(F.map_keys(d) == first, F.lit(False)) | named(F.map_keys(d))))
 
 
 def split_routed(routed: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``(usable, rejects)``: messages with a row image that lacks a configured
     key column have no row key and go to the rejects."""
-    good = F.coalesce(_has_keys(_key_columns(F.col("rowKey")), F.col("data")), F.lit(True))
+    good = F.coalesce(_has_keys(_lower_keys(), F.col("data")), F.lit(True))
     return routed.where(good), routed.where(~good)
 
 
@@ -117,9 +122,10 @@ def route_flagged(parsed: DataFrame, flow: DataFrame) -> DataFrame:
 
     Every record stays one row, so the parts need no second join to be told apart."""
     f = latest_flow(flow).where(F.col("status") == FLOW_RUNNING).select(
-        "databaseName", "tableName", "flowId", "hbaseTable", "family", "uppercaseQualifier", "rowKey")
+        "databaseName", "tableName", "flowId", "hbaseTable", "family", "uppercaseQualifier", "rowKey",
+        _lower_keys().alias("_keys"))  # once a flow, not a record
     j = parsed.join(f, F.col("_ok") & (parsed["database"] == f["databaseName"]) & (parsed["table"] == f["tableName"]), "left")
-    good = F.coalesce(_has_keys(_key_columns(F.col("rowKey")), F.col("data")), F.lit(True))
+    good = F.coalesce(_has_keys(F.col("_keys"), F.col("data")), F.lit(True))
     state = F.when(~F.col("_ok"), "rejected").when(F.col("databaseName").isNull(), "dropped") \
         .when(good, "kept").otherwise("rejected")
     return j.withColumn("_state", state).drop("databaseName", "tableName")
@@ -136,52 +142,56 @@ def table_partitions(messages: DataFrame) -> DataFrame:
 def to_ops(routed: DataFrame, wide: bool = False) -> DataFrame:
     """Routed messages to ops: ``hbaseTable, rowkey, offset, pos, kind, family, qualifier, value``.
 
-    Tombstones have ``kind = 0`` and NULL family/qualifier/value.  Every data
-    row yields one array of ops (its tombstone, if any, then its put) that
-    is exploded once: a single pass over the messages.  ``wide`` ops hold all cells
+    Tombstones have ``kind = 0`` and NULL family/qualifier/value.  A data row yields its
+    tombstone, if any, then its put: a single pass over the messages.  ``wide`` ops hold all cells
     of a put in ``qualifiers`` and ``values`` (NULL in a tombstone), so what is
     shuffled is one record a row change, not one a cell.
+
+    The names of a row image are lowered once, and its arrays of names and values are
+    taken as they are; cells are only gone through one by one where a value is NULL.
     """
     kind = F.upper(F.col("type"))
-    base = routed.where(kind.isin("INSERT", "UPDATE", "DELETE")).select(
-        "hbaseTable", "offset", "family", "uppercaseQualifier",
-        kind.alias("op"),
-        _key_columns(F.col("rowKey")).alias("key_cols"),
-        F.transform(F.col("data"), lambda d, i: F.struct(
-            d.alias("d"), F.try_element_at(F.col("old"), i + 1).alias("o"))).alias("rows"),
-    )
-    rows = base.select("*", F.posexplode("rows").alias("pos", "r")).drop("rows")
-    d, o, keys = F.col("r.d"), F.col("r.o"), F.col("key_cols")
+    keys = F.col("_keys") if "_keys" in routed.columns else _lower_keys()
+    rows = routed.where(kind.isin("INSERT", "UPDATE", "DELETE")).select(
+        "hbaseTable", "offset", "family", "uppercaseQualifier", kind.alias("op"), keys.alias("keys"), "old",
+        F.posexplode("data").alias("pos", "d"))
+    o, d, keys, low = F.try_element_at("old", F.col("pos") + 1), F.col("d"), F.col("keys"), F.col("low")
+    rows = rows.where(d.isNotNull()).select(
+        "hbaseTable", "offset", "pos", "family", "uppercaseQualifier", "op", "keys", "d", o.alias("o"),
+        lower_names(F.map_keys(d)).alias("low"))
+    o = F.col("o")
     changed = F.coalesce(F.map_keys(o), F.array().cast("array<string>"))
-    key_change = (F.col("op") == "UPDATE") & F.exists(changed, lambda c: _ci_member(keys, c))
+    key_change = (F.col("op") == "UPDATE") & F.exists(changed, lambda c: F.array_contains(keys, F.lower(c)))
     old_key = salted(joined_key(F.transform(keys, lambda k: F.when(
-        _ci_member(changed, k), map_value(o, k)).otherwise(map_value(d, k)))))
-    rows = rows.where(d.isNotNull()).select(
-        "hbaseTable", "offset", "pos", "family", "uppercaseQualifier", "op",
-        d.alias("d"), changed.alias("changed"), key_change.alias("key_change"),
-        row_key_from_map(d, keys).alias("new_key"),
+        F.array_contains(lower_names(changed), k), map_value(o, k)).otherwise(value_at(d, low, k)))))
+    rows = rows.select(
+        "hbaseTable", "offset", "pos", "family", "uppercaseQualifier", "op", "d",
+        changed.alias("changed"), key_change.alias("key_change"),
+        salted(joined_key(F.transform(keys, lambda k: value_at(d, low, k)))).alias("new_key"),
         F.when(key_change, old_key).alias("old_key"))  # only key changes need it
 
-    def cell(name: Column, value: Column) -> Column:
-        return F.struct(F.when(F.col("uppercaseQualifier"), F.upper(name)).otherwise(name).alias("q"), value.alias("v"))
-
-    def op(rowkey: Column, k: int, family, cells) -> Column:
-        return F.struct(rowkey.alias("rowkey"), F.lit(k).alias("kind"), family.cast("string").alias("family"),
-                        cells.cast("array<struct<q:string,v:string>>").alias("cells"))
-
-    null = F.lit(None)
     is_tomb = (F.col("op") == "DELETE") | F.col("key_change")
     is_full = (F.col("op") == "INSERT") | F.col("key_change")
-    tomb_key = F.when(F.col("key_change"), F.col("old_key")).otherwise(F.col("new_key"))
-    full = F.transform(F.filter(F.map_entries(F.col("d")), lambda e: e["value"].isNotNull()),
-                       lambda e: cell(e["key"], e["value"]))
-    upd = F.transform("changed", lambda c: cell(c, F.coalesce(F.try_element_at(F.col("d"), c), F.lit(""))))
-    put = op(F.col("new_key"), KIND_PUT, F.col("family"), F.when(is_full, full).when(F.col("op") == "UPDATE", upd))
-    both = F.filter(F.array(F.when(is_tomb, op(tomb_key, KIND_DELETE, null, null)), put),
-                    lambda x: (x["kind"] == KIND_DELETE) | (F.size(x["cells"]) > 0))
-    ops = rows.select("hbaseTable", "offset", "pos", F.explode(both).alias("x"))
-    ops = ops.select("hbaseTable", "x.rowkey", "offset", "pos", "x.kind", "x.family",
-                     F.col("x.cells.q").alias("qualifiers"), F.col("x.cells.v").alias("values"))
+    names, values = F.map_keys(d), F.map_values(d)
+    some_null = F.exists(values, lambda v: v.isNull())
+    given = F.transform(F.filter(F.map_entries(d), lambda e: e["value"].isNotNull()), lambda e: e["key"])
+    upd = F.transform("changed", lambda c: F.coalesce(F.try_element_at(d, c), F.lit("")))
+    rows = rows.select(
+        "hbaseTable", "offset", "pos", "family", "uppercaseQualifier", "new_key",
+        F.when(is_tomb, F.when(F.col("key_change"), F.col("old_key")).otherwise(F.col("new_key"))).alias("tomb_key"),
+        F.coalesce(is_tomb, F.lit(False)).alias("tomb"),
+        F.when(is_full, F.when(some_null, given).otherwise(names)).when(F.col("op") == "UPDATE", F.col("changed")).alias("names"),
+        F.when(is_full, F.when(some_null, F.filter(values, lambda v: v.isNotNull())).otherwise(values))
+         .when(F.col("op") == "UPDATE", upd).alias("values"))
+    has_put = F.coalesce(F.size("names") > 0, F.lit(False))
+    kinds = F.when(F.col("tomb") & has_put, F.array(F.lit(KIND_DELETE), F.lit(KIND_PUT))) \
+        .when(F.col("tomb"), F.array(F.lit(KIND_DELETE))).when(has_put, F.array(F.lit(KIND_PUT)))
+    qualifiers = F.when(F.col("uppercaseQualifier"), F.transform("names", lambda n: F.upper(n))).otherwise(F.col("names"))
+    is_put = F.col("kind") == KIND_PUT
+    ops = rows.select("*", F.explode(kinds).alias("kind")).select(
+        "hbaseTable", F.when(is_put, F.col("new_key")).otherwise(F.col("tomb_key")).alias("rowkey"), "offset", "pos", "kind",
+        F.when(is_put, F.col("family").cast("string")).alias("family"),
+        F.when(is_put, qualifiers).alias("qualifiers"), F.when(is_put, F.col("values")).alias("values"))
     return ops if wide else to_cells(ops)
 
 
@@ -238,8 +248,15 @@ def fold(ops: DataFrame) -> DataFrame:
         return cells.withColumn("del_seq", del_seq).where(alive).drop("del_seq")
     put = F.when(F.col("kind") == KIND_PUT, F.struct("seq", "family", "qualifiers", "values"))
     state = cells.withColumns({"del_seq": del_seq, "puts": F.collect_list(put).over(by_row)}).where(alive)
-    is_put = F.col("kind") == KIND_PUT
-    kept = F.filter(F.when(is_put, _standing()).otherwise(F.array(F.lit(None))), lambda c: ~is_put | (F.size(c) > 0))
+    # A tombstone, and the one put of a row, stand as they are; the cells of others are compared.
+    whole = F.coalesce((F.col("kind") == KIND_DELETE) | (
+        (F.size("puts") == 1) & (F.size(F.array_distinct("qualifiers")) == F.size("qualifiers"))), F.lit(False))
+    compared = F.transform(F.filter(_standing(), lambda c: F.size(c) > 0), lambda c: F.struct(
+        c["qualifiers"].alias("qualifiers"), c["values"].alias("values")))
+    state = state.select("*", whole.alias("whole")).select(
+        "hbaseTable", "rowkey", "kind", "family", "seq", "qualifiers", "values", "whole",
+        F.when(~F.col("whole"), compared).alias("compared"))  # its own step: what explodes is then plain compiled code
+    kept = F.when(F.col("whole"), F.array(F.struct("qualifiers", "values"))).otherwise(F.col("compared"))
     return (state.select("hbaseTable", "rowkey", "kind", "family", "seq", F.explode(kept).alias("kept"))
             .select("hbaseTable", "rowkey", "kind", "family", F.col("kept.qualifiers").alias("qualifiers"),
                     F.col("kept.values").alias("values"), "seq"))

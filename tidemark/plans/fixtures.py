@@ -146,13 +146,18 @@ def flow(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(FLOW_ROWS, FLOW_SCHEMA)
 
 
-def _text_map(fields: dict[str, Column]) -> Column:
+def _text_map(row: Column, **changed: Column) -> Column:
     kv = []
     for name in ORDER_FIELDS:
-        kv += [F.lit(name), fields[name]]
+        kv += [F.lit(name), changed.get(name, row[name])]
     return F.create_map(*kv)
 
 
+def _by_pos(rows: Column) -> Column:
+    """The rows of one message, ordered by their key."""
+    return F.array_sort(F.collect_list(rows), lambda a, b: F.signum(a["pos_key"] - b["pos_key"]).cast("int"))
+
+
 def key_shift(spark: SparkSession, sf_dir: str) -> int:
     """What a key change adds to an order key: beyond the greatest key, so no moved key meets another."""
     return (table(spark, sf_dir, "orders").agg(F.max("o_orderkey")).first()[0] or 0) + 1
@@ -176,56 +181,62 @@ def changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
     Columns: ``partition``, ``offset``, ``value`` (JSON text).
     """
     o = orders(spark, sf_dir)
-    t0 = text_fields(o)
+    shift = key_shift(spark, sf_dir)
     oid = F.col("orderId")
-    t1 = {**t0, "realTotalMoney": F.when(oid % 3 == 0, (F.col("realTotalMoney") + 1).cast("string"))
-                                   .otherwise(t0["realTotalMoney"])}
-    t2 = {**t1, "province": F.when(oid % 7 == 0, F.lit(None).cast("string")).otherwise(t1["province"])}
-    t3 = {**t2, "orderId": (oid + key_shift(spark, sf_dir)).cast("string")}
-    no_old = F.lit(None).cast("map<string,string>")
-    phases = [
-        (0, "INSERT", F.lit(True), _text_map(t0), no_old),
-        (1, "UPDATE", oid % 3 == 0, _text_map(t1), F.create_map(F.lit("realTotalMoney"), t0["realTotalMoney"])),
-        (2, "UPDATE", oid % 7 == 0, _text_map(t2), F.create_map(F.lit("province"), t1["province"])),
-        (3, "UPDATE", oid % 50 == 0, _text_map(t3), F.create_map(F.lit("orderId"), t0["orderId"])),
-        (4, "DELETE", oid % 10 == 1, _text_map(t2), no_old),
-        (5, "insert", oid % 100 == 1, _text_map(t0), no_old),
-    ]
-    # One scan and one join of orders: each order generates its phase rows.
-    gen = F.array(*[
-        F.when(cond, F.struct(F.lit(phase).alias("phase"), F.lit(kind).alias("type"),
-                              data.alias("data_row"), old.alias("old_row")))
-        for phase, kind, cond, data, old in phases])
-    rows = (o.select(oid, F.explode(gen).alias("g"))
-            .where(F.col("g").isNotNull())
-            .select("g.phase", "g.type", F.lit("orders").alias("table"),
-                    F.floor(oid / CDC_BLOCK).alias("block"), oid.alias("pos_key"),
-                    "g.data_row", "g.old_row"))
+    # Each order is shuffled once, as text; a block of orders generates the messages of all phases.
+    # A block holds CDC_BLOCK keys, so the collected group is bounded.
+    row = F.struct(oid.alias("pos_key"), *[c.alias(name) for name, c in text_fields(o).items()],
+                   (F.col("realTotalMoney") + 1).cast("string").alias("more"))
+    blocks = o.groupBy(F.floor(oid / CDC_BLOCK).alias("block")).agg(_by_pos(row).alias("rows"))
+
+    def t1(r: Column) -> Column:
+        return F.when(r["pos_key"] % 3 == 0, r["more"]).otherwise(r["realTotalMoney"])
+
+    def t2(r: Column) -> Column:
+        return F.when(r["pos_key"] % 7 == 0, F.lit(None).cast("string")).otherwise(r["province"])
+
+    def t3(r: Column) -> Column:
+        return (r["pos_key"] + shift).cast("string")
+
+    def of(phase: int, kind: str, rows: Column, data, old=None) -> Column:
+        before = F.transform(rows, old) if old else F.lit(None).cast("array<map<string,string>>")
+        return F.struct(F.lit(phase).alias("phase"), F.lit(kind).alias("type"), F.lit("orders").alias("table"),
+                        F.transform(rows, data).alias("data"), before.alias("old"))
+
+    def where(n: int, rest: int) -> Column:
+        return F.filter("rows", lambda r: r["pos_key"] % n == rest)
+
+    phases = F.array(
+        of(0, "INSERT", F.col("rows"), lambda r: _text_map(r)),
+        of(1, "UPDATE", where(3, 0), lambda r: _text_map(r, realTotalMoney=t1(r)),
+           lambda r: F.create_map(F.lit("realTotalMoney"), r["realTotalMoney"])),
+        of(2, "UPDATE", where(7, 0), lambda r: _text_map(r, realTotalMoney=t1(r), province=t2(r)),
+           lambda r: F.create_map(F.lit("province"), r["province"])),
+        of(3, "UPDATE", where(50, 0), lambda r: _text_map(r, realTotalMoney=t1(r), province=t2(r), orderId=t3(r)),
+           lambda r: F.create_map(F.lit("orderId"), r["orderId"])),
+        of(4, "DELETE", where(10, 1), lambda r: _text_map(r, realTotalMoney=t1(r), province=t2(r))),
+        of(5, "insert", where(100, 1), lambda r: _text_map(r)))
+    msgs = blocks.select("block", F.explode(F.filter(phases, lambda m: F.size(m["data"]) > 0)).alias("m")) \
+        .select("m.phase", "block", "m.type", "m.table", "m.data", "m.old")
 
     cust = table(spark, sf_dir, "customer")
     cust_rows = cust.select(
         F.lit(6).alias("phase"), F.lit("INSERT").alias("type"), F.lit("customer").alias("table"),
         F.col("c_custkey").alias("block"), F.col("c_custkey").alias("pos_key"),
         F.create_map(F.lit("c_custkey"), F.col("c_custkey").cast("string"),
-                     F.lit("c_name"), F.col("c_name")).alias("data_row"), no_old.alias("old_row"))
+                     F.lit("c_name"), F.col("c_name")).alias("data_row"))
     nat = table(spark, sf_dir, "nation")
     nat_rows = nat.select(
         F.lit(7).alias("phase"), F.lit("INSERT").alias("type"), F.lit("nation").alias("table"),
         F.col("n_nationkey").cast("bigint").alias("block"), F.col("n_nationkey").cast("bigint").alias("pos_key"),
         F.create_map(F.lit("n_nationkey"), F.col("n_nationkey").cast("string"),
-                     F.lit("n_name"), F.col("n_name")).alias("data_row"), no_old.alias("old_row"))
-    rows = rows.unionByName(cust_rows).unionByName(nat_rows)
-
-    # A message holds at most CDC_BLOCK rows, so the collected group is bounded.
-    msgs = rows.groupBy("phase", "block", "type", "table").agg(
-        F.array_sort(F.collect_list(F.struct("pos_key", "data_row", "old_row")),
-                     lambda a, b: F.signum(a["pos_key"] - b["pos_key"]).cast("int")).alias("rows"))
-    is_update = F.upper("type") == "UPDATE"
-    message = F.struct(
-        F.lit(CDC_DATABASE).alias("database"), F.col("table"), F.col("type"),
-        F.transform("rows", lambda r: r["data_row"]).alias("data"),
-        F.when(is_update, F.transform("rows", lambda r: r["old_row"])).alias("old"),
-    )
+                     F.lit("n_name"), F.col("n_name")).alias("data_row"))
+    others = cust_rows.unionByName(nat_rows).groupBy("phase", "block", "type", "table").agg(
+        _by_pos(F.struct("pos_key", "data_row")).alias("rows"))
+    msgs = msgs.unionByName(others.select(
+        "phase", "block", "type", "table", F.col("rows.data_row").alias("data"),
+        F.lit(None).cast("array<map<string,string>>").alias("old")))
+    message = F.struct(F.lit(CDC_DATABASE).alias("database"), "table", "type", "data", "old")
     return msgs.select(
         F.lit(0).alias("partition"),
         (F.col("phase").cast("bigint") * PHASE_STRIDE + F.col("block")).alias("offset"),

@@ -291,7 +291,7 @@ def _cdc_table(spark, d):
     phase = F.floor(F.col("offset") / fx.PHASE_STRIDE)
     n = max(SLICES, _slices(spark, d, "orders"))
     part = F.when(phase == 0, F.pmod(F.col("offset"), F.lit(n - 2))).when(phase < 4, n - 2).otherwise(n - 1)
-    replay = Replay(fx.changelog(spark, d), part, n)
+    replay = Replay(fx.changelog(spark, d), part, n, dealt=True)
     at = replay.root
     replay.run(lambda stream: start_cdc_sync(spark, stream, lambda: fx.flow(spark), f"{at}/table", f"{at}/ckpt",
                                              AVAILABLE_NOW, fold_every=2))

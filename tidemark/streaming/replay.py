@@ -27,6 +27,8 @@ SLICE_BYTES = 8 << 30
 SLICES = 3
 #: Pieces of a slice that different tasks may write.
 PIECES = 64
+#: Most slices that tasks write where the rows lie: each task writes a file a slice.
+DIRECT = 8
 
 
 def slices_for(spark: SparkSession, paths: Sequence[str]) -> int:
@@ -53,16 +55,20 @@ def by_range(df: DataFrame, col: str, n: int) -> Column:
 
 
 class Replay:
-    """A table written in slices under ``root``; iterating gives a stream over each slice in turn."""
+    """A table written in slices under ``root``; iterating gives a stream over each slice in turn.
 
-    def __init__(self, df: DataFrame, slice_of: Column, n: int, root: str | None = None):
+    ``dealt``: the rows of every slice already lie over all tasks, by a hash; few slices are then
+    written without one more shuffle (ranging them would also make every row twice, once for the bounds)."""
+
+    def __init__(self, df: DataFrame, slice_of: Column, n: int, root: str | None = None, dealt: bool = False):
         self.spark, self.schema, self.n = df.sparkSession, df.schema, n
         self.root = root or scratch_path(self.spark, "replay")
         number = F.lpad(slice_of.cast("int").cast("string"), 9, "0")
         # Ranged by slice, and within a slice by a hash of the row: few files a slice, and no task with a whole one.
         spread = F.pmod(F.xxhash64(*df.columns), F.lit(PIECES))
-        (df.withColumn("_slice", number).repartitionByRange("_slice", spread)
-         .write.partitionBy("_slice").parquet(f"{self.root}/src"))
+        rows = df.withColumn("_slice", number)
+        (rows if dealt and n <= DIRECT else rows.repartitionByRange("_slice", spread)).write \
+            .partitionBy("_slice").parquet(f"{self.root}/src")
 
     def __iter__(self) -> Iterator[DataFrame]:
         for name in list_dirs(self.spark, f"{self.root}/src", "_slice="):
